@@ -1,8 +1,8 @@
 """Avro binary encoding of flat records, written as Spark built-in expressions.
 
 No Python runs per row: encoding builds hex text with ``hex``/``lpad`` and turns it into
-bytes with ``unhex``; decoding reads varints with ``conv(hex(substring(...)))`` and
-bit shifts. Everything stays JVM-side in whole-stage codegen.
+bytes with ``unhex``. Everything stays JVM-side in whole-stage codegen. Decoding lives in
+``codec.py`` (``from_avro`` when spark-avro is loaded, else an Arrow-batched pandas UDF).
 
 Supported primitives: string, int, long, boolean, float, double, each optionally a
 two-branch union with null (either branch order).
@@ -17,14 +17,12 @@ Encoding rules (Avro 1.x specification, binary encoding):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import avro_type, null_index
 
-_MAX_INT = 2**31 - 1
-_U32 = 0xFFFFFFFF
 
 
 def _col(c: Column | str) -> Column:
@@ -49,8 +47,11 @@ def varint_hex(zz: Column, max_bytes: int) -> Column:
     parts = []
     for k in range(max_bytes):
         rest = F.shiftrightunsigned(zz, 7 * k) if k else zz
-        more = F.shiftrightunsigned(zz, 7 * (k + 1)) != 0
-        byte = rest.bitwiseAND(F.lit(127)).bitwiseOR(F.when(more, F.lit(128)).otherwise(F.lit(0)))
+        if 7 * (k + 1) < 64:
+            more = F.shiftrightunsigned(zz, 7 * (k + 1)) != 0
+            byte = rest.bitwiseAND(F.lit(127)).bitwiseOR(F.when(more, F.lit(128)).otherwise(F.lit(0)))
+        else:  # last group of a 64-bit value: no continuation bit (shifts wrap at 64)
+            byte = rest.bitwiseAND(F.lit(127))
         parts.append(_hex2(byte) if k == 0 else F.when(rest != 0, _hex2(byte)).otherwise(F.lit("")))
     return F.concat(*parts)
 
@@ -154,199 +155,3 @@ def encode_record(schema: T.StructType, columns: dict[str, Column] | None = None
     columns = columns or {}
     parts = [encode_field(columns.get(f.name, F.col(f.name)), f) for f in schema.fields]
     return F.concat(*parts)
-
-
-# ----------------------------------------------------------------------------- decode
-
-
-def _clamp_int(x: Column, lo: int = 0, hi: int = _MAX_INT) -> Column:
-    return F.least(F.greatest(x, F.lit(lo)), F.lit(hi)).cast("int")
-
-
-def _read_be(p: Column, pos: Column, nbytes: int) -> Column:
-    """Big-endian unsigned value of ``nbytes`` (<= 7) at 1-based ``pos``; zero-padded past the end."""
-    raw = F.hex(F.substring(p, _clamp_int(pos, 1), F.lit(nbytes)))
-    return F.conv(F.rpad(raw, 2 * nbytes, "0"), 16, 10).cast("long")
-
-
-def _unzigzag(u: Column) -> Column:
-    return F.shiftrightunsigned(u, 1).bitwiseXOR(-(u.bitwiseAND(F.lit(1))))
-
-
-def _bits_to_double(bits: Column) -> Column:
-    exp = F.shiftrightunsigned(bits, 52).bitwiseAND(F.lit(0x7FF))
-    man = bits.bitwiseAND(F.lit(0xFFFFFFFFFFFFF)).cast("double")
-    mag = (
-        F.when(exp == 0, man * F.lit(2.0**-52) * F.lit(2.0**-1022))
-        .when(exp == 2047, F.when(man == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
-        .otherwise(
-            (F.lit(1.0) + man * F.lit(2.0**-52)) * F.pow(F.lit(2.0), (exp - 1023).cast("double"))
-        )
-    )
-    return F.when(bits < 0, -mag).otherwise(mag)
-
-
-def _bits_to_float(bits: Column) -> Column:
-    exp = F.shiftrightunsigned(bits, 23).bitwiseAND(F.lit(0xFF))
-    man = bits.bitwiseAND(F.lit(0x7FFFFF)).cast("double")
-    mag = (
-        F.when(exp == 0, man * F.lit(2.0**-149))
-        .when(exp == 255, F.when(man == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
-        .otherwise((F.lit(1.0) + man * F.lit(2.0**-23)) * F.pow(F.lit(2.0), (exp - 127).cast("double")))
-    )
-    return F.when(bits.bitwiseAND(F.lit(0x80000000)) != 0, -mag).otherwise(mag).cast("float")
-
-
-class _Decoder:
-    """Builds the projections that walk one datum field by field.
-
-    Each step adds a few helper columns (prefix ``__av``) so the expression tree stays
-    linear in the number of fields; helpers are dropped at the end.
-    """
-
-    def __init__(self, df: DataFrame, payload_col: str):
-        self.df = df
-        self.p = F.col(payload_col)
-        self.n = 0
-        self.helpers: list[str] = []
-        self.total = "__av_len"
-        self._add({self.total: F.length(self.p).cast("long")})
-
-    def _name(self, tag: str) -> str:
-        self.n += 1
-        name = f"__av{self.n}_{tag}"
-        self.helpers.append(name)
-        return name
-
-    def _add(self, cols: dict[str, Column]) -> None:
-        for k in cols:
-            if k not in self.helpers:
-                self.helpers.append(k)
-        self.df = self.df.withColumns(cols)
-
-    def varint(self, pos: str, long: bool) -> tuple[str, str, str]:
-        """Read a zig-zag varint at ``pos``: returns (value, nbytes, ok) helper names."""
-        w1 = self._name("w")
-        cols = {w1: _read_be(self.p, F.col(pos), 5)}
-        w2 = None
-        if long:
-            w2 = self._name("w")
-            cols[w2] = _read_be(self.p, F.col(pos) + 5, 5)
-        self._add(cols)
-        nbytes = 10 if long else 5
-        b = []
-        for k in range(nbytes):
-            src, idx = (w1, k) if k < 5 else (w2, k - 5)
-            b.append(F.shiftright(F.col(src), 8 * (4 - idx)).bitwiseAND(F.lit(255)))
-        n_expr = None
-        for k in range(nbytes):
-            cond = b[k] < 128
-            n_expr = F.when(cond, F.lit(k + 1)) if n_expr is None else n_expr.when(cond, F.lit(k + 1))
-        n_name, u_name = self._name("n"), self._name("u")
-        u = None
-        for k in range(nbytes):
-            piece = F.shiftleft(b[k].bitwiseAND(F.lit(127)), 7 * k)
-            piece = piece if k == 0 else F.when(F.col(n_name) > k, piece).otherwise(F.lit(0))
-            u = piece if u is None else u.bitwiseOR(piece)
-        last_ok = (F.col(n_name) < 10) | (b[9] <= 1) if long else F.lit(True)
-        self._add({n_name: n_expr})
-        ok_name = self._name("vok")
-        self._add({u_name: u})
-        ok = (
-            F.col(n_name).isNotNull()
-            & (F.col(pos) + F.col(n_name) - 1 <= F.col(self.total))
-            & last_ok
-        )
-        if not long:
-            ok = ok & (F.col(u_name) <= F.lit(_U32))
-        v_name = self._name("v")
-        self._add({ok_name: F.coalesce(ok, F.lit(False)), v_name: _unzigzag(F.col(u_name))})
-        return v_name, n_name, ok_name
-
-    def value(self, pos: str, atype: str) -> tuple[Column, Column, Column]:
-        """Decode one value at ``pos``: returns (value, next_pos, ok) expressions."""
-        P = F.col(pos)
-        if atype in ("int", "long"):
-            v, n, ok = self.varint(pos, long=atype == "long")
-            val = F.col(v).cast("int") if atype == "int" else F.col(v)
-            return F.when(F.col(ok), val), P + F.col(n), F.col(ok)
-        if atype == "string":
-            v, n, ok = self.varint(pos, long=False)
-            start = P + F.col(n)
-            length = F.col(v)
-            s_name = self._name("s")
-            in_range = F.col(ok) & (length >= 0) & (start + length - 1 <= F.col(self.total))
-            raw = F.when(in_range, F.substring(self.p, _clamp_int(start, 1), _clamp_int(length)).cast("string"))
-            self._add({s_name: raw})
-            good = in_range & F.coalesce(F.expr(f"is_valid_utf8({s_name})"), F.lit(False))
-            return F.when(good, F.col(s_name)), start + length, good
-        if atype == "boolean":
-            byte = F.conv(F.hex(F.substring(self.p, _clamp_int(P, 1), F.lit(1))), 16, 10).cast("long")
-            b_name = self._name("b")
-            self._add({b_name: byte})
-            good = F.coalesce(F.col(b_name).isin(0, 1), F.lit(False))
-            return F.when(good, F.col(b_name) == 1), P + 1, good
-        if atype in ("float", "double"):
-            nb = 4 if atype == "float" else 8
-            raw = F.hex(F.substring(self.p, _clamp_int(P, 1), F.lit(nb)))
-            be = F.concat(*[F.substring(raw, 2 * (nb - 1 - k) + 1, 2) for k in range(nb)])
-            bits = F.conv(be, 16, -10 if nb == 8 else 10).cast("long")
-            x_name = self._name("x")
-            self._add({x_name: F.when(F.length(raw) == 2 * nb, bits)})
-            good = F.col(x_name).isNotNull()
-            conv = _bits_to_float if nb == 4 else _bits_to_double
-            return F.when(good, conv(F.col(x_name))), P + nb, good
-        raise ValueError(f"unsupported Avro type {atype}")
-
-
-def decode_columns(
-    df: DataFrame,
-    schema: T.StructType,
-    payload_col: str = "payload",
-    ok_col: str = "_decode_ok",
-) -> DataFrame:
-    """Add one typed column per schema field plus ``ok_col``.
-
-    ``ok_col`` is false for a truncated datum, trailing bytes, a bad union index, a
-    boolean byte other than 0/1, invalid UTF-8 or an over-long varint; the field
-    columns are then NULL.
-    """
-    dec = _Decoder(df, payload_col)
-    pos, ok = "__av_pos0", "__av_ok0"
-    dec._add({pos: F.lit(1).cast("long"), ok: F.col(payload_col).isNotNull()})
-    outputs: dict[str, str] = {}
-    for i, field in enumerate(schema.fields):
-        atype = avro_type(field)
-        ni = null_index(field)
-        val_name = f"__av_f{i}"
-        next_pos, next_ok = f"__av_pos{i + 1}", f"__av_ok{i + 1}"
-        if ni < 0:
-            val, after, good = dec.value(pos, atype)
-            dec._add({val_name: val, next_pos: after, next_ok: F.col(ok) & good})
-        else:
-            idx, n, iok = dec.varint(pos, long=False)
-            is_null = F.col(idx) == ni
-            branch_ok = F.col(iok) & F.col(idx).isin(0, 1)
-            vpos = f"__av_vp{i}"
-            dec._add({vpos: F.col(pos) + F.col(n), f"__av_isnull{i}": branch_ok & is_null})
-            val, after, good = dec.value(vpos, atype)
-            isnull = F.col(f"__av_isnull{i}")
-            dec._add(
-                {
-                    val_name: F.when(~isnull, val),
-                    next_pos: F.when(isnull, F.col(vpos)).otherwise(after),
-                    next_ok: F.col(ok) & branch_ok & (isnull | good),
-                }
-            )
-        outputs[field.name] = val_name
-        pos, ok = next_pos, next_ok
-    final_ok = F.coalesce(F.col(ok) & (F.col(pos) == F.col(dec.total) + 1), F.lit(False))
-    out = dec.df.withColumn(ok_col, final_ok)
-    out = out.withColumns(
-        {
-            name: F.when(F.col(ok_col), F.col(src)).cast(field.dataType)
-            for (name, src), field in zip(outputs.items(), schema.fields)
-        }
-    )
-    helpers = [c for c in out.columns if c.startswith("__av")]
-    return out.drop(*helpers)

@@ -7,8 +7,10 @@ We only pick our own folder when the session has none, as in unit tests.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -85,3 +87,32 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return [st.getPath().getName() for st in fs.listStatus(hpath)]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (what ``--py-files`` does).
+
+    The zip is written once per application under the shared checkpoint root and added
+    with ``addPyFile``; pandas UDFs reference module-level helpers by name.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    local = tempfile.mkdtemp(prefix="streamledger-pkg-")
+    zpath = os.path.join(local, "streamledger.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.join("streamledger", os.path.relpath(full, pkg_dir)))
+    target = f"{checkpoint_root(spark)}/streamledger-pkg-{uuid.uuid4().hex[:12]}.zip"
+    fs, hpath = _fs_and_path(spark, target)
+    fs.copyFromLocalFile(True, True, sc._jvm.org.apache.hadoop.fs.Path(zpath), hpath)
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
