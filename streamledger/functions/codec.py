@@ -124,7 +124,6 @@ def _pandas_decoder(schema: T.StructType):
     names = [f.name for f in schema.fields]
     out_type = _decoded_type(schema)
 
-    @pandas_udf(out_type)
     def decode(payload: pd.Series) -> pd.DataFrame:
         oks, cols = [], [[] for _ in names]
         for buf in payload:
@@ -142,7 +141,7 @@ def _pandas_decoder(schema: T.StructType):
             data[name] = pd.Series(values, dtype=object)
         return pd.DataFrame(data)
 
-    return decode
+    return pandas_udf(decode, out_type)
 
 
 def _from_avro_available(spark) -> bool:

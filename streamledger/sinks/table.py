@@ -3,7 +3,7 @@
 Layout under the table location (one folder per micro-batch, so a replay of batch N
 rewrites exactly the rows and LSNs it wrote before)::
 
-    data/batch_id=N/        decoded rows + _topic, _partition, _offset, _schema_id, _lsn
+    data/batch_id=N/        decoded rows + _topic, _partition, _offset, _schema_id, _timestamp, _lsn
     quarantine/batch_id=N/  rejected wire records with their _verdict (permissive mode)
     ledger/batch_id=N/      one row per (topic, partition): rows, offset and LSN range
     schemas/                registered schema versions (schema_id, schema_json)
@@ -26,7 +26,7 @@ from .. import session as S
 from ..functions.scalar import qualified_name, table_uri
 from ..schema import to_avro_json
 
-META_COLUMNS = ("_topic", "_partition", "_offset", "_schema_id", "_lsn")
+META_COLUMNS = ("_topic", "_partition", "_offset", "_schema_id", "_timestamp", "_lsn")
 LEDGER_DDL = (
     "topic STRING, partition INT, rows BIGINT, min_offset BIGINT, max_offset BIGINT, "
     "min_lsn BIGINT, max_lsn BIGINT, quarantined BIGINT, elapsed_ms DOUBLE"
@@ -93,7 +93,8 @@ def _read_text(spark: SparkSession, path: str) -> str:
 
 def _catalog_ddl(schema: T.StructType) -> str:
     cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
-    cols += ["_topic STRING", "_partition INT", "_offset BIGINT", "_schema_id INT", "_lsn BIGINT", "batch_id BIGINT"]
+    cols += ["_topic STRING", "_partition INT", "_offset BIGINT", "_schema_id INT", "_timestamp TIMESTAMP"]
+    cols += ["_lsn BIGINT", "batch_id BIGINT"]
     return ", ".join(cols)
 
 

@@ -55,6 +55,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, target: Target, schema: T.Stru
             F.col("partition").alias("_partition"),
             F.col("offset").alias("_offset"),
             F.col(SCHEMA_ID).alias("_schema_id"),
+            F.col("timestamp").alias("_timestamp"),
         )
         numbered = assign_lsn(rows, base=base, keys=("_topic", "_partition"), order="_offset")
         numbered.write.mode("overwrite").parquet(target.batch_path("data", batch_id))
