@@ -3,8 +3,8 @@
 ``index`` has ``topic, partition, offset, lsn``; ``commits`` has one row per
 ``(topic, partition)`` with ``upto``, the last offset handed over for commit. Coverage is
 inclusive (``offset <= upto``), as in the reference. The commit table is joined by
-equi-join on the partition key with the range as a join condition; with one row per
-partition AQE broadcasts it from its measured size and falls back to sort-merge otherwise.
+equi-join on the partition key with the range as a join condition; it is broadcast after
+its row count is checked (one row per partition), else left to a shuffle join.
 """
 
 from __future__ import annotations
@@ -15,6 +15,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PART_KEYS = ("topic", "partition")
+# Commit tables hold one row per Kafka partition; broadcast them only under this count.
+MAX_BROADCAST_COMMITS = 100_000
+
+
+def _small_commits(commits: DataFrame, keys: Sequence[str], upto: str) -> DataFrame:
+    """The commit table, broadcast after its row count is checked. An equi-join on a few
+    partition keys would otherwise send all of a hot partition to one task; above the
+    bound the join stays a shuffle join and AQE's skew handling splits hot keys."""
+    c = commits.select(*keys, upto)
+    return F.broadcast(c) if c.count() <= MAX_BROADCAST_COMMITS else c
 
 
 def _cond(index: DataFrame, commits: DataFrame, keys: Sequence[str], offset: str, upto: str):
@@ -32,7 +42,7 @@ def covered_by(
 ) -> DataFrame:
     """Index entries with ``offset <= upto`` of their partition; partitions without
     a commit are skipped."""
-    c = commits.select(*keys, upto)
+    c = _small_commits(commits, keys, upto)
     return index.join(c, _cond(index, c, keys, offset, upto), "inner").select(
         *[index[x] for x in index.columns]
     )
@@ -82,7 +92,7 @@ def prune_index(
     and its LSN is durable (``lsn <= flushed_lsn``); ``None`` prunes nothing."""
     if flushed_lsn is None:
         return index, index.sparkSession.range(1).select(F.lit(0).cast("long").alias("pruned"))
-    c = commits.select(*keys, upto)
+    c = _small_commits(commits, keys, upto)
     cond = _cond(index, c, keys, offset, upto) + [index[lsn] <= F.lit(int(flushed_lsn))]
     remaining = index.join(c, cond, "left_anti")
     pruned = index.join(c, cond, "left_semi").agg(F.count(F.lit(1)).alias("pruned"))

@@ -24,10 +24,13 @@ from ..operators.sequence import assign_lsn, dense_number
 from ..operators.verify import reconcile, reconcile_content
 from ..schema import SAMPLE_RECORD_SCHEMA, schema_from_spec
 from ..sinks import table as TB
+from ..functions.scalar import progress_pct
+from ..operators.sequence import upsert_index
 from ..sources.generate import generate_from
+from ..sources.logs import format_log_line, read_metric_log, utc_wall_clock
 from ..sources.wire import read_wire
 from ..streaming.ingest import PERMISSIVE, durable_lsn, ingest
-from ..streaming.sliding import sliding_metrics
+from ..streaming.sliding import sliding_metrics, sliding_to_table
 
 # The record schema written to the events wire, and its fault rules.
 EVENT_RECORD = {
@@ -200,8 +203,23 @@ def log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overall_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + P12: totals from the latest line per task; percent of the records on the wire."""
     parsed = M.parse_batch_lines(_batch_lines(spark, sf_dir))
-    return M.overall_progress(parsed, order=("line_no",))
+    target = wire(spark, sf_dir).count()
+    return M.overall_progress(parsed, order=("line_no",)).withColumn(
+        "progress_pct", progress_pct(F.col("total_completed"), F.lit(target))
+    )
+
+
+def log_file_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + P11 + A3: batch lines written as a text log (UTC instant prefix, batch N at
+    2024-01-01 + N minutes), read back as text and reduced to the last line per task."""
+    path = S.scratch_path(spark, "sinklog")
+    lines = _batch_lines(spark, sf_dir)
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("batch_id").cast("int"))
+    lines.select(format_log_line(at, F.concat(F.lit("INFO "), F.col("line"))).alias("value")).write.text(path)
+    parsed = M.parse_batch_lines(read_metric_log(spark, path))
+    return M.latest_per_task(parsed).select("task_id", "total_completed", "last_lsn")
 
 
 def _flush_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,6 +264,28 @@ def target_reached(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.target_reached(p, target)
 
 
+def sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + T4 streaming: events written as a text log, read with ``readStream.text``,
+    counted per 12 h window sliding by 5 h and event type in complete mode (watermark on
+    the parsed instant), result kept in a table; window bounds as UTC wall clock."""
+    log_dir, out, ck = (S.scratch_path(spark, n) for n in ("eventlog", "sliding", "ck-sliding"))
+    ev = table(spark, sf_dir, "events")
+    ev.select(format_log_line(F.col("ts"), F.concat(F.lit("event "), F.col("event_type"))).alias("value")).write.text(log_dir)
+    lines = read_metric_log(spark, log_dir, streaming=True)
+    parsed = lines.select("ts", F.regexp_extract("line", r"\sevent (\S+)$", 1).alias("event_type"))
+    q = sliding_to_table(parsed, out, ck, ts="ts", keys=["event_type"], window="12 hours", slide="5 hours", watermark="1 day")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    res = spark.read.parquet(out)
+    return res.select(
+        utc_wall_clock(F.col("window_start")).alias("window_start"),
+        utc_wall_clock(F.col("window_end")).alias("window_end"),
+        "event_type",
+        "n",
+    )
+
+
 def sliding_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return sliding_metrics(ev, ts="ts", keys=["event_type"], window="12 hours", slide="5 hours")
@@ -347,6 +387,23 @@ def ingest_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TB.read_table(spark, _run_ingest(spark, sf_dir, replay=True)).select(*_TABLE_COLS)
 
 
+def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Covered entries are delivered again in batch 1 with new LSNs (base = the
+    current count); the index keeps one entry per offset, the later one."""
+    idx = index(spark, sf_dir).select("topic", "partition", "offset", "lsn", F.lit(0).cast("long").alias("batch_id"))
+    total = idx.count()
+    again = LG.covered_by(idx, commits(spark, sf_dir)).select(
+        "topic", "partition", "offset", (F.col("lsn") + F.lit(total)).alias("lsn"), F.lit(1).cast("long").alias("batch_id")
+    )
+    return upsert_index(idx.unionByName(again))
+
+
+def ledger_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 over the real ingest ledger, one series per Kafka partition."""
+    led = TB.read_ledger(spark, _run_ingest(spark, sf_dir))
+    return LG.batch_stats(led.select("partition", "batch_id", "rows", "max_lsn"), task="partition")
+
+
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _run_ingest(spark, sf_dir)
     q = spark.read.parquet(target.quarantine_path)

@@ -63,7 +63,21 @@ FROM events""",
         "round(rows / greatest(0.001, rows * 0.25 / 1000.0), 2) AS rps, last_lsn FROM stats"
     ),
     "overall_progress": _q(
-        "SELECT CAST(count(*) AS BIGINT) AS total_completed, count(DISTINCT event_id % 3) AS tasks, max(lsn) AS highest_lsn FROM ok"
+        "SELECT CAST(count(*) AS BIGINT) AS total_completed, count(DISTINCT event_id % 3) AS tasks, max(lsn) AS highest_lsn, "
+        "least(100, count(*) * 100 // (SELECT count(*) FROM events)) AS progress_pct FROM ok"
+    ),
+    "log_file_progress": _q(
+        "SELECT CAST(task_id AS VARCHAR) AS task_id, arg_max(total_completed, batch_id) AS total_completed, "
+        "arg_max(last_lsn, batch_id) AS last_lsn FROM stats GROUP BY task_id"
+    ),
+    "index_upsert": _q(
+        'SELECT topic, part AS "partition", off AS "offset", '
+        "CASE WHEN off <= (SELECT upto FROM commits c WHERE c.part = ok.part) THEN lsn + (SELECT count(*) FROM ok) ELSE lsn END AS lsn, "
+        "CAST(CASE WHEN off <= (SELECT upto FROM commits c WHERE c.part = ok.part) THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM ok"
+    ),
+    "ledger_stats": _q(
+        'SELECT part AS "partition", CAST(0 AS BIGINT) AS batch_id, count(*) AS rows, count(*) AS total_completed, '
+        "max(lsn) AS last_lsn FROM ok GROUP BY part"
     ),
     "flush_latency": _q(
         """
@@ -87,6 +101,12 @@ SELECT probe_ts, total_completed, CAST(total_completed - prev_total AS BIGINT) A
         "SELECT probe_ts, total_completed FROM probes WHERE total_completed >= (SELECT count(*) // 2 FROM ok) "
         "ORDER BY probe_ts LIMIT 1"
     ),
+    "sliding_stream": """
+WITH x AS (SELECT event_type, ts, unnest(generate_series(0, 2)) AS k,
+                  (epoch_us(ts) // 1000000 // 18000) * 18000 AS base FROM events)
+SELECT make_timestamp((base - k * 18000) * 1000000) AS window_start,
+       make_timestamp((base - k * 18000 + 43200) * 1000000) AS window_end, event_type, count(*) AS n
+FROM x WHERE ts < make_timestamp((base - k * 18000 + 43200) * 1000000) GROUP BY 1, 2, 3""",
     "sliding_event_counts": """
 WITH x AS (SELECT event_type, ts, unnest(generate_series(0, 2)) AS k,
                   (epoch_us(ts) // 1000000 // 18000) * 18000 AS base FROM events)

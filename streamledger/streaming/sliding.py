@@ -35,3 +35,27 @@ def sliding_metrics(
     if ntz and df.isStreaming:
         start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
     return out.select(start.alias("window_start"), end.alias("window_end"), *[c for c in out.columns if c != "__w"])
+
+
+def sliding_to_table(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    ts: str = "ts",
+    keys: Sequence[str] = (),
+    window: str = "12 seconds",
+    slide: str = "5 seconds",
+    watermark: str | None = None,
+    available_now: bool = True,
+):
+    """Run ``sliding_metrics`` on a stream in complete mode; each micro-batch overwrites
+    ``path`` with the full current result (file sinks only append, so ``foreachBatch``
+    does the overwrite). State is one row per (window, key)."""
+    agg = sliding_metrics(stream, ts, keys, window, slide, watermark)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
