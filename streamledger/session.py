@@ -45,17 +45,19 @@ def build_session(
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``; set one only where unset."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         try:
             root = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # not a session conf
             root = None
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="streamledger-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)  # so Dataset.checkpoint() writes to the same shared folder
     return root.rstrip("/")
 
 

@@ -104,7 +104,8 @@ def ensure_table(spark: SparkSession, target: Target, schema: T.StructType, recr
         drop_table(spark, target)
     if not S.path_exists(spark, f"{target.location}/_schema.json"):
         _write_text(spark, f"{target.location}/_schema.json", to_avro_json(schema, name=target.table))
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{target.database}`")
+    db_location = target.location.rsplit("/", 1)[0]  # warehouse/db, beside the table
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{target.database}` LOCATION '{db_location}'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{target.database}`.`{target.table}` ({_catalog_ddl(schema)}) "
         f"USING parquet PARTITIONED BY (batch_id) LOCATION '{target.data_path}'"
@@ -125,7 +126,9 @@ def table_schema(spark: SparkSession, target: Target) -> str:
 
 def table_exists(spark: SparkSession, database: str, table: str) -> bool:
     """Exact match on database and table."""
-    return bool(spark.catalog.tableExists(table, database)) if spark.catalog.databaseExists(database) else False
+    if not spark.catalog.databaseExists(database):
+        return False
+    return bool(spark.catalog.tableExists(f"`{database}`.`{table}`"))
 
 
 def _batch_ids(df: DataFrame) -> DataFrame:
