@@ -16,7 +16,7 @@ wire AS (
 ok AS (SELECT *, CAST(row_number() OVER (ORDER BY part, off) AS BIGINT) AS lsn FROM wire WHERE verdict = 'ok'),
 commits AS (SELECT part, max(off) // 2 AS upto FROM wire GROUP BY part),
 covered AS (SELECT o.* FROM ok o JOIN commits c ON o.part = c.part AND o.off <= c.upto),
-batches AS (SELECT event_id % 3 AS task_id, event_id // 500 AS batch_id, count(*) AS rows, max(lsn) AS max_lsn
+batches AS (SELECT CAST(event_id % 3 AS INTEGER) AS task_id, event_id // 500 AS batch_id, count(*) AS rows, max(lsn) AS max_lsn
             FROM ok GROUP BY 1, 2),
 stats AS (SELECT task_id, batch_id, rows,
          CAST(sum(rows) OVER (PARTITION BY task_id ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_completed,
@@ -59,7 +59,7 @@ FROM events""",
     "index_pruned": _q("SELECT count(*) AS pruned FROM covered WHERE lsn <= (SELECT max(lsn) FROM covered)"),
     "batch_stats": _q("SELECT task_id, batch_id, rows, total_completed, last_lsn FROM stats"),
     "log_metrics": _q(
-        "SELECT CAST(task_id AS VARCHAR) AS task_id, rows AS processed, total_completed, rows * 0.25 AS elapsed_ms, "
+        "SELECT CAST(task_id AS VARCHAR) AS task_id, rows AS processed, total_completed, CAST(rows * 0.25 AS DOUBLE) AS elapsed_ms, "
         "round(rows / greatest(0.001, rows * 0.25 / 1000.0), 2) AS rps, last_lsn FROM stats"
     ),
     "overall_progress": _q(

@@ -11,6 +11,9 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 9)
@@ -46,4 +49,6 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    assert {n: TYPE_MAP.get(t, t) for n, t in df.dtypes} == duck_types
     assert _sorted_rows(df.columns, got) == _sorted_rows(ocols, res.fetchall())
