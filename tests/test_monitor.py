@@ -80,3 +80,15 @@ def test_scalars(spark):
     assert target_total(10, 60) == 600 and target_total(10, 60, True) == 0 and target_total(0, 5) == 5
     uris = spark.createDataFrame([("s3://w",), ("s3://w/",), ("s3://w/db/t",)], "loc string").select(table_uri("loc", F.lit("db"), F.lit("t")).alias("u"))
     assert [r.u for r in uris.collect()] == ["s3://w/db/t"] * 3
+
+
+def test_sliding_flush_metrics_with_extra_aggregate(spark):
+    from streamledger.streaming.sliding import sliding_metrics
+
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    rows = [(t0 + dt.timedelta(seconds=s), ms) for s, ms in [(1, 2.0), (6, 4.0), (11, 6.0), (13, 8.0)]]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, elapsed_ms double")
+    out = sliding_metrics(df, window="12 seconds", slide="5 seconds", aggs=[F.avg("elapsed_ms").alias("avg_ms")])
+    got = {(r.window_start.second if r.window_start.minute == 0 else r.window_start.second - 60): (r.n, r.avg_ms) for r in out.collect()}
+    # windows [-10,2) [-5,7) [0,12) [5,17) [10,22)
+    assert got == {-10: (1, 2.0), -5: (2, 3.0), 0: (3, 4.0), 5: (3, 6.0), 10: (2, 7.0)}

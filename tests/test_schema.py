@@ -57,3 +57,22 @@ def test_rejected_specs(spec):
 def test_codec_types_accept_long_float_double():
     s = schema_from_spec('{"type":"record","fields":[{"name":"a","type":"long"},{"name":"b","type":"float"},{"name":"c","type":"double"}]}', codec_types=True)
     assert [type(f.dataType) for f in s.fields] == [T.LongType, T.FloatType, T.DoubleType]
+
+
+def test_generator_options_from_connector_config():
+    from streamledger.sources.config import generator_options
+
+    cfg = {
+        "name": "src",
+        "config": {
+            "task.messages.per.second": "60",
+            "message.size.bytes": "0",
+            "task.max.duration.seconds": "10",
+            "record.schema.json": '[{"name":"a","data_type":"int"}]',
+        },
+    }
+    o = generator_options(cfg)
+    assert (o["rows_per_second"], o["string_bytes"], o["max_seconds"], o["run_indefinitely"], o["topic"]) == (60, 1, 10, False, "source-1")
+    assert o["schema"].names == ["a"]
+    with pytest.raises(SchemaSpecError):
+        generator_options({"task.messages.per.second": "1"})

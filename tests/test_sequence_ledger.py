@@ -56,3 +56,26 @@ def test_batch_stats_running(spark):
     b = spark.createDataFrame([(0, 0, 5, 7), (0, 1, 3, 4), (0, 2, 2, 9), (1, 0, 1, 1)], "task_id int, batch_id long, rows long, max_lsn long")
     got = {(r.task_id, r.batch_id): (r.total_completed, r.last_lsn) for r in LG.batch_stats(b).collect()}
     assert got == {(0, 0): (5, 7), (0, 1): (8, 7), (0, 2): (10, 9), (1, 0): (1, 1)}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.dictionaries(
+        st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 3)),
+        st.sets(st.integers(0, 500), min_size=1, max_size=40),
+        min_size=1,
+        max_size=5,
+    ),
+    st.integers(1, 64),
+    st.integers(-5, 5),
+)
+def test_assign_lsn_property(spark, offsets_by_key, width, base):
+    rows = [(t, p, o) for (t, p), offs in offsets_by_key.items() for o in offs]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint")
+    got = assign_lsn(df, base=base, bucket_width=width).collect()
+    expected = {r: base + i + 1 for i, r in enumerate(sorted(rows))}
+    assert {(r.topic, r.partition, r.offset): r._lsn for r in got} == expected
