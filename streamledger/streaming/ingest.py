@@ -18,12 +18,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql import Window
+
 from .. import session as S
 from ..functions import frame
+from ..functions.scalar import throughput
 from ..operators.decode import SCHEMA_ID, VERDICT, decode_payload, require_ok
+from ..operators.ledger import batch_stats
+from ..operators.monitor import format_batch_lines, format_flush_lines
 from ..operators.sequence import assign_lsn
 from ..operators.verify import reconcile_content
 from ..sinks.table import Target, read_ledger
+from ..sources.logs import format_log_line, utc_wall_clock
 
 STRICT, PERMISSIVE = "strict", "permissive"
 
@@ -35,8 +41,16 @@ def lsn_base(spark: SparkSession, target: Target, batch_id: int) -> int:
     return int(top or 0)
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, target: Target, schema: T.StructType, mode: str = STRICT) -> None:
-    """Process one micro-batch (also usable on a static DataFrame)."""
+def ingest_batch(
+    batch: DataFrame,
+    batch_id: int,
+    target: Target,
+    schema: T.StructType,
+    mode: str = STRICT,
+    metrics_path: str | None = None,
+) -> None:
+    """Process one micro-batch (also usable on a static DataFrame). With ``metrics_path``
+    the batch's metric lines are written there too (see ``write_metric_lines``)."""
     spark = batch.sparkSession
     started = time.monotonic()
     base = lsn_base(spark, target, batch_id)
@@ -66,7 +80,39 @@ def ingest_batch(batch: DataFrame, batch_id: int, target: Target, schema: T.Stru
             bad.write.mode("overwrite").parquet(target.batch_path("quarantine", batch_id))
     finally:
         decoded.unpersist()
-    write_ledger(spark, target, batch_id, time.monotonic() - started, mode == PERMISSIVE)
+    batch_s = time.monotonic() - started
+    write_ledger(spark, target, batch_id, batch_s, mode == PERMISSIVE)
+    if metrics_path:
+        write_metric_lines(spark, target, batch_id, metrics_path, batch_s, time.monotonic() - started - batch_s)
+
+
+def write_metric_lines(
+    spark: SparkSession, target: Target, batch_id: int, path: str, batch_s: float, flush_s: float
+) -> None:
+    """The sink's two log lines per (topic, partition) of batch N, as text under
+    ``path/batch_id=N`` (overwritten on replay): a batch line with rows, running total and
+    running max LSN (W1 over the ledger, one row per batch) and a flush line with the
+    durable LSN and the next offset to commit. Each line starts with the UTC instant."""
+    led = read_ledger(spark, target).where(F.col("batch_id") <= F.lit(int(batch_id)))
+    task = F.concat_ws("-", F.col("topic"), F.col("partition").cast("string"))
+    stats = batch_stats(
+        led.select(task.alias("task_id"), "batch_id", "rows", "max_lsn", "max_offset"), task="task_id"
+    ).where(F.col("batch_id") == F.lit(int(batch_id)))
+    durable = F.max("last_lsn").over(Window.partitionBy(F.lit(0)))  # one row per partition: small
+    stats = stats.withColumns(
+        {
+            "elapsed_ms": F.lit(round(batch_s * 1000.0, 3)),
+            "rps": throughput(F.col("rows"), F.lit(max(batch_s, 0.0))),
+            "flushed_lsn": durable,
+            "pruned_entries": F.col("rows"),
+            "offsets": F.concat(F.col("task_id"), F.lit("="), (F.col("max_offset") + 1).cast("string")),
+        }
+    )
+    at = utc_wall_clock(F.current_timestamp())
+    batch_lines = format_batch_lines(stats).select(format_log_line(at, F.col("line")).alias("value"))
+    flush = stats.withColumn("elapsed_ms", F.lit(round(flush_s * 1000.0, 3)))
+    flush_lines = format_flush_lines(flush).select(format_log_line(at, F.col("line")).alias("value"))
+    batch_lines.unionByName(flush_lines).coalesce(1).write.mode("overwrite").text(f"{path}/batch_id={int(batch_id)}")
 
 
 def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: float, with_quarantine: bool) -> None:
@@ -112,6 +158,7 @@ def ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
+    metrics_path: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest query. Refuses a fresh checkpoint on a table whose ledger
     already holds batches (batch ids would restart at 0 and overwrite them)."""
@@ -120,7 +167,7 @@ def ingest(
         raise RuntimeError(f"{target.name} already has ledger batches; reuse its checkpoint")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, target, schema, mode)
+        ingest_batch(batch, batch_id, target, schema, mode, metrics_path)
 
     writer = wire_stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if query_name:

@@ -15,6 +15,7 @@ def test_integration_run_sample_config(spark):
     r = integration_run(spark, SAMPLE_RECORD_SCHEMA, rows_per_second=10, seconds=60, string_bytes=200, files_per_batch=2, drop_at_end=True).first()
     assert (r.expected_rows, r.overall_rows, r.highest_lsn, r.durable_lsn, r.snapshot_rows) == (600, 600, 600, 600, 600)
     assert r.progress_pct == 100 and r.counts_match and r.contents_match and r.batches == 2
+    assert r.flush_count == 4  # one flush line per (batch, partition): each batch holds 2 of the 4 partitions
 
 
 def test_generated_stream_published_and_ingested(spark):
