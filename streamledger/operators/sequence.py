@@ -59,6 +59,49 @@ def dense_number(
     return numbered.drop(bkt, "__seq_before")
 
 
+# Partition summaries are collected for the range check: one row per input partition.
+MAX_SUMMARY_PARTITIONS = 100_000
+_ROW_BITS = 33  # monotonically_increasing_id: partition id above, row index in the low 33 bits
+
+
+def number_in_place(
+    df: DataFrame, keys: Sequence[str], order: str, out: str, base: int = 0
+) -> DataFrame | None:
+    """Dense numbers without a shuffle when input partitions hold disjoint key ranges.
+
+    Kafka input partitions are offset ranges of one topic partition, so after a local
+    sort each partition's rows are consecutive in (keys, order). One summary row per
+    partition (count, first and last key) is checked for overlap; if the ranges are
+    disjoint, a row's number is the count of rows in earlier ranges plus its index in its
+    own partition. Returns ``None`` when ranges overlap (then a shuffle is needed). The
+    input is read twice and must be reproducible (a persisted or re-readable batch).
+    """
+    cols = [*keys, order]
+    local = df.sortWithinPartitions(*cols).withColumn("__rid", F.monotonically_increasing_id())
+    pid = F.shiftright(F.col("__rid"), _ROW_BITS)
+    summary = local.groupBy(pid.alias("__pid")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*cols)).alias("lo"), F.max(F.struct(*cols)).alias("hi")
+    )
+    parts = summary.limit(MAX_SUMMARY_PARTITIONS + 1).collect()
+    if len(parts) > MAX_SUMMARY_PARTITIONS:
+        return None
+    parts.sort(key=lambda r: tuple(r.lo))
+    for a, b in zip(parts, parts[1:]):
+        if not tuple(a.hi) < tuple(b.lo):
+            return None
+    starts, before = [], 0
+    for r in parts:
+        starts.append((int(r["__pid"]), before))
+        before += int(r.n)
+    spark = df.sparkSession
+    starts_df = spark.createDataFrame(starts or [(-1, 0)], "__pid BIGINT, __before BIGINT")
+    index = F.col("__rid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    numbered = local.join(F.broadcast(starts_df), pid == F.col("__pid")).withColumn(
+        out, (F.col("__before") + index + F.lit(int(base) + 1)).cast("long")
+    )
+    return numbered.drop("__rid", "__pid", "__before")
+
+
 def assign_lsn(
     df: DataFrame,
     base=0,
@@ -66,8 +109,16 @@ def assign_lsn(
     order: str = "offset",
     out: str = "_lsn",
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    in_place: bool = True,
 ) -> DataFrame:
-    """LSNs base+1, base+2, ... in (topic, partition, offset) order, dense."""
+    """LSNs base+1, base+2, ... in (topic, partition, offset) order, dense.
+
+    Without a shuffle when the input partitions are disjoint ranges (Kafka batches),
+    else by the bucketed prefix sums of ``dense_number`` (one shuffle of the batch)."""
+    if in_place and isinstance(base, int):
+        numbered = number_in_place(df, keys, order, out, base)
+        if numbered is not None:
+            return numbered
     return dense_number(df, keys, order, out, per_key=False, start=1, base=base, bucket_width=bucket_width)
 
 

@@ -79,3 +79,21 @@ def test_assign_lsn_property(spark, offsets_by_key, width, base):
     got = assign_lsn(df, base=base, bucket_width=width).collect()
     expected = {r: base + i + 1 for i, r in enumerate(sorted(rows))}
     assert {(r.topic, r.partition, r.offset): r._lsn for r in got} == expected
+
+
+def test_number_in_place_disjoint_and_overlapping(spark):
+    from streamledger.operators.sequence import dense_number, number_in_place
+
+    rows = [("t", p, o) for p in range(3) for o in range(0, 200, 2)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint")
+    # one Kafka partition per input partition, in offset order: numbered in place
+    kafka_like = df.repartitionByRange(6, "topic", "partition", "offset")
+    got = number_in_place(kafka_like, ["topic", "partition"], "offset", "_lsn", base=10)
+    assert got is not None
+    exp = dense_number(df, ["topic", "partition"], "offset", "_lsn", per_key=False, base=10)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    # interleaved partitions overlap: no in-place numbering, assign_lsn falls back
+    mixed = df.repartition(4)
+    assert number_in_place(mixed, ["topic", "partition"], "offset", "_lsn") is None
+    fallback = {tuple(r[:3]): r[3] for r in assign_lsn(mixed, base=10).collect()}
+    assert fallback == {tuple(r[:3]): r[3] for r in exp.collect()}
