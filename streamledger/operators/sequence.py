@@ -65,41 +65,63 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition id above, row index in
 
 
 def number_in_place(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, base: int = 0
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    out: str,
+    base: int = 0,
+    per_key: bool = False,
+    start: int = 1,
 ) -> DataFrame | None:
     """Dense numbers without a shuffle when input partitions hold disjoint key ranges.
 
-    Kafka input partitions are offset ranges of one topic partition, so after a local
-    sort each partition's rows are consecutive in (keys, order). One summary row per
-    partition (count, first and last key) is checked for overlap; if the ranges are
-    disjoint, a row's number is the count of rows in earlier ranges plus its index in its
-    own partition. Returns ``None`` when ranges overlap (then a shuffle is needed). The
-    input is read twice and must be reproducible (a persisted or re-readable batch).
+    Kafka input partitions are offset ranges of one topic partition (and a
+    ``repartitionByRange`` output is range-disjoint too), so after a local sort each
+    partition's rows are consecutive in (keys, order). One summary row per (partition,
+    key) (count, first and last position) is checked for overlap; if the partition ranges
+    are disjoint, a row's number is the count of rows before its partition's range (all
+    keys, or its own key with ``per_key``) plus its index in that range (rows of a group
+    are consecutive in their partition, so the index is the row id minus the group's
+    first row id). Summaries are one row per (partition, key). Returns ``None``
+    when ranges overlap (then a shuffle is needed).
+
+    The input is read twice (summary, then numbering) and must come back with the same
+    partitions both times: a persisted or checkpointed frame, or a file or Kafka read.
+    Not a fresh ``repartitionByRange``: its bounds are sampled again for each job.
     """
+    keys = list(keys)
     cols = [*keys, order]
     local = df.sortWithinPartitions(*cols).withColumn("__rid", F.monotonically_increasing_id())
     pid = F.shiftright(F.col("__rid"), _ROW_BITS)
-    summary = local.groupBy(pid.alias("__pid")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*cols)).alias("lo"), F.max(F.struct(*cols)).alias("hi")
+    summary = local.groupBy(pid.alias("__pid"), *keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.min("__rid").alias("__first"),
+        F.min(F.struct(*cols)).alias("__lo"),
+        F.max(F.struct(*cols)).alias("__hi"),
     )
     parts = summary.limit(MAX_SUMMARY_PARTITIONS + 1).collect()
     if len(parts) > MAX_SUMMARY_PARTITIONS:
         return None
-    parts.sort(key=lambda r: tuple(r.lo))
-    for a, b in zip(parts, parts[1:]):
-        if not tuple(a.hi) < tuple(b.lo):
+    parts.sort(key=lambda r: tuple(r["__lo"]))
+    for a, b in zip(parts, parts[1:]):  # groups must form one increasing sequence of ranges
+        if not tuple(a["__hi"]) < tuple(b["__lo"]):
             return None
-    starts, before = [], 0
+    totals: dict = {}
+    starts = []
     for r in parts:
-        starts.append((int(r["__pid"]), before))
-        before += int(r.n)
+        k = tuple(r[c] for c in keys) if per_key else ()
+        before = totals.get(k, 0)
+        starts.append((int(r["__pid"]), *[r[c] for c in keys], int(r["__first"]), before))
+        totals[k] = before + int(r["__n"])
     spark = df.sparkSession
-    starts_df = spark.createDataFrame(starts or [(-1, 0)], "__pid BIGINT, __before BIGINT")
-    index = F.col("__rid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    numbered = local.join(F.broadcast(starts_df), pid == F.col("__pid")).withColumn(
-        out, (F.col("__before") + index + F.lit(int(base) + 1)).cast("long")
+    key_types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
+    starts_df = spark.createDataFrame(starts, f"__pid BIGINT, {key_types}, __first BIGINT, __before BIGINT")
+    cond = [pid == starts_df["__pid"]] + [local[c] == starts_df[c] for c in keys]
+    numbered = local.join(F.broadcast(starts_df), cond).select(
+        *[local[c] for c in local.columns],
+        (starts_df["__before"] + (local["__rid"] - starts_df["__first"]) + F.lit(int(base) + start)).cast("long").alias(out),
     )
-    return numbered.drop("__rid", "__pid", "__before")
+    return numbered.drop("__rid")
 
 
 def assign_lsn(

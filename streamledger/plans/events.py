@@ -348,10 +348,12 @@ def _wire_dir(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, "wire")
     if key not in _RUNS:
         path = S.scratch_path(spark, "wire")
-        # Laid out like a broker log: each file a contiguous offset range of one topic
-        # partition, in offset order (range partitioning splits a hot partition).
         w = events_wire(table(spark, sf_dir, "events"))
-        w = w.repartitionByRange("topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
+        # Kept like a broker log: each file a contiguous offset range in offset order (one
+        # range per core, so consumers read in parallel; the range shuffle runs inside this
+        # single write job). Consumers can then number records in place.
+        n = spark.sparkContext.defaultParallelism
+        w = w.repartitionByRange(n, "topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
         w.write.mode("overwrite").parquet(path)
         _RUNS[key] = {"path": path}
     return _RUNS[key]["path"]

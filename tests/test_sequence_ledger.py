@@ -87,13 +87,26 @@ def test_number_in_place_disjoint_and_overlapping(spark):
     rows = [("t", p, o) for p in range(3) for o in range(0, 200, 2)]
     df = spark.createDataFrame(rows, "topic string, partition int, offset bigint")
     # one Kafka partition per input partition, in offset order: numbered in place
-    kafka_like = df.repartitionByRange(6, "topic", "partition", "offset")
+    # (checkpointed: the in-place numbering needs input that reads back identically)
+    kafka_like = df.repartitionByRange(6, "topic", "partition", "offset").checkpoint()
     got = number_in_place(kafka_like, ["topic", "partition"], "offset", "_lsn", base=10)
     assert got is not None
     exp = dense_number(df, ["topic", "partition"], "offset", "_lsn", per_key=False, base=10)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
     # interleaved partitions overlap: no in-place numbering, assign_lsn falls back
-    mixed = df.repartition(4)
+    mixed = df.repartition(4).checkpoint()
     assert number_in_place(mixed, ["topic", "partition"], "offset", "_lsn") is None
     fallback = {tuple(r[:3]): r[3] for r in assign_lsn(mixed, base=10).collect()}
     assert fallback == {tuple(r[:3]): r[3] for r in exp.collect()}
+
+
+def test_number_in_place_per_key_offsets(spark):
+    from streamledger.operators.sequence import number_in_place
+
+    rows = [(p, e) for p in range(3) for e in range(p, 600, 7)]
+    df = spark.createDataFrame(rows, "partition int, event_id long").repartitionByRange(5, "partition", "event_id").checkpoint()
+    got = number_in_place(df, ["partition"], "event_id", "offset", per_key=True, start=0)
+    assert got is not None
+    for p in range(3):
+        offs = [r.offset for r in got.where(f"partition = {p}").orderBy("event_id").collect()]
+        assert offs == list(range(len(offs)))
