@@ -16,7 +16,7 @@ TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string":
 
 def _norm(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9)
+        return None if math.isnan(v) else v
     return v.isoformat() if hasattr(v, "isoformat") else v
 
 
