@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sequence import running_totals
+
 PART_KEYS = ("topic", "partition")
 # Commit tables hold one row per Kafka partition; broadcast them only under this count.
 MAX_BROADCAST_COMMITS = 100_000
@@ -108,13 +110,17 @@ def batch_stats(
 ) -> DataFrame:
     """Per task and batch, the running total of rows and the running max LSN (it
     never falls: each batch is seeded with the previous maximum). One input row per
-    batch, so the per-task window holds ledger rows, not data rows."""
-    w = Window.partitionBy(task).orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
-    return batches.select(
+    batch; the running values come from bucketed prefix sums, so a task with a long
+    history is not ranked in one task."""
+    extra = [c for c in batches.columns if c not in (task, batch, rows, max_lsn)]
+    running = running_totals(
+        batches, [task], batch, sums={"total_completed": rows}, maxes={"last_lsn": max_lsn}
+    )
+    return running.select(
         task,
         batch,
         F.col(rows).cast("long").alias("rows"),
-        F.sum(rows).over(w).cast("long").alias("total_completed"),
-        F.max(max_lsn).over(w).alias("last_lsn"),
-        *[c for c in batches.columns if c not in (task, batch, rows, max_lsn)],
+        F.col("total_completed").cast("long").alias("total_completed"),
+        F.col("last_lsn"),
+        *extra,
     )

@@ -144,6 +144,47 @@ def assign_lsn(
     return dense_number(df, keys, order, out, per_key=False, start=1, base=base, bucket_width=bucket_width)
 
 
+def running_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    sums: dict[str, str] | None = None,
+    maxes: dict[str, str] | None = None,
+    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+) -> DataFrame:
+    """Running sums and maxima per key in ``order`` (inclusive of the current row), without
+    one task per key: rows are bucketed by ``order // bucket_width``; per-bucket sums and
+    maxima (a partial aggregate) are prefixed over the buckets of a key, and the window
+    runs inside a bucket only. ``sums``/``maxes`` map output column -> input column;
+    ``order`` must be integral and unique within a key."""
+    keys = list(keys)
+    sums, maxes = dict(sums or {}), dict(maxes or {})
+    bkt = "__rt_bucket"
+    tagged = df.withColumn(bkt, F.floor(F.col(order) / F.lit(bucket_width)).cast("long"))
+    per_bucket = tagged.groupBy(*keys, bkt).agg(
+        *[F.sum(src).alias(f"__s_{out}") for out, src in sums.items()],
+        *[F.max(src).alias(f"__m_{out}") for out, src in maxes.items()],
+    )
+    before = Window.partitionBy(*keys).orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_bucket.select(
+        *keys,
+        bkt,
+        *[F.coalesce(F.sum(f"__s_{out}").over(before), F.lit(0)).alias(f"__sb_{out}") for out in sums],
+        *[F.max(f"__m_{out}").over(before).alias(f"__mb_{out}") for out in maxes],
+    )
+    inside = Window.partitionBy(*keys, bkt).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = tagged.select(
+        "*",
+        *[F.sum(src).over(inside).alias(f"__si_{out}") for out, src in sums.items()],
+        *[F.max(src).over(inside).alias(f"__mi_{out}") for out, src in maxes.items()],
+    )
+    joined = ranked.join(starts, [*keys, bkt])
+    outs = {out: F.col(f"__sb_{out}") + F.col(f"__si_{out}") for out in sums}
+    outs.update({out: F.greatest(F.col(f"__mb_{out}"), F.col(f"__mi_{out}")) for out in maxes})
+    helpers = [c for c in joined.columns if c.startswith("__") and c != bkt] + [bkt]
+    return joined.withColumns(outs).drop(*helpers)
+
+
 def upsert_index(
     index: DataFrame,
     keys: Sequence[str] = ("topic", "partition", "offset"),

@@ -16,16 +16,14 @@ from pyspark.sql import functions as F
 from .. import session as S
 from ..functions import frame
 from ..functions.avro import encode_record
-from ..functions.scalar import qualified_name, table_uri, throughput
+from ..functions.scalar import progress_pct, qualified_name, table_uri, throughput
 from ..operators import ledger as LG
 from ..operators import monitor as M
 from ..operators.decode import SCHEMA_ID, VERDICT, check_frames, decode_payload
-from ..operators.sequence import assign_lsn, dense_number
+from ..operators.sequence import assign_lsn, dense_number, upsert_index
 from ..operators.verify import reconcile, reconcile_content
 from ..schema import SAMPLE_RECORD_SCHEMA, schema_from_spec
 from ..sinks import table as TB
-from ..functions.scalar import progress_pct
-from ..operators.sequence import upsert_index
 from ..sources.generate import generate_from
 from ..sources.logs import format_log_line, read_metric_log, utc_wall_clock
 from ..sources.wire import read_wire

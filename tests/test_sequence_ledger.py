@@ -110,3 +110,14 @@ def test_number_in_place_per_key_offsets(spark):
     for p in range(3):
         offs = [r.offset for r in got.where(f"partition = {p}").orderBy("event_id").collect()]
         assert offs == list(range(len(offs)))
+
+
+def test_running_totals_across_buckets(spark):
+    from streamledger.operators.sequence import running_totals
+
+    rows = [(k, b, (b * 7 + k) % 5, (b * 13 + k) % 11) for k in range(2) for b in range(0, 60, 2)]
+    df = spark.createDataFrame(rows, "k int, b long, n long, m long")
+    got = running_totals(df, ["k"], "b", sums={"cum": "n"}, maxes={"top": "m"}, bucket_width=8).collect()
+    for r in got:
+        prior = [x for x in rows if x[0] == r.k and x[1] <= r.b]
+        assert r.cum == sum(x[2] for x in prior) and r.top == max(x[3] for x in prior)
