@@ -367,19 +367,29 @@ def _run_ingest(spark: SparkSession, sf_dir: str, replay: bool = False) -> TB.Ta
     target = TB.target_for(spark, "ingest", "events_" + ("replay" if replay else "sink"), S.scratch_path(spark, "warehouse"))
     TB.ensure_table(spark, target, EVENT_SCHEMA, recreate=True)
     checkpoint = S.scratch_path(spark, "checkpoint")
+    metrics = f"{target.location}/_sink_log"
     runs = 2 if replay else 1
     for i in range(runs):
         if i:
             commits = sorted(int(n) for n in S.list_names(spark, f"{checkpoint}/commits") if n.isdigit())
             S.delete_path(spark, f"{checkpoint}/commits/{commits[-1]}")
-        q = ingest(read_wire(spark, path=wire_dir), target, EVENT_SCHEMA, checkpoint, mode=PERMISSIVE)
+        q = ingest(read_wire(spark, path=wire_dir), target, EVENT_SCHEMA, checkpoint, mode=PERMISSIVE, metrics_path=metrics)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    _RUNS[key] = {"target": target}
+    _RUNS[key] = {"target": target, "metrics": metrics}
     return target
 
 
+def ingest_log_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + P11 + A3 on the ingest's own metric log: the last batch line per task (one
+    task per topic partition) gives its total and highest LSN."""
+    _run_ingest(spark, sf_dir)
+    metrics = _RUNS[(spark.sparkContext.applicationId, sf_dir, "ingest")]["metrics"]
+    parsed = M.parse_batch_lines(read_metric_log(spark, metrics))
+    return M.latest_per_task(parsed).select("task_id", "total_completed", "last_lsn")
+
+
 _TABLE_COLS = ["event_type", "event_id", "flag", "_topic", "_partition", "_offset", "_schema_id", "_lsn", "batch_id"]
 
 

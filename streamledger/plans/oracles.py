@@ -75,6 +75,10 @@ FROM events""",
         "CASE WHEN off <= (SELECT upto FROM commits c WHERE c.part = ok.part) THEN lsn + (SELECT count(*) FROM ok) ELSE lsn END AS lsn, "
         "CAST(CASE WHEN off <= (SELECT upto FROM commits c WHERE c.part = ok.part) THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM ok"
     ),
+    "ingest_log_progress": _q(
+        "SELECT 'events-' || CAST(part AS VARCHAR) AS task_id, count(*) AS total_completed, max(lsn) AS last_lsn "
+        "FROM ok GROUP BY part"
+    ),
     "ledger_stats": _q(
         'SELECT part AS "partition", CAST(0 AS BIGINT) AS batch_id, count(*) AS rows, count(*) AS total_completed, '
         "max(lsn) AS last_lsn FROM ok GROUP BY part"
