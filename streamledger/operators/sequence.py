@@ -131,13 +131,15 @@ def assign_lsn(
     order: str = "offset",
     out: str = "_lsn",
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
-    in_place: bool = True,
+    reproducible: bool = False,
 ) -> DataFrame:
     """LSNs base+1, base+2, ... in (topic, partition, offset) order, dense.
 
-    Without a shuffle when the input partitions are disjoint ranges (Kafka batches),
-    else by the bucketed prefix sums of ``dense_number`` (one shuffle of the batch)."""
-    if in_place and isinstance(base, int):
+    With ``reproducible=True`` (the input reads back with the same partitions: persisted,
+    checkpointed, a file or Kafka read) and input partitions that are disjoint ranges
+    (Kafka batches), without a shuffle; otherwise by the bucketed prefix sums of
+    ``dense_number`` (one shuffle of the batch)."""
+    if reproducible and isinstance(base, int):
         numbered = number_in_place(df, keys, order, out, base)
         if numbered is not None:
             return numbered

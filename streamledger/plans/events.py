@@ -140,7 +140,7 @@ def lsn_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared checkpoint folder), then count and number from the checkpointed rows."""
     S.checkpoint_root(spark)
     ok = decoded_ok(spark, sf_dir).select("topic", "partition", "offset").checkpoint(eager=True)
-    return assign_lsn(ok, base=0, out="lsn").select("partition", "offset", "lsn")
+    return assign_lsn(ok, base=0, out="lsn", reproducible=True).select("partition", "offset", "lsn")
 
 
 def commits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ between the data write and the ledger write is invisible and overwritten on repl
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from .. import session as S
 from ..functions.scalar import qualified_name, table_uri
+from ..operators.sequence import assign_lsn
 from ..schema import to_avro_json
 
 META_COLUMNS = ("_topic", "_partition", "_offset", "_schema_id", "_timestamp", "_lsn")
@@ -157,13 +159,77 @@ def read_table(spark: SparkSession, target: Target, committed_only: bool = True)
     return data.join(batches, "batch_id", "left_semi")
 
 
-def append_rows(df: DataFrame, target: Target, batch_id: int | None = None) -> None:
-    """K1: append a batch of decoded rows. With a ``batch_id`` the batch folder is
-    overwritten instead, which makes a replayed batch idempotent."""
+def next_batch_id(spark: SparkSession, target: Target) -> int:
+    top = read_ledger(spark, target).agg(F.max("batch_id")).first()[0]
+    return 0 if top is None else int(top) + 1
+
+
+def lsn_base(spark: SparkSession, target: Target, batch_id: int) -> int:
+    """Highest LSN of ledger batches before ``batch_id`` (0 for the first)."""
+    ledger = read_ledger(spark, target)
+    top = ledger.where(F.col("batch_id") < F.lit(int(batch_id))).agg(F.max("max_lsn")).first()[0]
+    return int(top or 0)
+
+
+def append_rows(
+    rows: DataFrame,
+    target: Target,
+    batch_id: int | None = None,
+    reproducible: bool = False,
+    started: float | None = None,
+) -> dict:
+    """K1: append decoded rows as batch ``batch_id`` (default: the next one). Returns the
+    batch id and the seconds spent writing rows and writing the ledger (the flush).
+
+    ``rows`` hold the record fields plus ``_topic, _partition, _offset`` (and optionally
+    ``_schema_id``, ``_timestamp``). LSNs continue from the ledger batches before this one
+    (W3); the batch folder is written in overwrite mode and the ledger rows last, so a
+    replay of the same batch id rewrites identical rows and LSNs. ``reproducible`` allows
+    in-place numbering (see ``assign_lsn``)."""
+    spark = rows.sparkSession
+    started = time.monotonic() if started is None else started
     if batch_id is None:
-        df.write.mode("append").parquet(target.data_path)
+        batch_id = next_batch_id(spark, target)
+    for c, t in (("_schema_id", "int"), ("_timestamp", "timestamp")):
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast(t))
+    base = lsn_base(spark, target, batch_id)
+    numbered = assign_lsn(rows, base=base, keys=("_topic", "_partition"), order="_offset", reproducible=reproducible)
+    numbered.write.mode("overwrite").parquet(target.batch_path("data", batch_id))
+    written = time.monotonic()
+    write_ledger(spark, target, batch_id, written - started)
+    return {"batch_id": batch_id, "write_s": written - started, "flush_s": time.monotonic() - written}
+
+
+def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: float) -> None:
+    """Ledger rows for batch N, computed from the files written for it (and the batch's
+    quarantine folder, if any). Written last: it makes the batch visible."""
+    written = spark.read.parquet(target.batch_path("data", batch_id))
+    led = written.groupBy(F.col("_topic").alias("topic"), F.col("_partition").alias("partition")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("_offset").alias("min_offset"),
+        F.max("_offset").alias("max_offset"),
+        F.min("_lsn").alias("min_lsn"),
+        F.max("_lsn").alias("max_lsn"),
+    )
+    if S.path_exists(spark, target.batch_path("quarantine", batch_id)):
+        q = spark.read.parquet(target.batch_path("quarantine", batch_id))
+        qc = q.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("quarantined"))
+        led = led.join(qc, ["topic", "partition"], "full")
     else:
-        df.write.mode("overwrite").parquet(target.batch_path("data", batch_id))
+        led = led.withColumn("quarantined", F.lit(0).cast("long"))
+    led = led.select(
+        "topic",
+        F.col("partition").cast("int"),
+        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+        "min_offset",
+        "max_offset",
+        "min_lsn",
+        "max_lsn",
+        F.coalesce("quarantined", F.lit(0)).cast("long").alias("quarantined"),
+        F.lit(round(seconds * 1000.0, 3)).alias("elapsed_ms"),
+    )
+    led.coalesce(1).write.mode("overwrite").parquet(target.batch_path("ledger", batch_id))
 
 
 def snapshot_at(spark: SparkSession, target: Target, lsn: int, path: str | None = None) -> DataFrame:

@@ -13,34 +13,24 @@ from __future__ import annotations
 import time
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pyspark.sql import Window
-
 from .. import session as S
 from ..functions import frame
 from ..functions.scalar import throughput
 from ..operators.decode import SCHEMA_ID, VERDICT, decode_payload, require_ok
 from ..operators.ledger import batch_stats
 from ..operators.monitor import format_batch_lines, format_flush_lines
-from ..operators.sequence import assign_lsn
 from ..operators.verify import reconcile_content
-from ..sinks.table import Target, read_ledger
+from ..sinks.table import Target, append_rows, read_ledger
 from ..sources.logs import format_log_line, utc_wall_clock
 
 STRICT, PERMISSIVE = "strict", "permissive"
 
 
-def lsn_base(spark: SparkSession, target: Target, batch_id: int) -> int:
-    """Highest LSN of ledger batches before ``batch_id`` (0 for the first)."""
-    ledger = read_ledger(spark, target)
-    top = ledger.where(F.col("batch_id") < F.lit(int(batch_id))).agg(F.max("max_lsn")).first()[0]
-    return int(top or 0)
-
-
 def ingest_batch(
     batch: DataFrame,
     batch_id: int,
@@ -53,7 +43,6 @@ def ingest_batch(
     the batch's metric lines are written there too (see ``write_metric_lines``)."""
     spark = batch.sparkSession
     started = time.monotonic()
-    base = lsn_base(spark, target, batch_id)
     decoded = decode_payload(batch, schema)
     if mode == STRICT:
         decoded = require_ok(decoded)
@@ -71,19 +60,18 @@ def ingest_batch(
             F.col(SCHEMA_ID).alias("_schema_id"),
             F.col("timestamp").alias("_timestamp"),
         )
-        numbered = assign_lsn(rows, base=base, keys=("_topic", "_partition"), order="_offset")
-        numbered.write.mode("overwrite").parquet(target.batch_path("data", batch_id))
         if mode == PERMISSIVE:
             bad = decoded.where(F.col(VERDICT) != F.lit(frame.OK)).select(
                 "key", "value", "topic", "partition", "offset", "timestamp", VERDICT
             )
             bad.write.mode("overwrite").parquet(target.batch_path("quarantine", batch_id))
+        # K1 + W3 + ledger; the persisted batch reads back identically, so LSNs may be
+        # numbered in place when the batch's partitions are disjoint offset ranges.
+        done = append_rows(rows, target, batch_id, reproducible=True, started=started)
     finally:
         decoded.unpersist()
-    batch_s = time.monotonic() - started
-    write_ledger(spark, target, batch_id, batch_s, mode == PERMISSIVE)
     if metrics_path:
-        write_metric_lines(spark, target, batch_id, metrics_path, batch_s, time.monotonic() - started - batch_s)
+        write_metric_lines(spark, target, batch_id, metrics_path, done["write_s"], done["flush_s"])
 
 
 def write_metric_lines(
@@ -115,36 +103,6 @@ def write_metric_lines(
     batch_lines.unionByName(flush_lines).coalesce(1).write.mode("overwrite").text(f"{path}/batch_id={int(batch_id)}")
 
 
-def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: float, with_quarantine: bool) -> None:
-    """Ledger rows for batch N, computed from the files written for it."""
-    written = spark.read.parquet(target.batch_path("data", batch_id))
-    led = written.groupBy(F.col("_topic").alias("topic"), F.col("_partition").alias("partition")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("_offset").alias("min_offset"),
-        F.max("_offset").alias("max_offset"),
-        F.min("_lsn").alias("min_lsn"),
-        F.max("_lsn").alias("max_lsn"),
-    )
-    if with_quarantine and S.path_exists(spark, target.batch_path("quarantine", batch_id)):
-        q = spark.read.parquet(target.batch_path("quarantine", batch_id))
-        qc = q.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("quarantined"))
-        led = led.join(qc, ["topic", "partition"], "full")
-    else:
-        led = led.withColumn("quarantined", F.lit(0).cast("long"))
-    led = led.select(
-        "topic",
-        F.col("partition").cast("int"),
-        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
-        "min_offset",
-        "max_offset",
-        "min_lsn",
-        "max_lsn",
-        F.coalesce("quarantined", F.lit(0)).cast("long").alias("quarantined"),
-        F.lit(round(seconds * 1000.0, 3)).alias("elapsed_ms"),
-    )
-    led.coalesce(1).write.mode("overwrite").parquet(target.batch_path("ledger", batch_id))
-
-
 def _checkpoint_is_new(spark: SparkSession, checkpoint: str) -> bool:
     return not S.list_names(spark, f"{checkpoint}/offsets")
 
