@@ -121,3 +121,19 @@ def test_running_totals_across_buckets(spark):
     for r in got:
         prior = [x for x in rows if x[0] == r.k and x[1] <= r.b]
         assert r.cum == sum(x[2] for x in prior) and r.top == max(x[3] for x in prior)
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30)), min_size=1, max_size=40, unique=True),
+    st.dictionaries(st.integers(0, 4), st.integers(-1, 30), max_size=5),
+    st.one_of(st.none(), st.integers(0, 60)),
+)
+def test_prune_property(spark, entries, uptos, flushed):
+    idx = spark.createDataFrame([("t", p, o, 2 * o + p) for p, o in entries], "topic string, partition int, offset bigint, lsn bigint")
+    com = spark.createDataFrame([("t", p, u) for p, u in uptos.items()] or [("x", 99, 0)], "topic string, partition int, upto bigint")
+    remaining, pruned = LG.prune_index(idx, com, flushed)
+    rem = {(r.partition, r.offset) for r in remaining.collect()}
+    gone = {(p, o) for p, o in entries if flushed is not None and p in uptos and o <= uptos[p] and 2 * o + p <= flushed}
+    assert rem == {(p, o) for p, o in entries} - gone
+    assert pruned.first().pruned == len(gone)
