@@ -204,29 +204,31 @@ def append_rows(
 def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: float) -> None:
     """Ledger rows for batch N, computed from the files written for it (and the batch's
     quarantine folder, if any). Written last: it makes the batch visible."""
-    written = spark.read.parquet(target.batch_path("data", batch_id))
-    led = written.groupBy(F.col("_topic").alias("topic"), F.col("_partition").alias("partition")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("_offset").alias("min_offset"),
-        F.max("_offset").alias("max_offset"),
-        F.min("_lsn").alias("min_lsn"),
-        F.max("_lsn").alias("max_lsn"),
+    written = spark.read.parquet(target.batch_path("data", batch_id)).select(
+        F.col("_topic").alias("topic"),
+        F.col("_partition").alias("partition"),
+        F.lit(1).alias("ok"),
+        F.lit(0).alias("bad"),
+        F.col("_offset").alias("offset"),
+        F.col("_lsn").alias("lsn"),
     )
     if S.path_exists(spark, target.batch_path("quarantine", batch_id)):
-        q = spark.read.parquet(target.batch_path("quarantine", batch_id))
-        qc = q.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("quarantined"))
-        led = led.join(qc, ["topic", "partition"], "full")
-    else:
-        led = led.withColumn("quarantined", F.lit(0).cast("long"))
+        bad = spark.read.parquet(target.batch_path("quarantine", batch_id)).select(
+            "topic", "partition", F.lit(0).alias("ok"), F.lit(1).alias("bad"),
+            F.lit(None).cast("long").alias("offset"), F.lit(None).cast("long").alias("lsn"),
+        )
+        written = written.unionByName(bad)
+    # one aggregate over good and quarantined rows of the batch (partial, map-side)
+    led = written.groupBy("topic", F.col("partition").cast("int").alias("partition")).agg(
+        F.sum("ok").cast("long").alias("rows"),
+        F.min("offset").alias("min_offset"),
+        F.max("offset").alias("max_offset"),
+        F.min("lsn").alias("min_lsn"),
+        F.max("lsn").alias("max_lsn"),
+        F.sum("bad").cast("long").alias("quarantined"),
+    )
     led = led.select(
-        "topic",
-        F.col("partition").cast("int"),
-        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
-        "min_offset",
-        "max_offset",
-        "min_lsn",
-        "max_lsn",
-        F.coalesce("quarantined", F.lit(0)).cast("long").alias("quarantined"),
+        "topic", "partition", "rows", "min_offset", "max_offset", "min_lsn", "max_lsn", "quarantined",
         F.lit(round(seconds * 1000.0, 3)).alias("elapsed_ms"),
     )
     led.coalesce(1).write.mode("overwrite").parquet(target.batch_path("ledger", batch_id))

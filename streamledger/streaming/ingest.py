@@ -22,7 +22,6 @@ from .. import session as S
 from ..functions import frame
 from ..functions.scalar import throughput
 from ..operators.decode import SCHEMA_ID, VERDICT, decode_payload, require_ok
-from ..operators.ledger import batch_stats
 from ..operators.monitor import format_batch_lines, format_flush_lines
 from ..operators.verify import reconcile_content
 from ..sinks.table import Target, append_rows, read_ledger
@@ -81,11 +80,21 @@ def write_metric_lines(
     ``path/batch_id=N`` (overwritten on replay): a batch line with rows, running total and
     running max LSN (W1 over the ledger, one row per batch) and a flush line with the
     durable LSN and the next offset to commit. Each line starts with the UTC instant."""
-    led = read_ledger(spark, target).where(F.col("batch_id") <= F.lit(int(batch_id)))
+    n = F.lit(int(batch_id))
+    led = read_ledger(spark, target).where(F.col("batch_id") <= n)
     task = F.concat_ws("-", F.col("topic"), F.col("partition").cast("string"))
-    stats = batch_stats(
-        led.select(task.alias("task_id"), "batch_id", "rows", "max_lsn", "max_offset"), task="task_id"
-    ).where(F.col("batch_id") == F.lit(int(batch_id)))
+    # Running values up to batch N are plain aggregates over ledger batches <= N: one
+    # aggregate over ledger rows (one per batch and partition), no per-task window.
+    stats = (
+        led.groupBy(task.alias("task_id"))
+        .agg(
+            F.sum(F.when(F.col("batch_id") == n, F.col("rows"))).alias("rows"),
+            F.sum("rows").alias("total_completed"),
+            F.max("max_lsn").alias("last_lsn"),
+            F.max(F.when(F.col("batch_id") == n, F.col("max_offset"))).alias("max_offset"),
+        )
+        .where(F.col("rows").isNotNull())
+    )
     durable = F.max("last_lsn").over(Window.partitionBy(F.lit(0)))  # one row per partition: small
     stats = stats.withColumns(
         {
