@@ -19,7 +19,7 @@ import json
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ from ..schema import to_avro_json
 META_COLUMNS = ("_topic", "_partition", "_offset", "_schema_id", "_timestamp", "_lsn")
 LEDGER_DDL = (
     "topic STRING, partition INT, rows BIGINT, min_offset BIGINT, max_offset BIGINT, "
-    "min_lsn BIGINT, max_lsn BIGINT, quarantined BIGINT, elapsed_ms DOUBLE"
+    "min_lsn BIGINT, max_lsn BIGINT, quarantined BIGINT, elapsed_ms DOUBLE, high_lsn BIGINT"
 )
 # Registry rows are schema versions: bounded by registrations, checked before broadcast.
 MAX_BROADCAST_ROWS = 100_000
@@ -165,9 +165,19 @@ def next_batch_id(spark: SparkSession, target: Target) -> int:
 
 
 def lsn_base(spark: SparkSession, target: Target, batch_id: int) -> int:
-    """Highest LSN of ledger batches before ``batch_id`` (0 for the first)."""
+    """Highest LSN of ledger batches before ``batch_id`` (0 for the first).
+
+    Batches commit in order, so batch N-1's ledger rows carry the high-water mark
+    (``high_lsn``): one small folder is read, not the whole ledger. The full ledger is
+    scanned only when that folder is absent (batch ids with gaps)."""
+    n = int(batch_id)
+    prev = target.batch_path("ledger", n - 1)
+    if n > 0 and S.path_exists(spark, prev):
+        top = spark.read.schema(LEDGER_DDL).parquet(prev).agg(F.max("high_lsn")).first()[0]
+        if top is not None:
+            return int(top)
     ledger = read_ledger(spark, target)
-    top = ledger.where(F.col("batch_id") < F.lit(int(batch_id))).agg(F.max("max_lsn")).first()[0]
+    top = ledger.where(F.col("batch_id") < F.lit(n)).agg(F.max(F.greatest("high_lsn", "max_lsn"))).first()[0]
     return int(top or 0)
 
 
@@ -197,13 +207,14 @@ def append_rows(
     numbered = assign_lsn(rows, base=base, keys=("_topic", "_partition"), order="_offset", reproducible=reproducible)
     numbered.write.mode("overwrite").parquet(target.batch_path("data", batch_id))
     written = time.monotonic()
-    write_ledger(spark, target, batch_id, written - started)
+    write_ledger(spark, target, batch_id, written - started, base)
     return {"batch_id": batch_id, "write_s": written - started, "flush_s": time.monotonic() - written}
 
 
-def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: float) -> None:
+def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: float, base: int = 0) -> None:
     """Ledger rows for batch N, computed from the files written for it (and the batch's
-    quarantine folder, if any). Written last: it makes the batch visible."""
+    quarantine folder, if any), each with the batch's high-water LSN (``base`` + good
+    rows). Written last: it makes the batch visible."""
     written = spark.read.parquet(target.batch_path("data", batch_id)).select(
         F.col("_topic").alias("topic"),
         F.col("_partition").alias("partition"),
@@ -227,9 +238,11 @@ def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: fl
         F.max("lsn").alias("max_lsn"),
         F.sum("bad").cast("long").alias("quarantined"),
     )
+    whole_batch = Window.partitionBy(F.lit(0))  # ledger rows of one batch: one per partition
     led = led.select(
         "topic", "partition", "rows", "min_offset", "max_offset", "min_lsn", "max_lsn", "quarantined",
         F.lit(round(seconds * 1000.0, 3)).alias("elapsed_ms"),
+        (F.lit(int(base)) + F.sum("rows").over(whole_batch)).cast("long").alias("high_lsn"),
     )
     led.coalesce(1).write.mode("overwrite").parquet(target.batch_path("ledger", batch_id))
 

@@ -94,3 +94,17 @@ def test_append_rows_batches_and_replay(spark):
     before = sorted(map(tuple, TB.read_table(spark, target).drop("_timestamp").collect()))
     TB.append_rows(rows, target, batch_id=0)
     assert sorted(map(tuple, TB.read_table(spark, target).drop("_timestamp").collect())) == before
+
+
+def test_lsn_base_reads_previous_batch_and_falls_back(spark):
+    target = TB.ensure_table(spark, TB.target_for(spark, "base", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    rows = spark.createDataFrame(
+        [("view", i, None, "events", 0, i) for i in range(7)],
+        "event_type string, event_id int, flag boolean, _topic string, _partition int, _offset long",
+    )
+    TB.append_rows(rows, target)
+    TB.append_rows(rows.withColumn("_offset", F.col("_offset") + 7), target)
+    assert TB.read_ledger(spark, target).agg(F.max("high_lsn")).first()[0] == 14
+    assert TB.lsn_base(spark, target, 2) == 14  # from batch 1's ledger folder only
+    assert TB.lsn_base(spark, target, 5) == 14  # gap: full ledger scan
+    assert TB.lsn_base(spark, target, 1) == 7 and TB.lsn_base(spark, target, 0) == 0
