@@ -106,6 +106,8 @@ def ensure_table(spark: SparkSession, target: Target, schema: T.StructType, recr
         drop_table(spark, target)
     if not S.path_exists(spark, f"{target.location}/_schema.json"):
         _write_text(spark, f"{target.location}/_schema.json", to_avro_json(schema, name=target.table))
+    fs, data_dir = S._fs_and_path(spark, target.data_path)
+    fs.mkdirs(data_dir)  # the catalog entry points here before the first batch lands
     db_location = target.location.rsplit("/", 1)[0]  # warehouse/db, beside the table
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{target.database}` LOCATION '{db_location}'")
     spark.sql(
