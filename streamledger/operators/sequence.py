@@ -102,6 +102,8 @@ def number_in_place(
     parts = summary.limit(MAX_SUMMARY_PARTITIONS + 1).collect()
     if len(parts) > MAX_SUMMARY_PARTITIONS:
         return None
+    if any(v is None for r in parts for v in (*r["__lo"], *r["__hi"])):
+        return None  # NULL keys or positions have no place in the order: use the shuffle path
     parts.sort(key=lambda r: tuple(r["__lo"]))
     for a, b in zip(parts, parts[1:]):  # groups must form one increasing sequence of ranges
         if not tuple(a["__hi"]) < tuple(b["__lo"]):

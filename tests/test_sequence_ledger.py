@@ -137,3 +137,11 @@ def test_prune_property(spark, entries, uptos, flushed):
     gone = {(p, o) for p, o in entries if flushed is not None and p in uptos and o <= uptos[p] and 2 * o + p <= flushed}
     assert rem == {(p, o) for p, o in entries} - gone
     assert pruned.first().pruned == len(gone)
+
+
+def test_number_in_place_null_keys_fall_back(spark):
+    from streamledger.operators.sequence import number_in_place
+
+    df = spark.createDataFrame([("t", None, 1), ("t", 0, 2)], "topic string, partition int, offset bigint").checkpoint()
+    assert number_in_place(df, ["topic", "partition"], "offset", "_lsn") is None
+    assert sorted(r._lsn for r in assign_lsn(df, reproducible=True).collect()) == [1, 2]
