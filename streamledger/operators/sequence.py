@@ -21,6 +21,27 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_WIDTH = 1 << 16
 
 
+def _surrogate_keys(df: DataFrame, cols: Sequence[str], prefix: str) -> tuple[DataFrame, list[str]]:
+    """Non-null stand-ins for possibly-NULL columns, in the same order with NULLs first:
+    per column a flag (false for NULL) and the value with NULL replaced by a typed zero.
+    Grouping, windows and equi-joins all use these plain columns, so rows with NULL keys
+    are kept and one hash partitioning serves the window and the join."""
+    out, names = {}, []
+    for i, c in enumerate(cols):
+        dtype = df.schema[c].dataType
+        zero = F.lit("1970-01-01") if dtype.typeName() in ("date", "timestamp", "timestamp_ntz") else F.lit(
+            "" if dtype.typeName() == "string" else 0
+        )
+        if dtype.typeName() == "binary":
+            zero = F.lit(b"")
+        if dtype.typeName() == "boolean":
+            zero = F.lit(False)
+        out[f"{prefix}n{i}"] = F.col(c).isNotNull()
+        out[f"{prefix}v{i}"] = F.coalesce(F.col(c), zero.cast(dtype))
+        names += [f"{prefix}n{i}", f"{prefix}v{i}"]
+    return df.withColumns(out), names
+
+
 def dense_number(
     df: DataFrame,
     keys: Sequence[str],
@@ -31,32 +52,35 @@ def dense_number(
     base=None,
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
 ) -> DataFrame:
-    """Add ``out``: dense number in ``(keys, order)``; ``base`` (column or int) is added."""
-    keys = list(keys)
+    """Add ``out``: dense number in ``(keys, order)`` (NULLs first); ``base`` (column or
+    int) is added. The data is shuffled once, by (key, bucket): the in-bucket window and
+    the join with the bucket starts share that partitioning."""
     bkt = "__seq_bucket"
     tagged = df.withColumn(bkt, F.floor(F.col(order) / F.lit(bucket_width)).cast("long"))
-    counts = tagged.groupBy(*keys, bkt).agg(F.count(F.lit(1)).alias("__seq_n"))
-    in_key = Window.partitionBy(*keys).orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
+    tagged, kcols = _surrogate_keys(tagged, [*keys, bkt], "__seq_k")
+    key_cols, bkt_cols = kcols[:-2], kcols[-2:]
+    counts = tagged.groupBy(*kcols).agg(F.count(F.lit(1)).alias("__seq_n"))
+    in_key = Window.partitionBy(*key_cols).orderBy(*bkt_cols).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("__seq_before", F.coalesce(F.sum("__seq_n").over(in_key), F.lit(0)))
     if not per_key:
         # One row per key: its starting number across keys, by a prefix sum in key order.
-        totals = counts.groupBy(*keys).agg(F.sum("__seq_n").alias("__seq_key_n"))
-        all_keys = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+        totals = counts.groupBy(*key_cols).agg(F.sum("__seq_n").alias("__seq_key_n"))
+        all_keys = Window.orderBy(*key_cols).rowsBetween(Window.unboundedPreceding, -1)
         key_starts = totals.select(
-            *keys, F.coalesce(F.sum("__seq_key_n").over(all_keys), F.lit(0)).alias("__seq_key_before")
+            *key_cols, F.coalesce(F.sum("__seq_key_n").over(all_keys), F.lit(0)).alias("__seq_key_before")
         )
-        starts = starts.join(key_starts, keys).withColumn(
+        starts = starts.join(key_starts, key_cols).withColumn(
             "__seq_before", F.col("__seq_before") + F.col("__seq_key_before")
         )
-    starts = starts.select(*keys, bkt, "__seq_before")
-    in_bucket = Window.partitionBy(*keys, bkt).orderBy(order)
-    numbered = tagged.join(starts, [*keys, bkt]).withColumn(
-        out,
-        (F.col("__seq_before") + F.row_number().over(in_bucket) + F.lit(start - 1)).cast("long"),
+    starts = starts.select(*kcols, "__seq_before")
+    in_bucket = Window.partitionBy(*kcols).orderBy(order)
+    ranked = tagged.withColumn("__seq_rn", F.row_number().over(in_bucket))
+    numbered = ranked.join(starts, kcols).withColumn(
+        out, (F.col("__seq_before") + F.col("__seq_rn") + F.lit(start - 1)).cast("long")
     )
     if base is not None:
         numbered = numbered.withColumn(out, F.col(out) + (F.lit(base) if isinstance(base, int) else base))
-    return numbered.drop(bkt, "__seq_before")
+    return numbered.drop(bkt, "__seq_before", "__seq_rn", *kcols)
 
 
 # Partition summaries are collected for the range check: one row per input partition.
@@ -161,31 +185,31 @@ def running_totals(
     maxima (a partial aggregate) are prefixed over the buckets of a key, and the window
     runs inside a bucket only. ``sums``/``maxes`` map output column -> input column;
     ``order`` must be integral and unique within a key."""
-    keys = list(keys)
     sums, maxes = dict(sums or {}), dict(maxes or {})
     bkt = "__rt_bucket"
     tagged = df.withColumn(bkt, F.floor(F.col(order) / F.lit(bucket_width)).cast("long"))
-    per_bucket = tagged.groupBy(*keys, bkt).agg(
+    tagged, kcols = _surrogate_keys(tagged, [*keys, bkt], "__rt_k")
+    key_cols, bkt_cols = kcols[:-2], kcols[-2:]
+    per_bucket = tagged.groupBy(*kcols).agg(
         *[F.sum(src).alias(f"__s_{out}") for out, src in sums.items()],
         *[F.max(src).alias(f"__m_{out}") for out, src in maxes.items()],
     )
-    before = Window.partitionBy(*keys).orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*key_cols).orderBy(*bkt_cols).rowsBetween(Window.unboundedPreceding, -1)
     starts = per_bucket.select(
-        *keys,
-        bkt,
+        *kcols,
         *[F.coalesce(F.sum(f"__s_{out}").over(before), F.lit(0)).alias(f"__sb_{out}") for out in sums],
         *[F.max(f"__m_{out}").over(before).alias(f"__mb_{out}") for out in maxes],
     )
-    inside = Window.partitionBy(*keys, bkt).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*kcols).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     ranked = tagged.select(
         "*",
         *[F.sum(src).over(inside).alias(f"__si_{out}") for out, src in sums.items()],
         *[F.max(src).over(inside).alias(f"__mi_{out}") for out, src in maxes.items()],
     )
-    joined = ranked.join(starts, [*keys, bkt])
+    joined = ranked.join(starts, kcols)
     outs = {out: F.col(f"__sb_{out}") + F.col(f"__si_{out}") for out in sums}
     outs.update({out: F.greatest(F.col(f"__mb_{out}"), F.col(f"__mi_{out}")) for out in maxes})
-    helpers = [c for c in joined.columns if c.startswith("__") and c != bkt] + [bkt]
+    helpers = [c for c in joined.columns if c.startswith("__") and c not in df.columns]
     return joined.withColumns(outs).drop(*helpers)
 
 
