@@ -1,0 +1,50 @@
+"""streamledger: framed Avro record streams into append-only tables, on Spark.
+
+Main entry points (see the README for the full list):
+
+- ``schema_from_spec`` — record spec (Avro record JSON or legacy field array) -> StructType
+- ``generate_rows`` / ``generate_stream`` — generated rows for a schema (batch / rate stream)
+- ``encode_wire`` / ``publish`` / ``publish_stream`` — Avro + 5-byte frame, to Kafka or a folder
+- ``read_wire`` — framed records with topic / partition / offset
+- ``decode_payload`` / ``require_ok`` / ``split_bad`` — frame check, decode, bad-record policy
+- ``ingest`` — the streaming ingest into a ledgered table (exactly-once effect)
+- ``Target``, ``target_for``, ``ensure_table``, ``read_table``, ``snapshot_at``, ``table_status``
+- ``assign_lsn``, ``flush_point``, ``prune_index``, ``reconcile``, ``reconcile_content``
+"""
+
+from .operators.decode import decode_payload, require_ok, split_bad
+from .operators.ledger import flush_point, prune_index
+from .operators.sequence import assign_lsn
+from .operators.verify import reconcile, reconcile_content
+from .schema import schema_from_spec
+from .sinks.table import Target, append_rows, ensure_table, read_table, snapshot_at, table_status, target_for
+from .sinks.wire import encode_wire, publish, publish_stream
+from .sources.generate import generate_rows, generate_stream
+from .sources.wire import read_wire
+from .streaming.ingest import ingest
+
+__all__ = [
+    "Target",
+    "append_rows",
+    "assign_lsn",
+    "decode_payload",
+    "encode_wire",
+    "ensure_table",
+    "flush_point",
+    "generate_rows",
+    "generate_stream",
+    "ingest",
+    "prune_index",
+    "publish",
+    "publish_stream",
+    "read_table",
+    "read_wire",
+    "reconcile",
+    "reconcile_content",
+    "require_ok",
+    "schema_from_spec",
+    "snapshot_at",
+    "split_bad",
+    "table_status",
+    "target_for",
+]
