@@ -108,3 +108,17 @@ def test_lsn_base_reads_previous_batch_and_falls_back(spark):
     assert TB.lsn_base(spark, target, 2) == 14  # from batch 1's ledger folder only
     assert TB.lsn_base(spark, target, 5) == 14  # gap: full ledger scan
     assert TB.lsn_base(spark, target, 1) == 7 and TB.lsn_base(spark, target, 0) == 0
+
+
+def test_two_topics_into_one_table(spark):
+    from streamledger.streaming.ingest import STRICT
+
+    target = TB.ensure_table(spark, TB.target_for(spark, "topics", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    ev = P.table(spark, SF001, "events").where((F.col("event_id") % 97 != 0) & (F.col("event_id") % 89 != 0) & (F.col("event_id") % 83 != 0))
+    wire = P.events_wire(ev)
+    two = wire.withColumn("topic", F.when(F.col("offset") % 2 == 0, F.lit("a")).otherwise(F.lit("b")))
+    ingest_batch(two, 0, target, P.EVENT_SCHEMA, mode=STRICT)
+    got = TB.read_table(spark, target).select("_topic", "_partition", "_offset", "_lsn").collect()
+    assert {r._topic for r in got} == {"a", "b"} and len(got) == ev.count()
+    ordered = sorted(got, key=lambda r: (r._topic, r._partition, r._offset))
+    assert [r._lsn for r in ordered] == list(range(1, len(got) + 1))
