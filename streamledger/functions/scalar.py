@@ -62,6 +62,14 @@ def table_uri(location: Column | str, db: Column | str, table: Column | str) ->
     )
 
 
+def table_uri_text(location: str, db: str, table: str) -> str:
+    """P10 for one configured location (the same rule as ``table_uri``, without Spark)."""
+    suffix = f"/{db}/{table}"
+    if location.endswith(suffix):
+        return location
+    return (location[:-1] if location.endswith("/") else location) + suffix
+
+
 def progress_pct(current: Column | str, total: Column | str) -> Column:
     """Integer min(100, current*100 div total); NULL when total <= 0."""
     cur, tot = _col(current).cast("long"), _col(total).cast("long")

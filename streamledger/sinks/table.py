@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import session as S
-from ..functions.scalar import qualified_name, table_uri
+from ..functions.scalar import qualified_name, table_uri_text
 from ..operators.sequence import assign_lsn
 from ..schema import to_avro_json
 
@@ -70,8 +70,7 @@ class Target:
 def target_for(spark: SparkSession, database: str, table: str, warehouse: str | None = None) -> Target:
     """P10: the table location is ``warehouse/db/table`` unless the warehouse already ends so."""
     root = warehouse or f"{S.checkpoint_root(spark)}/warehouse"
-    loc = spark.range(1).select(table_uri(F.lit(root), F.lit(database), F.lit(table))).first()[0]
-    return Target(database, table, loc)
+    return Target(database, table, table_uri_text(root, database, table))
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:

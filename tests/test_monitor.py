@@ -92,3 +92,11 @@ def test_sliding_flush_metrics_with_extra_aggregate(spark):
     got = {(r.window_start.second if r.window_start.minute == 0 else r.window_start.second - 60): (r.n, r.avg_ms) for r in out.collect()}
     # windows [-10,2) [-5,7) [0,12) [5,17) [10,22)
     assert got == {-10: (1, 2.0), -5: (2, 3.0), 0: (3, 4.0), 5: (3, 6.0), 10: (2, 7.0)}
+
+
+def test_table_uri_text_matches_column_rule(spark):
+    from streamledger.functions.scalar import table_uri_text
+
+    locs = ["s3://w", "s3://w/", "s3://w/db/t", "s3://w//", "/local/path/"]
+    df = spark.createDataFrame([(x,) for x in locs], "loc string").select(table_uri("loc", F.lit("db"), F.lit("t")).alias("u"))
+    assert [r.u for r in df.collect()] == [table_uri_text(x, "db", "t") for x in locs]
