@@ -41,6 +41,8 @@ def format_batch_lines(stats: DataFrame) -> DataFrame:
 
 
 def format_flush_lines(flushes: DataFrame) -> DataFrame:
+    """Render flush records as the sink's flush log line (``line`` column); a missing
+    flushed LSN prints as -1, the sink's "nothing to flush" value."""
     line = F.format_string(
         FLUSH_FORMAT,
         F.col("task_id").cast("string"),
