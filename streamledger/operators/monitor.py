@@ -172,8 +172,9 @@ STATUS_SCHEMA = T.StructType(
 
 
 def health(status: DataFrame, json_col: str = "status_json") -> DataFrame:
-    """Per status document, tasks not RUNNING, overall health (connector RUNNING and
-    every task RUNNING; no tasks counts as all running) and the traces of the others."""
+    """Per status document, tasks not RUNNING (a missing state counts as not running),
+    overall health (connector RUNNING and every task RUNNING; no tasks counts as all
+    running), the connector's trace and the traces of the tasks not running."""
     doc = F.from_json(F.col(json_col), STATUS_SCHEMA)
     tasks = F.coalesce(doc["tasks"], F.array().cast(STATUS_SCHEMA["tasks"].dataType))
     bad = F.filter(tasks, lambda t: ~F.coalesce(t["state"] == "RUNNING", F.lit(False)))
@@ -181,6 +182,7 @@ def health(status: DataFrame, json_col: str = "status_json") -> DataFrame:
     return status.select(
         "*",
         doc["connector"]["state"].alias("connector_state"),
+        doc["connector"]["trace"].alias("connector_trace"),
         F.size(bad).alias("tasks_not_running"),
         (running & F.forall(tasks, lambda t: F.coalesce(t["state"] == "RUNNING", F.lit(False)))).alias("healthy"),
         F.transform(F.filter(bad, lambda t: t["trace"].isNotNull()), lambda t: t["trace"]).alias("failed_traces"),

@@ -66,10 +66,12 @@ def test_health(spark):
         '{"name":"b","connector":{"state":"RUNNING"},"tasks":[{"id":0,"state":"FAILED","trace":"boom"},{"id":1,"state":"RUNNING"}]}',
         '{"name":"c","connector":{"state":"RUNNING"},"tasks":[]}',
         '{"name":"d","tasks":[{"id":0,"state":"RUNNING"}]}',
+        '{"name":"e","connector":{"state":"FAILED","trace":"conn down"},"tasks":[{"id":0}]}',
     ]
     df = spark.createDataFrame([(d,) for d in docs], "status_json string")
     got = {r.status_json[9:10]: (r.tasks_not_running, r.healthy, r.failed_traces) for r in M.health(df).collect()}
-    assert got == {"a": (0, True, []), "b": (1, False, ["boom"]), "c": (0, True, []), "d": (0, False, [])}
+    assert got == {"a": (0, True, []), "b": (1, False, ["boom"]), "c": (0, True, []), "d": (0, False, []), "e": (1, False, [])}
+    assert M.health(df).where("connector_state = 'FAILED'").first().connector_trace == "conn down"
 
 
 def test_scalars(spark):
