@@ -39,12 +39,21 @@ def integration_run(
     partitions: int = 4,
     files_per_batch: int | None = None,
     drop_at_end: bool = False,
+    recreate: bool = True,
+    warehouse: str | None = None,
 ) -> DataFrame:
-    """Run the cycle and return one summary row (the numbers the harness prints)."""
+    """Run the cycle and return one summary row (the numbers the harness prints).
+
+    The table lives under ``warehouse`` (default: a fresh folder under the checkpoint
+    root); an unbounded run (``seconds <= 0``) is refused, as it would never finish."""
     schema = schema_from_spec(record_schema)
-    root = S.scratch_path(spark, "harness")
-    target = TB.ensure_table(spark, TB.target_for(spark, database, table, f"{root}/warehouse"), schema, recreate=True)
     expected = target_total(rows_per_second, seconds)
+    if expected <= 0:
+        raise ValueError("integration_run needs a bounded load (rows_per_second x seconds > 0)")
+    root = S.scratch_path(spark, "harness")
+    target = TB.ensure_table(
+        spark, TB.target_for(spark, database, table, warehouse or f"{root}/warehouse"), schema, recreate=recreate
+    )
     started = time.monotonic()
 
     rows = bounded(generate_rows(spark, schema, expected, string_bytes=string_bytes, num_partitions=partitions), expected)
@@ -106,3 +115,37 @@ def integration_run(
         summary = spark.createDataFrame(summary.collect(), summary.schema)  # one row, kept before the drop
         TB.drop_table(spark, target)
     return summary
+
+
+# The harness config sections and keys read here, and the harness's
+# fallback load when a value is empty (60 msg/s for 10 s, 200-byte strings).
+FALLBACK_RATE, FALLBACK_SECONDS, FALLBACK_BYTES = 60, 10, 200
+
+
+def harness_options(config: dict | str) -> dict:
+    """``integration_run`` arguments from a harness config (``source`` and ``table``
+    sections: messages_per_second, message_size_bytes, max_duration_seconds,
+    run_indefinitely, output_topic, partitions; database, name, avro_schema,
+    should_recreate_on_start, drop_table_on_completion). Booleans are read as given."""
+    import json
+
+    cfg = json.loads(config) if isinstance(config, str) else dict(config)
+    src, tbl = cfg.get("source", {}) or {}, cfg.get("table", {}) or {}
+
+    def num(value, default):
+        return default if value in (None, "") else int(value)
+
+    if str(src.get("run_indefinitely", False)).lower() == "true":
+        raise ValueError("run_indefinitely has no end: give max_duration_seconds instead")
+    return {
+        "record_schema": tbl["avro_schema"],
+        "rows_per_second": num(src.get("messages_per_second"), FALLBACK_RATE),
+        "seconds": num(src.get("max_duration_seconds"), FALLBACK_SECONDS),
+        "string_bytes": num(src.get("message_size_bytes"), FALLBACK_BYTES),
+        "topic": src.get("output_topic") or "source-1",
+        "partitions": num(src.get("partitions"), 1),
+        "database": tbl.get("database") or "harness",
+        "table": tbl.get("name") or "records",
+        "recreate": bool(tbl.get("should_recreate_on_start", True)),
+        "drop_at_end": bool(tbl.get("drop_table_on_completion", False)),
+    }

@@ -34,3 +34,24 @@ def test_generated_stream_published_and_ingested(spark):
     q = ingest(read_wire(spark, path=wire_dir), target, schema, ck2)
     q.awaitTermination(120)
     assert TB.read_table(spark, target).count() == published.count()
+
+
+def test_harness_options_from_config():
+    import pytest
+
+    from streamledger.plans.harness import harness_options
+
+    cfg = {
+        "source": {"messages_per_second": 10, "message_size_bytes": 200, "run_indefinitely": False,
+                   "max_duration_seconds": 60, "output_topic": "source-1", "partitions": 1},
+        "table": {"database": "test_db", "name": "t15", "should_recreate_on_start": False,
+                  "drop_table_on_completion": False, "avro_schema": SAMPLE_RECORD_SCHEMA},
+    }
+    o = harness_options(cfg)
+    assert (o["rows_per_second"], o["seconds"], o["string_bytes"], o["recreate"], o["table"]) == (10, 60, 200, False, "t15")
+    cfg["source"].update({"messages_per_second": "", "max_duration_seconds": None})
+    o = harness_options(cfg)
+    assert (o["rows_per_second"], o["seconds"]) == (60, 10)  # the harness fallback load
+    cfg["source"]["run_indefinitely"] = True
+    with pytest.raises(ValueError):
+        harness_options(cfg)
