@@ -90,3 +90,14 @@ def test_roundtrip_property(spark, data):
         for c in ["s", "i", "l", "b", "d"]:
             assert r[c] == r["o_" + c]
         assert r.f == r.o_f or (math.isinf(r.f) and r.f == r.o_f)
+
+
+def test_value_must_be_binary_and_kafka_needs_servers(spark):
+    import pytest
+
+    from streamledger.sources.wire import read_wire
+
+    with pytest.raises(TypeError):
+        check_frames(spark.createDataFrame([("x",)], "value string"))
+    with pytest.raises(ValueError):
+        read_wire(spark, topics=["t"])  # neither a wire folder nor bootstrap servers
