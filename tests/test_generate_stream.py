@@ -152,3 +152,25 @@ def test_generated_stream_rate_source_bounded(spark):
     # bounded at rate x seconds = 20, whatever the wall clock delivered past it
     assert 0 < len(got) <= 20 and max(r.seq for r in got) <= 20
     assert {r.string_column for r in got} == {"AAAA"}
+
+
+def test_streaming_flush_latency_over_ingest_metric_log(spark):
+    """The reference's monitor loop as a stream: the ingest's own metric log read with
+    readStream.text, flush lines parsed, 12 s look-back every 5 s (each line in 2-3 windows)."""
+    from streamledger.operators.monitor import parse_flush_lines
+    from streamledger.sources.logs import read_metric_log
+
+    target = TB.ensure_table(spark, _target(spark, "monitor"), P.EVENT_SCHEMA)
+    wire_dir, ck, log_dir = (S.scratch_path(spark, n) for n in ("wire", "ck", "log"))
+    publish(P.events_wire(P.table(spark, SF001, "events")).coalesce(2), path=wire_dir)
+    q = ingest(read_wire(spark, path=wire_dir, max_files_per_trigger=1), target, P.EVENT_SCHEMA, ck,
+               mode=PERMISSIVE, metrics_path=log_dir)
+    q.awaitTermination()
+    flushes = parse_flush_lines(read_metric_log(spark, log_dir, streaming=True))
+    windows = sliding_metrics(flushes, ts="ts", window="12 seconds", slide="5 seconds", watermark="1 minute",
+                              aggs=[F.avg("elapsed_ms").alias("avg_ms"), F.max("elapsed_ms").alias("max_ms")])
+    out = windows.writeStream.outputMode("complete").format("memory").queryName("flush_windows").trigger(availableNow=True).start()
+    out.awaitTermination(60)
+    lines = parse_flush_lines(read_metric_log(spark, log_dir)).count()
+    got = spark.table("flush_windows").agg(F.sum("n")).first()[0]
+    assert lines == TB.read_ledger(spark, target).count() and 2 * lines <= got <= 3 * lines
