@@ -14,8 +14,7 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    extra = {}
-    s = build_session("local[4]", 4, extra=extra)
+    s = build_session("local[4]", 4)
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="streamledger-test-ckpt-"))
     yield s
