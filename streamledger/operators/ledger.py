@@ -25,13 +25,14 @@ def _small_commits(commits: DataFrame, keys: Sequence[str], upto: str) -> DataFr
     """The commit table, broadcast after its row count is checked. An equi-join on a few
     partition keys would otherwise send all of a hot partition to one task; above the
     bound the join stays a shuffle join and AQE's skew handling splits hot keys."""
-    c = commits.select(*keys, upto)
+    # Renamed columns: the commit table may be derived from the index itself (self-join).
+    c = commits.select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.col(upto).alias("__c_upto"))
     return F.broadcast(c) if c.count() <= MAX_BROADCAST_COMMITS else c
 
 
-def _cond(index: DataFrame, commits: DataFrame, keys: Sequence[str], offset: str, upto: str):
-    cond = [index[k] == commits[k] for k in keys]
-    cond.append(index[offset] <= commits[upto])
+def _cond(keys: Sequence[str], offset: str):
+    cond = [F.col(k) == F.col(f"__c_{k}") for k in keys]
+    cond.append(F.col(offset) <= F.col("__c_upto"))
     return cond
 
 
@@ -45,9 +46,7 @@ def covered_by(
     """Index entries with ``offset <= upto`` of their partition; partitions without
     a commit are skipped."""
     c = _small_commits(commits, keys, upto)
-    return index.join(c, _cond(index, c, keys, offset, upto), "inner").select(
-        *[index[x] for x in index.columns]
-    )
+    return index.join(c, _cond(keys, offset), "inner").select(*index.columns)
 
 
 def flush_point_by_partition(
@@ -95,7 +94,7 @@ def prune_index(
     if flushed_lsn is None:
         return index, index.sparkSession.range(1).select(F.lit(0).cast("long").alias("pruned"))
     c = _small_commits(commits, keys, upto)
-    cond = _cond(index, c, keys, offset, upto) + [index[lsn] <= F.lit(int(flushed_lsn))]
+    cond = _cond(keys, offset) + [F.col(lsn) <= F.lit(int(flushed_lsn))]
     remaining = index.join(c, cond, "left_anti")
     pruned = index.join(c, cond, "left_semi").agg(F.count(F.lit(1)).alias("pruned"))
     return remaining, pruned

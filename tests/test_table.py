@@ -122,3 +122,24 @@ def test_two_topics_into_one_table(spark):
     assert {r._topic for r in got} == {"a", "b"} and len(got) == ev.count()
     ordered = sorted(got, key=lambda r: (r._topic, r._partition, r._offset))
     assert [r._lsn for r in ordered] == list(range(1, len(got) + 1))
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_push_filters_and_broadcast_commits(spark):
+    from streamledger.operators import ledger as LG
+
+    target = TB.ensure_table(spark, TB.target_for(spark, "plans", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    ingest_batch(P.events_wire(P.table(spark, SF001, "events")), 0, target, P.EVENT_SCHEMA, mode=PERMISSIVE)
+    snap = _plan(TB.snapshot_at(spark, target, 100))
+    assert "LessThanOrEqual(_lsn,100)" in snap  # pushed to the Parquet scan
+    idx = TB.read_table(spark, target).select(
+        F.col("_topic").alias("topic"), F.col("_partition").alias("partition"), F.col("_offset").alias("offset"), F.col("_lsn").alias("lsn")
+    )
+    commits = idx.groupBy("topic", "partition").agg((F.max("offset") / 2).cast("long").alias("upto"))
+    covered = LG.covered_by(idx, commits)
+    covered.collect()
+    plan = _plan(covered)
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
