@@ -288,20 +288,23 @@ def with_schema(df: DataFrame, registry: DataFrame, schema_id: str = "_schema_id
 
 
 def table_status(spark: SparkSession, target: Target) -> DataFrame:
-    """A2: database, table, commit LSN (max written), flush LSN (max in the ledger),
-    cardinality (committed rows) and location. One row."""
-    ledger = read_ledger(spark, target)
-    data = read_location(spark, target.data_path)
-    committed = data.join(ledger.select("batch_id").distinct(), "batch_id", "left_semi")
-    stats = committed.agg(F.count(F.lit(1)).alias("cardinality")).select(
+    """A2: database, table, commit LSN (max written, committed or not), flush LSN (max in
+    the ledger), cardinality (committed rows) and location. One row.
+
+    Cardinality and flush LSN come from the ledger (one row per batch and partition), not
+    from a scan of the data; the commit LSN is a max over ``_lsn`` (answered from Parquet
+    footers when aggregate pushdown is on). A fresh table reports 0 rows and NULL LSNs."""
+    led = read_ledger(spark, target).agg(F.sum("rows").alias("n"), F.max("max_lsn").alias("flushed")).first()
+    has_data = bool(S.list_names(spark, target.data_path))
+    commit_lsn = read_location(spark, target.data_path).agg(F.max("_lsn")).first()[0] if has_data else None
+    return spark.range(1).select(
         F.lit(target.database).alias("database"),
         F.lit(target.table).alias("table"),
-        F.lit(data.agg(F.max("_lsn")).first()[0]).cast("long").alias("commit_lsn"),
-        F.lit(ledger.agg(F.max("max_lsn")).first()[0]).cast("long").alias("flush_lsn"),
-        "cardinality",
+        F.lit(commit_lsn).cast("long").alias("commit_lsn"),
+        F.lit(led["flushed"]).cast("long").alias("flush_lsn"),
+        F.lit(int(led["n"] or 0)).cast("long").alias("cardinality"),
         F.lit(target.location).alias("location"),
     )
-    return stats
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:

@@ -143,3 +143,9 @@ def test_plans_push_filters_and_broadcast_commits(spark):
     covered.collect()
     plan = _plan(covered)
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_status_of_a_fresh_table(spark):
+    target = TB.ensure_table(spark, TB.target_for(spark, "fresh", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    st = TB.table_status(spark, target).first()
+    assert (st.cardinality, st.commit_lsn, st.flush_lsn) == (0, None, None)
