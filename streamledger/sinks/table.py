@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from .. import session as S
 from ..functions.scalar import qualified_name, table_uri_text
 from ..operators.sequence import assign_lsn
-from ..schema import to_avro_json
+from ..schema import schema_from_spec, to_avro_json
 
 META_COLUMNS = ("_topic", "_partition", "_offset", "_schema_id", "_timestamp", "_lsn")
 LEDGER_DDL = (
@@ -152,7 +152,10 @@ def read_location(spark: SparkSession, uri: str) -> DataFrame:
 def read_table(spark: SparkSession, target: Target, committed_only: bool = True) -> DataFrame:
     """The table's rows; by default only batches that have a ledger row."""
     if not S.path_exists(spark, target.data_path) or not S.list_names(spark, target.data_path):
-        raise FileNotFoundError(f"table {target.name} has no data at {target.data_path}")
+        if not S.path_exists(spark, f"{target.location}/_schema.json"):
+            raise FileNotFoundError(f"no table {target.name} at {target.location}")
+        schema = schema_from_spec(table_schema(spark, target), codec_types=True)
+        return spark.createDataFrame([], _catalog_ddl(schema))  # created, nothing written yet
     data = read_location(spark, target.data_path)
     if not committed_only:
         return data

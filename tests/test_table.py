@@ -149,3 +149,14 @@ def test_status_of_a_fresh_table(spark):
     target = TB.ensure_table(spark, TB.target_for(spark, "fresh", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
     st = TB.table_status(spark, target).first()
     assert (st.cardinality, st.commit_lsn, st.flush_lsn) == (0, None, None)
+
+
+def test_read_of_a_fresh_table_is_empty_with_schema(spark):
+    import pytest
+
+    target = TB.ensure_table(spark, TB.target_for(spark, "fresh2", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    df = TB.read_table(spark, target)
+    assert df.count() == 0 and {"event_type", "event_id", "flag", "_lsn", "batch_id"} <= set(df.columns)
+    assert TB.snapshot_at(spark, target, 10).count() == 0
+    with pytest.raises(FileNotFoundError):
+        TB.read_table(spark, TB.target_for(spark, "none", "t", S.scratch_path(spark, "wh")))
