@@ -60,8 +60,14 @@ def dense_number(
     tagged, kcols = _surrogate_keys(tagged, [*keys, bkt], "__seq_k")
     key_cols, bkt_cols = kcols[:-2], kcols[-2:]
     counts = tagged.groupBy(*kcols).agg(F.count(F.lit(1)).alias("__seq_n"))
-    in_key = Window.partitionBy(*key_cols).orderBy(*bkt_cols).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("__seq_before", F.coalesce(F.sum("__seq_n").over(in_key), F.lit(0)))
+    # Prefix over a key's buckets: the bucket table has rows / bucket_width rows per key,
+    # so it is itself prefixed by bucketed running sums (no window holds a whole key).
+    # A NULL position's bucket sorts first: its flag is false, so it maps below all others.
+    ord_col = F.when(F.col(bkt_cols[0]), F.col(bkt_cols[1])).otherwise(F.lit(-(2**63)))
+    starts = running_totals(
+        counts.withColumn("__seq_ord", ord_col), key_cols, "__seq_ord", sums={"__seq_cum": "__seq_n"},
+        bucket_width=bucket_width,
+    ).withColumn("__seq_before", F.col("__seq_cum") - F.col("__seq_n"))
     if not per_key:
         # One row per key: its starting number across keys, by a prefix sum in key order.
         totals = counts.groupBy(*key_cols).agg(F.sum("__seq_n").alias("__seq_key_n"))
