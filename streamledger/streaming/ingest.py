@@ -2,10 +2,11 @@
 
 Each micro-batch: check frames, decode, apply the bad-record policy, number the good rows
 with dense LSNs in (topic, partition, offset) order, write ``data/batch_id=N`` in
-overwrite mode, then write the ledger rows for batch N from the written files. Spark
-records ``commits/N`` in the checkpoint only after ``foreachBatch`` returns, so the ledger
-row is the durability barrier (T2), and a replayed batch rewrites identical rows and LSNs
-because its LSN base comes from ledger batches ``< N`` only (T3).
+overwrite mode, then write the ledger rows for batch N from the written files (the table
+protocol of ``sinks.table.append_rows``). Spark records ``commits/N`` in the checkpoint
+only after ``foreachBatch`` returns, so the ledger row is the durability barrier (T2), and
+a replayed batch rewrites identical rows and LSNs because its LSN base is the high-water
+mark recorded with batch N-1, never anything batch N wrote (T3).
 """
 
 from __future__ import annotations
