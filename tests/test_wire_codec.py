@@ -101,3 +101,20 @@ def test_value_must_be_binary_and_kafka_needs_servers(spark):
         check_frames(spark.createDataFrame([("x",)], "value string"))
     with pytest.raises(ValueError):
         read_wire(spark, topics=["t"])  # neither a wire folder nor bootstrap servers
+
+
+def test_kafka_branches_reach_the_kafka_source(spark):
+    """No Kafka connector jar here: the branches are driven up to Spark's lookup of the
+    'kafka' data source, which is where a cluster with the connector takes over."""
+    import pytest
+
+    from streamledger.sinks.wire import encode_wire, publish
+    from streamledger.sources.wire import read_wire
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_wire(spark, topics=["t"], bootstrap_servers="broker:9092", streaming=False)
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_wire(spark, topics=["t"], bootstrap_servers="broker:9092", streaming=True)
+    rows = spark.createDataFrame([("AA", 1, True)], "string_column string, numeric_column int, boolean_column boolean")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        publish(encode_wire(rows, SAMPLE, 7, topic="t"), bootstrap_servers="broker:9092")
