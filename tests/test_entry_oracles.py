@@ -52,3 +52,17 @@ def test_query_matches_oracle(spark, duck, name):
     duck_types = {d[0]: str(d[1]) for d in res.description}
     assert {n: TYPE_MAP.get(t, t) for n, t in df.dtypes} == duck_types
     assert _sorted_rows(df.columns, got) == _sorted_rows(ocols, res.fetchall())
+
+
+@pytest.mark.parametrize("name", ["sliding_event_counts", "sliding_stream", "probe_rates", "log_file_progress"])
+def test_time_queries_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert _sorted_rows(df.columns, got) == _sorted_rows(ocols, res.fetchall())
