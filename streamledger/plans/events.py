@@ -25,7 +25,7 @@ from ..operators.verify import reconcile, reconcile_content
 from ..schema import SAMPLE_RECORD_SCHEMA, schema_from_spec
 from ..sinks import table as TB
 from ..sources.generate import generate_from
-from ..sources.logs import format_log_line, read_metric_log, utc_wall_clock
+from ..sources.logs import format_log_line, read_metric_log, utc_instant, utc_wall_clock
 from ..sources.wire import read_wire
 from ..streaming.ingest import PERMISSIVE, durable_lsn, ingest
 from ..streaming.sliding import sliding_metrics, sliding_to_table
@@ -85,7 +85,7 @@ def events_wire(events: DataFrame, offsets: bool = True) -> DataFrame:
         F.lit(TOPIC).alias("topic"),
         "partition",
         "offset",
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        utc_instant(F.col("ts")).alias("timestamp"),  # event time as UTC: no session-zone dependence
         F.lit(0).alias("timestampType"),
     )
 
@@ -244,7 +244,7 @@ def flush_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One probe per day: the running count of sequenced records by the end of the day."""
-    day = F.date_trunc("day", F.col("timestamp").cast("timestamp_ntz")).cast("timestamp_ntz")
+    day = F.date_trunc("day", utc_wall_clock(F.col("timestamp"))).cast("timestamp_ntz")
     per_day = index(spark, sf_dir).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     return per_day.select(

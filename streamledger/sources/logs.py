@@ -41,6 +41,12 @@ def format_log_line(ts_ntz, text) -> F.Column:
     return F.concat(F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z "), text)
 
 
+def utc_instant(wall_clock) -> F.Column:
+    """TIMESTAMP_NTZ wall clock read as UTC -> TIMESTAMP instant, whatever the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, wall_clock))
+
+
 def utc_wall_clock(instant) -> F.Column:
     """TIMESTAMP instant -> TIMESTAMP_NTZ wall clock in UTC, whatever the session zone."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
