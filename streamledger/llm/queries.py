@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact, sharding
+from . import bpe, exact, sharding
 from .common import prepare, read_table
 
 
@@ -14,12 +15,29 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(read_table(spark, sf_dir, "documents"), keep="max")
 
 
+def tokenizer_file(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_file(), decode=True)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), n_shards=24)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_sharding": op8_sharding,
 }
 
