@@ -4,17 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, sharding
+from . import bpe, exact, langid, secrets, sharding
 from .common import prepare, read_table
 
 
+def in_fold(id_col: str, folds: int, fold: int) -> Column:
+    """Whether crc32 of the identifier as text leaves the remainder ``fold``; a NULL
+    identifier counts as inside (it is never learnt from)."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(True))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.train(docs, F.col("lang"), F.col("text"), ~in_fold("doc_id", 5, 0))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", "n_langs")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(read_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+    def of(kind: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"] != "novel")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        F.size(of("novel")).cast("long").alias("n_novel"),
+    )
+
+
 def tokenizer_file(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
     import public_tokenizers
 
@@ -36,7 +67,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_secrets": op5_secrets,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_sharding": op8_sharding,
 }
