@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, secrets, sharding
+from . import bpe, exact, langid, near, secrets, sharding
 from .common import prepare, read_table
 
 
@@ -24,6 +24,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", "n_langs")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(read_table(spark, sf_dir, "documents"), keep="max")
 
@@ -68,6 +72,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_minhash": op2_minhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_secrets": op5_secrets,
     "op7_byte_bpe": op7_byte_bpe,
