@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import blocks, byte_column, doc_columns, prepare
+from .common import IntTable, blocks, byte_column, doc_columns, prepare
 
 # Character classes. Letters that can be part of a contraction have classes of their own.
 LETTER, STMD, R, V, EL, E, NUMBER, APOSTROPHE, OTHER, SPACE, WHITE, END = range(12)
@@ -147,38 +147,11 @@ class Vocabulary:
                 a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if a is not None and b is not None:
                     pairs[a << 20 | b] = rank
-        self.slots = 1 << max(10, (4 * len(pairs)).bit_length())
-        self.shift = np.uint64(64 - self.slots.bit_length() + 1)
-        self.keys, self.values = np.full(self.slots, -1, np.int64), np.full(self.slots, self.no_rank, np.int64)
-        todo_k, todo_v = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64)
-        slot = self._slot(todo_k)
-        while len(todo_k):  # open addressing: one key takes a free slot, the others move on
-            free = self.keys[slot] == -1
-            self.keys[slot[free]] = todo_k[free]
-            won = self.keys[slot] == todo_k
-            self.values[slot[won]] = todo_v[won]
-            todo_k, todo_v, slot = todo_k[~won], todo_v[~won], (slot[~won] + 1) % self.slots
+        self.pairs = IntTable(np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64), self.no_rank)
         self.cache: dict[bytes, bytes] = {}
 
     no_rank = 1 << 40
 
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        keys = a << 20 | b
-        slot = self._slot(keys)
-        seen = self.keys[slot]
-        out = np.where(seen == keys, self.values[slot], self.no_rank)
-        open_ = np.flatnonzero((seen != keys) & (seen != -1))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) % self.slots
-            seen = self.keys[slot[open_]]
-            hit = seen == keys[open_]
-            out[open_[hit]] = self.values[slot[open_[hit]]]
-            open_ = open_[~hit & (seen != -1)]
-        return out
-
     def merge_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Ids (little-endian unsigned 32-bit) of each piece. All pieces are merged side by
         side: in a round, each piece joins its leftmost pair of lowest rank."""
@@ -194,7 +167,7 @@ class Vocabulary:
         while len(ids):
             rank = np.full(len(ids), self.no_rank, np.int64)
             same = np.flatnonzero(owner[1:] == owner[:-1])
-            rank[same] = self.pair_ranks(ids[same], ids[same + 1])
+            rank[same] = self.pairs.get(ids[same] << 20 | ids[same + 1])
             first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             low = np.minimum.reduceat(rank, first)
             sizes = np.diff(np.append(first, len(ids)))

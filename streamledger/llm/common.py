@@ -142,3 +142,41 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     after[offs] = True
     end = np.flatnonzero(word & after[1:]) + 1
     return start, end, np.diff(np.searchsorted(start, offs))
+
+
+class IntTable:
+    """A read-only map from non-negative integers to numbers with vectorised lookups (open
+    addressing, at most a quarter full)."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float):
+        self.missing = missing
+        bits = max(10, (4 * max(1, len(keys)) - 1).bit_length())
+        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.values = np.full(1 << bits, missing, values.dtype)
+        slot = self._slot(keys)
+        while len(keys):  # one key takes a free slot, the others move on
+            free = self.keys[slot] == -1
+            self.keys[slot[free]] = keys[free]
+            won = self.keys[slot] == keys
+            self.values[slot[won]] = values[won]
+            keys, values, slot = keys[~won], values[~won], (slot[~won] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        seen = self.keys[slot]
+        out = self.values[slot]
+        wrong = seen != keys
+        if wrong.any():
+            out[wrong] = self.missing
+            left = np.flatnonzero(wrong & (seen != -1))
+            while len(left):
+                slot[left] = (slot[left] + 1) & self.mask
+                seen = self.keys[slot[left]]
+                hit = seen == keys[left]
+                out[left[hit]] = self.values[slot[left[hit]]]
+                left = left[~hit & (seen != -1)]
+        return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, near, secrets, sharding
+from . import bpe, exact, langid, near, quality, secrets, sharding
 from .common import prepare, read_table
 
 
@@ -70,6 +70,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("text_hash")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash": op2_minhash,
@@ -77,6 +81,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_sharding": op8_sharding,
+    "op10_quality": op10_quality,
 }
 
 LLM_ORACLES: dict[str, str] = {
