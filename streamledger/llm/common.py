@@ -59,6 +59,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: ASCII characters other than letters and digits
+IS_PUNCTUATION = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER_WEIGHT = _BYTE_WEIGHT[LOWER]
 
 _powers: dict[str, np.ndarray] = {}
@@ -124,14 +126,16 @@ def blocks(data: np.ndarray, offs: np.ndarray, limit: int = BLOCK_BYTES) -> Iter
         lo = hi
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, words per document): words are runs without ASCII white space and
-    never cross a document's end."""
+def word_spans(
+    data: np.ndarray, offs: np.ndarray, between: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, words per document): words are runs without the bytes marked in
+    ``between`` (ASCII white space) and never cross a document's end."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offs) - 1, np.int64)
-    space = IS_SPACE[data]
+    space = between[data]
     cut = np.ones(n + 1, bool)  # nothing continues over position i
     cut[1:n] = space[: n - 1]
     cut[offs] = True

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, near, quality, secrets, sharding
+from . import bpe, decontaminate, exact, langid, near, quality, secrets, sharding
 from .common import prepare, read_table
 
 
@@ -50,6 +50,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_file(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
     import public_tokenizers
 
@@ -79,6 +83,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_secrets": op5_secrets,
+    "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_sharding": op8_sharding,
     "op10_quality": op10_quality,
