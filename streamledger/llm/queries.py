@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, langid, near, quality, secrets, sharding
+from . import bpe, decontaminate, exact, langid, near, pitman_yor, quality, secrets, sharding
 from .common import prepare, read_table
 
 
@@ -74,6 +74,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = in_fold("doc_id", 7, 2)
+    model = pitman_yor.train(docs.where(~held_out).select(F.coalesce("text", F.lit("")).alias("text")))
+    return pitman_yor.score(docs, model, held_out=held_out)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("text_hash")
 
@@ -86,6 +93,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_sharding": op8_sharding,
+    "op9_pitman_yor": op9_pitman_yor,
     "op10_quality": op10_quality,
 }
 
