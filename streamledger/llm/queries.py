@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, langid, near, pitman_yor, quality, secrets, sharding
+from . import bpe, decontaminate, exact, langid, near, pitman_yor, quality, secrets, sharding, suffix
 from .common import prepare, read_table
 
 
@@ -28,6 +28,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(read_table(spark, sf_dir, "documents"), length=100).drop("kept_bytes")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(read_table(spark, sf_dir, "documents"), keep="max")
 
@@ -88,6 +92,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash": op2_minhash,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
