@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import bpe, decontaminate, exact, langid, near, pitman_yor, quality, secrets, sharding, suffix
-from .common import prepare, read_table
+from .common import read_table
+from .tokenizers import tokenizer_file
 
 
 def in_fold(id_col: str, folds: int, fold: int) -> Column:
@@ -58,12 +61,6 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-def tokenizer_file(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_file(), decode=True)
     return coded.select(
@@ -100,6 +97,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_pitman_yor": op9_pitman_yor,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES: dict[str, str] = {
