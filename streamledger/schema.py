@@ -18,6 +18,7 @@ because the wire encoding of a union depends on the declared branch order.
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import types as T
@@ -49,108 +50,90 @@ class SchemaSpecError(ValueError):
     """Raised for a record spec the mapping rules do not accept."""
 
 
-def _required_text(node: Any, key: str) -> str:
-    if not isinstance(node, dict) or node.get(key) is None:
-        raise SchemaSpecError(f"Missing field '{key}' in schema spec")
-    value = node[key]
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, (dict, list)):
-        return json.dumps(value)
-    return str(value)
+@dataclass(frozen=True)
+class _FieldSpec:
+    """A field in one form, however it was declared: its name, the type names of its
+    non-null branches, and where the null branch stands (-1 without one)."""
 
+    name: str
+    branches: tuple[str, ...]
+    null_at: int
 
-def _as_bool(value: Any) -> bool:
-    if isinstance(value, bool):
-        return value
-    if isinstance(value, (int, float)):
-        return value != 0
-    if isinstance(value, str):
-        return value.strip() == "true"
-    return False
 
+def _fail(where: str, problem: str) -> SchemaSpecError:
+    return SchemaSpecError(f"record schema, {where}: {problem}")
 
-def _type_of(name: str, allowed: dict) -> tuple[str, T.DataType]:
-    key = (name or "").strip().lower()
-    if key not in allowed:
-        raise SchemaSpecError(f"Unsupported data_type: {name}")
-    return allowed[key]
 
+def _scalar_text(node: Any, key: str, where: str) -> str:
+    value = node.get(key) if isinstance(node, dict) else None
+    if value is None:
+        raise _fail(where, f"no {key!r}")
+    return value if isinstance(value, str) else json.dumps(value)
 
-def _field(name: str, avro: str, dtype: T.DataType, nullable: bool, null_index: int) -> T.StructField:
-    return T.StructField(
-        name, dtype, nullable, metadata={AVRO_TYPE_KEY: avro, NULL_INDEX_KEY: null_index}
-    )
+
+def _truthy(value: Any) -> bool:
+    """JSON true, a non-zero number or the text "true"."""
+    return value.strip() == "true" if isinstance(value, str) else isinstance(value, (bool, int, float)) and bool(value)
+
+
+def _branch(node: Any, where: str) -> str:
+    """The type name of a branch: a name, or an object that names one."""
+    name = node.get("type") if isinstance(node, dict) else node
+    if not isinstance(name, str):
+        raise _fail(where, f"{json.dumps(node)} names no primitive type")
+    return name.strip().lower()
+
+
+def _column_spec(node: Any, i: int) -> _FieldSpec:
+    """An entry of the plain list form: name, data_type, nullable."""
+    where = f"entry {i}"
+    name = _scalar_text(node, "name", where)
+    return _FieldSpec(name, (_branch(_scalar_text(node, "data_type", where), where),), 0 if _truthy(node.get("nullable")) else -1)
+
+
+def _avro_spec(node: Any, i: int) -> _FieldSpec:
+    """A field of an Avro record."""
+    name = _scalar_text(node, "name", f"field {i}")
+    where = f"field {name!r}"
+    declared = node.get("type")
+    union = declared if isinstance(declared, list) else [declared]
+    names = [_branch(x, where) for x in union]
+    return _FieldSpec(name, tuple(x for x in names if x != "null"), names.index("null") if "null" in names else -1)
+
+
+def _normalise(root: Any) -> list[_FieldSpec]:
+    if isinstance(root, list):
+        return [_column_spec(x, i) for i, x in enumerate(root)]
+    if not isinstance(root, dict):
+        raise _fail("top level", "neither a record nor a list of columns")
+    if _scalar_text(root, "type", "top level").lower() != "record" or not isinstance(root.get("fields"), list):
+        raise _fail("top level", "a record with a list of fields is needed")
+    return [_avro_spec(x, i) for i, x in enumerate(root["fields"])]
 
 
 def schema_from_spec(spec: str | dict | list, codec_types: bool = False) -> T.StructType:
-    """Map a record spec to a ``StructType``.
+    """Map a record spec to a ``StructType``: either form is normalised to field specs, which
+    are then checked in one place.
 
     ``codec_types=False`` accepts the generator's three types only (string, int,
     boolean); ``True`` also accepts long, float and double for decoding.
     """
+    try:
+        root = json.loads(spec) if isinstance(spec, str) else spec
+    except json.JSONDecodeError as why:
+        raise _fail("text", f"not JSON ({why})") from why
     allowed = CODEC_TYPES if codec_types else GENERATOR_TYPES
-    if isinstance(spec, str):
-        if not spec.strip():
-            raise SchemaSpecError("Missing required record schema")
-        try:
-            root = json.loads(spec)
-        except json.JSONDecodeError as exc:
-            raise SchemaSpecError(f"Failed to parse record schema: {exc}") from exc
-    else:
-        root = spec
-
-    fields: list[T.StructField] = []
-    if isinstance(root, list):
-        for node in root:
-            name = _required_text(node, "name")
-            avro, dtype = _type_of(_required_text(node, "data_type"), allowed)
-            nullable = _as_bool(node.get("nullable", False))
-            fields.append(_field(name, avro, dtype, nullable, 0 if nullable else -1))
-    elif isinstance(root, dict):
-        if not _required_text(root, "type").lower() == "record":
-            raise SchemaSpecError("Only Avro record schemas are supported (type=record)")
-        members = root.get("fields")
-        if not isinstance(members, list):
-            raise SchemaSpecError("Avro schema must contain an array 'fields'")
-        for node in members:
-            name = _required_text(node, "name")
-            tnode = node.get("type")
-            if tnode is None:
-                raise SchemaSpecError(f"Field '{name}' missing 'type'")
-            null_index = -1
-            base = None
-            if isinstance(tnode, str):
-                base = tnode
-            elif isinstance(tnode, list):
-                branches = []
-                for i, branch in enumerate(tnode):
-                    if branch == "null":
-                        null_index = i
-                    elif isinstance(branch, str):
-                        branches.append(branch)
-                    elif isinstance(branch, dict) and isinstance(branch.get("type"), str):
-                        branches.append(branch["type"])
-                    else:
-                        raise SchemaSpecError(f"Unsupported Avro type for field '{name}': {tnode}")
-                if len(branches) > 1:
-                    raise SchemaSpecError(f"Ambiguous union for field '{name}': {tnode}")
-                if len(tnode) > 2:
-                    raise SchemaSpecError(f"Unsupported union for field '{name}': {tnode}")
-                base = branches[0] if branches else None
-            elif isinstance(tnode, dict) and isinstance(tnode.get("type"), str):
-                base = tnode["type"]
-            if base is None:
-                raise SchemaSpecError(f"Unsupported Avro type for field '{name}': {json.dumps(tnode)}")
-            avro, dtype = _type_of(base, allowed)
-            fields.append(_field(name, avro, dtype, null_index >= 0, null_index))
-    else:
-        raise SchemaSpecError(
-            "record schema must be either an Avro schema object or legacy array of fields"
-        )
-    if not fields:
-        raise SchemaSpecError("record schema must contain at least one field")
-    return T.StructType(fields)
+    out = T.StructType()
+    for f in _normalise(root):
+        if len(f.branches) != 1:
+            raise _fail(f"field {f.name!r}", f"one type beside null is needed, not {list(f.branches)}")
+        if f.branches[0] not in allowed:
+            raise _fail(f"field {f.name!r}", f"type {f.branches[0]!r} is not one of {sorted(allowed)}")
+        avro, dtype = allowed[f.branches[0]]
+        out.add(T.StructField(f.name, dtype, f.null_at >= 0, {AVRO_TYPE_KEY: avro, NULL_INDEX_KEY: f.null_at}))
+    if not out.fields:
+        raise _fail("top level", "no fields")
+    return out
 
 
 def avro_type(field: T.StructField) -> str:
@@ -169,7 +152,7 @@ def avro_type(field: T.StructField) -> str:
     for cls, name in by_type.items():
         if isinstance(field.dataType, cls):
             return name
-    raise SchemaSpecError(f"Unsupported Spark type for Avro: {field.dataType}")
+    raise _fail(f"field {field.name!r}", f"{field.dataType.simpleString()} has no Avro type here")
 
 
 def null_index(field: T.StructField) -> int:

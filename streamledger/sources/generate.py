@@ -29,7 +29,7 @@ def record_columns(seq: Column, schema, string_bytes: int = 100, seed: int = 0)
     for i, field in enumerate(_schema(schema).fields):
         atype = avro_type(field)
         if atype not in {a for a, _ in GENERATOR_TYPES.values()}:
-            raise ValueError(f"Unsupported data_type: {atype}")
+            raise ValueError(f"no generator for fields of type {atype!r}")
         if atype == "string":
             value = sized_string(clamp_positive(string_bytes))
         elif atype == "int":
