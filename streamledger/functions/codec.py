@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -175,24 +176,9 @@ def _arrow_decoder(schema: T.StructType):
     return F.arrow_udf(decode, _decoded_type(schema))
 
 
-def _from_avro_available(spark) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
-        return True
-    except Exception:
-        return False
-
-
 def decode_struct(payload_col: Column | str, schema: T.StructType, spark=None) -> Column:
     """A struct column ``(_decode_ok, field...)`` decoded from an Avro datum column."""
     col = F.col(payload_col) if isinstance(payload_col, str) else payload_col
-    if spark is not None and _from_avro_available(spark):  # untested here: no jar in this image
-        from pyspark.sql.avro.functions import from_avro
-
-        rec = from_avro(col, to_avro_json(schema), {"mode": "PERMISSIVE"})
-        return F.struct(
-            rec.isNotNull().alias(DECODE_OK), *[rec[f.name].alias(f.name) for f in schema.fields]
-        )
     if spark is not None:
         ship_package(spark)
     return _arrow_decoder(schema)(col)
