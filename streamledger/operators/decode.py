@@ -51,9 +51,9 @@ def require_ok(decoded: DataFrame) -> DataFrame:
         F.lit(" at "),
         F.coalesce(F.concat_ws("/", F.col("topic"), F.col("partition"), F.col("offset")), F.lit("?")),
     )
-    return decoded.withColumn(
-        VERDICT,
-        F.when(F.col(VERDICT) == F.lit(frame.OK), F.col(VERDICT)).otherwise(F.raise_error(message)),
+    # A filter, not a column: no projection, count or column pruning can leave it out.
+    return decoded.where(
+        F.when(F.col(VERDICT) == F.lit(frame.OK), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     )
 
 
