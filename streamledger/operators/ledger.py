@@ -3,8 +3,8 @@
 ``index`` has ``topic, partition, offset, lsn``; ``commits`` has one row per
 ``(topic, partition)`` with ``upto``, the last offset handed over for commit. Coverage is
 inclusive (``offset <= upto``), as in the reference. The commit table is joined by
-equi-join on the partition key with the range as a join condition; it is broadcast after
-its row count is checked (one row per partition), else left to a shuffle join.
+equi-join on the partition key with the range as a join condition; Spark chooses the join
+from the measured sizes.
 """
 
 from __future__ import annotations
@@ -17,17 +17,13 @@ from pyspark.sql import functions as F
 from .sequence import running_totals
 
 PART_KEYS = ("topic", "partition")
-# Commit tables hold one row per Kafka partition; broadcast them only under this count.
-MAX_BROADCAST_COMMITS = 100_000
 
 
-def _small_commits(commits: DataFrame, keys: Sequence[str], upto: str) -> DataFrame:
-    """The commit table, broadcast after its row count is checked. An equi-join on a few
-    partition keys would otherwise send all of a hot partition to one task; above the
-    bound the join stays a shuffle join and AQE's skew handling splits hot keys."""
-    # Renamed columns: the commit table may be derived from the index itself (self-join).
-    c = commits.select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.col(upto).alias("__c_upto"))
-    return F.broadcast(c) if c.count() <= MAX_BROADCAST_COMMITS else c
+def _commits(commits: DataFrame, keys: Sequence[str], upto: str) -> DataFrame:
+    """The commit table under names of its own (it may be derived from the index itself).
+    No hint: Spark broadcasts it below its size threshold, and AQE splits a hot partition of
+    the shuffle join above it."""
+    return commits.select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.col(upto).alias("__c_upto"))
 
 
 def _cond(keys: Sequence[str], offset: str):
@@ -45,7 +41,7 @@ def covered_by(
 ) -> DataFrame:
     """Index entries with ``offset <= upto`` of their partition; partitions without
     a commit are skipped."""
-    c = _small_commits(commits, keys, upto)
+    c = _commits(commits, keys, upto)
     return index.join(c, _cond(keys, offset), "inner").select(*index.columns)
 
 
@@ -93,7 +89,7 @@ def prune_index(
     and its LSN is durable (``lsn <= flushed_lsn``); ``None`` prunes nothing."""
     if flushed_lsn is None:
         return index, index.sparkSession.range(1).select(F.lit(0).cast("long").alias("pruned"))
-    c = _small_commits(commits, keys, upto)
+    c = _commits(commits, keys, upto)
     cond = _cond(keys, offset) + [F.col(lsn) <= F.lit(int(flushed_lsn))]
     remaining = index.join(c, cond, "left_anti")
     pruned = index.join(c, cond, "left_semi").agg(F.count(F.lit(1)).alias("pruned"))

@@ -14,6 +14,7 @@ the events wire fixture. ``order`` must be integral and unique within a key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,8 +90,6 @@ def dense_number(
     return numbered.drop(bkt, "__seq_before", "__seq_rn", *kcols)
 
 
-# Partition summaries are collected for the range check: one row per input partition.
-MAX_SUMMARY_PARTITIONS = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition id above, row index in the low 33 bits
 
 
@@ -112,8 +111,9 @@ def number_in_place(
     are disjoint, a row's number is the count of rows before its partition's range (all
     keys, or its own key with ``per_key``) plus its index in that range (rows of a group
     are consecutive in their partition, so the index is the row id minus the group's
-    first row id). Summaries are one row per (partition, key). Returns ``None``
-    when ranges overlap (then a shuffle is needed).
+    first row id). Summaries are one row per (partition, key) and stay a DataFrame; only
+    whether any ranges of a key overlap (or a position is NULL) comes to the driver, and
+    then ``None`` is returned (a shuffle is needed).
 
     The input is read twice (summary, then numbering) and must come back with the same
     partitions both times: a persisted or checkpointed frame, or a file or Kafka read.
@@ -129,29 +129,26 @@ def number_in_place(
         F.min(F.struct(*cols)).alias("__lo"),
         F.max(F.struct(*cols)).alias("__hi"),
     )
-    parts = summary.limit(MAX_SUMMARY_PARTITIONS + 1).collect()
-    if len(parts) > MAX_SUMMARY_PARTITIONS:
+    # Ranges of one key, in order: each must end before the next begins. A key has one range
+    # per input partition that holds it, and every key one row in the table of key totals.
+    of_key = Window.partitionBy(*keys).orderBy("__lo")
+    ranges = summary.select("*", F.lag("__hi").over(of_key).alias("__prev"))
+    missing = [F.col(f"__{e}.`{c}`").isNull() for e in ("lo", "hi") for c in cols]  # NULLs have no place in the order
+    bad = reduce(lambda x, y: x | y, [F.col("__prev") >= F.col("__lo"), *missing])
+    if ranges.where(bad).limit(1).count():
         return None
-    if any(v is None for r in parts for v in (*r["__lo"], *r["__hi"])):
-        return None  # NULL keys or positions have no place in the order: use the shuffle path
-    parts.sort(key=lambda r: tuple(r["__lo"]))
-    for a, b in zip(parts, parts[1:]):  # groups must form one increasing sequence of ranges
-        if not tuple(a["__hi"]) < tuple(b["__lo"]):
-            return None
-    totals: dict = {}
-    starts = []
-    for r in parts:
-        k = tuple(r[c] for c in keys) if per_key else ()
-        before = totals.get(k, 0)
-        starts.append((int(r["__pid"]), *[r[c] for c in keys], int(r["__first"]), before))
-        totals[k] = before + int(r["__n"])
-    spark = df.sparkSession
-    key_types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
-    starts_df = spark.createDataFrame(starts, f"__pid BIGINT, {key_types}, __first BIGINT, __before BIGINT")
-    cond = [pid == starts_df["__pid"]] + [local[c] == starts_df[c] for c in keys]
-    numbered = local.join(F.broadcast(starts_df), cond).select(
-        *[local[c] for c in local.columns],
-        (starts_df["__before"] + (local["__rid"] - starts_df["__first"]) + F.lit(int(base) + start)).cast("long").alias(out),
+    earlier = of_key.rowsBetween(Window.unboundedPreceding, -1)
+    starts = summary.select("__pid", *keys, "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    if not per_key:
+        totals = summary.groupBy(*keys).agg(F.sum("__n").alias("__key_n"))
+        before_key = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # one row per key
+        key_starts = totals.select(*keys, F.coalesce(F.sum("__key_n").over(before_key), F.lit(0)).alias("__key_before"))
+        starts = starts.join(key_starts, keys).withColumn("__before", F.col("__before") + F.col("__key_before"))
+    starts = starts.select(F.col("__pid").alias("__s_pid"), *[F.col(c).alias(f"__s_{c}") for c in keys], "__first", "__before")
+    cond = [pid == F.col("__s_pid")] + [F.col(c) == F.col(f"__s_{c}") for c in keys]
+    numbered = local.join(starts, cond).select(
+        *local.columns,
+        (F.col("__before") + (F.col("__rid") - F.col("__first")) + F.lit(int(base) + start)).cast("long").alias(out),
     )
     return numbered.drop("__rid")
 
@@ -222,14 +219,16 @@ def running_totals(
 def upsert_index(
     index: DataFrame,
     keys: Sequence[str] = ("topic", "partition", "offset"),
-    newest: str = "batch_id",
+    newest: Sequence[str] = ("batch_id", "lsn"),
 ) -> DataFrame:
-    """The same (topic, partition, offset) written again keeps the latest entry.
+    """The same (topic, partition, offset) written again keeps the latest entry: the one
+    of the highest batch, and within a batch of the highest LSN.
 
     ``max_by`` over a struct is a partial aggregate, so duplicates are folded map-side
     before the shuffle instead of ranking whole groups.
     """
     keys = list(keys)
     others = [c for c in index.columns if c not in keys]
-    latest = F.max_by(F.struct(*others), F.col(newest)).alias("__latest")
+    order = [newest] if isinstance(newest, str) else [c for c in newest if c in index.columns]
+    latest = F.max_by(F.struct(*others), F.struct(*order)).alias("__latest")
     return index.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in others])
