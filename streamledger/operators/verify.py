@@ -40,7 +40,9 @@ def reconcile(expected, readers: dict[str, DataFrame], strict: bool = False) ->
 
 
 def _checksum(cols: Sequence[str]):
-    return F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
+    # xxhash64 passes over NULLs, so where they stand is hashed too
+    flags = [F.col(c).isNull() for c in cols]
+    return F.sum(F.xxhash64(*flags, *cols).cast("decimal(38,0)"))
 
 
 def reconcile_content(
@@ -55,10 +57,14 @@ def reconcile_content(
 
     Equal row counts can hide a lost row plus a duplicate; the checksum (sum of 64-bit
     hashes as a decimal) and ``count - count(distinct offset)`` expose both. Gaps are
-    offsets missing between the table's min and max. All partial aggregates."""
+    offsets missing between the table's min and max. ``content`` names the columns compared
+    beside the offset (default: every column that both sides have); NULL is a value. All
+    partial aggregates."""
     keys = list(keys)
     table_offset = table_offset or offset
-    content = list(content or [])
+    if content is None:
+        content = [c for c in wire.columns if c in table.columns and c not in (*keys, offset, table_offset)]
+    content = list(content)
     hcols_w = [offset, *content]
     t = table.select(*keys, F.col(table_offset).alias(offset), *content)
 

@@ -21,9 +21,12 @@ def read_wire(
     streaming: bool = True,
     bootstrap_servers: str | None = None,
     max_files_per_trigger: int | None = None,
+    max_offsets_per_trigger: int = 5_000_000,
     options: dict | None = None,
 ) -> DataFrame:
-    """Read wire records. ``path`` = Parquet folder with the wire schema; else Kafka."""
+    """Read wire records. ``path`` = Parquet folder with the wire schema; else Kafka, from the
+    earliest offset unless ``options`` say otherwise. A streaming read takes at most
+    ``max_files_per_trigger`` files or ``max_offsets_per_trigger`` records a batch."""
     options = dict(options or {})
     if path is not None:
         if streaming:
@@ -40,7 +43,10 @@ def read_wire(
         raise ValueError("Kafka needs topics and bootstrap_servers (or give a wire path)")
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
-    reader = reader.option("subscribe", ",".join(topics)).options(**options)
+    reader = reader.option("subscribe", ",".join(topics)).option("startingOffsets", "earliest")
+    if streaming:
+        reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    reader = reader.options(**options)
     return reader.load().selectExpr(
         "key", "value", "topic", "partition", "offset", "timestamp", "timestampType"
     )
