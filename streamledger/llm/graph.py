@@ -24,7 +24,6 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = large.distinct()
         # small star: u and its smaller neighbours are tied to the smallest of them
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (

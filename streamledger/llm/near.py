@@ -4,13 +4,15 @@
    per band, and a signature of the minima's low ``BITS`` bits, packed into 64-bit words.
    Documents of equal sets form a class at once; only the smallest identifier goes on.
 2. Documents that share a band key lie in one bucket. Buckets never emit all their pairs:
-   first every member is paired with the bucket's smallest member. Pairs whose estimate,
-   corrected for chance collisions of b-bit values, is far below the threshold are left out;
-   the others are confirmed on their full sets, each member's best pair first.
-3. Confirmed links join components. A bucket whose members are in one component is settled.
-   In the others, members outside the bucket's largest component are paired with the members
-   of other components, in growing batches, until every pair across components has been
-   looked at: the linked groups are those of all links between bucket members.
+   every member is paired with one member of the bucket. Pairs whose estimate, corrected for
+   chance collisions of b-bit values, is far below the threshold are left out; of the others
+   each member's likeliest one is confirmed on the full sets.
+3. Confirmed links join components. A bucket whose members are in one component is settled;
+   the others get TURNS - 1 more rounds with other members to pair with.
+4. What is still unsettled is compared in full: buckets that share members are chained to
+   clusters, and each member outside its cluster's largest component is held against all
+   members of other components, inside tasks, on full sets. So the groups are those of all
+   links between members of a bucket, whatever its size.
 
 Two documents at the threshold of 0.8 share no bucket with probability (1 - 0.8^5)^32, about
 3 in a million; one more far above it practically always does.
@@ -24,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .common import blocks, byte_column, doc_columns, materialise, mix64, prefix_hash, prepare, span_hash, word_spans
 from .graph import components
@@ -33,6 +34,9 @@ BANDS, ROWS, BITS = 32, 5, 2
 MINIMA = BANDS * ROWS
 _PER_LONG = 64 // BITS
 SIGNATURE_LONGS = -(-MINIMA // _PER_LONG)
+#: Rounds in which bucket members are paired with one of them, and members of a piece in which
+#: all that is then unsettled gets compared.
+TURNS, PIECE = 3, 4096
 #: A pair is left unconfirmed if its estimate is this many standard deviations below the threshold.
 SLACK = 5.0
 
@@ -49,7 +53,7 @@ def shingles(data: np.ndarray, offs: np.ndarray, k: int) -> list[np.ndarray]:
     h = span_hash(prefix_hash(data, lower=True), start, end)
     n = len(h)
     full = np.zeros(max(0, n - k + 1), np.uint64)
-    for j in range(k):
+    for j in range(k if n >= k else 0):
         full += h[j : n - k + 1 + j] * _PLACE[j]
     full = mix64(full)
     out, at = [], 0
@@ -139,6 +143,55 @@ def estimate(a: Column, b: Column) -> Column:
     return (equal - F.lit(chance)) / F.lit(1 - chance)
 
 
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (cluster, piece, part, id, comp, shingles) come by piece, members (part 0) before
+    compared members (part 1). Full sets are intersected over an index of the members'
+    shingles; one link is passed on for every two components that get connected."""
+    here: tuple[int, int] | None = None
+    held: list[tuple[int, int, np.ndarray]] = []
+    index: tuple[np.ndarray, ...] | None = None
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        cluster, piece, part, ids, comps = (batch.column(i).to_numpy() for i in range(5))
+        ends = batch.column(5).offsets.to_numpy()
+        flat = batch.column(5).flatten().to_numpy()
+        out: list[tuple[int, int]] = []
+        for i in range(batch.num_rows):
+            if here != (cluster[i], piece[i]):
+                here, held, index, parent = (cluster[i], piece[i]), [], None, {}
+            own = flat[ends[i] : ends[i + 1]]
+            if part[i] == 0:
+                held.append((int(ids[i]), int(comps[i]), own))
+                continue
+            if not held:
+                continue
+            if index is None:
+                sizes = np.array([len(x[2]) for x in held])
+                keys = np.concatenate([x[2] for x in held])
+                order = np.argsort(keys, kind="stable")
+                keys, owner = keys[order], np.repeat(np.arange(len(held)), sizes)[order]
+                index = keys, owner, sizes, np.array([x[1] for x in held])
+            keys, owner, sizes, of = index
+            lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+            count = hi - lo
+            spot = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            shared = np.bincount(owner[spot], minlength=len(held))
+            fits = np.flatnonzero((shared * 100 >= (sizes + len(own) - shared) * percent) & (of != comps[i]))
+            for j in fits.tolist():
+                a, b = root(int(comps[i])), root(held[j][1])
+                if a != b:
+                    parent[a] = b
+                    out.append((int(ids[i]), held[j][0]))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -207,38 +260,54 @@ def near_duplicates(
         links = materialise(links.union(new), "links")
         return links, materialise(components(links), "components")
 
-    # Every member with its bucket's smallest: the best pair of each first, then the rest
-    stars = materialise(
-        likely(buckets.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()), "pairs"
-    )
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
-    links = materialise(confirmed(best), "links")
-    comps = materialise(components(links), "components")
-    rest = stars.select("a", "b").join(best, ["a", "b"], "left_anti")
-    links, comps = grow(links, confirmed(across(rest, comps)))
-
-    # Buckets that still hold several components
-    batch, used = 8, buckets.select("key", F.col("lead").alias("id")).distinct()
-    open_rows = buckets.select("key", "id")
-    while True:
-        labelled = label(open_rows, "id", comps, "comp")
-        several = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        labelled = materialise(labelled.join(several, "key", "left_semi"), "open")
-        weight = labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("w"))
-        largest = weight.groupBy("key").agg(F.max(F.struct("w", "comp"))["comp"].alias("largest"))
-        waiting = (
-            labelled.join(largest, "key").where("comp <> largest").join(weight, ["key", "comp"]).join(used, ["key", "id"], "left_anti")
+    def exhaustive(open_rows: DataFrame, comps: DataFrame) -> DataFrame:
+        """Links between all members of different components that unsettled buckets chain
+        together. Of two components one is not the cluster's largest, so it is enough to
+        compare the members outside the largest with all others. A cluster is cut into pieces
+        of about PIECE members; the compared members go to every piece."""
+        ties = open_rows.groupBy("key").agg(F.min("id").alias("a"))
+        chained = components(open_rows.join(ties, "key").select("a", F.col("id").alias("b")))
+        chained = materialise(label(chained.withColumnRenamed("comp", "cluster"), "id", comps, "comp"), "clusters")
+        weight = chained.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("w"))
+        sizes = weight.groupBy("cluster").agg(
+            F.max(F.struct("w", "comp"))["comp"].alias("largest"), F.ceil(F.sum("w") / PIECE).cast("int").alias("pieces"), F.count(F.lit(1)).alias("k")
+        )
+        members = chained.join(sizes.where("k > 1"), "cluster").join(sets, "id").select(
+            "cluster", "pieces", "id", "comp", "shingles", (F.col("comp") != F.col("largest")).alias("lead")
+        )
+        placed = members.select(
+            "*",
+            F.explode(
+                F.concat(
+                    F.array(F.struct(F.pmod(F.xxhash64("id"), "pieces").cast("int").alias("piece"), F.lit(0).alias("part"))),
+                    F.when(
+                        F.col("lead"),
+                        F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda i: F.struct(i.alias("piece"), F.lit(1).alias("part"))),
+                    ).otherwise(F.array().cast("array<struct<piece:int,part:int>>")),
+                )
+            ).alias("at"),
+        ).select("cluster", "at.piece", "at.part", "id", "comp", "shingles")
+        ordered = placed.repartition("cluster", "piece").sortWithinPartitions("cluster", "piece", "part", "id")
+        return ordered.mapInArrow(lambda batches: _compare(batches, percent), "a long, b long")
+
+    # Every member with one member of each of its buckets, the likeliest pairs of each confirmed
+    links, comps, open_rows = None, None, buckets
+    for turn in range(TURNS):
+        met = open_rows.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+        if comps is not None:
+            met = across(met, comps)
+        best = likely(met).groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
+        new = confirmed(materialise(best, "pairs"))
+        links = materialise(new if links is None else links.union(new), "links")
+        comps = materialise(components(links), "components")
+        labelled = label(open_rows.select("key", "id"), "id", comps, "comp")
+        several = labelled.groupBy("key").agg(
+            F.min("comp").alias("x"), F.max("comp").alias("y"), F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("lead")
         )
-        turn = F.row_number().over(Window.partitionBy("key").orderBy("w", "id"))
-        leads = materialise(waiting.withColumn("turn", turn).where(F.col("turn") <= batch).select("key", "id", "comp"), "leads")
-        if leads.isEmpty():
-            break
-        one = leads.select("key", F.col("id").alias("l"), F.col("comp").alias("lc"))
-        met = one.join(labelled, "key").where("comp <> lc").select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b"))
-        found = confirmed(likely(met.distinct()).select("a", "b"))
-        links, comps = grow(links, found)
-        used = materialise(used.union(leads.select("key", "id")), "used")
-        open_rows, batch = labelled.select("key", "id"), batch * 4
+        open_rows = materialise(open_rows.select("key", "id").join(several.where("x <> y").select("key", "lead"), "key"), "open")
+    # What is left: all pairs across components, inside tasks
+    if not open_rows.isEmpty():
+        links, comps = grow(links, exhaustive(open_rows, comps))
 
     named = label(rows.join(classes, ident, "left"), "rep", comps, "c")
     return named.select(
