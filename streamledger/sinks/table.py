@@ -1,16 +1,20 @@
 """Append-only target tables with a batch ledger.
 
-Layout under the table location (one folder per micro-batch, so a replay of batch N
-rewrites exactly the rows and LSNs it wrote before)::
+Layout under the table location (one folder per batch)::
 
     data/batch_id=N/        decoded rows + _topic, _partition, _offset, _schema_id, _timestamp, _lsn
     quarantine/batch_id=N/  rejected wire records with their _verdict (permissive mode)
-    ledger/batch_id=N/      one row per (topic, partition): rows, offset and LSN range
+    ledger/batch_id=N/      one row per (topic, partition): rows, offset and LSN range, and the
+                            writer with its own number of the batch
     schemas/                registered schema versions (schema_id, schema_json)
     _schema.json            the record schema the table was created with
 
-Readers only see batches that have a ledger row (the ledger is written last), so a crash
-between the data write and the ledger write is invisible and overwritten on replay.
+Readers only see batches that have a ledger row (the ledger is written last). A batch is
+named by its writer (a stream's checkpoint, or one call of ``append_rows``) and that writer's
+number; the table numbers batches itself, so writers never meet in a folder. A batch whose
+ledger row exists is never written again: replaying it does nothing. A crash before the
+ledger write leaves a folder that no reader sees and the next batch overwrites. One writer
+writes at a time.
 """
 
 from __future__ import annotations
@@ -31,10 +35,9 @@ from ..schema import schema_from_spec, to_avro_json
 META_COLUMNS = ("_topic", "_partition", "_offset", "_schema_id", "_timestamp", "_lsn")
 LEDGER_DDL = (
     "topic STRING, partition INT, rows BIGINT, min_offset BIGINT, max_offset BIGINT, "
-    "min_lsn BIGINT, max_lsn BIGINT, quarantined BIGINT, elapsed_ms DOUBLE, high_lsn BIGINT"
+    "min_lsn BIGINT, max_lsn BIGINT, quarantined BIGINT, elapsed_ms DOUBLE, high_lsn BIGINT, "
+    "writer STRING, source_batch BIGINT"
 )
-# Registry rows are schema versions: bounded by registrations, checked before broadcast.
-MAX_BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -100,11 +103,15 @@ def _catalog_ddl(schema: T.StructType) -> str:
 
 
 def ensure_table(spark: SparkSession, target: Target, schema: T.StructType, recreate: bool = False) -> Target:
-    """K3: create the table unless it exists; ``recreate`` drops it first."""
+    """K3: create the table unless it exists; ``recreate`` drops it first. An existing table
+    must have the same record schema."""
     if recreate:
         drop_table(spark, target)
+    wanted = to_avro_json(schema, name=target.table)
     if not S.path_exists(spark, f"{target.location}/_schema.json"):
-        _write_text(spark, f"{target.location}/_schema.json", to_avro_json(schema, name=target.table))
+        _write_text(spark, f"{target.location}/_schema.json", wanted)
+    elif json.loads(table_schema(spark, target))["fields"] != json.loads(wanted)["fields"]:
+        raise ValueError(f"{target.name} exists with another record schema")
     fs, data_dir = S._fs_and_path(spark, target.data_path)
     fs.mkdirs(data_dir)  # the catalog entry points here before the first batch lands
     db_location = target.location.rsplit("/", 1)[0]  # warehouse/db, beside the table
@@ -144,28 +151,69 @@ def read_ledger(spark: SparkSession, target: Target) -> DataFrame:
     return _batch_ids(spark.read.schema(LEDGER_DDL + ", batch_id BIGINT").parquet(target.ledger_path))
 
 
-def read_location(spark: SparkSession, uri: str) -> DataFrame:
-    """All files under a data location (committed or not)."""
-    return _batch_ids(spark.read.parquet(uri))
+def read_location(spark: SparkSession, uri: str, schema: str | None = None) -> DataFrame:
+    """All files under a data location (committed or not), by ``schema`` (DDL) or by what
+    Spark infers from the files."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return _batch_ids(reader.parquet(uri))
+
+
+def read_by_name(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """A table by its catalog name: the committed batches, which are its partitions."""
+    return spark.table(f"`{database}`.`{table}`")
+
+
+def _columns_ddl(spark: SparkSession, target: Target) -> str:
+    if not S.path_exists(spark, f"{target.location}/_schema.json"):
+        raise FileNotFoundError(f"no table {target.name} at {target.location}")
+    return _catalog_ddl(schema_from_spec(table_schema(spark, target), codec_types=True))
 
 
 def read_table(spark: SparkSession, target: Target, committed_only: bool = True) -> DataFrame:
-    """The table's rows; by default only batches that have a ledger row."""
+    """The table's rows, by the schema it was created with; by default only batches that
+    have a ledger row."""
+    ddl = _columns_ddl(spark, target)
     if not S.path_exists(spark, target.data_path) or not S.list_names(spark, target.data_path):
-        if not S.path_exists(spark, f"{target.location}/_schema.json"):
-            raise FileNotFoundError(f"no table {target.name} at {target.location}")
-        schema = schema_from_spec(table_schema(spark, target), codec_types=True)
-        return spark.createDataFrame([], _catalog_ddl(schema))  # created, nothing written yet
-    data = read_location(spark, target.data_path)
+        return spark.createDataFrame([], ddl)  # created, nothing written yet
+    data = read_location(spark, target.data_path, ddl)
     if not committed_only:
         return data
     batches = read_ledger(spark, target).select("batch_id").distinct()
     return data.join(batches, "batch_id", "left_semi")
 
 
+def read_quarantine(spark: SparkSession, target: Target) -> DataFrame:
+    """Rejected wire records of committed batches."""
+    bad = _batch_ids(spark.read.parquet(target.quarantine_path))
+    return bad.join(read_ledger(spark, target).select("batch_id").distinct(), "batch_id", "left_semi")
+
+
+def committed_ids(spark: SparkSession, target: Target) -> list[int]:
+    """Ids of the batches with a complete ledger folder (names only, nothing is read)."""
+    names = S.list_names(spark, target.ledger_path)
+    ids = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
+    while ids and not S.path_exists(spark, f"{target.batch_path('ledger', ids[-1])}/_SUCCESS"):
+        ids.pop()  # only the last can be incomplete
+    return ids
+
+
 def next_batch_id(spark: SparkSession, target: Target) -> int:
-    top = read_ledger(spark, target).agg(F.max("batch_id")).first()[0]
-    return 0 if top is None else int(top) + 1
+    ids = committed_ids(spark, target)
+    return ids[-1] + 1 if ids else 0
+
+
+def batch_of(spark: SparkSession, target: Target, writer: str, source_batch: int) -> int | None:
+    """The table's id of a writer's batch, or None if it is not committed. The last ledger
+    folder answers for a table with one writer; else the ledger is searched."""
+    ids = committed_ids(spark, target)
+    if not ids:
+        return None
+    last = spark.read.schema(LEDGER_DDL).parquet(target.batch_path("ledger", ids[-1])).select("writer", "source_batch").first()
+    if last is not None and last["writer"] == writer and last["source_batch"] <= source_batch:
+        return ids[-1] if last["source_batch"] == source_batch else None
+    mine = read_ledger(spark, target).where((F.col("writer") == writer) & (F.col("source_batch") == int(source_batch)))
+    row = mine.select("batch_id").first()
+    return None if row is None else int(row["batch_id"])
 
 
 def lsn_base(spark: SparkSession, target: Target, batch_id: int) -> int:
@@ -188,22 +236,35 @@ def lsn_base(spark: SparkSession, target: Target, batch_id: int) -> int:
 def append_rows(
     rows: DataFrame,
     target: Target,
-    batch_id: int | None = None,
+    source_batch: int | None = None,
     reproducible: bool = False,
     started: float | None = None,
+    writer: str = "append",
+    quarantine: DataFrame | None = None,
 ) -> dict:
-    """K1: append decoded rows as batch ``batch_id`` (default: the next one). Returns the
-    batch id and the seconds spent writing rows and writing the ledger (the flush).
+    """K1: append decoded rows as a batch. Returns the table's batch id, whether it was
+    ``already`` committed, and the seconds spent writing rows and the ledger (the flush).
 
     ``rows`` hold the record fields plus ``_topic, _partition, _offset`` (and optionally
-    ``_schema_id``, ``_timestamp``). LSNs continue from the ledger batches before this one
-    (W3); the batch folder is written in overwrite mode and the ledger rows last, so a
-    replay of the same batch id rewrites identical rows and LSNs. ``reproducible`` allows
-    in-place numbering (see ``assign_lsn``)."""
+    ``_schema_id``, ``_timestamp``). ``writer`` and ``source_batch`` name the batch: if the
+    ledger has it, nothing is written; without ``source_batch`` every call is a new batch.
+    LSNs continue from the ledger batches before this one (W3); the batch folder, which no
+    reader sees yet, is written first and the ledger rows last. ``quarantine`` rows go to the
+    batch's quarantine folder. ``reproducible`` allows in-place numbering (see
+    ``assign_lsn``)."""
     spark = rows.sparkSession
     started = time.monotonic() if started is None else started
-    if batch_id is None:
-        batch_id = next_batch_id(spark, target)
+    known = None if source_batch is None else batch_of(spark, target, writer, source_batch)
+    if known is not None:
+        return {"batch_id": known, "already": True, "write_s": 0.0, "flush_s": 0.0}
+    batch_id = next_batch_id(spark, target)
+    if source_batch is None:
+        source_batch = batch_id
+    bad_path = target.batch_path("quarantine", batch_id)
+    if quarantine is not None:
+        quarantine.write.mode("overwrite").parquet(bad_path)
+    elif S.path_exists(spark, bad_path):
+        S.delete_path(spark, bad_path)  # left by a batch that never got its ledger row
     for c, t in (("_schema_id", "int"), ("_timestamp", "timestamp")):
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast(t))
@@ -211,14 +272,22 @@ def append_rows(
     numbered = assign_lsn(rows, base=base, keys=("_topic", "_partition"), order="_offset", reproducible=reproducible)
     numbered.write.mode("overwrite").parquet(target.batch_path("data", batch_id))
     written = time.monotonic()
-    write_ledger(spark, target, batch_id, written - started, base)
-    return {"batch_id": batch_id, "write_s": written - started, "flush_s": time.monotonic() - written}
+    write_ledger(spark, target, batch_id, written - started, base, writer, source_batch)
+    spark.sql(
+        f"ALTER TABLE `{target.database}`.`{target.table}` ADD IF NOT EXISTS "
+        f"PARTITION (batch_id={batch_id}) LOCATION '{target.batch_path('data', batch_id)}'"
+    )
+    return {"batch_id": batch_id, "already": False, "write_s": written - started, "flush_s": time.monotonic() - written}
 
 
-def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: float, base: int = 0) -> None:
+def write_ledger(
+    spark: SparkSession, target: Target, batch_id: int, seconds: float, base: int = 0,
+    writer: str = "append", source_batch: int | None = None,
+) -> None:
     """Ledger rows for batch N, computed from the files written for it (and the batch's
     quarantine folder, if any), each with the batch's high-water LSN (``base`` + good
-    rows). Written last: it makes the batch visible."""
+    rows). Offsets are those delivered, good or quarantined. Written last: it makes the
+    batch visible."""
     written = spark.read.parquet(target.batch_path("data", batch_id)).select(
         F.col("_topic").alias("topic"),
         F.col("_partition").alias("partition"),
@@ -230,7 +299,7 @@ def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: fl
     if S.path_exists(spark, target.batch_path("quarantine", batch_id)):
         bad = spark.read.parquet(target.batch_path("quarantine", batch_id)).select(
             "topic", "partition", F.lit(0).alias("ok"), F.lit(1).alias("bad"),
-            F.lit(None).cast("long").alias("offset"), F.lit(None).cast("long").alias("lsn"),
+            "offset", F.lit(None).cast("long").alias("lsn"),
         )
         written = written.unionByName(bad)
     # one aggregate over good and quarantined rows of the batch (partial, map-side)
@@ -247,14 +316,19 @@ def write_ledger(spark: SparkSession, target: Target, batch_id: int, seconds: fl
         "topic", "partition", "rows", "min_offset", "max_offset", "min_lsn", "max_lsn", "quarantined",
         F.lit(round(seconds * 1000.0, 3)).alias("elapsed_ms"),
         (F.lit(int(base)) + F.sum("rows").over(whole_batch)).cast("long").alias("high_lsn"),
+        F.lit(writer).alias("writer"),
+        F.lit(int(batch_id if source_batch is None else source_batch)).cast("long").alias("source_batch"),
     )
     led.coalesce(1).write.mode("overwrite").parquet(target.batch_path("ledger", batch_id))
 
 
 def snapshot_at(spark: SparkSession, target: Target, lsn: int, path: str | None = None) -> DataFrame:
-    """K4: committed rows with ``_lsn <= lsn``; written to ``path`` when given. The
-    filter is pushed to the Parquet scan (row-group min/max on ``_lsn``)."""
-    snap = read_table(spark, target).where(F.col("_lsn") <= F.lit(int(lsn)))
+    """K4: committed rows with ``_lsn <= lsn``; written to ``path`` when given. Batches are
+    chosen by the ledger's LSN ranges, so only their folders are read; the filter is pushed to
+    the Parquet scan (row-group min/max on ``_lsn``) for the one that the LSN cuts."""
+    ids = read_ledger(spark, target).where(F.col("min_lsn") <= F.lit(int(lsn))).select("batch_id").distinct()
+    data = read_table(spark, target, committed_only=False)
+    snap = data.where(F.col("_lsn") <= F.lit(int(lsn))).join(ids, "batch_id", "left_semi")
     if path is None:
         return snap
     snap.write.mode("overwrite").parquet(path)
@@ -265,8 +339,14 @@ REGISTRY_DDL = "schema_id INT, schema_json STRING"
 
 
 def register_schema(spark: SparkSession, target: Target, schema_id: int, schema_json: str | dict) -> None:
-    """K5: record a schema version for the table (idempotent per id)."""
+    """K5: record a schema version for the table. The same text again is nothing new;
+    another text for a registered id is refused."""
     text = schema_json if isinstance(schema_json, str) else json.dumps(schema_json, separators=(",", ":"))
+    known = read_registry(spark, target).where(F.col("schema_id") == int(schema_id)).first()
+    if known is not None:
+        if known["schema_json"] != text:
+            raise ValueError(f"schema id {schema_id} of {target.name} is registered with another text")
+        return
     row = spark.createDataFrame([(int(schema_id), text)], REGISTRY_DDL)
     row.write.mode("overwrite").parquet(f"{target.schemas_path}/schema_id={int(schema_id)}")
 
@@ -277,16 +357,11 @@ def read_registry(spark: SparkSession, target: Target) -> DataFrame:
     return spark.read.parquet(target.schemas_path).select(F.col("schema_id").cast("int"), "schema_json")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the rows; larger inputs keep a shuffle join."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def with_schema(df: DataFrame, registry: DataFrame, schema_id: str = "_schema_id") -> DataFrame:
-    """Flag rows whose schema id has a registered schema (left join, registry
-    broadcast after a size check)."""
+    """Flag rows whose schema id has a registered schema (left join; Spark broadcasts the
+    registry below its size threshold)."""
     reg = registry.select(F.col("schema_id").alias("__sid"), F.lit(True).alias("__reg")).distinct()
-    joined = df.join(broadcast_if_small(reg), F.col(schema_id) == F.col("__sid"), "left")
+    joined = df.join(reg, F.col(schema_id) == F.col("__sid"), "left")
     return joined.withColumn("_schema_registered", F.coalesce(F.col("__reg"), F.lit(False))).drop("__sid", "__reg")
 
 

@@ -1,17 +1,18 @@
 """The ingest loop as a Structured Streaming query.
 
 Each micro-batch: check frames, decode, apply the bad-record policy, number the good rows
-with dense LSNs in (topic, partition, offset) order, write ``data/batch_id=N`` in
-overwrite mode, then write the ledger rows for batch N from the written files (the table
-protocol of ``sinks.table.append_rows``). Spark records ``commits/N`` in the checkpoint
-only after ``foreachBatch`` returns, so the ledger row is the durability barrier (T2), and
-a replayed batch rewrites identical rows and LSNs because its LSN base is the high-water
-mark recorded with batch N-1, never anything batch N wrote (T3).
+with dense LSNs in (topic, partition, offset) order, write the batch's folder, then its ledger
+rows from the written files (the table protocol of ``sinks.table.append_rows``). Spark records
+``commits/N`` in the checkpoint only after ``foreachBatch`` returns, so the ledger row is the
+durability barrier (T2). A replayed batch whose ledger row exists is left as it is; one without
+is written again with the same LSNs, because its base is the high-water mark recorded with the
+batch before (T3). The checkpoint's path is the writer's name in the ledger.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,7 +26,7 @@ from ..functions.scalar import throughput
 from ..operators.decode import SCHEMA_ID, VERDICT, decode_payload, require_ok
 from ..operators.monitor import format_batch_lines, format_flush_lines
 from ..operators.verify import reconcile_content
-from ..sinks.table import Target, append_rows, read_ledger
+from ..sinks.table import Target, append_rows, batch_of, read_ledger
 from ..sources.logs import format_log_line, utc_wall_clock
 
 STRICT, PERMISSIVE = "strict", "permissive"
@@ -38,11 +39,18 @@ def ingest_batch(
     schema: T.StructType,
     mode: str = STRICT,
     metrics_path: str | None = None,
+    writer: str = "stream",
 ) -> None:
-    """Process one micro-batch (also usable on a static DataFrame). With ``metrics_path``
-    the batch's metric lines are written there too (see ``write_metric_lines``)."""
+    """Process one micro-batch (also usable on a static DataFrame): batch ``batch_id`` of
+    ``writer``. With ``metrics_path`` the batch's metric lines are written there too (see
+    ``write_metric_lines``)."""
     spark = batch.sparkSession
     started = time.monotonic()
+    done_before = batch_of(spark, target, writer, batch_id)
+    if done_before is not None:  # durable already: the crash was after the ledger write
+        if metrics_path and not S.path_exists(spark, f"{metrics_path}/batch_id={done_before}/_SUCCESS"):
+            write_metric_lines(spark, target, done_before, metrics_path, 0.0, 0.0)
+        return
     decoded = decode_payload(batch, schema)
     if mode == STRICT:
         decoded = require_ok(decoded)
@@ -60,18 +68,20 @@ def ingest_batch(
             F.col(SCHEMA_ID).alias("_schema_id"),
             F.col("timestamp").alias("_timestamp"),
         )
+        bad = None
         if mode == PERMISSIVE:
             bad = decoded.where(F.col(VERDICT) != F.lit(frame.OK)).select(
                 "key", "value", "topic", "partition", "offset", "timestamp", VERDICT
             )
-            bad.write.mode("overwrite").parquet(target.batch_path("quarantine", batch_id))
         # K1 + W3 + ledger; the persisted batch reads back identically, so LSNs may be
         # numbered in place when the batch's partitions are disjoint offset ranges.
-        done = append_rows(rows, target, batch_id, reproducible=True, started=started)
+        done = append_rows(
+            rows, target, batch_id, reproducible=True, started=started, writer=writer, quarantine=bad
+        )
     finally:
         decoded.unpersist()
     if metrics_path:
-        write_metric_lines(spark, target, batch_id, metrics_path, done["write_s"], done["flush_s"])
+        write_metric_lines(spark, target, done["batch_id"], metrics_path, done["write_s"], done["flush_s"])
 
 
 def write_metric_lines(
@@ -127,15 +137,19 @@ def ingest(
     processing_time: str | None = None,
     query_name: str | None = None,
     metrics_path: str | None = None,
+    on_durable: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Start the ingest query. Refuses a fresh checkpoint on a table whose ledger
-    already holds batches (batch ids would restart at 0 and overwrite them)."""
+    """Start the ingest query. Refuses a fresh checkpoint on a table that a stream has
+    written before: it would deliver the same records a second time. ``on_durable`` is called
+    with each batch's number after its ledger rows are written."""
     spark = wire_stream.sparkSession
-    if _checkpoint_is_new(spark, checkpoint) and read_ledger(spark, target).limit(1).count() > 0:
-        raise RuntimeError(f"{target.name} already has ledger batches; reuse its checkpoint")
+    if _checkpoint_is_new(spark, checkpoint) and read_ledger(spark, target).where(F.col("writer") != "append").limit(1).count():
+        raise RuntimeError(f"{target.name} already has batches of a stream; reuse its checkpoint")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, target, schema, mode, metrics_path)
+        ingest_batch(batch, batch_id, target, schema, mode, metrics_path, writer=checkpoint.rstrip("/"))
+        if on_durable is not None:
+            on_durable(batch_id)
 
     writer = wire_stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if query_name:
@@ -154,8 +168,10 @@ def durable_lsn(ledger: DataFrame) -> DataFrame:
 
 def replay_report(wire: DataFrame, table: DataFrame, content: list[str] | None = None) -> DataFrame:
     """Per partition, compare the delivered records with the table (duplicates, gaps,
-    checksum) over the offsets the table covers."""
+    checksum) over the offsets the table covers: those up to its highest one."""
+    ends = table.groupBy(F.col("_topic").alias("__t"), F.col("_partition").alias("__p")).agg(F.max("_offset").alias("__end"))
+    covered = (F.col("topic") == F.col("__t")) & (F.col("partition") == F.col("__p")) & (F.col("offset") <= F.col("__end"))
     return reconcile_content(
-        wire, table.withColumnRenamed("_topic", "topic").withColumnRenamed("_partition", "partition"),
+        wire.join(ends, covered, "left_semi"), table.withColumnRenamed("_topic", "topic").withColumnRenamed("_partition", "partition"),
         keys=("topic", "partition"), offset="offset", table_offset="_offset", content=content,
     )

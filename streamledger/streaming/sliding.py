@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.logs import utc_instant, utc_wall_clock
+
 
 def sliding_metrics(
     df: DataFrame,
@@ -20,20 +22,20 @@ def sliding_metrics(
 ) -> DataFrame:
     """Counts (and extra ``aggs``) per sliding window and key; windows start at multiples
     of the slide since the epoch. A streaming input needs a TIMESTAMP column for the
-    watermark: TIMESTAMP_NTZ is cast (session time zone) and the window bounds cast back."""
+    watermark: TIMESTAMP_NTZ is taken as UTC and the window bounds are given back so."""
     ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
     src = df
     tcol = ts
     if df.isStreaming:
         if ntz:
-            src = src.withColumn("__ts", F.col(ts).cast("timestamp"))
+            src = src.withColumn("__ts", utc_instant(F.col(ts)))
             tcol = "__ts"
         src = src.withWatermark(tcol, watermark or window)
     w = F.window(F.col(tcol), window, slide)
     out = src.groupBy(w.alias("__w"), *keys).agg(F.count(F.lit(1)).alias("n"), *aggs)
     start, end = F.col("__w.start"), F.col("__w.end")
     if ntz and df.isStreaming:
-        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+        start, end = utc_wall_clock(start), utc_wall_clock(end)
     return out.select(start.alias("window_start"), end.alias("window_end"), *[c for c in out.columns if c != "__w"])
 
 
