@@ -4,19 +4,21 @@
 position in the partition by ``event_id`` (from 0). Records are encoded for real (Avro +
 frame) and then damaged by rule, so the classifier runs on bytes:
 ``event_id % 97 = 0`` -> NULL value, ``% 89 = 0`` -> first byte 01, ``% 83 = 0`` -> cut to
-4 bytes. Schema id 8 for ``user_id % 5 = 0``, else 7. Ingest-side plans write to fresh
-folders under the shared checkpoint root.
+4 bytes. Schema id 8 for ``user_id % 5 = 0``, else 7. The topic arrives in three files by
+``event_id``, one micro-batch each. Ingest-side plans write to fresh folders under the shared
+checkpoint root.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import session as S
 from ..functions import frame
 from ..functions.avro import encode_record
-from ..functions.scalar import progress_pct, qualified_name, table_uri, throughput
+from ..functions.scalar import clamp_positive, progress_pct, qualified_name, table_uri, target_total, throughput
 from ..operators import ledger as LG
 from ..operators import monitor as M
 from ..operators.decode import SCHEMA_ID, VERDICT, check_frames, decode_payload
@@ -24,13 +26,13 @@ from ..operators.sequence import assign_lsn, dense_number, upsert_index
 from ..operators.verify import reconcile, reconcile_content
 from ..schema import SAMPLE_RECORD_SCHEMA, schema_from_spec
 from ..sinks import table as TB
-from ..sources.generate import generate_from
+from ..sources.generate import bounded, generate_from
 from ..sources.logs import format_log_line, read_metric_log, utc_instant, utc_wall_clock
 from ..sources.wire import read_wire
-from ..streaming.ingest import PERMISSIVE, durable_lsn, ingest
+from ..streaming.ingest import PERMISSIVE, STRICT, durable_lsn, ingest
 from ..streaming.sliding import sliding_metrics, sliding_to_table
 
-# The record schema written to the events wire, and its fault rules.
+# The record schema of the events wire, and its fault rules.
 EVENT_RECORD = {
     "type": "record",
     "name": "Event",
@@ -45,6 +47,8 @@ TOPIC = "events"
 PARTITIONS = 4
 NULL_EVERY, MAGIC_EVERY, SHORT_EVERY = 97, 89, 83
 REGISTERED_SCHEMA_ID = 7
+#: Files the topic arrives in, one micro-batch each.
+WIRE_FILES = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +58,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def events_wire(events: DataFrame, offsets: bool = True) -> DataFrame:
     """Events as Kafka-shaped wire records (see the module docstring). ``offsets=False``
     leaves the offset NULL and skips numbering, for consumers that only look at bytes."""
-    rec = events.select(
+    rec = _records(events)
+    if offsets:
+        rec = dense_number(rec, ["partition"], "event_id", "offset", per_key=True, start=0)
+    else:
+        rec = rec.withColumn("offset", F.lit(None).cast("long"))
+    return _encoded(rec)
+
+
+def _records(events: DataFrame) -> DataFrame:
+    return events.select(
         "event_id",
         "ts",
         "user_id",
@@ -62,10 +75,9 @@ def events_wire(events: DataFrame, offsets: bool = True) -> DataFrame:
         (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
         F.when(F.col("event_id") % 7 != 0, F.col("value") > 50).alias("flag"),
     )
-    if offsets:
-        rec = dense_number(rec, ["partition"], "event_id", "offset", per_key=True, start=0)
-    else:
-        rec = rec.withColumn("offset", F.lit(None).cast("long"))
+
+
+def _encoded(rec: DataFrame) -> DataFrame:
     datum = encode_record(
         EVENT_SCHEMA,
         {"event_type": F.col("event_type"), "event_id": F.col("event_id").cast("int"), "flag": F.col("flag")},
@@ -349,38 +361,64 @@ _RUNS: dict[tuple[str, str, str], dict] = {}
 def _wire_dir(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, "wire")
     if key not in _RUNS:
-        path = S.scratch_path(spark, "wire")
-        w = events_wire(table(spark, sf_dir, "events"))
-        # Kept like a broker log: each file a contiguous offset range in offset order (one
-        # range per core, so consumers read in parallel; the range shuffle runs inside this
-        # single write job). Consumers can then number records in place.
-        n = spark.sparkContext.defaultParallelism
-        w = w.repartitionByRange(n, "topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
-        w.write.mode("overwrite").parquet(path)
+        path, numbered = S.scratch_path(spark, "wire"), S.scratch_path(spark, "numbered")
+        events = table(spark, sf_dir, "events")
+        # Narrow rows get their offsets first and are written by arrival; each part of the
+        # topic is then encoded once, in offset order, as it is published. A part is one file,
+        # the unit of a micro-batch here, and holds a contiguous offset range per partition,
+        # so consumers can number records in place.
+        last = events.agg(F.max("event_id")).first()[0] or 0
+        part = F.floor(F.col("event_id") * WIRE_FILES / F.lit(int(last) + 1)).cast("int")
+        rec = dense_number(_records(events), ["partition"], "event_id", "offset", per_key=True, start=0)
+        rec.withColumn("part", part).write.partitionBy("part").parquet(numbered)
+        for k in range(WIRE_FILES):
+            rows = spark.read.schema(rec.schema).parquet(f"{numbered}/part={k}").coalesce(1)
+            _encoded(rows.sortWithinPartitions("partition", "offset")).write.mode("append").parquet(path)
         _RUNS[key] = {"path": path}
     return _RUNS[key]["path"]
 
 
-def _run_ingest(spark: SparkSession, sf_dir: str, replay: bool = False) -> TB.Target:
-    """Ingest the wire folder with ``availableNow`` (permissive: faults are quarantined).
-    ``replay`` deletes the last commit marker and runs again on the same checkpoint."""
-    key = (spark.sparkContext.applicationId, sf_dir, "replay" if replay else "ingest")
+def _run_ingest(spark: SparkSession, sf_dir: str, run: str = "sink") -> TB.Target:
+    """Ingest the wire folder with ``availableNow``, a file per micro-batch (permissive:
+    faults are quarantined). Runs: ``replay`` drops the last commit marker and runs again;
+    ``crash`` fails in the last batch when its ledger row is written but Spark's commit isn't,
+    and runs again; ``strict`` reads good records only and fails on any other."""
+    key = (spark.sparkContext.applicationId, sf_dir, run)
     if key in _RUNS:
         return _RUNS[key]["target"]
     wire_dir = _wire_dir(spark, sf_dir)
-    target = TB.target_for(spark, "ingest", "events_" + ("replay" if replay else "sink"), S.scratch_path(spark, "warehouse"))
+    target = TB.target_for(spark, "ingest", f"events_{run}", S.scratch_path(spark, "warehouse"))
     TB.ensure_table(spark, target, EVENT_SCHEMA, recreate=True)
     checkpoint = S.scratch_path(spark, "checkpoint")
     metrics = f"{target.location}/_sink_log"
-    runs = 2 if replay else 1
-    for i in range(runs):
-        if i:
-            commits = sorted(int(n) for n in S.list_names(spark, f"{checkpoint}/commits") if n.isdigit())
-            S.delete_path(spark, f"{checkpoint}/commits/{commits[-1]}")
-        q = ingest(read_wire(spark, path=wire_dir), target, EVENT_SCHEMA, checkpoint, mode=PERMISSIVE, metrics_path=metrics)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+
+    def fail_after_last(batch_id: int) -> None:
+        if batch_id == WIRE_FILES - 1:
+            raise RuntimeError("crash after the ledger write")
+
+    def once(hook=None) -> str | None:
+        stream = read_wire(spark, path=wire_dir, max_files_per_trigger=1)
+        mode = PERMISSIVE
+        if run == "strict":
+            stream, mode = stream.where(frame.frame_verdict("value") == F.lit(frame.OK)), STRICT
+        q = ingest(stream, target, EVENT_SCHEMA, checkpoint, mode=mode, metrics_path=metrics, on_durable=hook)
+        try:
+            q.awaitTermination()
+        except StreamingQueryException as why:
+            return str(why)
+        return str(q.exception()) if q.exception() is not None else None
+
+    problem = once(fail_after_last if run == "crash" else None)
+    if run == "crash":
+        if problem is None or "crash after the ledger write" not in problem:
+            raise RuntimeError(f"the crash did not happen: {problem}")
+        problem = once()
+    elif run == "replay" and problem is None:
+        commits = sorted(int(n) for n in S.list_names(spark, f"{checkpoint}/commits") if n.isdigit())
+        S.delete_path(spark, f"{checkpoint}/commits/{commits[-1]}")
+        problem = once()
+    if problem is not None:
+        raise RuntimeError(problem)
     _RUNS[key] = {"target": target, "metrics": metrics}
     return target
 
@@ -389,7 +427,7 @@ def ingest_log_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 + P11 + A3 on the ingest's own metric log: the last batch line per task (one
     task per topic partition) gives its total and highest LSN."""
     _run_ingest(spark, sf_dir)
-    metrics = _RUNS[(spark.sparkContext.applicationId, sf_dir, "ingest")]["metrics"]
+    metrics = _RUNS[(spark.sparkContext.applicationId, sf_dir, "sink")]["metrics"]
     parsed = M.parse_batch_lines(read_metric_log(spark, metrics))
     return M.latest_per_task(parsed).select("task_id", "total_completed", "last_lsn")
 
@@ -402,7 +440,59 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TB.read_table(spark, _run_ingest(spark, sf_dir, replay=True)).select(*_TABLE_COLS)
+    """The last batch delivered again: the table is unchanged."""
+    return TB.read_table(spark, _run_ingest(spark, sf_dir, "replay")).select(*_TABLE_COLS)
+
+
+def ingest_crash_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crash between the ledger write and Spark's commit, then a restart."""
+    return TB.read_table(spark, _run_ingest(spark, sf_dir, "crash")).select(*_TABLE_COLS)
+
+
+def ingest_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 strict over the good records; a bad one would fail the query."""
+    return TB.read_table(spark, _run_ingest(spark, sf_dir, "strict")).select(*_TABLE_COLS)
+
+
+def table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingested table through the catalog."""
+    target = _run_ingest(spark, sf_dir)
+    return TB.read_by_name(spark, target.database, target.table).select(*_TABLE_COLS)
+
+
+def append_and_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + T1 on one table: the good records of two partitions by one append, then the others
+    by a stream of three batches. Rows and LSN range per batch."""
+    key = (spark.sparkContext.applicationId, sf_dir, "mixed")
+    if key not in _RUNS:
+        target = TB.target_for(spark, "ingest", "events_mixed", S.scratch_path(spark, "warehouse"))
+        TB.ensure_table(spark, target, EVENT_SCHEMA, recreate=True)
+        rows = decoded_ok(spark, sf_dir).where("partition < 2").select(
+            "event_type", "event_id", "flag", *[F.col(c).alias(f"_{c}") for c in ("topic", "partition", "offset")]
+        )
+        TB.append_rows(rows, target)
+        stream = read_wire(spark, path=_wire_dir(spark, sf_dir), max_files_per_trigger=1).where("partition >= 2")
+        ingest(stream, target, EVENT_SCHEMA, S.scratch_path(spark, "checkpoint"), mode=PERMISSIVE).awaitTermination()
+        _RUNS[key] = {"target": target}
+    t = TB.read_table(spark, _RUNS[key]["target"])
+    return t.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("_lsn").alias("min_lsn"), F.max("_lsn").alias("max_lsn")
+    )
+
+
+def bounded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 + P9 + P14: generated rows up to the target of a configured rate (half the events a
+    second, cut to at least 1) over two seconds, or unlimited for no seconds."""
+    events = table(spark, sf_dir, "events")
+    n = events.count()
+    rows = generate_from(events.select((F.col("event_id") + 1).alias("seq")), "seq", SAMPLE_RECORD_SCHEMA, string_bytes=0)
+    out = None
+    for name, rate, seconds in (("half", n // 4, 2), ("floor", -5, 3), ("unlimited", n, 0)):
+        part = bounded(rows, target_total(clamp_positive(rate), seconds)).agg(
+            F.count(F.lit(1)).alias("rows"), F.max("numeric_column").alias("last"), F.max(F.length("string_column")).alias("width")
+        ).select(F.lit(name).alias("plan"), "rows", "last", "width")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,7 +514,7 @@ def ledger_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _run_ingest(spark, sf_dir)
-    q = spark.read.parquet(target.quarantine_path)
+    q = TB.read_quarantine(spark, target)
     return q.groupBy(F.col(VERDICT).alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -457,11 +547,39 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reconcile_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good wire records vs the ingested table, per partition."""
     target = _run_ingest(spark, sf_dir)
-    good = decoded_ok(spark, sf_dir).select("topic", "partition", "offset", "event_id")
+    return reconcile_content(*_contents(spark, sf_dir, target), table_offset="_offset")
+
+
+_CONTENT = ["event_type", "event_id", "flag", SCHEMA_ID]
+
+
+def _contents(spark: SparkSession, sf_dir: str, target: TB.Target) -> tuple[DataFrame, DataFrame]:
+    good = decoded_ok(spark, sf_dir).select("topic", "partition", "offset", *_CONTENT)
     tbl = TB.read_table(spark, target).select(
-        F.col("_topic").alias("topic"), F.col("_partition").alias("partition"), "_offset", "event_id"
+        F.col("_topic").alias("topic"), F.col("_partition").alias("partition"), "_offset", *_CONTENT
+    )
+    return good, tbl
+
+
+def reconcile_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 against a damaged copy of the table: partition 0 has lost the row of offset 1,
+    partition 1 has that row twice, in partition 2 its event type is changed, and in
+    partition 3 flags and schema ids are exchanged for NULL where the flag is NULL."""
+    good, tbl = _contents(spark, sf_dir, _run_ingest(spark, sf_dir))
+    first = tbl.groupBy("partition").agg(F.min("_offset").alias("__first"))
+    marked = tbl.join(first, "partition").withColumn("__hit", F.col("_offset") == F.col("__first"))
+    kept = marked.where(~(F.col("__hit") & (F.col("partition") == 0)))
+    again = marked.where(F.col("__hit") & (F.col("partition") == 1))
+    hit = F.col("__hit") & (F.col("partition") == 2)
+    swap = F.col("flag").isNull() & (F.col("partition") == 3)
+    damaged = kept.unionByName(again).withColumns(
+        {
+            "event_type": F.when(hit, F.lit("changed")).otherwise(F.col("event_type")),
+            "flag": F.when(swap, F.lit(True)).otherwise(F.col("flag")),
+            SCHEMA_ID: F.when(swap, F.lit(None).cast("int")).otherwise(F.col(SCHEMA_ID)),
+        }
     )
-    return reconcile_content(good, tbl, content=["event_id"], table_offset="_offset")
+    return reconcile_content(good, damaged.select(*tbl.columns), table_offset="_offset")
 
 
 def schema_join(spark: SparkSession, sf_dir: str) -> DataFrame:

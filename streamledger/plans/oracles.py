@@ -6,14 +6,14 @@ from __future__ import annotations
 
 WIRE_CTE = """
 wire AS (
-  SELECT *, 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS part,
+  SELECT *, CAST(event_id * 3 // (SELECT max(event_id) + 1 FROM events) AS BIGINT) AS batch, 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS part,
          CAST(row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS BIGINT) AS off,
          CASE WHEN event_id % 97 = 0 THEN 'null_value' WHEN event_id % 89 = 0 THEN 'bad_magic'
               WHEN event_id % 83 = 0 THEN 'too_short' ELSE 'ok' END AS verdict,
          CAST(CASE WHEN user_id % 5 = 0 THEN 8 ELSE 7 END AS INTEGER) AS sid,
          CASE WHEN event_id % 7 = 0 THEN NULL ELSE value > 50 END AS flag
   FROM events),
-ok AS (SELECT *, CAST(row_number() OVER (ORDER BY part, off) AS BIGINT) AS lsn FROM wire WHERE verdict = 'ok'),
+ok AS (SELECT *, CAST(row_number() OVER (ORDER BY batch, part, off) AS BIGINT) AS lsn FROM wire WHERE verdict = 'ok'),
 commits AS (SELECT part, max(off) // 2 AS upto FROM wire GROUP BY part),
 covered AS (SELECT o.* FROM ok o JOIN commits c ON o.part = c.part AND o.off <= c.upto),
 batches AS (SELECT CAST(event_id % 3 AS INTEGER) AS task_id, event_id // 500 AS batch_id, count(*) AS rows, max(lsn) AS max_lsn
@@ -33,7 +33,7 @@ def _q(body: str) -> str:
 
 
 TABLE_COLS = """event_type, CAST(event_id AS INTEGER) AS event_id, flag, topic AS _topic, part AS _partition,
-  off AS _offset, sid AS _schema_id, lsn AS _lsn, CAST(0 AS BIGINT) AS batch_id"""
+  off AS _offset, sid AS _schema_id, lsn AS _lsn, batch AS batch_id"""
 
 ORACLES = {
     "wire_verdicts": _q("SELECT verdict, count(*) AS n FROM wire GROUP BY verdict"),
@@ -46,7 +46,9 @@ SELECT event_id + 1 AS seq, repeat('A', 200) AS string_column,
        CAST(least(greatest(event_id + 1, -2147483648), 2147483647) AS INTEGER) AS numeric_column,
        (((((event_id + 1 + 2) % 2147483647) * 48271) % 2147483647) // 16) % 2 = 1 AS boolean_column
 FROM events""",
-    "lsn_assign": _q('SELECT part AS "partition", off AS "offset", lsn FROM ok'),
+    "lsn_assign": _q(
+        'SELECT part AS "partition", off AS "offset", CAST(row_number() OVER (ORDER BY part, off) AS BIGINT) AS lsn FROM ok'
+    ),
     "flush_point_by_partition": _q(
         'SELECT topic, part AS "partition", count(*) AS entries_considered, max(lsn) AS max_lsn FROM covered GROUP BY topic, part'
     ),
@@ -80,8 +82,9 @@ FROM events""",
         "FROM ok GROUP BY part"
     ),
     "ledger_stats": _q(
-        'SELECT part AS "partition", CAST(0 AS BIGINT) AS batch_id, count(*) AS rows, count(*) AS total_completed, '
-        "max(lsn) AS last_lsn FROM ok GROUP BY part"
+        'SELECT part AS "partition", batch AS batch_id, count(*) AS rows, '
+        "CAST(sum(count(*)) OVER (PARTITION BY part ORDER BY batch) AS BIGINT) AS total_completed, "
+        "max(max(lsn)) OVER (PARTITION BY part ORDER BY batch) AS last_lsn FROM ok GROUP BY part, batch"
     ),
     "flush_latency": _q(
         """
@@ -136,7 +139,7 @@ SELECT event_type, 'ingest.' || event_type AS qualified_name,
         "SELECT 'ingest' AS database, 'events_sink' AS \"table\", max(lsn) AS commit_lsn, max(lsn) AS flush_lsn, "
         "count(*) AS cardinality FROM ok"
     ),
-    "durable_lsn": _q("SELECT max(lsn) AS durable_lsn, CAST(1 AS BIGINT) AS batches FROM ok"),
+    "durable_lsn": _q("SELECT max(lsn) AS durable_lsn, count(DISTINCT batch) AS batches FROM ok"),
     "reconcile_counts": _q(
         "SELECT reader, (SELECT count(*) FROM ok) AS rows, (SELECT count(*) FROM ok) AS expected, true AS matches "
         "FROM (VALUES ('table'), ('location')) r(reader)"
@@ -145,6 +148,32 @@ SELECT event_type, 'ingest.' || event_type AS qualified_name,
         'SELECT topic, part AS "partition", count(*) AS wire_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS duplicates, '
         "max(off) - min(off) + 1 - count(*) AS gaps, true AS checksum_match FROM ok GROUP BY topic, part"
     ),
+    "reconcile_faults": _q(
+        """
+, shown AS (SELECT topic, part, off FROM ok
+            WHERE NOT (part = 0 AND off = (SELECT min(off) FROM ok WHERE part = 0))
+            UNION ALL SELECT topic, part, min(off) FROM ok WHERE part = 1 GROUP BY 1, 2)
+SELECT w.topic, w.part AS "partition", w.n AS wire_rows, s.n AS table_rows, s.n - s.d AS duplicates,
+       s.hi - s.lo + 1 - s.d AS gaps,
+       w.part = 3 AND NOT EXISTS (SELECT 1 FROM ok WHERE part = 3 AND flag IS NULL) AS checksum_match
+FROM (SELECT topic, part, count(*) AS n FROM ok GROUP BY 1, 2) w
+JOIN (SELECT part, count(*) AS n, count(DISTINCT off) AS d, min(off) AS lo, max(off) AS hi FROM shown GROUP BY 1) s ON s.part = w.part"""
+    ),
+    "table_by_name": _q(f"SELECT {TABLE_COLS} FROM ok"),
+    "ingest_crash_replay": _q(f"SELECT {TABLE_COLS} FROM ok"),
+    "ingest_strict": _q(f"SELECT {TABLE_COLS} FROM ok"),
+    "append_and_stream": _q(
+        """
+, placed AS (SELECT CASE WHEN part < 2 THEN 0 ELSE batch + 1 END AS batch_id, count(*) AS rows FROM ok GROUP BY 1)
+SELECT batch_id, rows, CAST(sum(rows) OVER (ORDER BY batch_id) - rows + 1 AS BIGINT) AS min_lsn,
+       CAST(sum(rows) OVER (ORDER BY batch_id) AS BIGINT) AS max_lsn FROM placed"""
+    ),
+    "bounded_rows": """
+WITH n AS (SELECT count(*) AS n FROM events),
+     plans AS (SELECT 'half' AS plan, greatest(n // 4, 1) * 2 AS goal FROM n UNION ALL SELECT 'floor', 3 FROM n
+               UNION ALL SELECT 'unlimited', 9223372036854775807 FROM n)
+SELECT plan, count(*) AS rows, CAST(max(event_id + 1) AS INTEGER) AS last, CAST(1 AS INTEGER) AS width
+FROM events JOIN plans ON event_id + 1 <= goal GROUP BY plan""",
     "schema_join": _q(
         "SELECT sid AS schema_id, sid = 7 AS registered, count(*) AS n FROM wire WHERE verdict = 'ok' GROUP BY sid"
     ),
