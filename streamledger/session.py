@@ -2,7 +2,8 @@
 
 Scratch data (wire directories, stream checkpoints, ingested tables written by the
 registered queries) lives under the shared folder named by ``spark.checkpoint.dir``.
-We only pick our own folder when the session has none, as in unit tests.
+Without it a folder of our own is picked on a local master only, as in unit tests; on a
+cluster that is an error.
 """
 
 from __future__ import annotations
@@ -57,7 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="streamledger-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="streamledger-ckpt-")  # one machine, as in tests
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)  # so Dataset.checkpoint() writes to the same shared folder
     return root.rstrip("/")

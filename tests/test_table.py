@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from streamledger import session as S
@@ -160,3 +161,72 @@ def test_read_of_a_fresh_table_is_empty_with_schema(spark):
     assert TB.snapshot_at(spark, target, 10).count() == 0
     with pytest.raises(FileNotFoundError):
         TB.read_table(spark, TB.target_for(spark, "none", "t", S.scratch_path(spark, "wh")))
+
+
+def _event_rows(spark, n, partition=0, start=0):
+    return spark.createDataFrame(
+        [("view", i, None, "events", partition, i) for i in range(start, start + n)],
+        "event_type string, event_id int, flag boolean, _topic string, _partition int, _offset long",
+    )
+
+
+def test_streams_and_appends_share_a_table(spark):
+    """5 rows by a writer, 5 by append, 3 by the first writer again: 13 rows, dense LSNs."""
+    target = TB.ensure_table(spark, TB.target_for(spark, "mixed", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    TB.append_rows(_event_rows(spark, 5), target, source_batch=0, writer="stream-a")
+    TB.append_rows(_event_rows(spark, 5, 1), target)
+    TB.append_rows(_event_rows(spark, 3, 0, 5), target, source_batch=1, writer="stream-a")
+    TB.append_rows(_event_rows(spark, 2, 2), target, source_batch=0, writer="stream-b")
+    assert TB.append_rows(_event_rows(spark, 5), target, source_batch=0, writer="stream-a")["already"]
+    t = TB.read_table(spark, target)
+    assert t.count() == 15 and sorted(r._lsn for r in t.collect()) == list(range(1, 16))
+    assert TB.read_by_name(spark, "mixed", "t").count() == 15
+
+
+def test_failed_replay_leaves_durable_rows(spark):
+    target = TB.ensure_table(spark, TB.target_for(spark, "durable", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    TB.append_rows(_event_rows(spark, 20), target, source_batch=0, writer="w")
+    broken = _event_rows(spark, 20).withColumn("event_type", F.raise_error(F.lit("task fails")))
+    assert TB.append_rows(broken, target, source_batch=0, writer="w")["already"]
+    with pytest.raises(Exception, match="task fails"):
+        TB.append_rows(broken, target, source_batch=1, writer="w")
+    assert TB.read_table(spark, target).count() == 20
+    TB.append_rows(_event_rows(spark, 4, 0, 20), target, source_batch=1, writer="w")
+    assert sorted(r._lsn for r in TB.read_table(spark, target).collect()) == list(range(1, 25))
+
+
+def test_conflicts_are_refused(spark):
+    target = TB.ensure_table(spark, TB.target_for(spark, "conflict", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    TB.ensure_table(spark, target, P.EVENT_SCHEMA)
+    with pytest.raises(ValueError, match="another record schema"):
+        TB.ensure_table(spark, target, P.schema_from_spec([{"name": "b", "data_type": "int"}]))
+    TB.register_schema(spark, target, 7, P.EVENT_RECORD)
+    with pytest.raises(ValueError, match="another text"):
+        TB.register_schema(spark, target, 7, {"type": "record", "name": "X", "fields": []})
+
+
+def test_strict_mode_fails_under_any_plan(spark):
+    from streamledger.operators.decode import decode_payload, require_ok
+
+    decoded = require_ok(decode_payload(P.events_wire(P.table(spark, SF001, "events")), P.EVENT_SCHEMA))
+    for plan in (decoded, decoded.select("event_id"), decoded.groupBy().count()):
+        with pytest.raises(Exception, match="bad record"):
+            plan.collect()
+
+
+def test_content_check_sees_moved_nulls(spark):
+    from streamledger.operators.verify import reconcile_content
+
+    wire = spark.createDataFrame([("t", 0, 0, None, "x"), ("t", 0, 1, "a", "b")], "topic string, partition int, offset long, u string, v string")
+    table = spark.createDataFrame([("t", 0, 0, "x", None), ("t", 0, 1, "a", "b")], "topic string, partition int, offset long, u string, v string")
+    assert not reconcile_content(wire, table).first().checksum_match
+    assert reconcile_content(wire, wire).first().checksum_match
+
+
+def test_later_lsn_wins_in_a_batch(spark):
+    from streamledger.operators.sequence import upsert_index
+
+    rows = [("t", 0, 4, 5, 1), ("t", 0, 4, 9, 1), ("t", 0, 4, 7, 0)]
+    for order in (rows, rows[::-1]):
+        got = upsert_index(spark.createDataFrame(order, "topic string, partition int, offset long, lsn long, batch_id long")).collect()
+        assert [(r.lsn, r.batch_id) for r in got] == [(9, 1)]
