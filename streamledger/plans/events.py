@@ -170,12 +170,13 @@ def flush_point_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flush_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return LG.flush_point(index(spark, sf_dir), commits(spark, sf_dir))
+    """A1 by the ledger: only batches that a commit cuts are read."""
+    return TB.flush_point_of(spark, _run_ingest(spark, sf_dir), commits(spark, sf_dir))
 
 
 def _pruned(spark: SparkSession, sf_dir: str):
     idx, com = index(spark, sf_dir), commits(spark, sf_dir)
-    flushed = LG.flush_point(idx, com).first()["flush_lsn"]
+    flushed = TB.flush_point_of(spark, _run_ingest(spark, sf_dir), com).first()["flush_lsn"]
     return LG.prune_index(idx, com, flushed)
 
 
@@ -521,7 +522,7 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_at_lsn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4 at the flush point of the ingested table."""
     target = _run_ingest(spark, sf_dir)
-    flushed = LG.flush_point(index(spark, sf_dir), commits(spark, sf_dir)).first()["flush_lsn"]
+    flushed = TB.flush_point_of(spark, target, commits(spark, sf_dir)).first()["flush_lsn"]
     return TB.snapshot_at(spark, target, flushed).select(*_TABLE_COLS)
 
 

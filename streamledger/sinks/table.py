@@ -335,6 +335,26 @@ def snapshot_at(spark: SparkSession, target: Target, lsn: int, path: str | None
     return spark.read.parquet(path)
 
 
+def flush_point_of(spark: SparkSession, target: Target, commits: DataFrame, upto: str = "upto") -> DataFrame:
+    """A1 for a table: ``flush_lsn`` (NULL when nothing is covered) and ``entries_considered``.
+
+    A batch whose offsets in a partition all lie within the commit counts by its ledger row;
+    only batches that a commit cuts are read, and of them only the four index columns."""
+    c = commits.select(F.col("topic"), F.col("partition"), F.col(upto).alias("__upto"))
+    led = read_ledger(spark, target).join(c, ["topic", "partition"]).where(F.col("min_offset") <= F.col("__upto"))
+    inside = F.col("max_offset") <= F.col("__upto")
+    whole = led.where(inside).agg(F.max("max_lsn").alias("lsn"), F.sum("rows").alias("n"))
+    cut = led.where(~inside).select("batch_id", "topic", "partition", "__upto")
+    index = read_table(spark, target, committed_only=False).select(
+        "batch_id", F.col("_topic").alias("topic"), F.col("_partition").alias("partition"), "_offset", "_lsn"
+    )
+    part = index.join(cut, ["batch_id", "topic", "partition"]).where(F.col("_offset") <= F.col("__upto"))
+    part = part.agg(F.max("_lsn").alias("lsn"), F.count(F.lit(1)).alias("n"))
+    return whole.unionByName(part).agg(
+        F.max("lsn").alias("flush_lsn"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("entries_considered")
+    )
+
+
 REGISTRY_DDL = "schema_id INT, schema_json STRING"
 
 

@@ -230,3 +230,15 @@ def test_later_lsn_wins_in_a_batch(spark):
     for order in (rows, rows[::-1]):
         got = upsert_index(spark.createDataFrame(order, "topic string, partition int, offset long, lsn long, batch_id long")).collect()
         assert [(r.lsn, r.batch_id) for r in got] == [(9, 1)]
+
+
+def test_flush_point_by_the_ledger_equals_the_index(spark):
+    from streamledger.operators import ledger as LG
+
+    target = TB.ensure_table(spark, TB.target_for(spark, "flush", "t", S.scratch_path(spark, "wh")), P.EVENT_SCHEMA)
+    for k in range(4):
+        TB.append_rows(_event_rows(spark, 10, k % 2, 10 * k), target)
+    idx = TB.read_table(spark, target).select(*[F.col(f"_{c}").alias(c) for c in ("topic", "partition", "offset", "lsn")])
+    for a, b in ((4, 35), (9, 5), (100, 100), (-1, 12), (-1, -1)):
+        commits = spark.createDataFrame([("events", 0, a), ("events", 1, b), ("other", 0, 9)], "topic string, partition int, upto long")
+        assert TB.flush_point_of(spark, target, commits).first() == LG.flush_point(idx, commits).first()
