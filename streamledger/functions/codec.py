@@ -1,7 +1,6 @@
 """Decode Avro datums (flat records) into typed columns.
 
-``from_avro`` is used when the spark-avro package is on the classpath. Otherwise an Arrow
-UDF decodes whole Arrow batches with numpy: every step (varint, string, boolean, float,
+An Arrow UDF decodes whole Arrow batches with numpy, whatever is on the classpath: every step (varint, string, boolean, float,
 union branch) runs over all rows of the batch at once, looping only over the fields and
 over the at most 10 bytes of a varint, never over rows. Spark partitions the batches.
 
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import avro_type, null_index, to_avro_json
+from ..schema import avro_type, null_index
 from ..session import ship_package
 
 DECODE_OK = "_decode_ok"

@@ -7,7 +7,7 @@ from streamledger.sinks import table as TB
 from streamledger.sources.logs import format_log_line, read_metric_log
 from streamledger.sources.wire import read_wire
 from streamledger.sinks.wire import publish
-from streamledger.streaming.ingest import PERMISSIVE, durable_lsn, ingest, ingest_batch
+from streamledger.streaming.ingest import PERMISSIVE, durable_lsn, ingest_batch
 
 SF001 = "/root/testdata/sf0.001"
 
