@@ -7,9 +7,11 @@ where repeats can be, not all against all:
 1. Anchors. Of the GRAM-byte strings inside a window of ``length`` bytes, those with the
    smallest hash are anchors. Equal windows have equal anchors at equal places, so a window
    that repeats has an anchor that repeats. One byte in 35 is an anchor.
-2. Anchors that occur more than once are found by a shuffle on their hash. A task first
-   settles what repeats within a block, so a frequent anchor sends one row per block.
-3. For each repeated anchor the bytes around it go to the anchor's group. There the suffixes
+2. Anchors are grouped by hash, first within a block, then by a shuffle. Occurrences that
+   agree in all bytes around them have the same windows, so all but the smallest of them are
+   settled at once, by hashes; what goes on are anchors whose surroundings differ. An anchor
+   that is frequent in a block and differs everywhere is spread and needs no group here.
+3. For each anchor left the bytes around it go to the anchor's group. There the suffixes
    right of the anchor, and the reversed prefixes left of it, are put in suffix order with
    the common lengths of neighbours. For each distance d from a window's start to the anchor,
    the windows that agree on d bytes to the left and length - d to the right are the runs of
@@ -21,8 +23,8 @@ where repeats can be, not all against all:
    over all chunks stays.
 
 All windows of an anchor overlap it, so what it removes is one interval. Intervals are merged
-per document. Windows are judged on the input, and equality on the bytes (in chunks: on the
-gram's hash, the distance and the window's hash together, 128 bits).
+per document. Windows are judged on the input, and equality on the bytes, or on 128 bits of hashes (of the
+anchor and all around it; in chunks of the anchor, the distance and the window).
 """
 
 from __future__ import annotations
@@ -42,6 +44,9 @@ HOT = 4096
 #: Rows of whole groups that are put in suffix order at once.
 _ROWS = 24_000
 _NULL_ID = -(2**63)
+#: Differing surroundings of one anchor in a block from which on they are spread.
+FEW = 32
+_REP, _MARKER, _SETTLED, _CANDIDATE = range(4)
 
 
 def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -54,13 +59,13 @@ def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     return out
 
 
-def find_anchors(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def find_anchors(data: np.ndarray, offs: np.ndarray, length: int, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position in the block, hash of the gram there) of all anchors."""
     n, width = len(data), length - GRAM + 1
     if n < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.arange(n - GRAM + 1)
-    h = span_hash(prefix_hash(data), at, at + GRAM)
+    h = span_hash(prefix, at, at + GRAM)
     least = _sliding(h, width, np.minimum)  # per window start
     inside = np.zeros(n + 1, np.int32)  # windows that lie in one document
     long_ = np.diff(offs) >= length
@@ -74,62 +79,94 @@ def find_anchors(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.nd
 
 
 def anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(``h, id, pos, m``): per block, one row of each anchor hash with its occurrences there
-    (m > 0), and the other occurrences, already known to repeat (m = 0)."""
+    """(``h, f, id, x``) by kind, which ``x`` packs with position and reach. A representative
+    or marker has the anchor's hash ``h`` and that of its surroundings ``f``; a block sends one
+    representative per (h, f). Settled rows have their interval in ``h`` and ``f``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = byte_column(batch.column(1))
             ids = batch.column(0).to_numpy()
             for lo, _, raw, at in blocks(data, offs):
-                pos, h = find_anchors(raw, at, length)
+                prefix = prefix_hash(raw)
+                pos, h = find_anchors(raw, at, length, prefix)
+                if not len(pos):
+                    continue
                 doc = np.searchsorted(at, pos, "right") - 1
-                _, first, inverse, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-                m = np.zeros(len(h), np.int64)
-                m[first] = times
-                del inverse
+                left = np.minimum(pos - at[doc], length - GRAM)
+                right = np.minimum(at[doc + 1] - pos, length)
+                f = span_hash(prefix, pos - left, pos + right)
+                f = mix64(f + (left << 16 | right).astype(np.uint64))
+                own, pos = ids[lo + doc], pos - at[doc]
+                order = np.lexsort((pos, own, f, h))
+                h, f, own, pos, left, right = (v[order] for v in (h, f, own, pos, left, right))
+                new_h = np.append(True, h[1:] != h[:-1])
+                new = new_h | np.append(True, f[1:] != f[:-1])
+                group = np.cumsum(new_h) - 1
+                many = (np.bincount(group, new) > FEW)[group]
+                kind = np.where(new, np.where(many, _CANDIDATE, _REP), _SETTLED)
+                marker = np.flatnonzero(new_h & many)
+                x = pos << 26 | left << 14 | right << 2
+                settled = kind == _SETTLED
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(ids[lo + doc]), pa.array((pos - at[doc]).astype(np.int64)), pa.array(m)],
-                    names=["h", "id", "pos", "m"],
+                    [
+                        pa.array(np.concatenate([np.where(settled, pos - left, h.view(np.int64)), h.view(np.int64)[marker]])),
+                        pa.array(np.concatenate([np.where(settled, pos + right, f.view(np.int64)), f.view(np.int64)[marker]])),
+                        pa.array(np.concatenate([own, own[marker]])),
+                        pa.array(np.concatenate([x | kind, x[marker] | _MARKER])),
+                    ],
+                    names=["h", "f", "id", "x"],
                 )
 
-    return texts.mapInArrow(run, "h long, id long, pos long, m long")
+    return texts.mapInArrow(run, "h long, f long, id long, x long")
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    """(``h, id, pos, total``): anchors that occur more than once; ``total`` on one row per
-    hash and block, 0 on the others."""
+    """(``id, a, b, h, pos``): settled intervals (``a, b``), and anchors to compare (``h, pos``):
+    those that have several surroundings."""
+    names = ["id", "a", "b", "h", "pos"]
+
+    def out(own: np.ndarray, first: np.ndarray, second: np.ndarray, settled: bool) -> pa.RecordBatch:
+        none, pair = pa.nulls(len(own), pa.int64()), [pa.array(first), pa.array(second)]
+        return pa.RecordBatch.from_arrays([pa.array(own), *(pair + [none] * 2 if settled else [none] * 2 + pair)], names=names)
+
+    def judge(h: np.ndarray, f: np.ndarray, own: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
+        new_h = np.append(True, h[1:] != h[:-1])
+        new = new_h | np.append(True, f[1:] != f[:-1])
+        group = np.cumsum(new_h) - 1
+        several = (np.bincount(group, new) + np.bincount(group, x & 3 == _MARKER) > 1)[group]
+        later = ~new
+        pos = x >> 26
+        yield out(own[later], (pos - (x >> 14 & 4095))[later], (pos + (x >> 2 & 4095))[later], True)
+        use = new & several
+        yield out(own[use], h[use], pos[use], False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the rows with m > 0 come first, sorted by hash; a hash may go on in the next batch
+        # representatives and markers come first, sorted; a hash may go on in the next batch
         held: list[np.ndarray] | None = None
-
-        def settled(cols: list[np.ndarray]) -> pa.RecordBatch:
-            h, _, _, m = cols
-            first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-            total = np.repeat(np.add.reduceat(m, first), np.diff(np.append(first, len(h)))) if len(h) else m
-            use = total > 1
-            return pa.RecordBatch.from_arrays([pa.array(c[use]) for c in (*cols[:3], total)], names=["h", "id", "pos", "total"])
-
         for batch in batches:
             cols = [batch.column(i).to_numpy() for i in range(4)]
-            lone = cols[3] > 0
-            if not lone.all():
-                yield pa.RecordBatch.from_arrays([pa.array(c[~lone]) for c in cols], names=["h", "id", "pos", "total"])
-                cols = [c[lone] for c in cols]
+            kind = cols[3] & 3
+            for k in (_SETTLED, _CANDIDATE):
+                at = kind == k
+                if at.any():
+                    h, f, own, x = (c[at] for c in cols)
+                    yield out(own, h, f, True) if k == _SETTLED else out(own, h, x >> 26, False)
+            cols = [c[kind < _SETTLED] for c in cols]
             if held:
                 cols = [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
             if len(cols[0]):
-                cut = len(cols[0]) - int(np.argmax((cols[0] != cols[0][-1])[::-1])) if (cols[0] != cols[0][-1]).any() else 0
+                other = np.flatnonzero(cols[0] != cols[0][-1])
+                cut = int(other[-1]) + 1 if len(other) else 0
                 if cut:
-                    yield settled([c[:cut] for c in cols])
+                    yield from judge(*(c[:cut] for c in cols))
                 held = [c[cut:] for c in cols]
-        if held:
-            yield settled(held)
+        if held and len(held[0]):
+            yield from judge(*held)
 
-    spread = F.when(F.col("m") > 0, F.col("h")).otherwise(F.xxhash64("id", "pos"))
-    routed = rows.withColumn("to", spread).repartition("to").sortWithinPartitions(F.col("m") == 0, "h")
-    return routed.select("h", "id", "pos", "m").mapInArrow(run, "h long, id long, pos long, total long")
+    passed = F.col("x").bitwiseAND(F.lit(2)) > 0
+    routed = rows.repartition(F.when(passed, F.xxhash64("id", "x")).otherwise(F.col("h")))
+    return routed.sortWithinPartitions(passed, "h", "f", "id", "x").mapInArrow(run, "id long, a long, b long, h long, pos long")
 
 
 def surroundings(docs: DataFrame, length: int) -> DataFrame:
@@ -344,20 +381,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prepare(docs.sparkSession)
     texts = doc_columns(docs, id_col, text_col).select(F.coalesce("__id", F.lit(_NULL_ID)).alias("id"), F.col("__text").alias("text"))
     found = materialise(repeated(anchors(texts, length)), "anchors")
-    hot = found.where(F.col("total") > HOT).groupBy("h").agg(F.ceil(F.max("total") / HOT).alias("chunks"))
+    hot = found.where("h IS NOT NULL").groupBy("h").count().where(F.col("count") > HOT)
+    hot = hot.select("h", F.ceil(F.col("count") / HOT).alias("chunks"))
     per_doc = (
         found.join(hot, "h", "left")
         .groupBy("id")
-        .agg(F.sort_array(F.collect_set(F.struct("pos", F.coalesce("chunks", F.lit(1)).cast("long").alias("chunks")))).alias("at"))
+        .agg(
+            F.collect_set(F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("chunks", F.lit(1)).cast("long").alias("chunks")))).alias("at"),
+            F.collect_list(F.when(F.col("a").isNotNull(), F.struct("a", "b"))).alias("settled"),
+        )
+        .withColumn("at", F.sort_array("at"))
     )
-    affected = materialise(texts.join(per_doc, "id").select("id", "text", "at"), "affected")
-    marks = materialise(match_groups(surroundings(affected, length), length), "marks")
+    affected = materialise(texts.join(per_doc, "id").select("id", "text", "at", "settled"), "affected")
+    compared = affected.where(F.size("at") > 0).select("id", "text", "at")
+    marks = materialise(match_groups(surroundings(compared, length), length), "marks")
     rest = marks.where("w1 IS NOT NULL")
     least = rest.groupBy("w1", "w2").agg(F.min(F.struct("id", "a")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = rest.join(least, ["w1", "w2"]).where(F.struct("id", "a") != F.col("least")).select("id", "a", "b")
     spans = marks.where("w1 IS NULL").select("id", "a", "b").union(later)
     spans = spans.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    cut = materialise(_apply(affected.select("id", "text").join(spans, "id").select("id", "text", "spans")), "cut")
+    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+    both = affected.join(spans, "id", "left").select("id", "text", F.concat("settled", F.coalesce("spans", none)).alias("spans"))
+    cut = materialise(_apply(both.where(F.size("spans") > 0)), "cut")
     whole = texts.join(cut.select("id"), "id", "left_anti").select(
         "id",
         F.octet_length("text").cast("long").alias("n_bytes"),

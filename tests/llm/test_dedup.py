@@ -128,6 +128,7 @@ def passages(rows, length):
 @pytest.mark.parametrize("length,hot", [(100, suffix.HOT), (100, 3), (57, 2)])
 def test_passages_against_all_windows(spark, monkeypatch, length, hot):
     monkeypatch.setattr(suffix, "HOT", hot)  # small: groups are cut into chunks
+    monkeypatch.setattr(suffix, "FEW", 32 if hot > 100 else 2)  # small: anchors are spread
     rows = [(3 * i, t, None) for i, t in enumerate(texts())]
     rows.append((1000, " ".join(t for t in texts() if t)[:30000], None))  # repeats others inside one text
     got = suffix.remove_repeats(docs(spark, rows), length=length).collect()
