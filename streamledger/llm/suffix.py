@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, byte_column, doc_columns, materialise, mix64, prefix_hash, prepare, span_hash
@@ -268,8 +268,9 @@ def earlier_matches(text: np.ndarray, left: np.ndarray, right: np.ndarray, group
 
 
 def match_groups(rows: DataFrame, length: int) -> DataFrame:
-    """(``id, a, b, w1, w2``): intervals that an anchor removes, and for chunks of hot groups
-    the windows [a, b) that are first of their run, with their hash."""
+    """(``id, a, b, w1, w2``): intervals [a, b) that an anchor removes, and for chunks of hot
+    groups the starts ``a`` of windows that are first of their run, with the anchor's position
+    in ``b`` and the window's hash."""
     reach = length - GRAM
 
     def judge(batch: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -292,9 +293,9 @@ def match_groups(rows: DataFrame, length: int) -> DataFrame:
             start = r * (reach + length) + reach - d
             w1 = span_hash(prefix_hash(np.ascontiguousarray(text[part]).ravel()), start, start + length)
             w2 = mix64(col["h"][own].astype(np.uint64) + d.astype(np.uint64))
-            a = col["pos"][own] - d
+            pos = col["pos"][own]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(col["id"][own]), pa.array(a), pa.array(a + length), pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64))], names=names
+                [pa.array(col["id"][own]), pa.array(pos - d), pa.array(pos), pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64))], names=names
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,8 +384,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = materialise(repeated(anchors(texts, length)), "anchors")
     hot = found.where("h IS NOT NULL").groupBy("h").count().where(F.col("count") > HOT)
     hot = hot.select("h", F.ceil(F.col("count") / HOT).alias("chunks"))
+    compare = found.where("h IS NOT NULL").join(hot, "h", "left").select("id", "a", "b", "pos", "chunks")
+    settled = found.where("h IS NULL").select("id", "a", "b", "pos", F.lit(None).cast("long").alias("chunks"))
     per_doc = (
-        found.join(hot, "h", "left")
+        compare.union(settled)
         .groupBy("id")
         .agg(
             F.collect_set(F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("chunks", F.lit(1)).cast("long").alias("chunks")))).alias("at"),
@@ -395,9 +398,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     affected = materialise(texts.join(per_doc, "id").select("id", "text", "at", "settled"), "affected")
     compared = affected.where(F.size("at") > 0).select("id", "text", "at")
     marks = materialise(match_groups(surroundings(compared, length), length), "marks")
-    rest = marks.where("w1 IS NOT NULL")
-    least = rest.groupBy("w1", "w2").agg(F.min(F.struct("id", "a")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = rest.join(least, ["w1", "w2"]).where(F.struct("id", "a") != F.col("least")).select("id", "a", "b")
+    # a window has at most one row per chunk; those that aren't the smallest make one interval
+    # per anchor
+    least = F.min(F.struct("id", "a")).over(Window.partitionBy("w1", "w2"))
+    later = marks.where("w1 IS NOT NULL").withColumn("least", least).where(F.struct("id", "a") != F.col("least"))
+    later = later.groupBy("id", F.col("b").alias("pos")).agg(F.min("a").alias("a"), (F.max("a") + length).alias("b"))
+    later = later.select("id", "a", "b")
     spans = marks.where("w1 IS NULL").select("id", "a", "b").union(later)
     spans = spans.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     none = F.array().cast("array<struct<a:bigint,b:bigint>>")
