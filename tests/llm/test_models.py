@@ -44,6 +44,24 @@ def test_leaks_verbatim_paraphrased_and_none(spark):
     assert all(r["kept"] != r["contaminated"] for r in got)
 
 
+@pytest.mark.parametrize("share", [3, 1])
+def test_an_item_in_many_documents_is_found_in_each(spark, share):
+    rng = random.Random(31)
+    items = [(i, prose(rng, rng.randint(15, 59))) for i in range(40)] + [(40, prose(rng, 18)), (41, prose(rng, 38))]
+    rows, want = [], set()
+    for i in range(300):
+        w = prose(rng, 120).split()
+        if i % share == 0:
+            k = 40 + (i // share) % 2
+            w[60:60] = items[k][1].split()
+            want.add((i, k))
+        rows.append((i, " ".join(w), None))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    leaks = decontaminate.find_leaks(docs(spark, rows), table).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in leaks} == want
+    assert all(r["lcs"] == 1.0 for r in leaks)
+
+
 def test_every_planted_item_is_found(spark):
     got = {r["doc_id"] for r in queries.op6_decontamination(spark, SF001).where("contaminated").collect()}
 
