@@ -62,6 +62,22 @@ def test_an_item_in_many_documents_is_found_in_each(spark, share):
     assert all(r["lcs"] == 1.0 for r in leaks)
 
 
+def test_items_without_spaces_and_short_items(spark):
+    items = [
+        (1, "水の沸点は標高によってどのように変わりますか。理由も答えなさい"),
+        (2, "光合作用在植物细胞的哪个部分进行?请说明原因"),
+        (3, "น้ำเดือดที่อุณหภูมิเท่าไรเมื่ออยู่บนภูเขาสูง"),
+        (4, "Define osmotic pressure!"),
+        (5, "the"),
+    ]
+    rng = random.Random(32)
+    rows = [(i, f"{prose(rng, 60)} {t} {prose(rng, 60)}", None) for i, t in items] + [(100 + i, prose(rng, 80), None) for i in range(40)]
+    rows += [(10, "注意:" + items[1][1] + "谢谢大家今天的参与", None), (11, "define pressure, osmotic", None), (12, "光の中で植物は育ちます。山の水はきれいです", None)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    leaks = decontaminate.find_leaks(docs(spark, rows), table).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in leaks} == {(1, 1), (2, 2), (3, 3), (4, 4), (10, 2)}
+
+
 def test_every_planted_item_is_found(spark):
     got = {r["doc_id"] for r in queries.op6_decontamination(spark, SF001).where("contaminated").collect()}
 
