@@ -261,6 +261,25 @@ def test_quality_verdicts(spark):
     assert quality.classify(empty(spark), table).count() == 0
 
 
+def test_one_odd_trusted_document_does_not_set_a_limit(spark):
+    rng = random.Random(41)
+
+    def odd():
+        return "".join(rng.choice("0123456789+-/#=ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(102))
+
+    n = 700
+    clean = [(i, prose(rng, rng.randint(10, 80), lang), lang) for i, lang in enumerate(["en", "en", "de"] * (n // 3))]
+    folds = spark.range(5000, 5100).select(F.col("id"), quality.fold_column("id").alias("f")).where("f = 0").orderBy("id").collect()
+    strange = folds[0]["id"]  # a trusted document of the calibration fold
+    junk = [(6000 + i, odd(), "de") for i in range(20)]
+    labels = [(i, 1) for i, _, _ in clean] + [(strange, 1)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = quality.classify(docs(spark, clean + [(strange, odd(), "de")] + junk), table).collect()
+    kept = {r["doc_id"] for r in got if r["kept"]}
+    assert not kept & {i for i, _, _ in junk}
+    assert len({i for i, _, _ in clean} - kept) <= 0.02 * n
+
+
 # ---------------------------------------------------------------- pipeline
 
 
