@@ -4,12 +4,16 @@ Beside the patterns, a string near a sensitive word is a candidate. Its novelty
 adds to the compressed size of its surroundings: the compressor is primed with a dictionary
 of identifiers, compresses the surrounding code once without and once with the candidate,
 and the difference, per byte of the candidate, is the novelty. Names built from ordinary
-identifiers or repeated nearby add little; random keys don't compress.
+identifiers or repeated nearby add little; random keys don't compress. Copies of the candidate
+that are near a sensitive word themselves, or in a fixed pattern's span, are no surroundings: a
+key in repeated lines stays novel. The least novelty follows the candidate's alphabet and length.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,8 +46,9 @@ NEAR = 64
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Characters of surrounding code on either side that prime the compressor.
 AROUND = 512
-#: Least marginal compressed bytes per byte of a candidate that is reported.
-NOVELTY = 0.72
+#: Least marginal compressed bytes per byte of a candidate that is reported; less for small
+#: alphabets, by so much of the entropy of random characters and so many bytes a candidate.
+NOVELTY, OF_ENTROPY, OVERHEAD = 0.72, 0.95, 8
 
 #: Identifiers that prime the compressor (raw dictionary content).
 IDENTIFIERS = " ".join(
@@ -75,12 +80,40 @@ def _size(data: bytes) -> int:
     return len(_compressor.compress(data))
 
 
-def novelty(text: str, start: int, end: int) -> float:
-    """Marginal compressed bytes of text[start:end] per byte, given what surrounds it."""
-    before = text[max(0, start - AROUND) : start].encode("utf-8", "replace")
-    after = text[end : end + AROUND].encode("utf-8", "replace")
-    value = text[start:end].encode("utf-8", "replace")
-    return (_size(after + before + value) - _size(after + before)) / max(1, len(value))
+def _without(text: str, lo: int, hi: int, value: str, spots: list[tuple[int, int]]) -> str:
+    """text[lo:hi] without copies of ``value`` that lie in one of ``spots`` (disjoint, sorted)."""
+    out, done, p = [], lo, text.find(value, max(0, lo - len(value) + 1), hi + len(value))
+    while 0 <= p < hi:
+        q = p + len(value)
+        i = bisect_right(spots, p, key=lambda s: s[0]) - 1
+        if i >= 0 and q <= spots[i][1]:
+            out.append(text[done : max(done, p)])
+            done = q
+        p = text.find(value, q, hi + len(value))
+    out.append(text[done:hi])
+    return "".join(out)
+
+
+def novelty(text: str, start: int, end: int, spots: list[tuple[int, int]] | None = None) -> float:
+    """Marginal compressed bytes of text[start:end] per byte, given what surrounds it; copies of
+    it inside ``spots`` don't count as surroundings."""
+    value = text[start:end]
+    before = _without(text, max(0, start - AROUND), start, value, spots or []).encode("utf-8", "replace")
+    after = _without(text, end, min(len(text), end + AROUND), value, spots or []).encode("utf-8", "replace")
+    raw = value.encode("utf-8", "replace")
+    return (_size(after + before + raw) - _size(after + before)) / max(1, len(raw))
+
+
+def least_novelty(value: str) -> float:
+    """What a random string of the alphabet and length of ``value`` surely reaches."""
+    used = set(value)
+    letters = {c for c in used if c.isalpha()}
+    symbols = sum(not c.isalnum() for c in used)
+    if letters <= set("abcdef") or letters <= set("ABCDEF"):
+        size = 16
+    else:
+        size = 10 * any(c.isdigit() for c in used) + 26 * any(c.islower() for c in letters) + 26 * any(c.isupper() for c in letters)
+    return min(NOVELTY, OF_ENTROPY * math.log2(max(2, size + symbols)) / 8 + OVERHEAD / max(1, len(value)))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -95,6 +128,17 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted and disjoint: overlapping spans as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def novel_spans(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int, float]]:
     """Incompressible strings near a sensitive word that no base span overlaps."""
     lowered = text.lower()
@@ -103,6 +147,7 @@ def novel_spans(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str,
     out, words = [], [(m.start(), m.end()) for m in SENSITIVE.finditer(text)]
     taken = sorted((a, b) for _, a, b in known)
     w = k = 0
+    spots, candidates = list(taken), []
     last = -NEAR - 1  # where the last sensitive word before the candidate ended
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
@@ -112,11 +157,15 @@ def novel_spans(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str,
             k += 1
         if a - last > NEAR or (k < len(taken) and taken[k][0] < b):
             continue
+        spots.append((a, b))
         value = m[0]
         if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
             continue
-        n = novelty(text, a, b)
-        if n >= NOVELTY:
+        candidates.append((a, b))
+    spots = _joined(spots)
+    for a, b in candidates:
+        n = novelty(text, a, b, spots)
+        if n >= least_novelty(text[a:b]):
             out.append(("novel", a, b, n))
     return out
 

@@ -124,6 +124,26 @@ def test_novelty_tells_random_strings_from_names():
     assert secrets.scan_text(twice) == []
 
 
+def test_repeated_secrets_and_small_alphabets():
+    rng = random.Random(2)
+
+    def key(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    full = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for _ in range(20):
+        value = key(full, 40)
+        line = f"curl -H 'Authorization: Bearer {value}' https://host/api\n"
+        for copies in (2, 5):
+            assert [(s["kind"], s["end"] - s["start"]) for s in secrets.scan_text(line * copies)] == [("novel", 40)] * copies
+        both = f"token={value}\n" + line
+        assert [s["kind"] for s in secrets.scan_text(both)] == ["assign", "novel"]
+    for n in (40, 64, 128, 256):
+        for alphabet in ("0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz0123456789"):
+            found = [secrets.scan_text(f"the private part: '{key(alphabet, n)}' of it") for _ in range(20)]
+            assert all([s["kind"] for s in spans] == ["novel"] for spans in found)
+
+
 # ---------------------------------------------------------------- byte BPE
 
 
