@@ -1,8 +1,8 @@
 """Avro binary encoding of flat records, written as Spark built-in expressions.
 
 No Python runs per row: encoding builds hex text with ``hex``/``lpad`` and turns it into
-bytes with ``unhex``. Everything stays JVM-side in whole-stage codegen. Decoding lives in
-``codec.py`` (``from_avro`` when spark-avro is loaded, else an Arrow-batched pandas UDF).
+bytes with ``unhex``, JVM-side in whole-stage codegen; only float and double fields take their
+bytes from Arrow batches. Decoding lives in ``codec.py``.
 
 Supported primitives: string, int, long, boolean, float, double, each optionally a
 two-branch union with null (either branch order).
@@ -17,6 +17,9 @@ Encoding rules (Avro 1.x specification, binary encoding):
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +27,6 @@ from pyspark.sql import types as T
 from ..schema import avro_type, null_index
 
 
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -56,63 +58,19 @@ def varint_hex(zz: Column, max_bytes: int) -> Column:
     return F.concat(*parts)
 
 
-def _le_hex(bits: Column, nbytes: int) -> Column:
-    return F.concat(
-        *[_hex2(F.shiftrightunsigned(bits, 8 * k).bitwiseAND(F.lit(255))) for k in range(nbytes)]
-    )
-
-
-def _is_negative(x: Column) -> Column:
-    # -0.0 compares equal to 0.0; its text form keeps the sign.
-    return (x < 0) | ((x == 0) & x.cast("string").startswith("-"))
+def _ieee_bytes(kind: str):
+    """The little-endian IEEE 754 bytes of a number (NaN in its usual form): Spark has no
+    expression for them, so they are taken from the Arrow batch."""
 
+    @F.arrow_udf("binary")
+    def convert(x: pa.Array) -> pa.Array:
+        values = x.fill_null(0).to_numpy(zero_copy_only=False).astype(kind)
+        values[np.isnan(values)] = np.nan
+        width = values.dtype.itemsize
+        raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(values), [None, pa.py_buffer(values.tobytes())])
+        return pc.if_else(x.is_valid(), raw.cast(pa.binary()), pa.scalar(None, pa.binary()))
 
-def double_bits(x: Column) -> Column:
-    """IEEE 754 bit pattern of a double (NaN canonical), exact."""
-    x = x.cast("double")
-    a = F.abs(x)
-    finite_pos = (~F.isnan(x)) & (a != F.lit(float("inf"))) & (a > 0)
-    e0 = F.when(finite_pos, F.floor(F.log2(a)))
-    e = (
-        F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
-        .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1)
-        .otherwise(e0)
-    )
-    normal_mant = ((a / F.pow(F.lit(2.0), e) - F.lit(1.0)) * F.lit(2.0**52)).cast("long")
-    sub_mant = (a * F.lit(2.0**1022) * F.lit(2.0**52)).cast("long")
-    magnitude = (
-        F.when(F.isnan(x), F.lit(0x7FF8000000000000))
-        .when(a == F.lit(float("inf")), F.lit(0x7FF0000000000000))
-        .when(a == 0, F.lit(0))
-        .when(a < F.lit(2.0**-1022), sub_mant)
-        .otherwise(F.shiftleft((e + 1023).cast("long"), 52).bitwiseOR(normal_mant))
-    )
-    sign = F.when(_is_negative(x) & ~F.isnan(x), F.lit(-(2**63))).otherwise(F.lit(0))
-    return magnitude.bitwiseOR(sign)
-
-
-def float_bits(x: Column) -> Column:
-    """IEEE 754 single-precision bit pattern (in the low 32 bits of a long), exact."""
-    d = x.cast("float").cast("double")
-    a = F.abs(d)
-    finite_pos = (~F.isnan(d)) & (a != F.lit(float("inf"))) & (a > 0)
-    e0 = F.when(finite_pos, F.floor(F.log2(a)))
-    e = (
-        F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
-        .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1)
-        .otherwise(e0)
-    )
-    normal_mant = ((a / F.pow(F.lit(2.0), e) - F.lit(1.0)) * F.lit(2.0**23)).cast("long")
-    sub_mant = (a * F.lit(2.0**149)).cast("long")
-    magnitude = (
-        F.when(F.isnan(d), F.lit(0x7FC00000))
-        .when(a == F.lit(float("inf")), F.lit(0x7F800000))
-        .when(a == 0, F.lit(0))
-        .when(a < F.lit(2.0**-126), sub_mant)
-        .otherwise(F.shiftleft((e + 127).cast("long"), 23).bitwiseOR(normal_mant))
-    )
-    sign = F.when(_is_negative(d) & ~F.isnan(d), F.lit(0x80000000)).otherwise(F.lit(0))
-    return magnitude.cast("long").bitwiseOR(sign)
+    return convert
 
 
 def _encode_value_hex_or_bytes(c: Column, atype: str) -> Column:
@@ -128,9 +86,9 @@ def _encode_value_hex_or_bytes(c: Column, atype: str) -> Column:
     if atype == "boolean":
         return F.when(c, F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
     if atype == "float":
-        return F.unhex(_le_hex(float_bits(c), 4))
+        return _ieee_bytes("<f4")(c.cast("float"))
     if atype == "double":
-        return F.unhex(_le_hex(double_bits(c), 8))
+        return _ieee_bytes("<f8")(c.cast("double"))
     raise ValueError(f"unsupported Avro type {atype}")
 
 

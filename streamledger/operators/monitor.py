@@ -87,9 +87,16 @@ def parse_flush_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return parsed.where(_token(L, "elapsed_ms").isNotNull())
 
 
-def latest_per_task(metrics: DataFrame, order: tuple[str, ...] = ("ts", "line_no")) -> DataFrame:
+def _arrival(metrics: DataFrame, order: tuple[str, ...] | None) -> tuple[str, ...]:
+    """The instant of a line, then its place in the log (or its number, without files)."""
+    return order or ("ts", "arrival" if "arrival" in metrics.columns else "line_no")
+
+
+def latest_per_task(metrics: DataFrame, order: tuple[str, ...] | None = None) -> DataFrame:
     """A3: the last line seen per task (later lines overwrite earlier ones), plus the
-    highest LSN the task ever reported."""
+    highest LSN the task ever reported. Lines come by ``order``: by default by their instant
+    and, where they have none or the same, as they were written."""
+    order = _arrival(metrics, order)
     keep = [c for c in ("total_completed", "last_lsn") if c in metrics.columns]
     latest = F.max_by(F.struct(*keep), F.struct(*order)).alias("__last")
     return metrics.groupBy("task_id").agg(latest, F.max("last_lsn").alias("max_lsn")).select(
@@ -97,7 +104,7 @@ def latest_per_task(metrics: DataFrame, order: tuple[str, ...] = ("ts", "line_no
     )
 
 
-def overall_progress(metrics: DataFrame, order: tuple[str, ...] = ("ts", "line_no")) -> DataFrame:
+def overall_progress(metrics: DataFrame, order: tuple[str, ...] | None = None) -> DataFrame:
     """A4: total completed = sum of the latest total per task; highest LSN = max seen."""
     return latest_per_task(metrics, order).agg(
         F.coalesce(F.sum("total_completed"), F.lit(0)).cast("long").alias("total_completed"),
@@ -119,18 +126,47 @@ def flush_latency(flushes: DataFrame, line: str = "line", line_no: str = "line_n
     )
 
 
+#: Seconds of a bucket of probes, and buckets of a bucket above them.
+PROBE_BUCKET, PROBE_FANOUT = 3600, 1024
+
+
+def with_previous(df: DataFrame, order: str, value: Column, out: str, width: int, fanout: int = PROBE_FANOUT, levels: int = 4) -> DataFrame:
+    """Add ``out``: ``value`` of the row before in ``order`` (a long, unique; NULL for the
+    first). Rows are ranked in buckets of ``width``; the first row of a bucket gets the last row
+    of the bucket before, which is found the same way among buckets of ``fanout`` buckets. So no
+    window holds more than a bucket, until after ``levels`` there is one."""
+    bucket, own, before, carried = (f"__wp{levels}_{x}" for x in ("bucket", "own", "before", "carried"))
+    start = F.col(order) - F.pmod(F.col(order), F.lit(int(width)))
+    rows = df.withColumns({bucket: (start / F.lit(int(width))).cast("long") if levels else F.lit(0).cast("long"), own: value})
+    ranked = rows.withColumn(before, F.lag(own).over(Window.partitionBy(bucket).orderBy(order)))
+    if levels == 0:
+        return ranked.withColumnRenamed(before, out).drop(bucket, own)
+    last = rows.groupBy(bucket).agg(F.max_by(own, order).alias("last"))
+    carry = with_previous(last, bucket, F.col("last"), carried, fanout, fanout, levels - 1).select(bucket, carried)
+    return ranked.join(carry, bucket, "left").withColumn(out, F.coalesce(before, carried)).drop(bucket, own, before, carried)
+
+
+def _micros(df: DataFrame, ts: str) -> Column:
+    """A number that grows with the time, whatever the session's zone."""
+    at = F.col(ts)
+    if not isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return F.unix_micros(at.cast("timestamp"))
+    days = F.datediff(at, F.lit("1970-01-01").cast("date")).cast("long")
+    of_day = (F.hour(at) * 3600 + F.minute(at) * 60).cast("long") * 1_000_000 + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("long")
+    return days * 86_400_000_000 + of_day
+
+
 def probe_rates(probes: DataFrame, start_ts: Column | None = None, ts: str = "probe_ts", total: str = "total_completed") -> DataFrame:
     """Rows and rate between consecutive probes, ``dt`` at least 1 s. The first probe
-    compares with (start, 0); start defaults to the first probe itself. Probes are one
-    row per monitoring tick, so the ordered window holds ticks, not data rows."""
-    w = Window.orderBy(ts)
-    prev_ts = F.lag(ts).over(w)
+    compares with (start, 0); start defaults to the first probe itself. Probes are ranked in
+    buckets of an hour that pass on their last row, so no task gets all of them."""
+    row = F.struct(F.col(ts).alias("ts"), F.col(total).alias("total"))
+    seen = with_previous(probes.withColumn("__micros", _micros(probes, ts)), "__micros", row, "__prev", PROBE_BUCKET * 1_000_000)
     first = start_ts if start_ts is not None else F.col(ts)
-    prev_ts = F.coalesce(prev_ts, first)
-    prev_total = F.coalesce(F.lag(total).over(w), F.lit(0))
+    prev_ts = F.coalesce(F.col("__prev.ts"), first)
     dt = F.greatest(F.lit(1), (F.unix_timestamp(F.col(ts)) - F.unix_timestamp(prev_ts))).cast("long")
-    delta = (F.col(total) - prev_total).cast("long")
-    return probes.select(
+    delta = (F.col(total) - F.coalesce(F.col("__prev.total"), F.lit(0))).cast("long")
+    return seen.select(
         F.col(ts), F.col(total), delta.alias("delta_rows"), dt.alias("window_s"), (delta / dt).alias("probe_rps")
     )
 

@@ -14,9 +14,10 @@ the events wire fixture. ``order`` must be integral and unique within a key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
@@ -93,6 +94,82 @@ def dense_number(
 _ROW_BITS = 33  # monotonically_increasing_id: partition id above, row index in the low 33 bits
 
 
+@dataclass
+class InPlace:
+    """Rows sorted inside their input partitions, with one summary row per (partition, key):
+    what numbering without a shuffle needs. ``ranges`` has per key its rows ``n`` and its first
+    and last position ``lo`` and ``hi``; ``disjoint`` says that a key's partitions hold ranges
+    one after the other and no position is NULL. ``extra`` are the rows of the frame measured
+    along with it. The summary is kept until ``close``, so check and numbering read it once."""
+
+    keys: list[str]
+    order: str
+    local: DataFrame
+    summary: DataFrame
+    ranges: list[Row]
+    disjoint: bool
+    extra: list[Row]
+
+    def number(self, out: str, base: int = 0, per_key: bool = False, start: int = 1) -> DataFrame:
+        """A row's number is the count of rows before its partition's range (in all keys, or in
+        its own with ``per_key``) plus its index in that range."""
+        keys = self.keys
+        earlier = Window.partitionBy(*keys).orderBy("__lo").rowsBetween(Window.unboundedPreceding, -1)
+        starts = self.summary.select("__pid", *keys, "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+        if not per_key:
+            totals = self.summary.groupBy(*keys).agg(F.sum("__n").alias("__key_n"))
+            before_key = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # one row per key
+            key_starts = totals.select(*keys, F.coalesce(F.sum("__key_n").over(before_key), F.lit(0)).alias("__key_before"))
+            starts = starts.join(key_starts, keys).withColumn("__before", F.col("__before") + F.col("__key_before"))
+        starts = starts.select(F.col("__pid").alias("__s_pid"), *[F.col(c).alias(f"__s_{c}") for c in keys], "__first", "__before")
+        cond = [_input_partition() == F.col("__s_pid")] + [F.col(c) == F.col(f"__s_{c}") for c in keys]
+        numbered = self.local.join(starts, cond).select(
+            *self.local.columns,
+            (F.col("__before") + (F.col("__rid") - F.col("__first")) + F.lit(int(base) + start)).cast("long").alias(out),
+        )
+        return numbered.drop("__rid")
+
+    def close(self) -> None:
+        self.summary.unpersist()
+
+
+def _input_partition():
+    return F.shiftright(F.col("__rid"), _ROW_BITS)
+
+
+def plan_in_place(df: DataFrame, keys: Sequence[str], order: str, extra: DataFrame | None = None) -> InPlace:
+    """Measure ``df`` for numbering in place (see ``InPlace``), in one job. ``extra`` has the
+    columns ``(*keys, n, lo, hi)``, by position, and is measured in the same job."""
+    keys = list(keys)
+    cols = [*keys, order]
+    local = df.sortWithinPartitions(*cols).withColumn("__rid", F.monotonically_increasing_id())
+    summary = local.groupBy(_input_partition().alias("__pid"), *keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.min("__rid").alias("__first"),
+        F.min(F.struct(*cols)).alias("__lo"),
+        F.max(F.struct(*cols)).alias("__hi"),
+    )
+    summary = summary.persist()
+    # Ranges of one key, in order: each must end before the next begins. A key has one range
+    # per input partition that holds it, and every key one row in the table of key totals.
+    follows = F.lag("__hi").over(Window.partitionBy(*keys).orderBy("__lo"))
+    missing = [F.col(f"__{e}.`{c}`").isNull() for e in ("lo", "hi") for c in cols]  # NULLs have no place in the order
+    bad = reduce(lambda x, y: x | y, [F.coalesce(F.col("__prev") >= F.col("__lo"), F.lit(False)), *missing])
+    measured = summary.select("*", follows.alias("__prev")).groupBy(*keys).agg(
+        F.sum("__n").alias("n"),
+        F.min(f"__lo.{order}").alias("lo"),
+        F.max(f"__hi.{order}").alias("hi"),
+        F.max(bad.cast("int")).alias("bad"),
+    )
+    measured = measured.withColumn("of", F.lit(0))
+    if extra is not None:
+        more = extra.toDF(*keys, "n", "lo", "hi")
+        measured = measured.unionByName(more.withColumns({"bad": F.lit(0), "of": F.lit(1)}))
+    found = measured.collect()  # one row per key
+    ranges = [r for r in found if r["of"] == 0]
+    return InPlace(keys, order, local, summary, ranges, not any(r["bad"] for r in ranges), [r for r in found if r["of"] == 1])
+
+
 def number_in_place(
     df: DataFrame,
     keys: Sequence[str],
@@ -108,49 +185,20 @@ def number_in_place(
     ``repartitionByRange`` output is range-disjoint too), so after a local sort each
     partition's rows are consecutive in (keys, order). One summary row per (partition,
     key) (count, first and last position) is checked for overlap; if the partition ranges
-    are disjoint, a row's number is the count of rows before its partition's range (all
-    keys, or its own key with ``per_key``) plus its index in that range (rows of a group
-    are consecutive in their partition, so the index is the row id minus the group's
-    first row id). Summaries are one row per (partition, key) and stay a DataFrame; only
-    whether any ranges of a key overlap (or a position is NULL) comes to the driver, and
-    then ``None`` is returned (a shuffle is needed).
+    are disjoint, rows are numbered from it (rows of a group are consecutive in their
+    partition, so a row's index is its id minus the group's first). Summaries stay a
+    DataFrame; one row per key comes to the driver. If ranges overlap (or a position is NULL)
+    ``None`` is returned: a shuffle is needed.
 
     The input is read twice (summary, then numbering) and must come back with the same
     partitions both times: a persisted or checkpointed frame, or a file or Kafka read.
     Not a fresh ``repartitionByRange``: its bounds are sampled again for each job.
     """
-    keys = list(keys)
-    cols = [*keys, order]
-    local = df.sortWithinPartitions(*cols).withColumn("__rid", F.monotonically_increasing_id())
-    pid = F.shiftright(F.col("__rid"), _ROW_BITS)
-    summary = local.groupBy(pid.alias("__pid"), *keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min("__rid").alias("__first"),
-        F.min(F.struct(*cols)).alias("__lo"),
-        F.max(F.struct(*cols)).alias("__hi"),
-    )
-    # Ranges of one key, in order: each must end before the next begins. A key has one range
-    # per input partition that holds it, and every key one row in the table of key totals.
-    of_key = Window.partitionBy(*keys).orderBy("__lo")
-    ranges = summary.select("*", F.lag("__hi").over(of_key).alias("__prev"))
-    missing = [F.col(f"__{e}.`{c}`").isNull() for e in ("lo", "hi") for c in cols]  # NULLs have no place in the order
-    bad = reduce(lambda x, y: x | y, [F.col("__prev") >= F.col("__lo"), *missing])
-    if ranges.where(bad).limit(1).count():
+    plan = plan_in_place(df, keys, order)
+    if not plan.disjoint:
+        plan.close()
         return None
-    earlier = of_key.rowsBetween(Window.unboundedPreceding, -1)
-    starts = summary.select("__pid", *keys, "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    if not per_key:
-        totals = summary.groupBy(*keys).agg(F.sum("__n").alias("__key_n"))
-        before_key = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # one row per key
-        key_starts = totals.select(*keys, F.coalesce(F.sum("__key_n").over(before_key), F.lit(0)).alias("__key_before"))
-        starts = starts.join(key_starts, keys).withColumn("__before", F.col("__before") + F.col("__key_before"))
-    starts = starts.select(F.col("__pid").alias("__s_pid"), *[F.col(c).alias(f"__s_{c}") for c in keys], "__first", "__before")
-    cond = [pid == F.col("__s_pid")] + [F.col(c) == F.col(f"__s_{c}") for c in keys]
-    numbered = local.join(starts, cond).select(
-        *local.columns,
-        (F.col("__before") + (F.col("__rid") - F.col("__first")) + F.lit(int(base) + start)).cast("long").alias(out),
-    )
-    return numbered.drop("__rid")
+    return plan.number(out, base, per_key, start)
 
 
 def assign_lsn(
@@ -161,14 +209,19 @@ def assign_lsn(
     out: str = "_lsn",
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
     reproducible: bool = False,
+    plan: InPlace | None = None,
 ) -> DataFrame:
     """LSNs base+1, base+2, ... in (topic, partition, offset) order, dense.
 
     With ``reproducible=True`` (the input reads back with the same partitions: persisted,
     checkpointed, a file or Kafka read) and input partitions that are disjoint ranges
     (Kafka batches), without a shuffle; otherwise by the bucketed prefix sums of
-    ``dense_number`` (one shuffle of the batch)."""
-    if reproducible and isinstance(base, int):
+    ``dense_number`` (one shuffle of the batch). ``plan``: ``df`` is measured already."""
+    if plan is not None and isinstance(base, int):
+        if plan.disjoint:
+            more = [c for c in df.columns if c not in plan.local.columns]
+            return plan.number(out, base).withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in more})
+    elif reproducible and isinstance(base, int):
         numbered = number_in_place(df, keys, order, out, base)
         if numbered is not None:
             return numbered

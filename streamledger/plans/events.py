@@ -4,7 +4,7 @@
 position in the partition by ``event_id`` (from 0). Records are encoded for real (Avro +
 frame) and then damaged by rule, so the classifier runs on bytes:
 ``event_id % 97 = 0`` -> NULL value, ``% 89 = 0`` -> first byte 01, ``% 83 = 0`` -> cut to
-4 bytes. Schema id 8 for ``user_id % 5 = 0``, else 7. The topic arrives in three files by
+4 bytes. Schema id 8 for ``user_id % 5 = 0``, else 7. The topic arrives in three parts by
 ``event_id``, one micro-batch each. Ingest-side plans write to fresh folders under the shared
 checkpoint root.
 """
@@ -12,7 +12,7 @@ checkpoint root.
 from __future__ import annotations
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session as S
@@ -22,14 +22,15 @@ from ..functions.scalar import clamp_positive, progress_pct, qualified_name, tab
 from ..operators import ledger as LG
 from ..operators import monitor as M
 from ..operators.decode import SCHEMA_ID, VERDICT, check_frames, decode_payload
-from ..operators.sequence import assign_lsn, dense_number, upsert_index
-from ..operators.verify import reconcile, reconcile_content
+from ..operators.sequence import assign_lsn, dense_number, running_totals, upsert_index
+from ..operators.verify import reconcile, reconcile_content, reconcile_diff, reconcile_ranges
 from ..schema import SAMPLE_RECORD_SCHEMA, schema_from_spec
 from ..sinks import table as TB
-from ..sources.generate import bounded, generate_from
+from ..sinks.wire import publish
+from ..sources.generate import bounded, bounded_stream, generate_from
 from ..sources.logs import format_log_line, read_metric_log, utc_instant, utc_wall_clock
-from ..sources.wire import read_wire
-from ..streaming.ingest import PERMISSIVE, STRICT, durable_lsn, ingest
+from ..sources.wire import WIRE_DDL, read_wire
+from ..streaming.ingest import PERMISSIVE, STRICT, durable_lsn, ingest, ingest_batch
 from ..streaming.sliding import sliding_metrics, sliding_to_table
 
 # The record schema of the events wire, and its fault rules.
@@ -47,8 +48,8 @@ TOPIC = "events"
 PARTITIONS = 4
 NULL_EVERY, MAGIC_EVERY, SHORT_EVERY = 97, 89, 83
 REGISTERED_SCHEMA_ID = 7
-#: Files the topic arrives in, one micro-batch each.
-WIRE_FILES = 3
+#: Parts the topic arrives in, one micro-batch each, and files of a part (tasks that encode it).
+WIRE_PARTS, PART_FILES = 3, 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -175,9 +176,10 @@ def flush_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pruned(spark: SparkSession, sf_dir: str):
-    idx, com = index(spark, sf_dir), commits(spark, sf_dir)
-    flushed = TB.flush_point_of(spark, _run_ingest(spark, sf_dir), com).first()["flush_lsn"]
-    return LG.prune_index(idx, com, flushed)
+    """J2 by the ledger: batches whose entries are all covered and durable aren't read."""
+    target, com = _run_ingest(spark, sf_dir), commits(spark, sf_dir)
+    flushed = TB.flush_point_of(spark, target, com).first()["flush_lsn"]
+    return TB.prune_table_index(spark, target, com, flushed)
 
 
 def index_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,17 +261,18 @@ def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One probe per day: the running count of sequenced records by the end of the day."""
     day = F.date_trunc("day", utc_wall_clock(F.col("timestamp"))).cast("timestamp_ntz")
     per_day = index(spark, sf_dir).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    return per_day.select(
-        (F.col("day") + F.expr("INTERVAL 1 DAY")).alias("probe_ts"),
-        F.sum("n").over(w).cast("long").alias("total_completed"),
+    number = F.datediff(F.col("day"), F.lit("1970-01-01").cast("date")).cast("long")
+    per_day = per_day.select("day", "n", number.alias("k"), F.lit("events").alias("series"))
+    running = running_totals(per_day, ["series"], "k", sums={"total": "n"}, bucket_width=16)
+    return running.select(
+        (F.col("day") + F.expr("INTERVAL 1 DAY")).alias("probe_ts"), F.col("total").cast("long").alias("total_completed")
     )
 
 
 def probe_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = probes(spark, sf_dir)
-    start = F.min("probe_ts").over(Window.partitionBy(F.lit(0))) - F.expr("INTERVAL 1 DAY")
-    return M.probe_rates(p, start_ts=start)
+    start = p.agg((F.min("probe_ts") - F.expr("INTERVAL 1 DAY")).alias("at")).first()["at"]
+    return M.probe_rates(p, start_ts=F.lit(start).cast("timestamp_ntz"))
 
 
 def target_reached(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,6 +304,89 @@ def sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Lateness that the append windows bear, and the share of early events that come last.
+LATENESS_DAYS, LATE_EVERY = 1, 50
+
+
+def sliding_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + T4 in append mode: the events' log in three files, one micro-batch each; every 50th
+    event of the first third comes with the last file. A window is written once, when the
+    watermark (a day behind) has passed it; what comes for it after the watermark of the batch
+    before is dropped."""
+    log_dir, out, ck = (S.scratch_path(spark, n) for n in ("eventlog", "sliding", "ck-sliding"))
+    ev = _arriving(table(spark, sf_dir, "events"))
+    text = format_log_line(F.col("ts"), F.concat(F.lit("event "), F.col("event_type"))).alias("value")
+    for k in range(WIRE_PARTS):
+        ev.where(F.col("part") == k).select(text).coalesce(1).write.mode("append").text(log_dir)
+    lines = read_metric_log(spark, log_dir, streaming=True, max_files_per_trigger=1)
+    parsed = lines.select("ts", F.regexp_extract("line", r"\sevent (\S+)$", 1).alias("event_type"))
+    q = sliding_to_table(
+        parsed, out, ck, ts="ts", keys=["event_type"], window="12 hours", slide="5 hours", watermark=f"{LATENESS_DAYS} day", mode="append"
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    res = spark.read.schema("window_start TIMESTAMP, window_end TIMESTAMP, event_type STRING, n BIGINT").parquet(out)
+    return res.select(
+        utc_wall_clock(F.col("window_start")).alias("window_start"),
+        utc_wall_clock(F.col("window_end")).alias("window_end"),
+        "event_type",
+        "n",
+    )
+
+
+def _arriving(events: DataFrame) -> DataFrame:
+    """The events with the ``part`` of the topic in which they come, the late ones last."""
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    part = F.floor(F.col("event_id") * WIRE_PARTS / F.lit(int(last) + 1)).cast("int")
+    late = (part == 0) & (F.col("event_id") % LATE_EVERY == 0)
+    return events.withColumn("part", F.when(late, WIRE_PARTS - 1).otherwise(part))
+
+
+def log_arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + A3 on lines without an instant: two files, of which the later one holds the earlier
+    batches. The last line per task is the one written last, in a batch read (``via`` batch) and
+    in a stream."""
+    log_dir, out, ck = (S.scratch_path(spark, n) for n in ("bare-log", "latest", "ck-latest"))
+    lines = _batch_lines(spark, sf_dir)
+    half = lines.agg(F.max("batch_id")).first()[0] // 2
+    for rows in (lines.where(F.col("batch_id") > half), lines.where(F.col("batch_id") <= half)):
+        rows.select("line", "line_no").coalesce(1).sortWithinPartitions("line_no").select(F.col("line").alias("value")).write.mode("append").text(log_dir)
+    latest = M.latest_per_task(M.parse_batch_lines(read_metric_log(spark, log_dir)))
+    stream = M.latest_per_task(M.parse_batch_lines(read_metric_log(spark, log_dir, streaming=True, max_files_per_trigger=1)))
+
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        rows.write.parquet(f"{out}/{batch_id}")
+
+    stream.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+    newest = max(int(n) for n in S.list_names(spark, out) if n.isdigit())
+    both = latest.withColumn("via", F.lit("batch")).unionByName(spark.read.schema(latest.schema).parquet(f"{out}/{newest}").withColumn("via", F.lit("stream")))
+    return both.select("via", "task_id", "total_completed", "last_lsn")
+
+
+def generated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bounded stream of a tenth of the events a second for ten seconds, run by
+    ``availableNow`` until it ends; then the last micro-batch once more, with the same rows."""
+    rate = max(1, table(spark, sf_dir, "events").count() // 10)
+    out, ck = S.scratch_path(spark, "generated"), S.scratch_path(spark, "ck-generated")
+    stream = bounded_stream(spark, SAMPLE_RECORD_SCHEMA, rows_per_second=rate, max_seconds=10, string_bytes=20)
+
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    def once() -> None:
+        q = stream.writeStream.foreachBatch(keep).option("checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+    once()
+    done = max(int(n) for n in S.list_names(spark, f"{ck}/commits") if n.isdigit())
+    S.delete_path(spark, f"{ck}/commits/{done}")
+    once()
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(out)
+
+
 def sliding_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return sliding_metrics(ev, ts="ts", keys=["event_type"], window="12 hours", slide="5 hours")
@@ -360,64 +446,105 @@ _RUNS: dict[tuple[str, str, str], dict] = {}
 
 
 def _wire_dir(spark: SparkSession, sf_dir: str) -> str:
+    return _wire_run(spark, sf_dir)["path"]
+
+
+def _wire_run(spark: SparkSession, sf_dir: str) -> dict:
     key = (spark.sparkContext.applicationId, sf_dir, "wire")
     if key not in _RUNS:
         path, numbered = S.scratch_path(spark, "wire"), S.scratch_path(spark, "numbered")
         events = table(spark, sf_dir, "events")
         # Narrow rows get their offsets first and are written by arrival; each part of the
-        # topic is then encoded once, in offset order, as it is published. A part is one file,
-        # the unit of a micro-batch here, and holds a contiguous offset range per partition,
-        # so consumers can number records in place.
+        # topic is then encoded in offset ranges, a file each, which consumers can number in
+        # place. A micro-batch takes the files of a part.
         last = events.agg(F.max("event_id")).first()[0] or 0
-        part = F.floor(F.col("event_id") * WIRE_FILES / F.lit(int(last) + 1)).cast("int")
+        part = F.floor(F.col("event_id") * WIRE_PARTS / F.lit(int(last) + 1)).cast("int")
         rec = dense_number(_records(events), ["partition"], "event_id", "offset", per_key=True, start=0)
         rec.withColumn("part", part).write.partitionBy("part").parquet(numbered)
-        for k in range(WIRE_FILES):
-            rows = spark.read.schema(rec.schema).parquet(f"{numbered}/part={k}").coalesce(1)
-            _encoded(rows.sortWithinPartitions("partition", "offset")).write.mode("append").parquet(path)
-        _RUNS[key] = {"path": path}
-    return _RUNS[key]["path"]
+        files = _publish_parts(spark, rec, numbered, path, PART_FILES)
+        if len(set(files)) > 1:  # too few rows for as many ranges: one file each
+            path = S.scratch_path(spark, "wire")
+            files = _publish_parts(spark, rec, numbered, path, 1)
+        _RUNS[key] = {"path": path, "files": files[0]}
+    return _RUNS[key]
+
+
+def _publish_parts(spark: SparkSession, rec: DataFrame, numbered: str, path: str, files: int) -> list[int]:
+    """Encode and publish the parts of the topic one after the other; files of each."""
+    out, before = [], 0
+    for k in range(WIRE_PARTS):
+        rows = spark.read.schema(rec.schema).parquet(f"{numbered}/part={k}")
+        ranged = rows.repartitionByRange(files, "partition", "offset") if files > 1 else rows.coalesce(1)
+        publish(_encoded(ranged.sortWithinPartitions("partition", "offset")), path=path)
+        now = sum(n.endswith(".parquet") for n in S.list_names(spark, path))
+        out.append(now - before)
+        before = now
+    return out
+
+
+def read_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic as a stream, a part a micro-batch."""
+    run = _wire_run(spark, sf_dir)
+    return read_wire(spark, path=run["path"], max_files_per_trigger=run["files"])
+
+
+def _ended(q) -> str | None:
+    """Wait for a query; what ended it, if it failed."""
+    try:
+        q.awaitTermination()
+    except StreamingQueryException as why:
+        return str(why)
+    return str(q.exception()) if q.exception() is not None else None
 
 
 def _run_ingest(spark: SparkSession, sf_dir: str, run: str = "sink") -> TB.Target:
-    """Ingest the wire folder with ``availableNow``, a file per micro-batch (permissive:
+    """Ingest the wire folder with ``availableNow``, a part per micro-batch (permissive:
     faults are quarantined). Runs: ``replay`` drops the last commit marker and runs again;
-    ``crash`` fails in the last batch when its ledger row is written but Spark's commit isn't,
-    and runs again; ``strict`` reads good records only and fails on any other."""
+    ``crash`` fails in the last batch when the batch is done but Spark's commit isn't,
+    ``catalog`` between the batch's commit record and its catalog partition, and both run again;
+    ``strict`` fails on the first bad record, with nothing committed, and then reads the good
+    ones; ``again`` misses every fifth offset and then gets the whole topic as one batch."""
     key = (spark.sparkContext.applicationId, sf_dir, run)
     if key in _RUNS:
         return _RUNS[key]["target"]
-    wire_dir = _wire_dir(spark, sf_dir)
+    _wire_run(spark, sf_dir)
     target = TB.target_for(spark, "ingest", f"events_{run}", S.scratch_path(spark, "warehouse"))
     TB.ensure_table(spark, target, EVENT_SCHEMA, recreate=True)
     checkpoint = S.scratch_path(spark, "checkpoint")
     metrics = f"{target.location}/_sink_log"
 
-    def fail_after_last(batch_id: int) -> None:
-        if batch_id == WIRE_FILES - 1:
-            raise RuntimeError("crash after the ledger write")
+    def fail_at_last(batch_id: int) -> None:
+        if batch_id == WIRE_PARTS - 1:
+            raise RuntimeError("crash of the last batch")
 
-    def once(hook=None) -> str | None:
-        stream = read_wire(spark, path=wire_dir, max_files_per_trigger=1)
-        mode = PERMISSIVE
-        if run == "strict":
-            stream, mode = stream.where(frame.frame_verdict("value") == F.lit(frame.OK)), STRICT
-        q = ingest(stream, target, EVENT_SCHEMA, checkpoint, mode=mode, metrics_path=metrics, on_durable=hook)
-        try:
-            q.awaitTermination()
-        except StreamingQueryException as why:
-            return str(why)
-        return str(q.exception()) if q.exception() is not None else None
-
-    problem = once(fail_after_last if run == "crash" else None)
-    if run == "crash":
-        if problem is None or "crash after the ledger write" not in problem:
-            raise RuntimeError(f"the crash did not happen: {problem}")
+    def once(stream: DataFrame | None = None, mode: str = PERMISSIVE, **hooks) -> str | None:
+        stream = read_parts(spark, sf_dir) if stream is None else stream
+        return _ended(ingest(stream, target, EVENT_SCHEMA, checkpoint, mode=mode, metrics_path=metrics, **hooks))
+
+    def failing(expected: str, problem: str | None) -> None:
+        if problem is None or expected not in problem:
+            raise RuntimeError(f"expected {expected!r}, got {problem}")
+
+    if run in ("crash", "catalog"):
+        hook = "on_durable" if run == "crash" else "on_committed"
+        failing("crash of the last batch", once(**{hook: fail_at_last}))
         problem = once()
-    elif run == "replay" and problem is None:
+    elif run == "strict":
+        failing("bad record", once(mode=STRICT))
+        if TB.last_commit(spark, target) is not None:
+            raise RuntimeError("a batch with a bad record was committed")
+        problem = once(read_parts(spark, sf_dir).where(frame.frame_verdict("value") == F.lit(frame.OK)), STRICT)
+    elif run == "again":
+        problem = once(read_parts(spark, sf_dir).where("offset % 5 <> 4"))
+    else:
+        problem = once()
+    if run == "replay" and problem is None:
         commits = sorted(int(n) for n in S.list_names(spark, f"{checkpoint}/commits") if n.isdigit())
         S.delete_path(spark, f"{checkpoint}/commits/{commits[-1]}")
         problem = once()
+    elif run == "again" and problem is None:
+        wire = spark.read.schema(WIRE_DDL).parquet(_wire_dir(spark, sf_dir))
+        ingest_batch(wire, WIRE_PARTS, target, EVENT_SCHEMA, PERMISSIVE, metrics, checkpoint)
     if problem is not None:
         raise RuntimeError(problem)
     _RUNS[key] = {"target": target, "metrics": metrics}
@@ -455,6 +582,61 @@ def ingest_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TB.read_table(spark, _run_ingest(spark, sf_dir, "strict")).select(*_TABLE_COLS)
 
 
+def ingest_catalog_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + T2: a crash between a batch's commit record and its catalog partition, then a
+    restart: the table by its name has every batch."""
+    target = _run_ingest(spark, sf_dir, "catalog")
+    return TB.read_by_name(spark, target.database, target.table).select(*_TABLE_COLS)
+
+
+def ingest_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts come without every fifth offset, then the whole topic in a batch of another
+    number: records that are committed already are found by the ledger's offset ranges and
+    dropped, the others are new."""
+    return TB.read_table(spark, _run_ingest(spark, sf_dir, "again")).select(*_TABLE_COLS)
+
+
+def redelivered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch of that run delivered anew and again, per partition."""
+    led = TB.read_ledger(spark, _run_ingest(spark, sf_dir, "again"))
+    return led.groupBy("batch_id").agg(
+        F.sum("rows").alias("rows"), F.sum("quarantined").alias("quarantined"), F.sum("redelivered").alias("redelivered")
+    )
+
+
+def append_without_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the good records in three appends while Spark writes no success markers: a batch is
+    committed by its record alone, so none is written over."""
+    key = (spark.sparkContext.applicationId, sf_dir, "unmarked")
+    if key not in _RUNS:
+        target = TB.target_for(spark, "ingest", "events_unmarked", S.scratch_path(spark, "warehouse"))
+        TB.ensure_table(spark, target, EVENT_SCHEMA, recreate=True)
+        rows = decoded_ok(spark, sf_dir).select(
+            *[f.name for f in EVENT_SCHEMA.fields], *[F.col(c).alias(f"_{c}") for c in ("topic", "partition", "offset")], SCHEMA_ID
+        )
+        marker = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+        spark.conf.set(marker, "false")
+        try:
+            for k in range(3):
+                TB.append_rows(rows.where(F.col("event_id") % 3 == k), target)
+        finally:
+            spark.conf.unset(marker)
+        _RUNS[key] = {"target": target}
+    return TB.read_table(spark, _RUNS[key]["target"]).select(*_TABLE_COLS)
+
+
+def ledger_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of an ingest whose older commit records are compacted to a Parquet table."""
+    key = (spark.sparkContext.applicationId, sf_dir, "compacted")
+    target = _run_ingest(spark, sf_dir, "compact")
+    if key not in _RUNS:
+        TB.compact_ledger(spark, target, keep=1)
+        _RUNS[key] = {}
+    led = TB.read_ledger(spark, target).select("batch_id", "partition", "rows", "quarantined", "min_offset", "max_offset", "min_lsn", "max_lsn")
+    stored = TB.read_table(spark, target).groupBy("batch_id", F.col("_partition").alias("partition")).agg(F.count(F.lit(1)).alias("stored"))
+    return led.join(stored, ["batch_id", "partition"])
+
+
 def table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingested table through the catalog."""
     target = _run_ingest(spark, sf_dir)
@@ -472,7 +654,7 @@ def append_and_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_type", "event_id", "flag", *[F.col(c).alias(f"_{c}") for c in ("topic", "partition", "offset")]
         )
         TB.append_rows(rows, target)
-        stream = read_wire(spark, path=_wire_dir(spark, sf_dir), max_files_per_trigger=1).where("partition >= 2")
+        stream = read_parts(spark, sf_dir).where("partition >= 2")
         ingest(stream, target, EVENT_SCHEMA, S.scratch_path(spark, "checkpoint"), mode=PERMISSIVE).awaitTermination()
         _RUNS[key] = {"target": target}
     t = TB.read_table(spark, _RUNS[key]["target"])
@@ -536,12 +718,19 @@ def durable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """expected = good records on the wire; readers = committed table, raw location."""
+    """expected = good records on the wire; readers = committed table, raw location, and a
+    reader that has lost the first record of every partition."""
     target = _run_ingest(spark, sf_dir)
     expected = check_frames(wire(spark, sf_dir)).where(F.col(VERDICT) == frame.OK).agg(F.count(F.lit(1)).alias("expected"))
+    rows = TB.read_table(spark, target)
+    first = rows.groupBy("_topic", "_partition").agg(F.min("_offset").alias("_offset"))
     return reconcile(
         expected,
-        {"table": TB.read_table(spark, target), "location": TB.read_location(spark, target.data_path)},
+        {
+            "table": rows,
+            "location": TB.read_location(spark, target.data_path),
+            "lossy": rows.join(first, ["_topic", "_partition", "_offset"], "left_anti"),
+        },
     )
 
 
@@ -562,11 +751,7 @@ def _contents(spark: SparkSession, sf_dir: str, target: TB.Target) -> tuple[Data
     return good, tbl
 
 
-def reconcile_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A8 against a damaged copy of the table: partition 0 has lost the row of offset 1,
-    partition 1 has that row twice, in partition 2 its event type is changed, and in
-    partition 3 flags and schema ids are exchanged for NULL where the flag is NULL."""
-    good, tbl = _contents(spark, sf_dir, _run_ingest(spark, sf_dir))
+def _damaged(good: DataFrame, tbl: DataFrame) -> DataFrame:
     first = tbl.groupBy("partition").agg(F.min("_offset").alias("__first"))
     marked = tbl.join(first, "partition").withColumn("__hit", F.col("_offset") == F.col("__first"))
     kept = marked.where(~(F.col("__hit") & (F.col("partition") == 0)))
@@ -580,7 +765,32 @@ def reconcile_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
             SCHEMA_ID: F.when(swap, F.lit(None).cast("int")).otherwise(F.col(SCHEMA_ID)),
         }
     )
-    return reconcile_content(good, damaged.select(*tbl.columns), table_offset="_offset")
+    return damaged.select(*tbl.columns)
+
+
+def reconcile_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 against a damaged copy of the table: partition 0 has lost its first row, partition 1
+    has that row twice, in partition 2 its event type is changed, and in partition 3 flags and
+    schema ids are exchanged for NULL where the flag is NULL."""
+    good, tbl = _contents(spark, sf_dir, _run_ingest(spark, sf_dir))
+    return reconcile_content(good, _damaged(good, tbl), table_offset="_offset")
+
+
+def reconcile_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 row by row against that damaged copy, through trees of checksums."""
+    good, tbl = _contents(spark, sf_dir, _run_ingest(spark, sf_dir))
+    return reconcile_diff(good, _damaged(good, tbl), content=_CONTENT, table_offset="_offset", width=64)
+
+
+def reconcile_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 by offset ranges against a copy that has lost long runs of partition 0, has runs of
+    partition 1 twice and holds rows of partition 2 beyond the wire's end."""
+    good, tbl = _contents(spark, sf_dir, _run_ingest(spark, sf_dir))
+    tens = F.floor(F.col("_offset") / 10)
+    kept = tbl.where((F.col("partition") != 0) | (tens % 7 > 2))
+    again = tbl.where((F.col("partition") == 1) & (tens % 9 == 4))
+    beyond = tbl.where((F.col("partition") == 2) & (F.col("_offset") < 25)).withColumn("_offset", F.col("_offset") + 10_000_000)
+    return reconcile_ranges(good, kept.unionByName(again).unionByName(beyond), table_offset="_offset", width=64)
 
 
 def schema_join(spark: SparkSession, sf_dir: str) -> DataFrame:

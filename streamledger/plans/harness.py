@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session as S
+from ..functions.frame import OK
 from ..functions.scalar import progress_pct, target_total
+from ..operators.decode import VERDICT, decode_payload
 from ..operators.monitor import flush_latency, overall_progress, parse_batch_lines, parse_flush_lines
 from ..operators.verify import reconcile, reconcile_content
 from ..sources.logs import read_metric_log
@@ -88,10 +90,13 @@ def integration_run(
     snapshot_rows = snapshot.count()
     snapshot_s = time.monotonic() - snap_started
     counts = reconcile(expected, {"table": TB.read_table(spark, target), "location": TB.read_location(spark, target.data_path), "snapshot": snapshot})
+    fields = [f.name for f in schema.fields]
+    sent = decode_payload(read_wire(spark, path=wire_dir, streaming=False), schema).where(F.col(VERDICT) == F.lit(OK))
     content = reconcile_content(
-        read_wire(spark, path=wire_dir, streaming=False),
-        TB.read_table(spark, target).select(F.col("_topic").alias("topic"), F.col("_partition").alias("partition"), "_offset"),
+        sent.select("topic", "partition", "offset", *fields),
+        TB.read_table(spark, target).select(F.col("_topic").alias("topic"), F.col("_partition").alias("partition"), "_offset", *fields),
         table_offset="_offset",
+        content=fields,
     )
     batches = ledger.select("batch_id").distinct().count()
     summary = progress.select(

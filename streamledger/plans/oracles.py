@@ -141,8 +141,9 @@ SELECT event_type, 'ingest.' || event_type AS qualified_name,
     ),
     "durable_lsn": _q("SELECT max(lsn) AS durable_lsn, count(DISTINCT batch) AS batches FROM ok"),
     "reconcile_counts": _q(
-        "SELECT reader, (SELECT count(*) FROM ok) AS rows, (SELECT count(*) FROM ok) AS expected, true AS matches "
-        "FROM (VALUES ('table'), ('location')) r(reader)"
+        "SELECT reader, (SELECT count(*) FROM ok) - lost AS rows, (SELECT count(*) FROM ok) AS expected, lost = 0 AS matches "
+        "FROM (SELECT 'table' AS reader, 0 AS lost UNION ALL SELECT 'location', 0 "
+        "UNION ALL SELECT 'lossy', (SELECT count(DISTINCT part) FROM ok)) r"
     ),
     "reconcile_contents": _q(
         'SELECT topic, part AS "partition", count(*) AS wire_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS duplicates, '
@@ -177,4 +178,70 @@ FROM events JOIN plans ON event_id + 1 <= goal GROUP BY plan""",
     "schema_join": _q(
         "SELECT sid AS schema_id, sid = 7 AS registered, count(*) AS n FROM wire WHERE verdict = 'ok' GROUP BY sid"
     ),
+    "ingest_catalog_repair": _q(f"SELECT {TABLE_COLS} FROM ok"),
+    "ingest_redelivered": _q(
+        f"""
+, placed AS (SELECT * REPLACE (CASE WHEN off % 5 = 4 THEN 3 ELSE batch END AS batch) FROM wire WHERE verdict = 'ok'),
+numbered AS (SELECT *, CAST(row_number() OVER (ORDER BY batch, part, off) AS BIGINT) AS lsn FROM placed)
+SELECT {TABLE_COLS} FROM numbered"""
+    ),
+    "redelivered_counts": _q(
+        """
+, placed AS (SELECT *, CASE WHEN off % 5 = 4 THEN 3 ELSE batch END AS b FROM wire)
+SELECT CAST(b AS BIGINT) AS batch_id, count(*) FILTER (verdict = 'ok') AS rows, count(*) FILTER (verdict <> 'ok') AS quarantined,
+       CAST(CASE WHEN b = 3 THEN (SELECT count(*) FROM wire WHERE off % 5 <> 4) ELSE 0 END AS BIGINT) AS redelivered
+FROM placed GROUP BY b"""
+    ),
+    "append_without_markers": _q(
+        """
+, placed AS (SELECT *, event_id % 3 AS third, CAST(row_number() OVER (ORDER BY event_id % 3, part, off) AS BIGINT) AS number FROM ok)
+SELECT event_type, CAST(event_id AS INTEGER) AS event_id, flag, topic AS _topic, part AS _partition, off AS _offset,
+       sid AS _schema_id, number AS _lsn, third AS batch_id FROM placed"""
+    ),
+    "ledger_compacted": _q(
+        """
+SELECT batch AS batch_id, part AS "partition", count(lsn) AS rows, count(*) - count(lsn) AS quarantined, min(off) AS min_offset,
+       max(off) AS max_offset, min(lsn) AS min_lsn, max(lsn) AS max_lsn, count(lsn) AS stored
+FROM (SELECT wire.batch, wire.part, wire.off, ok.lsn FROM wire LEFT JOIN ok USING (event_id)) GROUP BY 1, 2"""
+    ),
+    "reconcile_differences": _q(
+        """
+, firsts AS (SELECT part, min(off) AS off FROM ok GROUP BY part)
+SELECT ok.topic, ok.part AS "partition", ok.off AS "offset",
+       CASE WHEN ok.part = 0 THEN 'missing' WHEN ok.part = 1 THEN 'doubled' ELSE 'changed' END AS fault,
+       CASE WHEN ok.part = 2 THEN 'event_type' WHEN ok.part = 3 THEN 'flag,_schema_id' END AS columns
+FROM ok JOIN firsts ON ok.part = firsts.part
+WHERE (ok.part < 3 AND ok.off = firsts.off) OR (ok.part = 3 AND ok.flag IS NULL)"""
+    ),
+    "reconcile_offset_ranges": _q(
+        """
+, faults AS (SELECT topic, part, off, 'missing' AS fault FROM ok WHERE part = 0 AND (off // 10) % 7 <= 2
+             UNION ALL SELECT topic, part, off, 'doubled' FROM ok WHERE part = 1 AND (off // 10) % 9 = 4
+             UNION ALL SELECT topic, part, off + 10000000, 'extra' FROM ok WHERE part = 2 AND off < 25),
+runs AS (SELECT *, off - row_number() OVER (PARTITION BY part, fault ORDER BY off) AS run FROM faults)
+SELECT topic, part AS "partition", fault, min(off) AS first_offset, max(off) AS last_offset, count(*) AS offsets
+FROM runs GROUP BY topic, part, fault, run"""
+    ),
+    "generated_stream": """
+WITH n AS (SELECT greatest(1, count(*) // 10) * 10 AS n FROM events)
+SELECT i AS seq, repeat('A', 20) AS string_column, CAST(i AS INTEGER) AS numeric_column,
+       (((((i + 2) % 2147483647) * 48271) % 2147483647) // 16) % 2 = 1 AS boolean_column
+FROM (SELECT unnest(range(1, n + 1)) AS i FROM n)""",
+    "log_arrival_order": _q(
+        "SELECT via, CAST(task_id AS VARCHAR) AS task_id, arg_max(total_completed, batch_id) AS total_completed, "
+        "arg_max(last_lsn, batch_id) AS last_lsn FROM stats, (VALUES ('batch'), ('stream')) v(via) "
+        "WHERE batch_id <= (SELECT max(batch_id) // 2 FROM stats) GROUP BY via, task_id"
+    ),
+    "sliding_append": """
+WITH parts AS (SELECT event_id, event_type, ts, event_id * 3 // (SELECT max(event_id) + 1 FROM events) AS p FROM events),
+arriving AS (SELECT event_type, ts, CASE WHEN p = 0 AND event_id % 50 = 0 THEN 2 ELSE p END AS batch FROM parts),
+marks AS (SELECT batch, max(date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY) OVER (ORDER BY batch) AS mark FROM arriving GROUP BY batch),
+x AS (SELECT event_type, ts, batch, unnest(generate_series(0, 2)) AS k, (epoch_us(ts) // 1000000 // 18000) * 18000 AS base FROM arriving),
+w AS (SELECT event_type, batch, make_timestamp((base - k * 18000) * 1000000) AS window_start,
+             make_timestamp((base - k * 18000 + 43200) * 1000000) AS window_end
+      FROM x WHERE ts < make_timestamp((base - k * 18000 + 43200) * 1000000))
+SELECT window_start, window_end, event_type, count(*) AS n
+FROM w LEFT JOIN marks m ON m.batch = w.batch - 2
+WHERE (m.mark IS NULL OR window_end > m.mark) AND window_end <= (SELECT max(mark) FROM marks)
+GROUP BY ALL""",
 }

@@ -13,6 +13,7 @@ import tempfile
 import uuid
 import zipfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -96,6 +97,46 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(hpath)]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, hpath = _fs_and_path(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath = _fs_and_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with its whole content unless it exists; says whether it was created.
+
+    The content is written beside it and renamed without replacing, which one of several
+    writers wins on file systems whose rename is atomic (HDFS, most cloud file systems with a
+    hierarchical namespace)."""
+    part = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.part"
+    write_text(spark, part, text)
+    jvm = spark.sparkContext._jvm
+    fs, hpart = _fs_and_path(spark, part)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(hpart.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    keep_old = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        files.rename(hpart, jvm.org.apache.hadoop.fs.Path(path), keep_old)
+        return True
+    except Py4JJavaError as why:
+        fs.delete(hpart, False)
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
+            return False
+        raise why
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -1,33 +1,38 @@
 """The ingest loop as a Structured Streaming query.
 
-Each micro-batch: check frames, decode, apply the bad-record policy, number the good rows
-with dense LSNs in (topic, partition, offset) order, write the batch's folder, then its ledger
-rows from the written files (the table protocol of ``sinks.table.append_rows``). Spark records
-``commits/N`` in the checkpoint only after ``foreachBatch`` returns, so the ledger row is the
-durability barrier (T2). A replayed batch whose ledger row exists is left as it is; one without
-is written again with the same LSNs, because its base is the high-water mark recorded with the
-batch before (T3). The checkpoint's path is the writer's name in the ledger.
+Each micro-batch: check frames, decode, apply the bad-record policy, drop records that are
+committed already, number the good rows with dense LSNs in (topic, partition, offset) order,
+write them and create the batch's commit record (the table protocol of
+``sinks.table.append_rows``). Spark records ``commits/N`` in the checkpoint only after
+``foreachBatch`` returns, so the record is the durability barrier (T2). A replayed batch whose
+record exists is left as it is; one without is written again with the same LSNs, because its
+base is the high-water mark of the record before. Records that come again in a batch of another
+number are found by their offsets (T3). The checkpoint's path is the writer's name.
+
+A batch costs the same however many came before: one job that decodes and measures it, one
+write, one more for quarantined records if there are any, and the record.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import session as S
 from ..functions import frame
-from ..functions.scalar import throughput
 from ..operators.decode import SCHEMA_ID, VERDICT, decode_payload, require_ok
-from ..operators.monitor import format_batch_lines, format_flush_lines
+from ..operators.monitor import BATCH_FORMAT, FLUSH_FORMAT
+from ..operators.sequence import InPlace, plan_in_place
 from ..operators.verify import reconcile_content
-from ..sinks.table import Target, append_rows, batch_of, read_ledger
-from ..sources.logs import format_log_line, utc_wall_clock
+from ..sinks import table as TB
+from ..sinks.table import Target
 
 STRICT, PERMISSIVE = "strict", "permissive"
 
@@ -40,87 +45,97 @@ def ingest_batch(
     mode: str = STRICT,
     metrics_path: str | None = None,
     writer: str = "stream",
+    on_committed: Callable[[int], None] | None = None,
 ) -> None:
     """Process one micro-batch (also usable on a static DataFrame): batch ``batch_id`` of
-    ``writer``. With ``metrics_path`` the batch's metric lines are written there too (see
-    ``write_metric_lines``)."""
+    ``writer``. Records whose offsets a committed batch holds are dropped (a batch itself holds
+    no offset twice, as with Kafka). With ``metrics_path`` the batch's metric lines are written
+    there too (see ``write_metric_lines``)."""
     spark = batch.sparkSession
     started = time.monotonic()
-    done_before = batch_of(spark, target, writer, batch_id)
-    if done_before is not None:  # durable already: the crash was after the ledger write
-        if metrics_path and not S.path_exists(spark, f"{metrics_path}/batch_id={done_before}/_SUCCESS"):
-            write_metric_lines(spark, target, done_before, metrics_path, 0.0, 0.0)
+    if mode not in (STRICT, PERMISSIVE):
+        raise ValueError(f"mode must be '{STRICT}' or '{PERMISSIVE}'")
+    last = TB.last_commit(spark, target)
+    done = TB.batch_of(spark, target, writer, batch_id, last)
+    if done is not None:  # durable already: the crash was after the commit
+        TB.append_rows(batch, target, batch_id, writer=writer, last=last)  # its catalog partition
+        if metrics_path:
+            write_metric_lines(spark, target, done, metrics_path, 0.0, 0.0)
         return
     decoded = decode_payload(batch, schema)
     if mode == STRICT:
         decoded = require_ok(decoded)
-    elif mode != PERMISSIVE:
-        raise ValueError(f"mode must be '{STRICT}' or '{PERMISSIVE}'")
-    # Decoding runs in Python; keep its result for the two passes (counts, then numbering).
-    decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    # Decoding runs in Python; its result is kept for the passes (measuring, then writing).
+    kept = [decoded.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        ok = decoded.where(F.col(VERDICT) == F.lit(frame.OK))
-        rows = ok.select(
-            *[F.col(f.name) for f in schema.fields],
-            F.col("topic").alias("_topic"),
-            F.col("partition").alias("_partition"),
-            F.col("offset").alias("_offset"),
-            F.col(SCHEMA_ID).alias("_schema_id"),
-            F.col("timestamp").alias("_timestamp"),
-        )
-        bad = None
-        if mode == PERMISSIVE:
-            bad = decoded.where(F.col(VERDICT) != F.lit(frame.OK)).select(
-                "key", "value", "topic", "partition", "offset", "timestamp", VERDICT
-            )
-        # K1 + W3 + ledger; the persisted batch reads back identically, so LSNs may be
-        # numbered in place when the batch's partitions are disjoint offset ranges.
-        done = append_rows(
-            rows, target, batch_id, reproducible=True, started=started, writer=writer, quarantine=bad
+        rows, bad, plan = _measured(decoded, schema)
+        known = {(t, p): top for t, p, _n, top, _lsn in (last or {}).get("totals", [])}
+        ranges = _offset_ranges(plan)
+        again: dict[tuple, int] = {}
+        if any(lo <= known.get((t, p), -1) for t, p, lo, _hi, _n in ranges):
+            plan.close()
+            fresh = TB.without_delivered(spark, target, decoded, [r[:4] for r in ranges])
+            kept.append(fresh.persist(StorageLevel.MEMORY_AND_DISK))
+            rows, bad, plan = _measured(fresh, schema)
+            left = {(t, p): n for t, p, _lo, _hi, n in _offset_ranges(plan)}
+            again = {(t, p): n - left.get((t, p), 0) for t, p, _lo, _hi, n in ranges}
+        kept.append(plan.summary)
+        # K1 + W3 + record; the persisted batch reads back identically, so LSNs are numbered
+        # in place when the batch's partitions are disjoint offset ranges.
+        wrote = TB.append_rows(
+            rows, target, batch_id, reproducible=True, started=started, writer=writer, quarantine=bad,
+            plan=plan, bad_ranges=plan.extra, redelivered=again, last=last, on_committed=on_committed,
         )
     finally:
-        decoded.unpersist()
+        for frame_ in kept:
+            frame_.unpersist()
     if metrics_path:
-        write_metric_lines(spark, target, done["batch_id"], metrics_path, done["write_s"], done["flush_s"])
+        write_metric_lines(spark, target, wrote["batch_id"], metrics_path, wrote["write_s"], wrote["flush_s"])
+
+
+def _measured(decoded: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame, InPlace]:
+    """(good rows, bad records, their ranges per topic partition), measured in one job."""
+    rows = decoded.where(F.col(VERDICT) == F.lit(frame.OK)).select(
+        *[F.col(f.name) for f in schema.fields],
+        F.col("topic").alias("_topic"),
+        F.col("partition").alias("_partition"),
+        F.col("offset").alias("_offset"),
+        F.col(SCHEMA_ID).alias("_schema_id"),
+        F.col("timestamp").alias("_timestamp"),
+    )
+    bad = decoded.where(F.col(VERDICT) != F.lit(frame.OK)).select("key", "value", "topic", "partition", "offset", "timestamp", VERDICT)
+    bad_ranges = bad.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+    return rows, bad, plan_in_place(rows, ["_topic", "_partition"], "_offset", bad_ranges)
+
+
+def _offset_ranges(plan: InPlace) -> list[tuple]:
+    """(topic, partition, first offset, last offset, records) over good and bad records."""
+    out: dict[tuple, list[int]] = {}
+    for r in [*plan.ranges, *plan.extra]:
+        lo, hi, n = out.get((r["_topic"], r["_partition"]), (r["lo"], r["hi"], 0))
+        out[r["_topic"], r["_partition"]] = [min(lo, r["lo"]), max(hi, r["hi"]), n + r["n"]]
+    return [(*k, *v) for k, v in out.items()]
 
 
 def write_metric_lines(
     spark: SparkSession, target: Target, batch_id: int, path: str, batch_s: float, flush_s: float
 ) -> None:
-    """The sink's two log lines per (topic, partition) of batch N, as text under
-    ``path/batch_id=N`` (overwritten on replay): a batch line with rows, running total and
-    running max LSN (W1 over the ledger, one row per batch) and a flush line with the
-    durable LSN and the next offset to commit. Each line starts with the UTC instant."""
-    n = F.lit(int(batch_id))
-    led = read_ledger(spark, target).where(F.col("batch_id") <= n)
-    task = F.concat_ws("-", F.col("topic"), F.col("partition").cast("string"))
-    # Running values up to batch N are plain aggregates over ledger batches <= N: one
-    # aggregate over ledger rows (one per batch and partition), no per-task window.
-    stats = (
-        led.groupBy(task.alias("task_id"))
-        .agg(
-            F.sum(F.when(F.col("batch_id") == n, F.col("rows"))).alias("rows"),
-            F.sum("rows").alias("total_completed"),
-            F.max("max_lsn").alias("last_lsn"),
-            F.max(F.when(F.col("batch_id") == n, F.col("max_offset"))).alias("max_offset"),
-        )
-        .where(F.col("rows").isNotNull())
-    )
-    durable = F.max("last_lsn").over(Window.partitionBy(F.lit(0)))  # one row per partition: small
-    stats = stats.withColumns(
-        {
-            "elapsed_ms": F.lit(round(batch_s * 1000.0, 3)),
-            "rps": throughput(F.col("rows"), F.lit(max(batch_s, 0.0))),
-            "flushed_lsn": durable,
-            "pruned_entries": F.col("rows"),
-            "offsets": F.concat(F.col("task_id"), F.lit("="), (F.col("max_offset") + 1).cast("string")),
-        }
-    )
-    at = utc_wall_clock(F.current_timestamp())
-    batch_lines = format_batch_lines(stats).select(format_log_line(at, F.col("line")).alias("value"))
-    flush = stats.withColumn("elapsed_ms", F.lit(round(flush_s * 1000.0, 3)))
-    flush_lines = format_flush_lines(flush).select(format_log_line(at, F.col("line")).alias("value"))
-    batch_lines.unionByName(flush_lines).coalesce(1).write.mode("overwrite").text(f"{path}/batch_id={int(batch_id)}")
+    """The sink's two log lines per (topic, partition) of batch N, as one text file under
+    ``path/batch_id=N`` (written once): a batch line with rows, running total and running max
+    LSN (W1) and a flush line with the durable LSN and the next offset to commit, all as the
+    batch's commit record has them. Each line starts with the UTC instant."""
+    lines = TB.read_record(spark, target, batch_id)
+    head, ranges = lines[0], lines[1:]
+    totals = {(t, p): (n, top, lsn) for t, p, n, top, lsn in head["totals"]}
+    at = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f") + "Z"
+    out, flushes = [], []
+    for r in sorted(ranges, key=lambda r: (str(r["topic"]), r["partition"] or 0)):
+        task = f"{r['topic']}-{r['partition']}"
+        total, _top, lsn = totals[r["topic"], r["partition"]]
+        rate = round(r["rows"] / max(0.001, batch_s), 2)
+        out.append(f"{at} " + BATCH_FORMAT % (task, r["rows"], total, batch_s * 1000.0, rate, "" if lsn is None else lsn))
+        flushes.append(f"{at} " + FLUSH_FORMAT % (task, head["high_lsn"], r["rows"], flush_s * 1000.0, f"{task}={r['max_offset'] + 1}"))
+    S.create_once(spark, f"{path}/batch_id={int(batch_id)}/lines.txt", "".join(f"{x}\n" for x in out + flushes))
 
 
 def _checkpoint_is_new(spark: SparkSession, checkpoint: str) -> bool:
@@ -138,16 +153,19 @@ def ingest(
     query_name: str | None = None,
     metrics_path: str | None = None,
     on_durable: Callable[[int], None] | None = None,
+    on_committed: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingest query. Refuses a fresh checkpoint on a table that a stream has
     written before: it would deliver the same records a second time. ``on_durable`` is called
-    with each batch's number after its ledger rows are written."""
+    with each batch's number when the batch is done, ``on_committed`` with the table's number
+    between the commit record and the catalog."""
     spark = wire_stream.sparkSession
-    if _checkpoint_is_new(spark, checkpoint) and read_ledger(spark, target).where(F.col("writer") != "append").limit(1).count():
+    last = TB.last_commit(spark, target)
+    if _checkpoint_is_new(spark, checkpoint) and last is not None and set(last["writers"]) - {"append"}:
         raise RuntimeError(f"{target.name} already has batches of a stream; reuse its checkpoint")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, target, schema, mode, metrics_path, writer=checkpoint.rstrip("/"))
+        ingest_batch(batch, batch_id, target, schema, mode, metrics_path, checkpoint.rstrip("/"), on_committed)
         if on_durable is not None:
             on_durable(batch_id)
 
@@ -162,7 +180,7 @@ def ingest(
 
 
 def durable_lsn(ledger: DataFrame) -> DataFrame:
-    """The highest LSN whose batch has a ledger row (NULL when nothing is durable)."""
+    """The highest LSN whose batch is committed (NULL when nothing is durable)."""
     return ledger.agg(F.max("max_lsn").alias("durable_lsn"), F.count_distinct("batch_id").alias("batches"))
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.logs import utc_instant, utc_wall_clock
 
@@ -49,15 +51,34 @@ def sliding_to_table(
     slide: str = "5 seconds",
     watermark: str | None = None,
     available_now: bool = True,
+    mode: str = "complete",
 ):
-    """Run ``sliding_metrics`` on a stream in complete mode; each micro-batch overwrites
-    ``path`` with the full current result (file sinks only append, so ``foreachBatch``
-    does the overwrite). State is one row per (window, key)."""
+    """Run ``sliding_metrics`` on a stream into Parquet files under ``path``.
+
+    ``append``: a window is written once, when the watermark has passed its end, and its state
+    is dropped then; rows that come later for it are counted (see ``late_rows``), and no file
+    is ever written again. ``complete``: state and result hold every window ever seen, and each
+    micro-batch overwrites ``path``, which nobody should read meanwhile."""
     agg = sliding_metrics(stream, ts, keys, window, slide, watermark)
+    writer = agg.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    if mode == "append":
+        writer = writer.format("parquet").option("path", path)
+    else:
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(path)
 
-    writer = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+        writer = writer.foreachBatch(write)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """What a query in append mode has dropped as later than the watermark, over the progress
+    that Spark keeps. Spark counts after its partial aggregate: one for each window, key and
+    task of a micro-batch that had such rows."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in _plain(p).get("stateOperators", []))
+
+
+def _plain(progress) -> dict:
+    return progress if isinstance(progress, dict) else json.loads(progress.json)
