@@ -71,7 +71,7 @@ def whole(rows: np.ndarray, most: float = 0.0) -> np.ndarray:
     """Whole-valued floats as they are if squared distances between them and others of up to
     ``most`` are exact, else Python integers."""
     top = max(most, float(np.abs(rows).max(initial=0)))
-    if rows.dtype != object and rows.shape[1] * (2 * top) ** 2 < EXACT:
+    if rows.dtype != object and 2 * top < (EXACT / rows.shape[1]) ** 0.5:
         return rows
     return np.array([[int(x) for x in r] for r in rows], object).reshape(rows.shape)
 
