@@ -70,6 +70,19 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return step.ravel(), starts.ravel()
 
 
+# Letters and numbers that Unicode 16 has and Python's database may lack, as
+# first and last code points.
+LATER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+LATER_NUMBERS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA),
+]
+
 _STEP, _STARTS = _tables()
 _classes: np.ndarray | None = None
 
@@ -81,6 +94,9 @@ def class_table() -> np.ndarray:
         t = np.full(0x110000, OTHER, np.uint8)
         kinds = np.array([unicodedata.category(chr(i))[0] for i in range(0x110000)])
         t[kinds == "L"], t[kinds == "N"] = LETTER, NUMBER  # by the Unicode version of Python
+        for kind, ranges in ((LETTER, LATER_LETTERS), (NUMBER, LATER_NUMBERS)):
+            for first, last in ranges:
+                t[first : last + 1] = kind
         # fixed values: the code points with the White_Space property
         t[[9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = WHITE
         t[ord(" ")], t[ord("'")] = SPACE, APOSTROPHE

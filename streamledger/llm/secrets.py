@@ -1,24 +1,28 @@
 """Secret scanning: fixed patterns plus zstandard novelty.
 
-Beside the patterns, a string near a sensitive word is a candidate. Its novelty is what it
-adds to the compressed size of its surroundings: the compressor is primed with a dictionary
-of identifiers, compresses the surrounding code once without and once with the candidate,
-and the difference, per byte of the candidate, is the novelty. Names built from ordinary
-identifiers or repeated nearby add little; random keys don't compress. Copies of the candidate
-that are near a sensitive word themselves, or in a fixed pattern's span, are no surroundings: a
-key in repeated lines stays novel. The least novelty follows the candidate's alphabet and length.
+Beside the patterns, a string with a sensitive word near it, before or after, is a candidate. Its
+novelty is what it adds to the compressed size of its surroundings: the compressor is primed with
+a dictionary of identifiers, compresses the surrounding code once without and once with the
+candidate, and the difference, per byte of the candidate, is the novelty. Names built from
+ordinary identifiers add little; random keys don't compress. Other copies of the candidate are no
+surroundings, so a key that is repeated stays novel and every copy near a sensitive word is
+reported. The least novelty follows the candidate's alphabet and length.
+
+The dictionary is learnt from all documents: the words and parts of names that occur most often,
+a bounded number of them (``learn_identifiers``), after common ones of program code.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import doc_columns, prepare
 
@@ -43,12 +47,24 @@ SENSITIVE = re.compile(
 )
 _SENSITIVE_HINTS = ("passw", "pwd", "secret", "token", "apikey", "api_key", "auth", "bearer", "credential", "private", "signature", "accesskey", "access_key")
 NEAR = 64
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Candidates: passwords of URLs, runs of all that a quoted password may hold, runs of the
+#: characters of keys.
+USERINFO = re.compile(r"://[^/\s:@]{0,64}:(?P<key>[^\s\"'<>]{16,}?)@(?=[A-Za-z0-9.-]+(?:[:/\s\"']|$))")
+MIXED = re.compile(r"(?<![^\s\"'`=:,(\[{<>])(?P<key>[!#-&*-.0-9:=?-Z\\^_a-z|~/]{16,})(?![^\s\"'`,;)\]}<>])")
+CANDIDATE = re.compile(r"(?P<key>[A-Za-z0-9+/_=-]{16,})")
+#: Mixed runs that are no passwords: addresses, and names with a value behind them.
+PLAIN_RUN = re.compile(r"://|[\w.+-]+@[\w-]+\.|^[A-Za-z_.-]+[=:]")
 #: Characters of surrounding code on either side that prime the compressor.
 AROUND = 512
 #: Least marginal compressed bytes per byte of a candidate that is reported; less for small
 #: alphabets, by so much of the entropy of random characters and so many bytes a candidate.
 NOVELTY, OF_ENTROPY, OVERHEAD = 0.72, 0.95, 8
+#: Candidates of letters alone or of fewer than SHORT characters must look random as well (see
+#: ``random_looking``; LEAST_ENTROPY: share of the entropy that their length allows) and need
+#: LESS novelty: they are too short for compression to tell.
+SHORT, LEAST_ENTROPY, LESS = 20, 0.78, 0.2
+#: Words of the dictionary that are learnt, their least and most letters.
+LEARNT, WORD_LETTERS = 4096, (4, 24)
 
 #: Identifiers that prime the compressor (raw dictionary content).
 IDENTIFIERS = " ".join(
@@ -69,39 +85,50 @@ IDENTIFIERS = " ".join(
     ABCDEFGHIJKLMNOPQRSTUVWXYZ abcdefghijklmnopqrstuvwxyz 0123456789 the and for that with this from""".split()
 )
 
-_compressor: zstandard.ZstdCompressor | None = None
+_compressors: dict[str, zstandard.ZstdCompressor] = {}
 
 
-def _size(data: bytes) -> int:
-    global _compressor
-    if _compressor is None:
-        primed = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        _compressor = zstandard.ZstdCompressor(level=6, dict_data=primed, write_content_size=False, write_dict_id=False)
-    return len(_compressor.compress(data))
+def _size(data: bytes, words: str) -> int:
+    if words not in _compressors:
+        _compressors.clear()  # one dictionary at a time
+        primed = zstandard.ZstdCompressionDict((words + " " + IDENTIFIERS).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        _compressors[words] = zstandard.ZstdCompressor(level=6, dict_data=primed, write_content_size=False, write_dict_id=False)
+    return len(_compressors[words].compress(data))
 
 
-def _without(text: str, lo: int, hi: int, value: str, spots: list[tuple[int, int]]) -> str:
-    """text[lo:hi] without copies of ``value`` that lie in one of ``spots`` (disjoint, sorted)."""
-    out, done, p = [], lo, text.find(value, max(0, lo - len(value) + 1), hi + len(value))
-    while 0 <= p < hi:
-        q = p + len(value)
-        i = bisect_right(spots, p, key=lambda s: s[0]) - 1
-        if i >= 0 and q <= spots[i][1]:
-            out.append(text[done : max(done, p)])
-            done = q
-        p = text.find(value, q, hi + len(value))
-    out.append(text[done:hi])
-    return "".join(out)
-
-
-def novelty(text: str, start: int, end: int, spots: list[tuple[int, int]] | None = None) -> float:
+def novelty(text: str, start: int, end: int, words: str = "") -> float:
     """Marginal compressed bytes of text[start:end] per byte, given what surrounds it; copies of
-    it inside ``spots`` don't count as surroundings."""
+    it don't count as surroundings."""
     value = text[start:end]
-    before = _without(text, max(0, start - AROUND), start, value, spots or []).encode("utf-8", "replace")
-    after = _without(text, end, min(len(text), end + AROUND), value, spots or []).encode("utf-8", "replace")
+    # a copy may be cut by the end of the surroundings
+    before = text[max(0, start - AROUND) : start].replace(value, "").encode("utf-8", "replace")
+    after = text[end : end + AROUND].replace(value, "").encode("utf-8", "replace")
+    for part in (value[k:] for k in range(1, len(value) - 7)):
+        if before.startswith(part.encode()):
+            before = before[len(part.encode()) :]
+            break
+    for part in (value[:k] for k in range(len(value) - 1, 7, -1)):
+        if after.endswith(part.encode()):
+            after = after[: -len(part.encode())]
+            break
     raw = value.encode("utf-8", "replace")
-    return (_size(after + before + raw) - _size(after + before)) / max(1, len(raw))
+    return (_size(after + before + raw, words) - _size(after + before, words)) / max(1, len(raw))
+
+
+def random_looking(value: str) -> bool:
+    """Whether a candidate of letters alone, or a short one, is as mixed as random characters
+    are: of a text's letters few are used often, and small and capital ones come in runs."""
+    counts = [value.count(c) for c in set(value)]
+    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts)
+    if entropy < LEAST_ENTROPY * math.log2(min(len(value), 64)):
+        return False
+    joined = [c for c in value if c not in "/_-+=."] or list(value)  # words may be joined by these
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in joined]
+    if len(set(kinds)) > 1:  # names change from small to capital letters once a word
+        return sum(a != b for a, b in zip(kinds, kinds[1:])) >= 0.25 * len(joined)
+    # one case: letters of words alternate between vowels and consonants
+    vowels = sum(c in "aeiouyAEIOUY" for c in joined) / len(joined)
+    return kinds[0] == "d" or vowels < 0.36
 
 
 def least_novelty(value: str) -> float:
@@ -128,70 +155,74 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Sorted and disjoint: overlapping spans as one."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a < out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def _near(words: list[tuple[int, int]], a: int, b: int) -> bool:
+    """Whether a word lies within NEAR characters of [a, b), on either side or inside."""
+    i = bisect_left(words, (a, a))
+    return (i > 0 and a - words[i - 1][1] <= NEAR) or (i < len(words) and words[i][0] - b <= NEAR)
 
 
-def novel_spans(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int, float]]:
+def novel_spans(text: str, known: list[tuple[str, int, int]], words: str = "") -> list[tuple[str, int, int, float]]:
     """Incompressible strings near a sensitive word that no base span overlaps."""
     lowered = text.lower()
     if not any(h in lowered for h in _SENSITIVE_HINTS):
         return []
-    out, words = [], [(m.start(), m.end()) for m in SENSITIVE.finditer(text)]
-    taken = sorted((a, b) for _, a, b in known)
-    w = k = 0
-    spots, candidates = list(taken), []
-    last = -NEAR - 1  # where the last sensitive word before the candidate ended
-    for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        while w < len(words) and words[w][1] <= a:
-            last, w = words[w][1], w + 1
-        while k < len(taken) and taken[k][1] <= a:
-            k += 1
-        if a - last > NEAR or (k < len(taken) and taken[k][0] < b):
-            continue
-        spots.append((a, b))
-        value = m[0]
-        if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-            continue
-        candidates.append((a, b))
-    spots = _joined(spots)
-    for a, b in candidates:
-        n = novelty(text, a, b, spots)
-        if n >= least_novelty(text[a:b]):
-            out.append(("novel", a, b, n))
+    sensitive = [(m.start(), m.end()) for m in SENSITIVE.finditer(text)]
+    out: list[tuple[str, int, int, float]] = []
+    for pattern in (USERINFO, MIXED, CANDIDATE):
+        taken = sorted([(a, b) for _, a, b in known] + [(a, b) for _, a, b, _ in out])
+        k = 0
+        for m in pattern.finditer(text) if sensitive else ():
+            a, b = m.span("key")
+            while k < len(taken) and taken[k][1] <= a:
+                k += 1
+            if (k < len(taken) and taken[k][0] < b) or not _near(sensitive, a, b):
+                continue
+            value = text[a:b]
+            if pattern is MIXED and (CANDIDATE.fullmatch(value) or PLAIN_RUN.search(value)):
+                continue
+            plain = value.isalpha() or b - a < SHORT or not any(c.isdigit() for c in value)
+            if plain and not random_looking(value):
+                continue
+            n = novelty(text, a, b, words)
+            if n >= least_novelty(value) - (LESS if plain else 0.0):
+                out.append(("novel", a, b, n))
     return out
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("novelty", pa.float64())])
 
 
-def scan_text(text: str) -> list[dict]:
+def scan_text(text: str, words: str = "") -> list[dict]:
     """All spans by start, then kind; offsets are code points, the end exclusive."""
     base = base_spans(text)
-    spans = [(k, a, b, None) for k, a, b in base] + novel_spans(text, base)
+    spans = [(k, a, b, None) for k, a, b in base] + novel_spans(text, base, words)
     spans.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     return [{"kind": k, "start": a, "end": b, "novelty": n} for k, a, b, n in spans]
 
 
+def learn_identifiers(docs: DataFrame, text_col: str = "text") -> str:
+    """The LEARNT most frequent words of letters over all documents, as dictionary content with
+    the most frequent ones last (nearest for the compressor). Words are counted by a partial
+    aggregate; names are cut where small letters meet capitals."""
+    text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "([a-z])([A-Z])", "$1 $2")
+    words = docs.select(F.explode(F.split(F.lower(text), "[^a-z]+")).alias("w"))
+    words = words.where(F.length("w").between(*WORD_LETTERS)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    top = words.where("n > 1").orderBy(F.desc("n"), "w").limit(LEARNT).collect()
+    return " ".join(r["w"] for r in reversed(top))
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col`` and ``spans`` (array of kind, start, end, novelty).
 
-    NULL and empty texts have no spans. Rows are independent, so repeated rows and NULL
-    identifiers need no rule; other columns are ignored. No shuffle.
+    NULL and empty texts have no spans. Rows are independent but for the dictionary, which all
+    rows teach; repeated rows and NULL identifiers need no rule; other columns are ignored.
     """
     prepare(docs.sparkSession)
+    learnt = learn_identifiers(docs, text_col)  # at most LEARNT words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [scan_text(t.as_py()) for t in batch.column(1)]
+            spans = [scan_text(t.as_py(), learnt) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(_SPAN))], names=["__id", "spans"])
 
     schema = "__id long, spans array<struct<kind: string, start: int, end: int, novelty: double>>"

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from streamledger.llm import bpe, langid, queries, secrets, sharding
 from streamledger.llm.tokenizers import tokenizer_file
 
-tiktoken = pytest.importorskip("tiktoken")
-
-
 
 # ---------------------------------------------------------------- language
 
@@ -119,9 +116,49 @@ def test_novelty_tells_random_strings_from_names():
     assert secrets.scan_text(f"the colour {random_key} is not near anything") == []
     named = "auth = getUserAuthenticationTokenProviderService2 # credential request_session_timeout_2"
     assert secrets.scan_text(named) == []
-    # a string that stands nearby already adds little
+    # another copy nearby doesn't make a key an ordinary word: both are near the sensitive one
     twice = f"cache {random_key} ... bearer {random_key}"
-    assert secrets.scan_text(twice) == []
+    assert [s["kind"] for s in secrets.scan_text(twice)] == ["novel", "novel"]
+
+
+FULL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+PLACES = {
+    "before": "curl -H 'Authorization: Bearer {}' https://api/host\n",
+    "json": '{{"private_key": "{}", "id": 3}}',
+    "word after": "value {} is the secret of this host",
+    "url": "git clone https://user:{}@host/private/repo.git",
+    "copy": "cache {0} ... bearer {0}",
+}
+
+
+@pytest.mark.parametrize("place", PLACES)
+def test_recall_of_planted_keys(place):
+    rng = random.Random(place)
+    kinds = {"long": (FULL, 40), "short": (FULL, 16), "letters": (FULL[:52], 24), "symbols": (FULL + "!#%&*-.:=?@^_~+", 24), "one case": (FULL[26:52], 32)}
+    for kind, (alphabet, n) in kinds.items():
+        found = 0
+        for _ in range(100):
+            key = "".join(rng.choice(alphabet) for _ in range(n))
+            text = f"{prose(rng, 30)} {PLACES[place].format(key)} {prose(rng, 30)}"
+            spans = secrets.scan_text(text)
+            found += all(any(s["start"] <= m.start() and m.end() <= s["end"] for s in spans) for m in re.finditer(re.escape(key), text))
+        assert found >= (90 if kind in ("long", "short", "letters") else 65), (kind, found)
+
+
+def test_ordinary_words_near_sensitive_ones_are_no_secrets(spark):
+    rng = random.Random(12)
+    names = ["internationalisation", "Datenschutzgrundverordnung", "getUserAuthenticationToken", "connection_pool_timeout", "someone@mail.example.com", "https://host.example.com/a/very/long/path?x=1"]
+    rows = [(i, f"{prose(rng, 20)} the secret {rng.choice(names)} of {prose(rng, 20, 'de')} private", None) for i in range(200)]
+    got = secrets.find_secrets(docs(spark, rows)).collect()
+    assert sum(len(r["spans"]) for r in got) <= 4
+
+
+def test_dictionary_is_learnt_from_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "LEARNT", 3)
+    rows = [(i, "quuxFrobnicator x1 frobnicator" if i % 2 else "Zorgle zorgle quux", None) for i in range(9)] + [(20, None, None), (21, "once only", None)]
+    # quux 9, zorgle 10, frobnicator 8
+    assert secrets.learn_identifiers(docs(spark, rows)) == "frobnicator quux zorgle"
+    assert secrets.learn_identifiers(empty(spark)) == ""
 
 
 def test_repeated_secrets_and_small_alphabets():
@@ -155,6 +192,7 @@ def vocabulary():
 
 @pytest.fixture(scope="module")
 def library(vocabulary):
+    tiktoken = pytest.importorskip("tiktoken")
     import public_tokenizers
 
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary.ranks, special_tokens={})
@@ -169,6 +207,14 @@ def encode(vocabulary, many):
 TRICKY = ["", "'", " ", "  ", "\n \n x", "don't we'll they're 'tis ''s 's's I'VE", "'re" * 70, "a" * 5000, " 's\n's\t't", "x    y", "１２３ ½ 4a", "<|endoftext|>", "é'll", "\U0001f600‍\U0001f600"]
 
 
+def test_every_code_point_is_cut_as_the_library_does(vocabulary, library):
+    """A contraction after it tells a letter from a number from any other character."""
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    many = ["".join(f"{c}'s 1{c}" for c in points[k : k + 4096]) for k in range(0, len(points), 4096)]
+    for text, ids in zip(many, encode(vocabulary, many), strict=True):
+        assert ids == library.encode_ordinary(text)
+
+
 def test_bpe_equals_the_library(vocabulary, library):
     many = TRICKY + [t for t in texts() if t]
     assert encode(vocabulary, many) == [library.encode_ordinary(t) for t in many]
