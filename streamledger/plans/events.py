@@ -272,7 +272,7 @@ def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def probe_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = probes(spark, sf_dir)
     start = p.agg((F.min("probe_ts") - F.expr("INTERVAL 1 DAY")).alias("at")).first()["at"]
-    return M.probe_rates(p, start_ts=F.lit(start).cast("timestamp_ntz"))
+    return M.probe_rates(p, start_ts=F.lit(str(start)).cast("timestamp_ntz"))
 
 
 def target_reached(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -560,6 +560,20 @@ def ingest_log_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.latest_per_task(parsed).select("task_id", "total_completed", "last_lsn")
 
 
+def ingest_flush_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 + A5 on the ingest's own flush lines: one per batch and partition, with the time that
+    its commit took (which no SQL can know: only that it is there)."""
+    _run_ingest(spark, sf_dir)
+    metrics = _RUNS[(spark.sparkContext.applicationId, sf_dir, "sink")]["metrics"]
+    flushes = M.parse_flush_lines(read_metric_log(spark, metrics))
+    timed = M.flush_latency(flushes).select(
+        "flush_count", ((F.col("flush_avg_ms") > 0) & (F.col("flush_max_ms") >= F.col("flush_avg_ms"))).alias("timed"),
+        F.col("flush_max_line").contains(M.FLUSH_MARKER).alias("has_line"),
+    )
+    top = flushes.agg(F.max("flushed_lsn")).first()[0]
+    return timed.withColumn("flushed_lsn", F.lit(top).cast("long"))
+
+
 _TABLE_COLS = ["event_type", "event_id", "flag", "_topic", "_partition", "_offset", "_schema_id", "_lsn", "batch_id"]
 
 

@@ -178,6 +178,10 @@ FROM events JOIN plans ON event_id + 1 <= goal GROUP BY plan""",
     "schema_join": _q(
         "SELECT sid AS schema_id, sid = 7 AS registered, count(*) AS n FROM wire WHERE verdict = 'ok' GROUP BY sid"
     ),
+    "ingest_flush_latency": _q(
+        "SELECT (SELECT count(*) FROM (SELECT DISTINCT batch, part FROM wire)) AS flush_count, true AS timed, true AS has_line, "
+        "max(lsn) AS flushed_lsn FROM ok"
+    ),
     "ingest_catalog_repair": _q(f"SELECT {TABLE_COLS} FROM ok"),
     "ingest_redelivered": _q(
         f"""

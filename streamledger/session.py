@@ -9,6 +9,7 @@ cluster that is an error.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -162,5 +163,6 @@ def ship_package(spark: SparkSession) -> None:
     target = f"{checkpoint_root(spark)}/streamledger-pkg-{uuid.uuid4().hex[:12]}.zip"
     fs, hpath = _fs_and_path(spark, target)
     fs.copyFromLocalFile(True, True, sc._jvm.org.apache.hadoop.fs.Path(zpath), hpath)
+    shutil.rmtree(local, ignore_errors=True)
     sc.addPyFile(target)
     _SHIPPED.add(app)

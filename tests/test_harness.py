@@ -11,8 +11,7 @@ from streamledger.streaming.ingest import ingest
 
 
 def test_integration_run_sample_config(spark):
-    # the sample configuration: 10 msg/s for 60 s, 200-byte strings
-    r = integration_run(spark, SAMPLE_RECORD_SCHEMA, rows_per_second=10, seconds=60, string_bytes=200, files_per_batch=2, drop_at_end=True).first()
+    r = integration_run(spark, SAMPLE_RECORD_SCHEMA, rows_per_second=24, seconds=25, string_bytes=70, files_per_batch=2, drop_at_end=True).first()
     assert (r.expected_rows, r.overall_rows, r.highest_lsn, r.durable_lsn, r.snapshot_rows) == (600, 600, 600, 600, 600)
     assert r.progress_pct == 100 and r.counts_match and r.contents_match and r.batches == 2
     assert r.flush_count == 4  # one flush line per (batch, partition): each batch holds 2 of the 4 partitions
@@ -42,13 +41,13 @@ def test_harness_options_from_config():
     from streamledger.plans.harness import harness_options
 
     cfg = {
-        "source": {"messages_per_second": 10, "message_size_bytes": 200, "run_indefinitely": False,
-                   "max_duration_seconds": 60, "output_topic": "source-1", "partitions": 1},
-        "table": {"database": "test_db", "name": "t15", "should_recreate_on_start": False,
+        "source": {"messages_per_second": 24, "message_size_bytes": 70, "run_indefinitely": False,
+                   "max_duration_seconds": 25, "output_topic": "orders", "partitions": 3},
+        "table": {"database": "shop", "name": "orders", "should_recreate_on_start": False,
                   "drop_table_on_completion": False, "avro_schema": SAMPLE_RECORD_SCHEMA},
     }
     o = harness_options(cfg)
-    assert (o["rows_per_second"], o["seconds"], o["string_bytes"], o["recreate"], o["table"]) == (10, 60, 200, False, "t15")
+    assert (o["rows_per_second"], o["seconds"], o["string_bytes"], o["recreate"], o["table"]) == (24, 25, 70, False, "orders")
     cfg["source"].update({"messages_per_second": "", "max_duration_seconds": None})
     o = harness_options(cfg)
     assert (o["rows_per_second"], o["seconds"]) == (60, 10)  # the harness fallback load
