@@ -8,6 +8,7 @@ inside a task on the rows Spark handed to it.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import _fs_and_path, scratch_path, ship_package
 
 #: Bytes of text that a kernel handles at once (a longer document is a block of its own).
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 
 def prepare(spark: SparkSession) -> None:
@@ -46,7 +47,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     fs, hpath = _fs_and_path(spark, path)
     df.write.parquet(path)
     fs.deleteOnExit(hpath)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete written tables (as ``materialise`` gives them) that nothing reads any more."""
+    for t in tables:
+        path = getattr(t, "_scratch", None)
+        if path is not None:
+            fs, hpath = _fs_and_path(t.sparkSession, path)
+            fs.delete(hpath, True)
 
 
 # ---------------------------------------------------------------- byte kernels (task side)
@@ -116,14 +128,31 @@ def byte_column(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     return data[offs[0] : offs[-1]], offs - offs[0]
 
 
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+
+    def _trim(_keep: int) -> int:
+        return 0
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps Python workers for later stages, and what
+    a stage's temporaries took would stay with them."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
 def blocks(data: np.ndarray, offs: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of whole documents of about ``limit`` bytes."""
+    """(first row, end row, bytes, offsets) of runs of whole documents of about ``limit`` bytes;
+    after the last one, memory is given back."""
     lo, n = 0, len(offs) - 1
     while lo < n:
         hi = int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1
         hi = min(n, max(lo + 1, hi))
         yield lo, hi, data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
         lo = hi
+    give_back()
 
 
 def word_spans(

@@ -34,9 +34,9 @@ BANDS, ROWS, BITS = 32, 5, 2
 MINIMA = BANDS * ROWS
 _PER_LONG = 64 // BITS
 SIGNATURE_LONGS = -(-MINIMA // _PER_LONG)
-#: Rounds in which bucket members are paired with one of them, and members of a piece in which
-#: all that is then unsettled gets compared.
-TURNS, PIECE = 3, 4096
+#: Rounds in which bucket members are paired with one of them, and shingles of the members of a
+#: piece in which all that is then unsettled gets compared.
+TURNS, PIECE = 3, 1 << 20
 #: A pair is left unconfirmed if its estimate is this many standard deviations below the threshold.
 SLACK = 5.0
 
@@ -264,13 +264,13 @@ def near_duplicates(
         """Links between all members of different components that unsettled buckets chain
         together. Of two components one is not the cluster's largest, so it is enough to
         compare the members outside the largest with all others. A cluster is cut into pieces
-        of about PIECE members; the compared members go to every piece."""
+        whose members have about PIECE shingles; the compared members go to every piece."""
         ties = open_rows.groupBy("key").agg(F.min("id").alias("a"))
         chained = components(open_rows.join(ties, "key").select("a", F.col("id").alias("b")))
         chained = materialise(label(chained.withColumnRenamed("comp", "cluster"), "id", comps, "comp"), "clusters")
-        weight = chained.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("w"))
+        weight = chained.join(prints.select("id", "n"), "id").groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("w"), F.sum("n").alias("n"))
         sizes = weight.groupBy("cluster").agg(
-            F.max(F.struct("w", "comp"))["comp"].alias("largest"), F.ceil(F.sum("w") / PIECE).cast("int").alias("pieces"), F.count(F.lit(1)).alias("k")
+            F.max(F.struct("w", "comp"))["comp"].alias("largest"), F.ceil(F.sum("n") / PIECE).cast("int").alias("pieces"), F.count(F.lit(1)).alias("k")
         )
         members = chained.join(sizes.where("k > 1"), "cluster").join(sets, "id").select(
             "cluster", "pieces", "id", "comp", "shingles", (F.col("comp") != F.col("largest")).alias("lead")

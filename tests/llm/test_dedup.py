@@ -76,7 +76,7 @@ def test_near_groups_of_many_loose_copies(spark, monkeypatch):
             copy[p] = f"x{rng.randrange(1000)}"
         rows.append((1000 - i, " ".join(copy)))
     monkeypatch.setattr(near, "TURNS", 1)
-    monkeypatch.setattr(near, "PIECE", 16)
+    monkeypatch.setattr(near, "PIECE", 2000)  # shingles of 17 members
     got, want = _near(spark, rows, 4), near_groups(rows, 4)
     assert {i: r["component_id"] for i, r in got.items()} == want
     assert 1 < len(set(want.values())) < 120
