@@ -37,12 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, byte_column, doc_columns, materialise, mix64, prefix_hash, prepare, span_hash
+from .common import blocks, byte_column, doc_columns, give_back, materialise, mix64, prefix_hash, prepare, span_hash
 
 GRAM = 32
 HOT = 4096
 #: Rows of whole groups that are put in suffix order at once.
 _ROWS = 24_000
+#: Texts that are cut at once.
+_TEXTS = 1024
+#: Bytes in which anchors are grouped before the shuffle.
+_BLOCK = 1 << 21
 _NULL_ID = -(2**63)
 #: Differing surroundings of one anchor in a block from which on they are spread.
 FEW = 32
@@ -87,7 +91,7 @@ def anchors(texts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             data, offs = byte_column(batch.column(1))
             ids = batch.column(0).to_numpy()
-            for lo, _, raw, at in blocks(data, offs):
+            for lo, _, raw, at in blocks(data, offs, _BLOCK):
                 prefix = prefix_hash(raw)
                 pos, h = find_anchors(raw, at, length, prefix)
                 if not len(pos):
@@ -193,7 +197,7 @@ def surroundings(docs: DataFrame, length: int) -> DataFrame:
                 gram = np.ascontiguousarray(text[:, reach : reach + GRAM]).ravel()
                 start = np.arange(len(d)) * GRAM
                 h = span_hash_rows(gram, start)
-                salt = mix64(ids[d].astype(np.uint64)) % c.astype(np.uint64)
+                salt = mix64(mix64(ids[d].astype(np.uint64)) + p.astype(np.uint64)) % c.astype(np.uint64)
                 group = mix64(h + salt * np.uint64(0x9E3779B97F4A7C15))
                 size = len(around)
                 ends = pa.py_buffer((np.arange(len(d) + 1) * size).astype(np.int32))
@@ -340,30 +344,37 @@ def _cuts(g: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _apply(docs: DataFrame) -> DataFrame:
-    """Merge each document's intervals (rows ``id, text, spans``) and drop the bytes."""
+    """Merge each document's intervals (rows ``id, text, spans``; none, an empty list or NULL)
+    and drop the bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offs = byte_column(batch.column(1))
-            ends = batch.column(2).offsets.to_numpy()
-            flat = batch.column(2).flatten()
-            a, b = flat.field(0).to_numpy(), flat.field(1).to_numpy()
-            out: list[tuple[int, int, int, str, bytes]] = []
-            for i in range(batch.num_rows):
-                text = data[offs[i] : offs[i + 1]].tobytes()
-                x, y = a[ends[i] : ends[i + 1]], b[ends[i] : ends[i + 1]]
-                order = np.argsort(x, kind="stable")
-                x, y = x[order], np.maximum.accumulate(y[order])
-                new = np.append(True, x[1:] > y[:-1])
-                starts = x[new].tolist()
-                stops = y[np.append(np.flatnonzero(new)[1:] - 1, len(y) - 1)].tolist()
-                kept = b"".join(text[p:q] for p, q in zip([0, *stops], [*starts, len(text)], strict=True))
-                out.append((len(text), len(text) - len(kept), len(starts), hashlib.sha256(kept).hexdigest(), kept))
-            cols = list(zip(*out, strict=True)) if out else [[], [], [], [], []]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"]
-            )
+        for whole in batches:
+            for lo in range(0, whole.num_rows, _TEXTS):
+                batch = whole.slice(lo, _TEXTS)
+                data, offs = byte_column(batch.column(1))
+                lists = batch.column(2).fill_null(pa.scalar([], batch.column(2).type))
+                ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+                flat = lists.flatten()
+                a, b = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+                out: list[tuple[int, int, int, str, bytes]] = []
+                for i in range(batch.num_rows):
+                    text = data[offs[i] : offs[i + 1]].tobytes()
+                    x, y = a[ends[i] : ends[i + 1]], b[ends[i] : ends[i + 1]]
+                    starts, stops = [], []
+                    if len(x):
+                        order = np.argsort(x, kind="stable")
+                        x, y = x[order], np.maximum.accumulate(y[order])
+                        new = np.append(True, x[1:] > y[:-1])
+                        starts = x[new].tolist()
+                        stops = y[np.append(np.flatnonzero(new)[1:] - 1, len(y) - 1)].tolist()
+                    kept = b"".join(text[p:q] for p, q in zip([0, *stops], [*starts, len(text)], strict=True))
+                    out.append((len(text), len(text) - len(kept), len(starts), hashlib.sha256(kept).hexdigest(), kept))
+                cols = list(zip(*out, strict=True)) if out else [[], [], [], [], []]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"]
+                )
+            give_back()
 
     return docs.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary")
 
@@ -377,8 +388,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     NULL identifier comes before all others. ``kept_bytes`` may cut a character. Other columns
     are ignored; an empty table gives an empty result.
     """
-    if length <= GRAM:
-        raise ValueError(f"length must be over {GRAM}")
+    if not GRAM < length < 4096:
+        raise ValueError(f"length must be over {GRAM} and below 4096")
     prepare(docs.sparkSession)
     texts = doc_columns(docs, id_col, text_col).select(F.coalesce("__id", F.lit(_NULL_ID)).alias("id"), F.col("__text").alias("text"))
     found = materialise(repeated(anchors(texts, length)), "anchors")
@@ -395,8 +406,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         )
         .withColumn("at", F.sort_array("at"))
     )
-    affected = materialise(texts.join(per_doc, "id").select("id", "text", "at", "settled"), "affected")
-    compared = affected.where(F.size("at") > 0).select("id", "text", "at")
+    per_doc = materialise(per_doc, "places")
+    # texts are joined here and at the end, and never written
+    compared = texts.join(per_doc.where(F.size("at") > 0).select("id", "at"), "id").select("id", "text", "at")
     marks = materialise(match_groups(surroundings(compared, length), length), "marks")
     # a window has at most one row per chunk; those that aren't the smallest make one interval
     # per anchor
@@ -405,16 +417,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     later = later.groupBy("id", F.col("b").alias("pos")).agg(F.min("a").alias("a"), (F.max("a") + length).alias("b"))
     later = later.select("id", "a", "b")
     spans = marks.where("w1 IS NULL").select("id", "a", "b").union(later)
-    spans = spans.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    both = affected.join(spans, "id", "left").select("id", "text", F.concat("settled", F.coalesce("spans", none)).alias("spans"))
-    cut = materialise(_apply(both.where(F.size("spans") > 0)), "cut")
-    whole = texts.join(cut.select("id"), "id", "left_anti").select(
-        "id",
-        F.octet_length("text").cast("long").alias("n_bytes"),
-        F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"),
-        F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"),
-        F.encode("text", "UTF-8").alias("kept_bytes"),
-    )
-    return cut.union(whole).select(F.nullif("id", F.lit(_NULL_ID)).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes")
+    settled = per_doc.select("id", F.explode("settled").alias("s")).select("id", "s.a", "s.b")
+    spans = spans.union(settled).groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    cut = _apply(texts.join(materialise(spans, "spans"), "id", "left").select("id", "text", "spans"))
+    return cut.select(F.nullif("id", F.lit(_NULL_ID)).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes")
