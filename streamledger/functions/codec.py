@@ -79,9 +79,12 @@ def _strings(data, starts, lengths, present):
     lengths = np.where(present, lengths, 0).astype(np.int64)
     offsets = np.zeros(len(lengths) + 1, dtype=np.int64)
     np.cumsum(lengths, out=offsets[1:])
-    total = int(offsets[-1])
-    index = np.repeat(starts - offsets[:-1], lengths) + np.arange(total, dtype=np.int64)
-    body = data[index] if total else np.zeros(0, dtype=np.uint8)
+    # ranges lie in their records, so they are in order and apart: one mark a byte tells them
+    some = lengths > 0
+    marks = np.zeros(len(data) + 1, dtype=np.int8)
+    marks[starts[some]] += 1
+    marks[starts[some] + lengths[some]] -= 1
+    body = data[np.cumsum(marks[:-1], dtype=np.int8).view(bool)]
     mask = pa.array(~present, type=pa.bool_())
     binary = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(body)]

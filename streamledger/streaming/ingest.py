@@ -59,7 +59,7 @@ def ingest_batch(
     done = TB.batch_of(spark, target, writer, batch_id, last)
     if done is not None:  # durable already: the crash was after the commit
         TB.append_rows(batch, target, batch_id, writer=writer, last=last)  # its catalog partition
-        if metrics_path:
+        if metrics_path and S.path_exists(spark, target.commit_path(done)):  # else compacted long ago
             write_metric_lines(spark, target, done, metrics_path, 0.0, 0.0)
         return
     decoded = decode_payload(batch, schema)
