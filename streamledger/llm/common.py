@@ -9,7 +9,7 @@ inside a task on the rows Spark handed to it.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     fs.deleteOnExit(hpath)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
+    _written.append(out)
+    return out
+
+
+#: Tables that ``materialise`` has written, in order.
+_written: list[DataFrame] = []
+
+
+def concluded(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The frame that ``make`` gives, written; the tables written for it are deleted."""
+    before = len(_written)
+    out = materialise(make(), name)
+    discard(*_written[before:-1])
+    del _written[before:]
     return out
 
 

@@ -1,27 +1,27 @@
 """Similarity join on word shingles: size-banded tiles, hashed bitmaps, exact intersections.
 
-1. Every document becomes its sorted set of shingle hashes, a bitmap of BITMAP bits (every
-   shingle sets one), and its tile keys. Equal sets are one class; its smallest identifier
-   stands for it.
-2. Sizes are cut into bands [BAND^b, BAND^(b+1)). A document belongs to its own band and, if
-   its smaller partners can lie there, to the band below, so every two sets that can link
-   share a band. In a band two linked sets differ in at most d shingles, whatever their sizes
-   there. Hash ranges cut a set into more than d pieces; as d differences spoil at most d of
-   them, linked sets agree in a whole piece that isn't empty. A tile key is a band, a piece and
-   a hash of the piece's shingles. A set of which d or fewer pieces hold anything gets the
-   keys of a second cut too, and so on (its partner does, or the first cut serves both): no
-   link is lost.
-3. A tile's members are held against one of them, its lead. Of two bitmaps, every bit that only
+1. Every document becomes its sorted set of shingle hashes and its tile keys. Equal sets are
+   one class; its smallest identifier stands for it. Sets that meet others get a bitmap, of four
+   to eight bits a shingle, in which every shingle sets one.
+2. Of two linked sets each shares at least ``percent`` of its shingles with the other, so in any
+   order of all shingles their first n - ceil(percent * n / 100) + 1 ones have one in common: no
+   link is lost if sets meet by these. The order is from rare to frequent, as counted over all
+   documents (hashed to COUNTERS counters, which may count rare shingles as frequent but only
+   costs order, not links), so shingles that many documents share are rarely keys.
+3. The sets that share a key are cut into tiles by size: a set lies in its own band
+   [BAND^b, BAND^(b+1)) and, if its smaller partners can lie there, in the band below.
+4. A tile's members are held against one of them, its lead. Of two bitmaps, every bit that only
    one has stands for a shingle that the other set lacks, so bit counts bound the overlap from
    above; pairs whose bound is too small are left out. The others are settled by intersecting
    the sorted arrays. A tile whose members are in one component is done.
-4. After TURNS rounds with other leads, the members of unsettled tiles are compared in full,
-   bitmaps first, in pieces of bounded size. So the result is that of all links.
+5. After at most TURNS rounds with other leads, the members of unsettled tiles are compared in full:
+   their bitmaps, in pieces of bounded size and in the order of set sizes, then the arrays of
+   the pairs that these leave; members with more than NAMED such partners in a piece meet the
+   arrays of all members instead. So the result is that of all links.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,32 +29,35 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, byte_column, doc_columns, materialise, mix64, prefix_hash, prepare, span_hash, word_spans
+from .common import blocks, byte_column, discard, doc_columns, materialise, mix64, prefix_hash, prepare, span_hash, word_spans
 from .graph import components
 
 #: Ratio of a band's ends.
-BAND = 1.6
+BAND = 1.3
+#: Bits of the smallest bitmap; a larger set has the power of two from four bits a shingle on.
 BITMAP = 1024
-LONGS = BITMAP // 64
-#: Cuts of a set into pieces; a set that none of them serves gets keys of empty pieces too.
-CUTS = 4
-#: Rounds in which the members of a tile are held against one of them.
-TURNS = 3
+#: Counters of shingles, and those that one row carries.
+COUNTERS, ROW_COUNTERS = 1 << 20, 1 << 12
+#: Rounds in which the members of a tile are held against one of them; with fewer unsettled
+#: members than FEW, the rest are compared in full at once.
+TURNS, FEW = 3, 1 << 17
+#: Bits of the filter that picks documents by identifier where they are read.
+FILTER = 1 << 23
 #: Sets whose copies a task knows again.
 SEEN = 1 << 17
-#: Shingles of the members that a task holds while others are compared with them, and members
-#: that meet one lead in a task.
-PIECE_SHINGLES, PIECE_MEMBERS = 1 << 21, 4096
+#: Shingles of the sets, and of the sets whose bitmaps, a task holds while others are compared
+#: with them; members that meet one lead in a task; partners that a member is given by name.
+PIECE_SHINGLES, PIECE_MARKED, PIECE_MEMBERS, NAMED = 1 << 20, 1 << 23, 4096, 32
 
 _rng = np.random.default_rng(12012)
 _WORD = _rng.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SALT = _rng.integers(0, 2**63, 8 + CUTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SALT = _rng.integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingle_hashes(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, ends): the sorted distinct 64-bit hashes of each document's k-word shingles
-    (A-Z lower-cased), one document after the other; with fewer words the whole sequence is
-    the only shingle."""
+def all_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ends): 64-bit hashes of each document's k-word shingles (A-Z lower-cased), one
+    document after the other, repeated ones too; with fewer words the whole sequence is the only
+    shingle."""
     start, end, words = word_spans(data, offs)
     h = span_hash(prefix_hash(data, lower=True), start, end)
     n = len(h)
@@ -62,96 +65,104 @@ def shingle_hashes(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarr
     for j in range(k if n >= k else 0):
         full += h[j : n - k + 1 + j] * _WORD[j]
     full = mix64(full)
-    out, at, none = [], 0, np.zeros(0, np.uint64)
-    for m in words.tolist():
-        if m >= k:
-            out.append(np.unique(full[at : at + m - k + 1]))
-        else:
-            out.append(mix64((h[at : at + m] * _WORD[:m]).sum(keepdims=True) + np.uint64(m)) if m else none)
-        at += m
-    ends = np.cumsum([len(x) for x in out], dtype=np.int64)
-    return (np.concatenate(out) if out else none), ends
+    counts = np.where(words >= k, words - k + 1, np.minimum(words, 1))
+    ends, first = np.cumsum(counts), np.cumsum(words) - words
+    out = np.zeros(int(counts.sum()), np.uint64)
+    long = np.flatnonzero(words >= k)
+    m = counts[long]
+    step = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+    out[np.repeat(ends[long] - m, m) + step] = full[np.repeat(first[long], m) + step]
+    for i in np.flatnonzero((words > 0) & (words < k)).tolist():
+        m = int(words[i])
+        out[ends[i] - 1] = mix64((h[first[i] : first[i] + m] * _WORD[:m]).sum(keepdims=True) + np.uint64(m))[0]
+    return out, ends
 
 
-def band_of(n: np.ndarray) -> np.ndarray:
-    """Band of each size (from 1)."""
-    return np.searchsorted(_band_starts(int(n.max(initial=1)) + 1), n, "right") - 1
+def shingle_hashes(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ends): each document's set, sorted (see ``all_shingles``)."""
+    flat, ends = all_shingles(data, offs, k)
+    sets = [np.unique(flat[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]
+    return (np.concatenate(sets) if sets else flat), np.cumsum([len(x) for x in sets], dtype=np.int64)
 
 
-def _band_starts(most: int) -> np.ndarray:
-    starts, x = [1], 1.0
-    while starts[-1] <= most:
-        x *= BAND
-        if math.ceil(x) > starts[-1]:
-            starts.append(math.ceil(x))
-    return np.array(starts)
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (mix64(hashes ^ _SALT[0]) >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
-def differences(starts: np.ndarray, band: np.ndarray, percent: int) -> np.ndarray:
-    """The most shingles by which two linked sets of a band differ, of which the smaller one
-    lies in the band: |A| + |B| is largest for the largest A and the largest B of it."""
-    smaller = starts[band + 1] - 1
-    both = smaller + smaller * 100 // percent
-    return both * (100 - percent) // (100 + percent)
+def shingle_levels(docs: DataFrame, k: int) -> np.ndarray:
+    """How frequent the shingles of each counter are over all rows of (``__id, __text``), in
+    eighths of powers of two: COUNTERS bytes, whatever the corpus."""
+    spark = docs.sparkSession
+    rows = COUNTERS // ROW_COUNTERS
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            data, offs = byte_column(batch.column(1))
+            for _lo, _hi, raw, at in blocks(data, offs):
+                seen += np.bincount(_counter(all_shingles(raw, at, k)[0]), minlength=COUNTERS)
+        yield _lists_of(np.arange(rows), seen.reshape(rows, ROW_COUNTERS))
 
-def tile_keys(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, ends): the tile keys of each set (see the module's description)."""
-    sizes = np.diff(ends, prepend=0)
-    starts = _band_starts(int(sizes.max(initial=1)) * 2 + 2)
-    band = np.searchsorted(starts, np.maximum(sizes, 1), "right") - 1
-    # the smallest partner of n has ceil(percent * n / 100) shingles
-    low = -(-sizes * percent // 100)
-    below = np.flatnonzero((sizes > 0) & (band > 0) & (low < starts[band]))
-    row = np.concatenate([np.flatnonzero(sizes > 0), below])
-    tile = np.concatenate([band[sizes > 0], band[below] - 1])
-    d = differences(starts, tile, percent)
-    some = d > 0  # sets that can only link with an equal one need no key
-    row, tile, d = row[some], tile[some], d[some]
-    keys, owner = [], []
-    for cut in range(CUTS):
-        if not len(row):
-            break
-        # some pieces stay empty: a share of about exp(-shingles per piece)
-        pieces = d + 1 + np.ceil((d + 1) * np.exp(-starts[tile] / (d + 1.0)) * 1.5).astype(np.int64) + 1
-        n = sizes[row]
-        first = np.repeat(ends[row] - n - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        own = hashes[first]
-        which = np.repeat(np.arange(len(row)), n)
-        if cut:
-            own = mix64(own ^ _SALT[8 + cut])
-        piece = ((own >> np.uint64(32)) * pieces[which].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        if cut:
-            order = np.lexsort((own, which))
-            own, piece = own[order], piece[order]
-        spot = np.flatnonzero(np.concatenate([[True], (which[1:] != which[:-1]) | (piece[1:] != piece[:-1])]))
-        content = np.add.reduceat(mix64(own ^ _SALT[0]), spot)
-        of = which[spot]
-        name = (tile[of] * CUTS + cut).astype(np.uint64) * _SALT[1] + piece[spot].astype(np.uint64) * _SALT[2]
-        keys.append(mix64(content + name))
-        owner.append(row[of])
-        full = np.bincount(of, minlength=len(row))
-        left = full <= d
-        if cut == CUTS - 1 and left.any():  # empty pieces count as pieces
-            for i in np.flatnonzero(left).tolist():
-                empty = np.setdiff1d(np.arange(pieces[i]), piece[spot[of == i]]).astype(np.uint64)
-                keys.append(mix64((tile[i : i + 1] * CUTS + cut).astype(np.uint64) * _SALT[1] + empty * _SALT[2]))
-                owner.append(np.full(len(empty), row[i]))
-        row, tile, d = row[left], tile[left], d[left]
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(len(sizes), np.int64)
-    key, owner = np.concatenate(keys), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    return key[order], np.cumsum(np.bincount(owner, minlength=len(sizes)))
-
-
-def bitmaps(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """(documents, LONGS) words: each shingle sets the bit that its hash names."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            counts = batch.column(1).flatten().to_numpy().reshape(-1, ROW_COUNTERS)
+            for which, row in zip(batch.column(0).to_pylist(), counts):
+                sums[which] = sums[which] + row if which in sums else row.copy()
+        for which, row in sums.items():
+            yield _lists_of(np.array([which]), row[None])
+
+    counted = docs.mapInArrow(count, "row long, counts array<long>")
+    # two steps, so that no task adds the counts of all tasks
+    lanes = counted.withColumn("lane", F.spark_partition_id() % 16).repartition("row", "lane").select("row", "counts")
+    added = lanes.mapInArrow(add, "row long, counts array<long>").repartition("row").mapInArrow(add, "row long, counts array<long>")
+    total = np.zeros((rows, ROW_COUNTERS), np.int64)
+    for r in added.toLocalIterator():
+        total[r["row"]] += np.array(r["counts"])
+    return np.minimum(255, np.log2(total.ravel() + 1) * 8).astype(np.uint8)
+
+
+def _lists_of(numbers: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    lists = _lists(counts.ravel(), np.arange(1, len(counts) + 1) * counts.shape[1])
+    return pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int64)), lists], names=["row", "counts"])
+
+
+def tile_keys(hashes: np.ndarray, ends: np.ndarray, levels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, ends): of each set the first shingles in the order from rare to frequent, so many
+    that two linked sets have one of them in common; none for sets that can only link with an
+    equal one."""
     sizes = np.diff(ends, prepend=0)
-    bit = (mix64(hashes ^ _SALT[3]) >> np.uint64(64 - BITMAP.bit_length() + 1)).astype(np.int64)
-    marks = np.zeros((len(sizes), BITMAP), bool)
-    marks[np.repeat(np.arange(len(sizes)), sizes), bit] = True
-    return np.packbits(marks, axis=1, bitorder="little").view("<u8")
+    take = np.where(sizes * 100 >= percent * (sizes + 1), sizes - -(-sizes * percent // 100) + 1, 0)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    # hashes are sorted within a set, so equal levels stay in the order of hashes
+    order = np.argsort(of * 256 + levels[_counter(hashes)], kind="stable")
+    place = np.arange(len(hashes)) - np.repeat(ends - sizes, sizes)
+    return hashes[order[place < take[of]]], np.cumsum(take)
+
+
+def bands(n: Column, percent: int) -> Column:
+    """The size bands of a set of ``n`` shingles: its own and, if a partner of fewer shingles can
+    lie in it, the one below (``n`` from 1)."""
+    own = F.floor(F.log(BAND, n.cast("double")) + F.lit(1e-9))
+    least = F.floor(F.log(BAND, F.ceil(n * percent / F.lit(100.0)).cast("double")) + F.lit(1e-9))
+    return F.sequence(F.least(least, own).cast("int"), own.cast("int"))
+
+
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """The bitmap of a set, as words: each shingle sets the bit that its hash names. Halves of a
+    bitmap laid over each other are the bitmap of half the size."""
+    width = max(BITMAP, 1 << (4 * len(hashes) - 1).bit_length()) if len(hashes) else BITMAP
+    marks = np.zeros(width, bool)
+    marks[(mix64(hashes ^ _SALT[3]) & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").view("<u8")
+
+
+def folded(words: np.ndarray, longs: int) -> np.ndarray:
+    """Bitmaps (rows of words) of ``longs`` words."""
+    while words.shape[-1] > longs:
+        half = words.shape[-1] // 2
+        words = words[..., :half] | words[..., half:]
+    return words
 
 
 def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -159,9 +170,10 @@ def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.ascontiguousarray(flat).view(np.int64)))
 
 
-def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(``id, n, s1, s2, bits, keys``) per row of (``__id, __text``); equal sets have equal
+def sketches(docs: DataFrame, k: int, levels: np.ndarray, percent: int) -> DataFrame:
+    """(``id, n, s1, s2, keys``) per row of (``__id, __text``); equal sets have equal
     (``n, s1, s2``)."""
+    order = docs.sparkSession.sparkContext.broadcast(levels)  # COUNTERS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -174,8 +186,7 @@ def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 for salt in (_SALT[4], _SALT[5]):
                     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(hashes ^ salt))])
                     ident.append(np.ascontiguousarray(sums[ends] - sums[ends - sizes]).view(np.int64))
-                words = bitmaps(hashes, ends)
-                keys, key_ends = tile_keys(hashes, ends, percent)
+                keys, key_ends = tile_keys(hashes, ends, order.value, percent)
                 # copies that a task has seen need no keys again
                 again = np.zeros(len(sizes), bool)
                 for i, x in enumerate(zip(ident[0].tolist(), ident[1].tolist())):
@@ -188,42 +199,66 @@ def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 key_ends = np.cumsum(np.where(again, 0, width))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(lo, hi - lo), pa.array(sizes), *map(pa.array, ident),
-                        _lists(words.ravel(), np.arange(1, len(words) + 1) * LONGS), _lists(keys, key_ends),
+                        batch.column(0).slice(lo, hi - lo), pa.array(sizes), *map(pa.array, ident), _lists(keys, key_ends)
                     ],
-                    names=["id", "n", "s1", "s2", "bits", "keys"],
+                    names=["id", "n", "s1", "s2", "keys"],
                 )
 
-    return docs.mapInArrow(run, "id long, n long, s1 long, s2 long, bits array<long>, keys array<long>")
+    return docs.mapInArrow(run, "id long, n long, s1 long, s2 long, keys array<long>")
+
 
+def wanted(ids: DataFrame) -> np.ndarray:
+    """A filter of FILTER bits that lets the rows of ``ids`` (one column, ``id``) pass, and few
+    others as long as these are not very many: whatever their number, it has one size."""
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER))
+    words = ids.groupBy(F.shiftright(place, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {FILTER}) % 64 as int))")).alias("b"))
+    out = np.zeros(FILTER // 64, np.int64)
+    for r in words.toLocalIterator():
+        out[r["w"]] = r["b"]
+    return out.view(np.uint64)
 
-def sets_of(docs: DataFrame, k: int) -> DataFrame:
-    """(``id, n, bits, shingles``): the full sorted set of each row of (``__id, __text``)."""
+
+def sets_of(docs: DataFrame, k: int, ids: DataFrame, marks: bool) -> DataFrame:
+    """Of the rows of (``__id, __text``) whose identifier is in ``ids`` (and of a few others, which
+    a join drops): (``id, n, bits``) with ``marks``, else (``id, shingles``), the full sorted set.
+    Texts aren't shuffled for it: rows are left out where they are read."""
+    some = docs.sparkSession.sparkContext.broadcast(wanted(ids))  # FILTER bits
+    placed = docs.select("__id", "__text", F.pmod(F.xxhash64("__id"), F.lit(FILTER)).alias("__place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole in batches:
+            place = whole.column(2).to_numpy()
+            use = (some.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+            batch = whole.filter(pa.array(use))
             data, offs = byte_column(batch.column(1))
             for lo, hi, raw, at in blocks(data, offs):
                 hashes, ends = shingle_hashes(raw, at, k)
-                words = bitmaps(hashes, ends)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, hi - lo), pa.array(np.diff(ends, prepend=0)),
-                        _lists(words.ravel(), np.arange(1, len(words) + 1) * LONGS), _lists(hashes, ends),
-                    ],
-                    names=["id", "n", "bits", "shingles"],
-                )
+                own = batch.column(0).slice(lo, hi - lo)
+                if marks:
+                    words = [bitmap(hashes[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]
+                    lists = _lists(np.concatenate(words), np.cumsum([len(x) for x in words]))
+                    yield pa.RecordBatch.from_arrays([own, pa.array(np.diff(ends, prepend=0)), lists], names=["id", "n", "bits"])
+                else:
+                    yield pa.RecordBatch.from_arrays([own, _lists(hashes, ends)], names=["id", "shingles"])
 
-    return docs.mapInArrow(run, "id long, n long, bits array<long>, shingles array<long>")
+    return placed.mapInArrow(run, "id long, n long, bits array<long>" if marks else "id long, shingles array<long>")
 
 
 def overlap_bound(na: Column, a: Column, nb: Column, b: Column) -> Column:
-    """From two sizes and bitmaps, a number that the common shingles can't exceed."""
-    lacks_a, lacks_b = F.lit(0), F.lit(0)
-    for i in range(LONGS):
-        lacks_b = lacks_b + F.bit_count(a[i].bitwiseAND(F.bitwise_not(b[i])))
-        lacks_a = lacks_a + F.bit_count(b[i].bitwiseAND(F.bitwise_not(a[i])))
-    return F.least(na - lacks_b, nb - lacks_a)
+    """From two sizes and bitmaps, a number that the common shingles can't exceed. Of bitmaps of
+    different sizes the larger one is folded (linked sets' differ by one step at most)."""
+    longs = F.least(F.size(a), F.size(b))
+
+    def fold(x: Column) -> Column:
+        return F.when(F.size(x) == longs, x).otherwise(
+            F.transform(F.sequence(F.lit(0), longs - 1), lambda i: F.get(x, i).bitwiseOR(F.get(x, i + longs)))
+        )
+
+    def only(x: Column, y: Column) -> Column:
+        each = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+        return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+
+    return F.least(na - only(fold(a), fold(b)), nb - only(fold(b), fold(a)))
 
 
 def linked(shared, na, nb, percent: int):
@@ -239,15 +274,70 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(b) else 0
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], arrays: int) -> Iterator[tuple[bool, tuple, list[np.ndarray]]]:
+    """Rows (tile, piece, part, id, comp, n, arrays...) as (first row of a piece, values,
+    arrays)."""
+    here = None
+    for batch in batches:
+        plain = [batch.column(i).to_pylist() for i in range(6)]
+        lists = [(batch.column(6 + i).offsets.to_numpy(), batch.column(6 + i).values.to_numpy().view(np.uint64)) for i in range(arrays)]
+        for i, row in enumerate(zip(*plain)):
+            yield here != row[:2], row, [flat[ends[i] : ends[i + 1]] for ends, flat in lists]
+            here = row[:2]
+
+
+def _marked(batches: Iterator[pa.RecordBatch], percent: int, named: int) -> Iterator[pa.RecordBatch]:
+    """Rows (tile, piece, part, id, comp, n, bits) come by piece, held members (part 0) before
+    those compared with them (part 1). Passes on the pairs (a, b) of different components that
+    sizes and bitmaps leave possible; of a compared member with more than ``named`` only itself
+    (b is NULL)."""
+    held: list[tuple[int, int, int, np.ndarray]] = []
+    index: tuple | None = None
+    out: list[tuple[int, int | None]] = []
+
+    def flush() -> pa.RecordBatch:
+        rows, out[:] = list(out), []
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    for new, (_tile, _piece, part, own, comp, n), (bits,) in _pieces(batches, 1):
+        if new:
+            held, index = [], None
+        if part == 0:
+            held.append((n, own, comp, bits.copy()))
+            continue
+        if not held:
+            continue
+        if index is None:  # by size; bitmaps of one width are rows of one array
+            held.sort(key=lambda x: x[0])
+            sizes, ids, comps = (np.array([x[k] for x in held]) for k in (0, 1, 2))
+            width = np.array([len(x[3]) for x in held])
+            index = sizes, ids, comps, [(w, np.flatnonzero(width == w), np.stack([x[3] for x in held if len(x[3]) == w])) for w in np.unique(width).tolist()]
+        sizes, ids, comps, classes = index
+        lo, hi = np.searchsorted(sizes, -(-n * percent // 100)), np.searchsorted(sizes, n * 100 // percent, "right")
+        found = []
+        for w, rows, words in classes:
+            a, b = np.searchsorted(rows, lo), np.searchsorted(rows, hi)
+            if a == b:
+                continue
+            longs = min(w, len(bits))
+            mine, theirs, m = folded(bits, longs), folded(words[a:b], longs), sizes[rows[a:b]]
+            bound = np.minimum(
+                n - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64), m - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64)
+            )
+            found += rows[a:b][linked(bound, m, n, percent) & (comps[rows[a:b]] != comp)].tolist()
+        out += [(own, None)] if len(found) > named else [(own, int(ids[j])) for j in found]
+        if len(out) > 1 << 14:
+            yield flush()
+    yield flush()
+
+
 def _tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (tile, piece, part, id, comp, n, bits, shingles) come by piece, held members (part
-    0) before those compared with them (part 1). Bitmaps bound every pair of different
-    components, sorted arrays settle what is left; one link is passed on for every two
-    components that get connected."""
-    here: tuple[int, int] | None = None
-    held: list[tuple[int, int, int, np.ndarray, np.ndarray]] = []
-    index: tuple[np.ndarray, ...] | None = None
+    """Rows (tile, piece, part, id, comp, n, shingles) come by piece, held members (part 0)
+    before those compared with them (part 1). Sorted arrays are intersected; one link is passed
+    on for every two components that get connected."""
+    held: list[tuple[int, int, int, np.ndarray]] = []
     parent: dict[int, int] = {}
+    out: list[tuple[int, int]] = []
 
     def root(x: int) -> int:
         while parent.setdefault(x, x) != x:
@@ -255,33 +345,19 @@ def _tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             x = parent[x]
         return x
 
-    for batch in batches:
-        tile, piece, part, ids, comps, sizes = (batch.column(i).to_numpy() for i in range(6))
-        bits = batch.column(6).flatten().to_numpy().view(np.uint64).reshape(-1, LONGS)
-        ends = batch.column(7).offsets.to_numpy()
-        flat = batch.column(7).values.to_numpy().view(np.uint64)
-        out: list[tuple[int, int]] = []
-        for i in range(batch.num_rows):
-            if here != (tile[i], piece[i]):
-                here, held, index, parent = (tile[i], piece[i]), [], None, {}
-            own = flat[ends[i] : ends[i + 1]]
-            if part[i] == 0:
-                held.append((int(ids[i]), int(comps[i]), int(sizes[i]), bits[i].copy(), own.copy()))
-                continue
-            if not held:
-                continue
-            if index is None:
-                index = np.stack([x[3] for x in held]), np.array([x[2] for x in held]), np.array([x[1] for x in held])
-            words, n, of = index
-            lacks = np.bitwise_count(bits[i] & ~words).sum(1, dtype=np.int64)
-            excess = np.bitwise_count(words & ~bits[i]).sum(1, dtype=np.int64)
-            bound = np.minimum(sizes[i] - lacks, n - excess)
-            for j in np.flatnonzero(linked(bound, n, sizes[i], percent) & (of != comps[i])).tolist():
-                a, b = root(int(comps[i])), root(held[j][1])
-                if a != b and linked(_common(own, held[j][4]), int(sizes[i]), held[j][2], percent):
+    for new, (_tile, _piece, part, own, comp, n), (shingles,) in _pieces(batches, 1):
+        if new:
+            held, parent = [], {}
+        if part == 0:
+            held.append((n, own, comp, shingles.copy()))
+            continue
+        for m, other, of, theirs in held:
+            if of != comp and min(n, m) * 100 >= max(n, m) * percent:
+                a, b = root(comp), root(of)
+                if a != b and linked(_common(shingles, theirs), n, m, percent):
                     parent[a] = b
-                    out.append((int(ids[i]), held[j][0]))
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                    out.append((own, other))
+    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
 def _label(frame: DataFrame, col: str, comps: DataFrame | None, out: str) -> DataFrame:
@@ -292,26 +368,27 @@ def _label(frame: DataFrame, col: str, comps: DataFrame | None, out: str) -> Dat
     return frame.join(c, col, "left").withColumn(out, F.coalesce(f"{out}__", col)).drop(f"{out}__")
 
 
-def _clusters(open_rows: DataFrame, comps: DataFrame, prints: DataFrame) -> DataFrame:
-    """(tile, piece, part, id, comp) rows that hold all members of different components, which
-    unsettled tiles chain together, against each other. Of two components one is not the
-    cluster's largest, so the members outside it are compared with all others. Held members
-    are dealt to pieces of about PIECE_SHINGLES; those compared go to every piece."""
+def _clusters(open_rows: DataFrame, comps: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(tile, id, comp, n, lead): the members of unsettled tiles, by the clusters that these
+    chain together. Of two components one is not the cluster's largest, so it is enough to
+    compare the members outside it (``lead``) with all members of other components."""
     ties = open_rows.groupBy("key").agg(F.min("id").alias("a"))
     chained = components(open_rows.join(ties, "key").select("a", F.col("id").alias("b")))
-    chained = materialise(_label(chained.withColumnRenamed("comp", "tile"), "id", comps, "comp"), "clusters")
-    weights = chained.join(prints.groupBy("id").agg(F.sum("n").alias("w")), "id").groupBy("tile", "comp")
-    weights = weights.agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("m"))
-    sizes = weights.groupBy("tile").agg(
-        F.max(F.struct("m", "comp"))["comp"].alias("largest"),
-        F.ceil(F.sum("w") / PIECE_SHINGLES).cast("int").alias("pieces"),
-        F.count(F.lit(1)).alias("k"),
-    )
-    members = chained.join(sizes.where("k > 1"), "tile")
+    chained = _label(chained.withColumnRenamed("comp", "tile"), "id", comps, "comp")
+    chained = chained.join(sizes.groupBy("id").agg(F.sum("n").alias("n")), "id")
+    weights = chained.groupBy("tile", "comp").agg(F.count(F.lit(1)).alias("m"))
+    several = weights.groupBy("tile").agg(F.max(F.struct("m", "comp"))["comp"].alias("largest"), F.count(F.lit(1)).alias("k"))
+    return chained.join(several.where("k > 1"), "tile").select("tile", "id", "comp", "n", (F.col("comp") != F.col("largest")).alias("lead"))
+
+
+def _placed(members: DataFrame, size: int) -> DataFrame:
+    """(tile, piece, part, id, comp): members dealt to pieces of about ``size`` shingles, where
+    they are held (part 0); ``lead`` members go to every piece of their tile (part 1)."""
+    pieces = members.groupBy("tile").agg(F.ceil(F.sum("n") / size).cast("int").alias("pieces"), F.max("lead").alias("some"))
     held = F.array(F.struct(F.pmod(F.xxhash64("id"), "pieces").cast("int").alias("piece"), F.lit(0).alias("part")))
     sent = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda i: F.struct(i.alias("piece"), F.lit(1).alias("part")))
-    at = F.when(F.col("comp") != F.col("largest"), F.concat(held, sent)).otherwise(held)
-    return members.select("tile", F.explode(at).alias("at"), "id", "comp").select("tile", "at.piece", "at.part", "id", "comp")
+    at = F.explode(F.when(F.col("lead"), F.concat(held, sent)).otherwise(held)).alias("at")
+    return members.join(pieces.where("some"), "tile").select("tile", at, "id", "comp").select("tile", "at.piece", "at.part", "id", "comp")
 
 
 def similarity_groups(
@@ -320,28 +397,32 @@ def similarity_groups(
     """One row per input row: ``id_col``, ``n_shingles``, ``component_id``.
 
     Documents are linked if 100 * |intersection| >= percent * |union| of their shingle sets
-    (``percent`` from 75 on); ``component_id`` is the smallest identifier reachable over links.
+    (``percent`` from 50 on); ``component_id`` is the smallest identifier reachable over links.
     NULL, empty and wordless texts have no shingles and are linked with nothing. Equal sets are
     linked. Rows that repeat an identifier are one node with the links of all of them. A NULL
     identifier is linked with nothing (component NULL). Other columns are ignored; an empty
     table gives an empty result.
     """
-    if not 75 <= percent <= 100:
-        raise ValueError("bands are made for a similarity of 75 to 100 percent")
+    if not 50 <= percent <= 100:
+        raise ValueError("bands are made for a similarity of 50 to 100 percent")
     prepare(docs.sparkSession)
     texts = doc_columns(docs, id_col, text_col)
-    rows = materialise(sketches(texts, words, percent), "sketches")
+    rows = materialise(sketches(texts, words, shingle_levels(texts, words), percent), "sketches")
     some = rows.where("n > 0 AND id IS NOT NULL")
     # Classes of equal sets: the smallest identifier stands for the class
     ident = ["n", "s1", "s2"]
     classes = materialise(some.groupBy(*ident).agg(F.min("id").alias("rep")), "classes")
-    keyed = some.select(F.col("s1"), F.explode("keys").alias("key"))
-    several = keyed.groupBy("key").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select("key")
-    tiles = keyed.join(several, "key").distinct().join(classes.select("s1", F.col("rep").alias("id")), "s1").select("key", "id")
-    tiles = materialise(tiles, "tiles")
-    members = tiles.select("id").distinct()
-    prints = materialise(some.select("id", "n", "bits").join(members, "id", "left_semi"), "prints")
-    full = materialise(sets_of(texts.join(members, texts["__id"] == members["id"], "left_semi"), words), "sets")
+    keyed = some.select("id", F.explode("keys").alias("key"))
+    several = keyed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    met = materialise(keyed.join(several, "key"), "met")
+    named = some.select("id", *ident).join(met.select("id").distinct(), "id", "left_semi").join(classes, ident)
+    named = named.select("id", "rep", F.explode(bands(F.col("n"), percent)).alias("band")).distinct()
+    tiles = met.join(named, "id").select(F.xxhash64("key", "band").alias("key"), F.col("rep").alias("id"))
+    shared = tiles.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    tiles = materialise(tiles.join(shared, "key"), "tiles")
+    discard(met)
+    members = materialise(tiles.select("id").distinct(), "members")
+    prints = materialise(sets_of(texts, words, members, marks=True).join(members, "id", "left_semi"), "prints")
 
     def bounded(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that sizes and bitmaps leave possible, with the bound's similarity."""
@@ -352,11 +433,23 @@ def similarity_groups(
         met = met.where(linked(F.col("most"), F.col("na"), F.col("nb"), percent))
         return met.select("a", "b", (F.col("most") / (F.col("na") + F.col("nb") - F.col("most"))).alias("like"))
 
-    def settled(placed: DataFrame) -> DataFrame:
-        """Links among (tile, piece, part, id, comp) rows, found in tasks."""
-        ready = placed.join(full, "id").select("tile", "piece", "part", "id", "comp", "n", "bits", "shingles")
+    def compared(placed: DataFrame, kernel, data: str) -> DataFrame:
+        """What ``kernel`` passes on of (tile, piece, part, id, comp) rows with their ``data``."""
+        if data == "bits":
+            own = prints
+        else:
+            placed = materialise(placed, "placed")
+            own = sets_of(texts, words, placed.select("id"), marks=False).withColumn("n", F.size("shingles").cast("long"))
+        ready = placed.join(own, "id").select("tile", "piece", "part", "id", "comp", "n", data)
         ready = ready.repartition("tile", "piece").sortWithinPartitions("tile", "piece", "part", "id")
-        return ready.mapInArrow(lambda batches: _tiles(batches, percent), "a long, b long")
+        return ready.mapInArrow(kernel, "a long, b long")
+
+    def settled(pairs: DataFrame) -> DataFrame:
+        """The links among pairs (a, b): each b meets its a, in lanes if an a has many."""
+        lanes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIECE_MEMBERS).cast("int").alias("pieces"))
+        leads = lanes.select(F.col("a").alias("tile"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(0).alias("part"), F.col("a").alias("id"))
+        others = pairs.join(lanes, "a").select(F.col("a").alias("tile"), F.pmod(F.xxhash64("b"), "pieces").cast("int").alias("piece"), F.lit(1).alias("part"), F.col("b").alias("id"))
+        return compared(_label(leads.union(others), "id", comps, "comp"), lambda batches: _tiles(batches, percent), "shingles")
 
     # rows of one identifier are one node
     twice = some.groupBy("id").agg(F.count_distinct(*ident).alias("k")).where("k > 1").select("id")
@@ -369,19 +462,27 @@ def similarity_groups(
         met = _label(_label(met, "a", comps, "ca"), "b", comps, "cb").where("ca <> cb").select("a", "b")
         best = bounded(met).groupBy("b").agg(F.max_by("a", F.struct("like", -F.col("a"))).alias("a"))
         best = materialise(best.select("a", "b"), "pairs")
-        lanes = best.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIECE_MEMBERS).cast("int").alias("pieces"))
-        leads = lanes.select(F.col("a").alias("tile"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(0).alias("part"), F.col("a").alias("id"))
-        others = best.join(lanes, "a").select(F.col("a").alias("tile"), F.pmod(F.xxhash64("b"), "pieces").cast("int").alias("piece"), F.lit(1).alias("part"), F.col("b").alias("id"))
-        links = materialise(links.union(settled(_label(leads.union(others), "id", comps, "comp"))), "links")
+        old = links, comps, best
+        links = materialise(links.union(settled(best)), "links")
         comps = materialise(components(links), "components")
+        discard(*old)
         labelled = _label(open_rows.select("key", "id"), "id", comps, "comp")
         state = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("lead"))
+        before = open_rows
         open_rows = materialise(open_rows.select("key", "id").join(state.where("x <> y").select("key", "lead"), "key"), "open")
-        if open_rows.isEmpty():
+        discard(before)
+        unsettled = open_rows.agg(F.count_distinct("id")).first()[0]
+        if unsettled < FEW:
             break
-    else:
-        links = materialise(links.union(settled(_clusters(open_rows, comps, prints))), "links")
-        comps = materialise(components(links), "components")
+    if unsettled:
+        chained = materialise(_clusters(open_rows, comps, prints.select("id", "n")), "clusters")
+        possible = materialise(compared(_placed(chained, PIECE_MARKED), lambda batches: _marked(batches, percent, NAMED), "bits"), "pairs")
+        many = possible.where("b IS NULL").select(F.col("a").alias("id")).distinct().withColumn("lead", F.lit(True))
+        rest = chained.drop("lead").join(many, "id", "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
+        links = links.union(settled(possible.where("b IS NOT NULL").distinct()))
+        if not many.isEmpty():
+            links = links.union(compared(_placed(rest, PIECE_SHINGLES), lambda batches: _tiles(batches, percent), "shingles"))
+        comps = materialise(components(materialise(links, "links")), "components")
     named = _label(rows.select("id", *ident).join(classes, ident, "left"), "rep", comps, "c")
     return named.select(
         F.col("id").alias(id_col),

@@ -8,6 +8,7 @@ from itertools import permutations
 import numpy as np
 import pytest
 from cases import docs, empty, near_groups, prose, shingles, texts
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from streamledger.llm import audit, codes, jaccard
 
@@ -125,10 +126,13 @@ def test_groups_against_all_pairs(spark, percent):
     assert len(set(want.values())) < len(rows) - 10
 
 
-@pytest.mark.parametrize("turns,piece", [(1, 300), (2, 1 << 21)])
-def test_groups_of_many_loose_copies(spark, monkeypatch, turns, piece):
+@pytest.mark.parametrize("turns,piece,named", [(1, 300, 0), (1, 1000, 3), (2, 1 << 21, 32)])
+def test_groups_of_many_loose_copies(spark, monkeypatch, turns, piece, named):
     monkeypatch.setattr(jaccard, "TURNS", turns)
+    monkeypatch.setattr(jaccard, "FEW", 1)
     monkeypatch.setattr(jaccard, "PIECE_SHINGLES", piece)
+    monkeypatch.setattr(jaccard, "PIECE_MARKED", 2 * piece)
+    monkeypatch.setattr(jaccard, "NAMED", named)
     monkeypatch.setattr(jaccard, "PIECE_MEMBERS", 8)
     monkeypatch.setattr(jaccard, "SEEN", 2)
     rows = _near_copies(random.Random(11), 130)
@@ -145,40 +149,59 @@ def test_groups_of_odd_rows(spark):
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(None, None), (5, 5), (6, 5), (9, 5), (3, 3), (2, 2), (1, 0), (0, 0)}
     assert jaccard.similarity_groups(empty(spark)).count() == 0
     with pytest.raises(ValueError):
-        jaccard.similarity_groups(empty(spark), percent=50)
+        jaccard.similarity_groups(empty(spark), percent=40)
 
 
-@pytest.mark.parametrize("percent", [75, 80, 85, 93])
-def test_linked_sets_share_a_tile(percent):
-    """At the most differences that a link allows, for small and large sets."""
+@pytest.mark.parametrize("percent", [60, 80, 85, 93])
+def test_linked_sets_share_a_key_and_a_band(spark, percent):
+    """At the most differences that a link allows, for small and large sets and any order."""
     rng = np.random.default_rng(percent)
+    sizes = set()
     for n in [*range(1, 60), 100, 257, 1000, 4000]:
-        for extra in {0, n * (100 - percent) // percent}:  # one set may be larger
+        levels = rng.integers(0, 4, jaccard.COUNTERS).astype(np.uint8)
+        for extra in {0, 1, n * (100 - percent) // percent}:  # one set may be larger
             m = n + extra
-            for shared in range(n, 0, -1):
-                if 100 * shared < percent * (n + m - shared):
-                    break
-            shared = min(n, shared + 1) if 100 * shared < percent * (n + m - shared) else shared
-            if 100 * shared < percent * (n + m - shared) or n + m == 2 * shared:
+            shared = next((x for x in range(n, 0, -1) if 100 * (x - 1) < percent * (n + m - x + 1)), 0)
+            if not shared or 100 * shared < percent * (n + m - shared) or n + m == 2 * shared:
                 continue
             common = rng.integers(0, 2**64, shared, dtype=np.uint64)
             a = np.sort(np.concatenate([common, rng.integers(0, 2**64, n - shared, dtype=np.uint64)]))
             b = np.sort(np.concatenate([common, rng.integers(0, 2**64, m - shared, dtype=np.uint64)]))
-            keys, ends = jaccard.tile_keys(np.concatenate([a, b]), np.array([n, n + m]), percent)
+            keys, ends = jaccard.tile_keys(np.concatenate([a, b]), np.array([n, n + m]), levels, percent)
             assert set(keys[: ends[0]].tolist()) & set(keys[ends[0] :].tolist()), (n, m, shared)
+            sizes.add((n, m))
+    table = spark.createDataFrame([(int(n), int(m)) for n, m in sizes], "n long, m long")
+    met = F.arrays_overlap(jaccard.bands(F.col("n"), percent), jaccard.bands(F.col("m"), percent))
+    assert len(sizes) > 50 and table.where(~met).count() == 0
 
 
-def test_bitmaps_bound_the_overlap():
+def test_frequent_shingles_are_the_last_keys(spark):
+    rng = random.Random(9)
+    line = " ".join(f"common{i}" for i in range(30))
+    table = docs(spark, [(i, f"{prose(rng, 100)} {line}", None) for i in range(300)])
+    levels = jaccard.shingle_levels(table.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")), 4)
+    raw = np.frombuffer(line.encode(), np.uint8)
+    shared, _ = jaccard.shingle_hashes(raw, np.array([0, len(raw)]), 4)
+    assert (levels[jaccard._counter(shared)] >= 8 * 8).all() and np.median(levels[levels > 0]) <= 8
+
+
+def test_bitmaps_bound_the_overlap(spark):
     rng = np.random.default_rng(1)
-    for n, m, shared in [(5, 6, 5), (300, 280, 250), (3000, 2900, 100), (40, 40, 0)]:
+    rows = []
+    for n, m, shared in [(5, 6, 5), (300, 280, 250), (250, 270, 249), (3000, 2900, 100), (40, 40, 0)]:
         common = rng.integers(0, 2**64, shared, dtype=np.uint64)
         a = np.sort(np.concatenate([common, rng.integers(0, 2**64, n - shared, dtype=np.uint64)]))
         b = np.sort(np.concatenate([common, rng.integers(0, 2**64, m - shared, dtype=np.uint64)]))
-        x, y = jaccard.bitmaps(np.concatenate([a, b]), np.array([n, n + m]))
-        bound = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
-        assert bound >= shared == jaccard._common(a, b)
-        if n < 100:
-            assert bound < shared + 8
+        x, y = jaccard.bitmap(a), jaccard.bitmap(b)
+        small = min(len(x), len(y))
+        p, q = jaccard.folded(x, small), jaccard.folded(y, small)
+        bound = min(n - int(np.bitwise_count(p & ~q).sum()), m - int(np.bitwise_count(q & ~p).sum()))
+        assert bound >= shared == jaccard._common(a, b) and bound < shared + 0.3 * (n + m - 2 * shared) + 3
+        rows.append((n, x.view(np.int64).tolist(), m, y.view(np.int64).tolist(), bound))
+    assert len({len(r[1]) for r in rows}) > 1 and any(len(r[1]) != len(r[3]) for r in rows)
+    table = spark.createDataFrame(rows, "na long, a array<long>, nb long, b array<long>, bound long")
+    got = table.select("bound", jaccard.overlap_bound(F.col("na"), F.col("a"), F.col("nb"), F.col("b")).alias("most")).collect()
+    assert all(r["bound"] == r["most"] for r in got)
 
 
 # ---------------------------------------------------------------- op 13
