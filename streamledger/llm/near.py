@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, byte_column, doc_columns, materialise, mix64, prefix_hash, prepare, span_hash, word_spans
+from .common import blocks, byte_column, discard, doc_columns, materialise, mix64, prefix_hash, prepare, span_hash, word_spans
 from .graph import components
 
 BANDS, ROWS, BITS = 32, 5, 2
@@ -297,14 +297,18 @@ def near_duplicates(
         if comps is not None:
             met = across(met, comps)
         best = likely(met).groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
-        new = confirmed(materialise(best, "pairs"))
+        pairs, old = materialise(best, "pairs"), (links, comps)
+        new = confirmed(pairs)
         links = materialise(new if links is None else links.union(new), "links")
         comps = materialise(components(links), "components")
+        discard(pairs, *old)
         labelled = label(open_rows.select("key", "id"), "id", comps, "comp")
         several = labelled.groupBy("key").agg(
             F.min("comp").alias("x"), F.max("comp").alias("y"), F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("lead")
         )
+        before = open_rows
         open_rows = materialise(open_rows.select("key", "id").join(several.where("x <> y").select("key", "lead"), "key"), "open")
+        discard(before)
     # What is left: all pairs across components, inside tasks
     if not open_rows.isEmpty():
         links, comps = grow(links, exhaustive(open_rows, comps))
