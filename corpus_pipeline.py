@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamledger.llm import bpe, decontaminate, exact, near, quality
-from streamledger.llm.common import materialise, read_table
+from streamledger.llm.common import concluded, materialise, read_table
 from streamledger.llm.tokenizers import tokenizer_file
 
 
@@ -24,13 +24,13 @@ def _without(docs: DataFrame, dropped: DataFrame, by_text: bool = False) -> Data
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is above their language's threshold go."""
-    verdict = quality.classify(docs, read_table(spark, sf_dir, "labels")).where(~F.col("kept"))
+    verdict = concluded(lambda: quality.classify(docs, read_table(spark, sf_dir, "labels")).where(~F.col("kept")).select("doc_id", "text_hash"), "rejected")
     return _without(docs, verdict.select(F.col("doc_id").alias("__drop_id"), F.col("text_hash").alias("__drop_text")), by_text=True)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row of the largest identifier stays, once."""
-    verdict = materialise(exact.exact_dedup(docs, keep="max").where(~F.col("kept")), "copies")
+    verdict = concluded(lambda: exact.exact_dedup(docs, keep="max").where(~F.col("kept")), "copies")
     same_id = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     text_of = docs.select(F.col("doc_id").alias("__drop_id"), F.xxhash64("text").alias("__drop_text"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("s"))
     named = verdict.where(~same_id).select(F.col("doc_id").alias("__v"), F.col("text_sha256").alias("s")).distinct()
@@ -47,13 +47,13 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one of the smallest identifier."""
-    verdict = near.near_duplicates(docs, words=5, percent=80).where(~F.col("kept"))
+    verdict = concluded(lambda: near.near_duplicates(docs, words=5, percent=80).where(~F.col("kept")).select("doc_id"), "near-copies")
     return _without(docs, verdict.select(F.col("doc_id").alias("__drop_id")))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
-    leaks = decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    leaks = concluded(lambda: decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaks")
     return _without(docs, leaks.select(F.col("doc_id").alias("__drop_id")))
 
 
