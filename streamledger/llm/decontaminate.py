@@ -5,8 +5,7 @@
    often an item leaked, its words weigh what they weigh in the rest of the text.
 2. A randomised SVD (subspace iteration on A^T A) of the TF-IDF matrix of passages: every
    pass over the passages is a Spark job whose tasks return sums of fixed size. It is fitted
-   on the benchmark's passages and on ``SAMPLE_DOCS`` documents, a bounded sample, again
-   without copies of items.
+   on the passages of the benchmark and of all documents, again without copies of items.
 3. Every passage of every document is folded into the latent space (V / sigma) and compared by
    cosine with the benchmark's passages, a stated query set taken in blocks of
    ``BLOCK_ITEMS`` items; a block goes with the tasks. Beside the latent candidates, a place
@@ -27,15 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_PUNCTUATION, blocks, byte_column, doc_columns, materialise, mix64, prefix_hash, prepare, span_hash, word_spans
+from .common import IS_PUNCTUATION, blocks, byte_column, discard, doc_columns, give_back, materialise, mix64, prefix_hash, prepare, span_hash, word_spans
 
 #: Hashed vocabulary, latent dimensions, extra dimensions while iterating, passes.
 FEATURES, LATENT, EXTRA, PASSES = 1 << 14, 128, 16, 2
 #: A passage is two neighbouring halves of this many words; passages overlap by a half.
 HALF = 16
-SAMPLE_DOCS = 4096
-#: Tasks over the sample in a pass of the iteration; each returns FEATURES * (LATENT + EXTRA) numbers.
-SAMPLE_TASKS = 4
+#: Tasks per core, at most, in a pass of the iteration; each returns FEATURES * (LATENT + EXTRA) numbers.
+TASKS_PER_CORE = 2
+#: Words that a pass of the iteration handles at once.
+PASS_WORDS = 1 << 14
 BLOCK_ITEMS = 2048
 COSINE, STRONG, WEAK = 0.36, 0.7, 0.5
 #: Words at an item's end that stand for its answer when the benchmark has no answer column.
@@ -121,9 +121,10 @@ def item_runs(items: DataFrame) -> np.ndarray:
                 h, _ = _runs(*_words(raw, at), SEED)
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64))], names=["b"])
 
-    marks = np.zeros(1 << FILTER_BITS, bool)
-    marks[items.select("__text").mapInArrow(run, "b long").distinct().toPandas()["b"].to_numpy(np.int64)] = True
-    return np.packbits(marks, bitorder="little")
+    bits = items.select("__text").mapInArrow(run, "b long").distinct().toPandas()["b"].to_numpy(np.int64)
+    marks = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    np.bitwise_or.at(marks, bits >> 3, np.left_shift(1, bits & 7).astype(np.uint8))
+    return marks
 
 
 def _halves(per_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,104 +136,157 @@ def _halves(per_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first_word[doc] + (np.arange(len(doc)) - first_half[doc]) * HALF, doc
 
 
+def _half_sums(feature: np.ndarray, start: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sums of the table's rows over each half; ``ends`` is the end of the half's document."""
+    half = np.zeros((len(start), table.shape[1]), np.float32)
+    whole = start + HALF <= ends
+    at, rest = start[whole], np.flatnonzero(~whole)
+    sums = table.take(feature[at], axis=0)
+    for j in range(1, HALF):  # the j-th word of every half
+        sums += table.take(feature[at + j], axis=0)
+    half[whole] = sums
+    for j in range(HALF):
+        rest = rest[start[rest] + j < ends[rest]]
+        half[rest] += table[feature[start[rest] + j]]
+    return half
+
+
+def _add_rows(total: np.ndarray, feature: np.ndarray, half: np.ndarray, z: np.ndarray) -> None:
+    """Adds to the feature's row of ``total`` the row of ``z`` of its half, for every word:
+    frequent features by a product with their counts per half, others occurrence by occurrence."""
+    often = np.flatnonzero(np.bincount(feature, minlength=FEATURES) >= max(24, len(z) // 40))
+    rank = np.full(FEATURES, -1)
+    rank[often] = np.arange(len(often))
+    rank = rank[feature]
+    hit = rank >= 0
+    counts = np.bincount(rank[hit] * len(z) + half[hit], minlength=len(often) * len(z))
+    total[often] += counts.reshape(len(often), len(z)).astype(np.float32) @ z
+    feature, half = feature[~hit], half[~hit]
+    if not len(feature):
+        return
+    order = np.argsort(feature, kind="stable")
+    feature, half = feature[order], half[order]
+    first = np.flatnonzero(np.append(True, feature[1:] != feature[:-1]))
+    size = np.diff(np.append(first, len(feature)))
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    sums = z.take(half[first], axis=0)
+    for j in range(1, int(size[0])):
+        m = int(np.searchsorted(-size, -j))  # so many features occur more than j times
+        sums[:m] += z.take(half[first[:m] + j], axis=0)
+    total[feature[first]] += sums
+
+
+def _used(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(halves that the next half follows, whether a passage starts at each half): the last half
+    of a document is a passage only where the document has no other."""
+    pair = np.flatnonzero(doc[1:] == doc[:-1])
+    use = np.ones(len(doc), bool)
+    use[1:] = doc[1:] != doc[:-1]
+    use[pair] = True
+    return pair, use
+
+
 def _passages(words: np.ndarray, per_doc: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sum of the table's rows over each passage, its first word, its document)."""
     start, doc = _halves(per_doc)
     if not len(start):
         return np.zeros((0, table.shape[1]), np.float32), start, doc
-    feature, ends = _features(words), np.cumsum(per_doc)[doc]
-    half = np.zeros((len(start), table.shape[1]), np.float32)
-    for j in range(HALF):  # the j-th word of every half
-        at = start + j
-        full = np.flatnonzero(at < ends)
-        half[full] += table[feature[at[full]]]
-    pair = np.flatnonzero(doc[1:] == doc[:-1])
+    half = _half_sums(_features(words), start, np.cumsum(per_doc)[doc], table)
+    pair, use = _used(doc)
     half[pair] += half[pair + 1]  # a numpy temporary holds the right side: old values are added
-    # the last half of a document is a passage only where the document has no other
-    alone = np.ones(len(doc), bool)
-    alone[1:] = doc[1:] != doc[:-1]
-    use = alone.copy()
-    use[pair] = True
     return half[use], start[use], doc[use]
 
 
-def document_frequency(texts: DataFrame, marks: np.ndarray) -> np.ndarray:
-    """In how many documents each feature occurs (all documents) outside copies of items (see
-    ``item_runs``); FEATURES numbers, of which each task sends the non-zero ones. The last entry
-    is the number of documents."""
+def featurise(texts: DataFrame, marks: np.ndarray | None) -> DataFrame:
+    """(``f``, ``own``): the features of the words of every row of ``(__id, __text)``, as unsigned
+    16-bit numbers. Documents come with ``marks`` (see ``item_runs``): they lose copies of items;
+    without, the rows are the items (``own``)."""
     sent = texts.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(FEATURES + 1, np.int64)
         for batch in batches:
             data, offs = byte_column(batch.column(1))
             for lo, hi, raw, at in blocks(data, offs):
-                words, per_doc = _without_copies(*_words(raw, at), sent.value)
-                seen = np.unique(np.repeat(np.arange(hi - lo), per_doc) * FEATURES + _features(words))
+                words, per_doc = _words(raw, at)
+                if sent.value is not None:
+                    words, per_doc = _without_copies(words, per_doc, sent.value)
+                ends = np.concatenate([[0], np.cumsum(per_doc)]).astype(np.int64) * 2
+                f = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), hi - lo, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(_features(words).astype(np.uint16).tobytes())]
+                )
+                yield pa.RecordBatch.from_arrays([f.cast(pa.binary()), pa.array(np.full(hi - lo, sent.value is None))], names=["f", "own"])
+
+    return texts.mapInArrow(run, "f binary, own boolean")
+
+
+def _feature_blocks(column: pa.Array, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, words per document) of runs of whole documents of about ``limit`` words."""
+    column = column.cast(pa.large_binary())
+    offs = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 2
+    buf = column.buffers()[2]
+    features = np.frombuffer(buf, np.uint16, len(buf) // 2) if buf is not None else np.zeros(0, np.uint16)
+    features = features[offs[0] : offs[-1]]
+    for _, _, own, at in blocks(features, offs - offs[0], limit):
+        yield own, np.diff(at)
+
+
+def document_frequency(rows: DataFrame) -> np.ndarray:
+    """In how many documents each feature occurs (all documents of ``featurise``); FEATURES
+    numbers, of which each task sends the non-zero ones. The last entry is the number of
+    documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(FEATURES + 1, np.int64)
+        for batch in batches:
+            for feature, per_doc in _feature_blocks(batch.column(0), 1 << 17):
+                seen = np.unique(np.repeat(np.arange(len(per_doc)), per_doc) * FEATURES + feature)
                 total[:FEATURES] += np.bincount(seen % FEATURES, minlength=FEATURES)
-                total[FEATURES] += hi - lo
+                total[FEATURES] += len(per_doc)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["f", "n"])
 
-    rows = texts.mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toPandas()
+    counted = rows.where(~F.col("own")).select("f").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(FEATURES + 1)
-    out[rows["f"].to_numpy(np.int64)] = rows["n"]
-    sent.destroy()
+    out[counted["f"].to_numpy(np.int64)] = counted["n"]
     return out
 
 
-def _gram_times(texts: DataFrame, idf: np.ndarray, q: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """A^T (A q) for the TF-IDF matrix A of the passages of ``texts`` (rows of unit length).
-    ``texts`` has (``__id, __text, own``); only rows of ``own``, the items, keep copies of items."""
+def _squares(feature: np.ndarray, half: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Squared length of the passage that starts at each half."""
+    earlier = np.insert(doc[1:] == doc[:-1], 0, False)[half]
+    # passage i: halves i and i + 1 (or i alone at a document's end)
+    row = np.concatenate([half, half[earlier] - 1])
+    cells, tf = np.unique(row * FEATURES + np.concatenate([feature, feature[earlier]]), return_counts=True)
+    return np.bincount(cells // FEATURES, np.square(tf * weight[cells % FEATURES]), len(doc))
+
+
+def _gram_times(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """A^T (A q) for the TF-IDF matrix A of the passages of ``rows`` (as ``featurise`` gives them;
+    rows of A of unit length)."""
     width = q.shape[1]
-    sent = texts.sparkSession.sparkContext.broadcast((idf, q, marks))
+    sc = rows.sparkSession.sparkContext
+    sent = sc.broadcast((idf, q))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, right, copies = sent.value
-        total = np.zeros((width, FEATURES), np.float32)
+        weight, right = sent.value
         weighted = weight[:, None] * right
+        total = np.zeros((FEATURES, width))
         for batch in batches:
-            data, offs = byte_column(batch.column(1))
-            own_text = batch.column(2).to_numpy(zero_copy_only=False)
-            for lo, hi, raw, at in blocks(data, offs, 1 << 17):  # small: dense rows per word
-                words, per_doc = _words(raw, at)
-                if not own_text[lo:hi].all():
-                    item = own_text[lo:hi]
-                    of_item = np.repeat(item, per_doc)
-                    rest, per_rest = _without_copies(words[~of_item], np.where(item, 0, per_doc), copies)
-                    merged = np.where(item, per_doc, per_rest)
-                    of_item = np.repeat(item, merged)
-                    both = np.empty(len(of_item), np.uint64)
-                    both[of_item], both[~of_item] = words[np.repeat(item, per_doc)], rest
-                    words, per_doc = both, merged
-                if not len(words):
+            for feature, per_doc in _feature_blocks(batch.column(0), PASS_WORDS):
+                if not len(feature):
                     continue
-                feature = _features(words)
                 start, doc = _halves(per_doc)
-                half = np.searchsorted(start, np.arange(len(words)), "right") - 1
-                earlier = np.insert(doc[1:] == doc[:-1], 0, False)[half]
-                # passage i: halves i and i + 1 (or i alone at a document's end)
-                row = np.concatenate([half, half[earlier] - 1])
-                col = np.concatenate([feature, feature[earlier]])
-                cells, tf = np.unique(row * FEATURES + col, return_counts=True)
-                row, col = cells // FEATURES, cells % FEATURES
-                sums, first_word, _ = _passages(words, per_doc, weighted)
-                used = np.searchsorted(start, first_word)  # a document's last half may be no passage
-                own = np.zeros(len(start), bool)
-                own[used] = True
-                own = own[row]
-                row, col, tf = row[own], col[own], tf[own]
-                value = (tf * weight[col]).astype(np.float32)
-                square = np.bincount(row, value * value, len(start))[used]
-                # A q by passages, then its product with A^T by features (columns side by side)
-                scale = np.divide(1, square, out=np.zeros(len(used)), where=square > 0)
-                az = np.ascontiguousarray((sums * scale[:, None]).T.astype(np.float32))
-                row = np.searchsorted(used, row)
-                order = np.argsort(col, kind="stable")
-                col, row, value = col[order], row[order], value[order]
-                first = np.flatnonzero(np.append(True, col[1:] != col[:-1]))
-                total[:, col[first]] += np.add.reduceat(az.take(row, axis=1) * value, first, axis=1)
-        parts = np.ascontiguousarray(total.T).reshape(-1, _FEATURE_ROWS, width)
+                half = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(feature))))
+                square = _squares(feature, half, doc, weight)
+                pair, use = _used(doc)
+                z = _half_sums(feature, start, np.cumsum(per_doc)[doc], weighted)
+                z[pair] += z[pair + 1]
+                z *= np.divide(1, square, out=np.zeros(len(doc)), where=use & (square > 0)).astype(np.float32)[:, None]
+                # a half's words are in the passage it starts and in the one before
+                z[pair + 1] += z[pair]
+                _add_rows(total, feature, half, z)
+        parts = (total * weight[:, None]).astype(np.float32).reshape(-1, _FEATURE_ROWS, width)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(parts), dtype=np.int64)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "m"]
         )
@@ -241,7 +295,8 @@ def _gram_times(texts: DataFrame, idf: np.ndarray, q: np.ndarray, marks: np.ndar
         m = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in table["m"])
         return pa.table({"part": table["part"].slice(0, 1), "m": pa.array([m.astype(np.float32).tobytes()], pa.binary())})
 
-    parts = texts.mapInArrow(run, "part long, m binary").groupBy("part").applyInArrow(add, "part long, m binary").collect()
+    dealt = rows.select("f").coalesce(max(1, TASKS_PER_CORE * sc.defaultParallelism))
+    parts = dealt.mapInArrow(run, "part long, m binary").groupBy("part").applyInArrow(add, "part long, m binary").collect()
     sent.destroy()
     out = np.zeros((FEATURES // _FEATURE_ROWS, _FEATURE_ROWS, width))
     for r in parts:
@@ -249,12 +304,12 @@ def _gram_times(texts: DataFrame, idf: np.ndarray, q: np.ndarray, marks: np.ndar
     return out.reshape(FEATURES, width)
 
 
-def latent_space(texts: DataFrame, idf: np.ndarray, marks: np.ndarray) -> np.ndarray:
+def latent_space(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Word table of the fold-in: idf * V / sigma, FEATURES x LATENT."""
     q = np.linalg.qr(np.random.default_rng(5).standard_normal((FEATURES, LATENT + EXTRA)))[0]
     for _ in range(PASSES):
         q = q.astype(np.float32)
-        g = _gram_times(texts, idf, q, marks)
+        g = _gram_times(rows, idf, q)
         values, vectors = np.linalg.eigh(q.T @ g)  # Rayleigh-Ritz on the subspace
         top = np.argsort(values)[::-1][:LATENT]
         v, sigma = q @ vectors[:, top], np.sqrt(np.maximum(values[top], 0))
@@ -450,15 +505,13 @@ def find_leaks(
     if not n_items:
         return none.select(F.col("id").alias(id_col), F.col("item").alias("item_id"), "lcs")
     marks = item_runs(items)
-    df = document_frequency(texts, marks)
+    rows = materialise(featurise(texts, marks).unionByName(featurise(items.select("__id", "__text"), None)), "passages")
+    df = document_frequency(rows)
     # squared: rare words decide both in a passage and in the item it is compared with
     idf = np.square(np.log((1 + df[-1]) / (1 + df[:-1]))).astype(np.float32)
-    chosen = docs.select(F.col(id_col).cast("long").alias("__id")).distinct().orderBy(F.xxhash64("__id")).limit(SAMPLE_DOCS)
-    # SAMPLE_DOCS identifiers of eight bytes are broadcast
-    sample = texts.join(F.broadcast(chosen), "__id", "left_semi").withColumn("own", F.lit(False))
-    sample = sample.unionByName(items.select("__id", "__text", F.lit(True).alias("own")))
-    sample = materialise(sample.repartition(SAMPLE_TASKS), "passages")
-    table = latent_space(sample, idf, marks)
+    table = latent_space(rows, idf)
+    discard(rows)
+    give_back()
     n_blocks = -(-n_items // BLOCK_ITEMS)
     blocked = items.withColumn("block", F.pmod(F.xxhash64("__id", "__text"), F.lit(n_blocks)))
     found = none

@@ -96,6 +96,45 @@ def test_leaks_of_empty_tables(spark):
     assert decontaminate.decontaminate(empty(spark), one).count() == 0
 
 
+def test_the_latent_space_is_fitted_on_every_document(spark, monkeypatch):
+    rng = random.Random(51)
+    n = 4300
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.choice([0, 3, 20, 70]))), None) for i in range(n)]
+    items = [(0, " ".join(f"q{i}" for i in range(40))), (1, "a b c d e f g")]
+    rows.append((n, f"w1 w2 {items[0][1]} w3", None))  # the item's words don't count here
+    fitted = []
+
+    def space(table, idf):
+        q = np.random.default_rng(2).standard_normal((decontaminate.FEATURES, 6)).astype(np.float32)
+        fitted.append((table.count(), idf, q, decontaminate._gram_times(table, idf, q)))
+        return np.zeros((decontaminate.FEATURES, decontaminate.LATENT), np.float32)
+
+    monkeypatch.setattr(decontaminate, "latent_space", space)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    leaks = decontaminate.find_leaks(docs(spark, rows), table).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in leaks} == {(n, 0)}
+    ((count, idf, q, got),) = fitted
+    assert count == len(rows) + len(items)
+
+    def features(text):
+        words, _ = decontaminate._text_words([text])
+        return decontaminate._features(words).tolist()
+
+    seen = Counter()
+    want = np.zeros(q.shape)
+    for text, own in [(t, False) for _, t, _ in rows[:-1]] + [("w1 w2 w3", False)] + [(t, True) for _, t in items]:
+        f = features(text)
+        seen.update(() if own else set(f))
+        starts = range(0, max(1, len(f) - decontaminate.HALF), decontaminate.HALF) if f else ()
+        for a in starts:
+            tf = Counter(f[a : a + 2 * decontaminate.HALF])
+            at = np.array(list(tf))
+            x = np.array(list(tf.values())) * idf[at].astype(float)
+            want[at] += x[:, None] * (x @ q[at])[None, :] / (x @ x)
+    assert idf == pytest.approx(np.square(np.log((1 + len(rows)) / (1 + np.array([seen[f] for f in range(decontaminate.FEATURES)])))), rel=1e-5)
+    assert got == pytest.approx(want, rel=1e-3, abs=1e-3 * np.abs(want).max())
+
+
 def test_common_subsequence_against_the_table():
     rng = random.Random(6)
     for _ in range(60):
