@@ -35,7 +35,7 @@ HALF = 16
 #: Tasks per core, at most, in a pass of the iteration; each returns FEATURES * (LATENT + EXTRA) numbers.
 TASKS_PER_CORE = 2
 #: Words that a pass of the iteration handles at once.
-PASS_WORDS = 1 << 14
+PASS_WORDS = 1 << 16
 BLOCK_ITEMS = 2048
 COSINE, STRONG, WEAK = 0.36, 0.7, 0.5
 #: Words at an item's end that stand for its answer when the benchmark has no answer column.
@@ -271,7 +271,7 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, right = sent.value
         weighted = weight[:, None] * right
-        total = np.zeros((FEATURES, width))
+        total = np.zeros((FEATURES, width), np.float32)
         for batch in batches:
             for feature, per_doc in _feature_blocks(batch.column(0), PASS_WORDS):
                 if not len(feature):
@@ -286,7 +286,7 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
                 # a half's words are in the passage it starts and in the one before
                 z[pair + 1] += z[pair]
                 _add_rows(total, feature, half, z)
-        parts = (total * weight[:, None]).astype(np.float32).reshape(-1, _FEATURE_ROWS, width)
+        parts = (total * weight[:, None]).reshape(-1, _FEATURE_ROWS, width)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(parts), dtype=np.int64)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "m"]
         )
