@@ -1,11 +1,13 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
 The model is over bytes (so any script and any noise is in its alphabet), of order
-``ORDER``, trained on trusted documents. Counts, continuation counts, context sums and
-interpolated probabilities are DataFrames keyed by n-gram and joined by key, shard by shard.
-The training sample is bounded (``TRAIN_DOCS`` documents of at most ``TRAIN_DOC_BYTES``
-bytes, chosen by hash), which bounds the finished table; that table goes with the tasks and
-every document, whole, gets its bits per byte without a shuffle.
+``ORDER``, trained on all trusted documents, whole, outside the calibration fold. Counts,
+continuation counts, context sums and interpolated probabilities are DataFrames keyed by n-gram
+and joined by key, shard by shard. The finished table goes with the tasks in pieces of about
+``PIECE`` n-grams, one pass over the documents each: the two bytes before a byte decide which
+piece scores it, so every byte is scored in one piece. A table of one piece, as is usual, gives
+every document, whole, its bits per byte without a shuffle; otherwise the pieces' sums are added
+per row.
 
 A document is rejected if its bits per byte lie above what trusted documents of its
 language show: thresholds are quantiles per language, with slack for short texts, measured
@@ -21,14 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import IntTable, blocks, byte_column, materialise, prepare
+from .common import IntTable, blocks, byte_column, give_back, materialise, prepare
 
 ORDER = 5
-#: Bounds of the training sample: documents, and bytes of a document.
-TRAIN_DOCS, TRAIN_DOC_BYTES = 16_384, 32_768
+#: N-grams and contexts of the table that go with the tasks at once.
+PIECE = 1 << 20
 #: One fold of the trusted documents in so many sets the thresholds.
 FOLDS = 4
 #: Quantile of trusted documents' excess that is the limit, and the one that tells the spread.
@@ -99,7 +102,7 @@ def kneser_ney(top: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
 
 
 @dataclass
-class Model:
+class Piece:
     """Sorted arrays per order; turned into lookup tables inside a worker."""
 
     grams: list[tuple[np.ndarray, np.ndarray]]
@@ -124,10 +127,48 @@ class Model:
         return out
 
 
+@dataclass
+class Model:
+    """Per order 1 ... ORDER what ``kneser_ney`` gives, and the number of pieces."""
+
+    levels: list[tuple[DataFrame, DataFrame]]
+    n_pieces: int
+
+    def piece(self, i: int) -> Piece:
+        """The n-grams and contexts of the bytes that piece ``i`` scores; those of too few bytes
+        to hold the two before the last are in every piece."""
+
+        rows = None
+        for k, (p, h) in enumerate(self.levels, 1):
+            for at, (df, key, value) in enumerate(((p, "g", "p"), (h, "h", "gamma"))):
+                if k > 2 and self.n_pieces > 1:
+                    before = F.shiftright("g", 8) if at == 0 else F.col("h")
+                    df = df.where(_piece_of(before, self.n_pieces) == i)
+                df = df.select(F.lit(2 * k + at).alias("part"), F.col(key).alias("key"), F.col(value).cast("float").alias("value"))
+                rows = df if rows is None else rows.unionByName(df)
+        t = rows.toArrow()
+        part, keys, values = (t[c].to_numpy() for c in ("part", "key", "value"))
+
+        def arrays(number: int) -> tuple[np.ndarray, np.ndarray]:
+            own = np.flatnonzero(part == number)
+            own = own[np.argsort(keys[own], kind="stable")]
+            return keys[own], values[own]
+
+        grams, contexts = ([arrays(2 * k + at) for k in range(1, ORDER + 1)] for at in (0, 1))
+        return Piece(grams, contexts, hash(tuple(x[1].tobytes() for x in grams + contexts)))
+
+
+def _piece_of(before: Column | np.ndarray, n: int) -> Column | np.ndarray:
+    """The piece that scores a byte, by the bytes before it (the lowest two count)."""
+    if isinstance(before, Column):
+        return (before.bitwiseAND(F.lit(0xFFFF)) * F.lit(40503)).bitwiseAND(F.lit(0xFFFF)) % F.lit(n)
+    return ((before & 0xFFFF) * 40503 & 0xFFFF) % n
+
+
 _ready: dict[int, tuple[list[IntTable], list[IntTable]]] = {}
 
 
-def _tables(model: Model) -> tuple[list[IntTable], list[IntTable]]:
+def _tables(model: Piece) -> tuple[list[IntTable], list[IntTable]]:
     if model.key not in _ready:
         _ready.clear()
         _ready[model.key] = [IntTable(*x, 0.0) for x in model.grams], [IntTable(*x, 1.0) for x in model.contexts]
@@ -140,47 +181,62 @@ def fold_column(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Trained on the TRAIN_DOCS documents of smallest identifier hash among the trusted ones
-    of at most TRAIN_DOC_BYTES bytes outside the calibration fold. ``trusted_ids`` has one
-    column, ``id``. Without such documents every probability is 1/256."""
+    """Trained on all trusted documents outside the calibration fold, whole. ``trusted_ids`` has
+    one column, ``id``. Without such documents every probability is 1/256."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.octet_length(text_col).alias("size"))
-    fit = rows.join(trusted_ids, "id", "left_semi").where((fold_column("id") > 0) & F.col("size").between(1, TRAIN_DOC_BYTES))
-    chosen = fit.select("id", F.xxhash64("id").alias("x")).distinct().orderBy("x").limit(TRAIN_DOCS).select("id")
-    chosen = materialise(chosen, "sample")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = texts.where(F.octet_length("text").between(1, TRAIN_DOC_BYTES))
-    # at most TRAIN_DOCS identifiers of eight bytes are broadcast
-    levels = kneser_ney(count_grams(texts.join(F.broadcast(chosen), "id", "left_semi").select("text")))
-
-    def arrays(df: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
-        t = df.select(key, value).toPandas().sort_values(key)
-        return t[key].to_numpy(np.int64), t[value].to_numpy(np.float32)
+    # written, so that its size tells Spark whether the identifiers can be broadcast
+    fit = materialise(trusted_ids.where(fold_column("id") > 0).distinct(), "trusted")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") > 0)
+    levels = kneser_ney(count_grams(texts.join(fit, "id", "left_semi").select("text")))
+    size = sum(p.count() for p, _ in levels)
+    return Model(levels, max(1, -(-size // PIECE)))
 
-    grams = [arrays(p, "g", "p") for p, _ in levels]
-    contexts = [arrays(h, "h", "gamma") for _, h in levels]
-    return Model(grams, contexts, hash(tuple(x[1].tobytes() for x in grams)))
 
-
-def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` with ``n_bytes`` and ``bits`` (mean -log2 p per byte; perplexity is
-    2 ** bits). NULL and empty texts: 0 bytes, bits NULL."""
-    prepare(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+def _bits(rows: DataFrame, sent: Broadcast[Piece], keep: list[str], i: int, n_pieces: int) -> DataFrame:
+    """The columns ``keep`` with ``n_bytes`` and the sum ``bits`` of the bytes that piece ``i`` scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = byte_column(batch.column(len(keep)))
             for lo, hi, raw, at in blocks(data, offs):
-                bits = np.concatenate([[0.0], np.cumsum(sent.value.bits(_codes(raw, at)), dtype=np.float64)])
-                size = np.diff(at)
-                mean = np.divide(bits[at[1:]] - bits[at[:-1]], size, out=np.zeros(hi - lo), where=size > 0)
+                codes = _codes(raw, at)
+                if n_pieces > 1:
+                    here = np.flatnonzero(_piece_of(codes >> 8, n_pieces) == i)
+                    own = np.zeros(len(codes))
+                    own[here] = sent.value.bits(codes[here])
+                else:
+                    own = sent.value.bits(codes)
+                bits = np.concatenate([[0.0], np.cumsum(own, dtype=np.float64)])
                 cols = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(size), pa.array(mean, mask=size == 0)], names=[*keep, "n_bytes", "bits"])
+                yield pa.RecordBatch.from_arrays(
+                    [*cols, pa.array(np.diff(at)), pa.array(bits[at[1:]] - bits[at[:-1]])], names=[*keep, "n_bytes", "bits"]
+                )
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields]
+    return rows.select(*keep, "__text").mapInArrow(run, ", ".join([*fields, "n_bytes long", "bits double"]))
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]] + ["n_bytes long", "bits double"])
-    return rows.mapInArrow(run, schema)
+
+def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` with ``n_bytes`` and ``bits`` (mean -log2 p per byte; perplexity is
+    2 ** bits). NULL and empty texts: 0 bytes, bits NULL."""
+    prepare(docs.sparkSession)
+    sc = docs.sparkSession.sparkContext
+    rows = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    if model.n_pieces == 1:
+        summed = _bits(rows, sc.broadcast(model.piece(0)), keep, 0, 1)
+    else:  # rows are told apart by their place in a written copy
+        numbered = materialise(rows.withColumn("__row", F.monotonically_increasing_id()), "rows")
+        parts = None
+        for i in range(model.n_pieces):
+            sent = sc.broadcast(model.piece(i))
+            part = materialise(_bits(numbered, sent, ["__row"], i, model.n_pieces), "bits")
+            sent.destroy()
+            parts = part if parts is None else parts.unionByName(part)
+            give_back()
+        sums = parts.groupBy("__row").agg(F.max("n_bytes").alias("n_bytes"), F.sum("bits").alias("bits"))
+        summed = numbered.select("__row", *keep).join(sums, "__row").drop("__row")
+    mean = F.when(F.col("n_bytes") > 0, F.col("bits") / F.col("n_bytes"))
+    return summed.select(*keep, "n_bytes", mean.alias("bits"))
 
 
 def classify(

@@ -282,6 +282,30 @@ def test_bits_against_plain_kneser_ney(spark):
         assert r["bits"] == pytest.approx(sum(want) / len(want), rel=1e-4) if want else r["bits"] is None
 
 
+@pytest.mark.parametrize("piece", [None, 14_000])
+def test_the_model_is_trained_on_whole_trusted_documents(spark, monkeypatch, piece):
+    rng = random.Random(52)
+    rows = [(i, prose(rng, 30), "en") for i in range(8)]
+    ids = spark.createDataFrame([(r[0],) for r in rows], "id long")
+    fold = {r["id"]: r["f"] for r in ids.select("id", quality.fold_column("id").alias("f")).collect()}
+    long = next(i for i in fold if fold[i] > 0)
+    rows[long] = (long, " ".join(f"{prose(rng, 9)} {rng.randrange(10**6)}" for _ in range(900)), "en")
+    assert len(rows[long][1]) > 40_000
+    if piece:
+        monkeypatch.setattr(quality, "PIECE", piece)
+    table = docs(spark, [*rows, (None, "no identifier 77", None), (3, "twice", "en"), (3, None, "en")])
+    model = quality.train(docs(spark, rows), ids)
+    assert (model.n_pieces > 1) == bool(piece)
+    p = plain_kneser_ney([t for i, t, _ in rows if fold[i] > 0])
+    got = quality.score(table, model, ["doc_id", "text"]).collect()
+    assert len(got) == table.count()
+    for r in got:
+        b = b"\n" * 4 + (r["text"] or "").encode()
+        want = [-math.log2(p(b[i : i + 5])) for i in range(len(b) - 4)]
+        assert r["n_bytes"] == len(want)
+        assert r["bits"] == pytest.approx(sum(want) / len(want), rel=1e-4) if want else r["bits"] is None
+
+
 def test_quality_verdicts(spark):
     rng = random.Random(12)
     clean = [(i, prose(rng, rng.randint(10, 80), lang), lang) for i, lang in enumerate(["en", "de"] * 150)]
