@@ -63,6 +63,7 @@ def concluded(make: Callable[[], DataFrame], name: str) -> DataFrame:
     out = materialise(make(), name)
     discard(*_written[before:-1])
     del _written[before:]
+    give_back()  # what the driver itself held for the tables
     return out
 
 
