@@ -32,6 +32,9 @@ from .common import IntTable, blocks, byte_column, give_back, materialise, prepa
 ORDER = 5
 #: N-grams and contexts of the table that go with the tasks at once.
 PIECE = 1 << 20
+#: Identifiers of trusted documents that go with the tasks at once, a pass over the documents each;
+#: where that takes more than PASSES passes, texts are shuffled to the identifiers instead.
+TRUSTED, PASSES = 1 << 20, 8
 #: One fold of the trusted documents in so many sets the thresholds.
 FOLDS = 4
 #: Quantile of trusted documents' excess that is the limit, and the one that tells the spread.
@@ -180,14 +183,30 @@ def fold_column(id_col: str) -> Column:
     return F.pmod(F.xxhash64(F.lit("fold"), F.col(id_col)), F.lit(FOLDS))
 
 
+def trusted_grams(texts: DataFrame, fit: DataFrame) -> DataFrame:
+    """``count_grams`` of the rows of ``texts`` (``id, text``) whose identifier is in ``fit``
+    (``id``, distinct). Identifiers come to the texts, which stay where they are read."""
+    n = max(1, -(-fit.count() // TRUSTED))
+    if n > PASSES:
+        return count_grams(texts.join(fit, "id", "left_semi").select("text"))
+    parts = None
+    for i in range(n):
+        piece = fit if n == 1 else fit.where(F.pmod(F.xxhash64(F.lit("piece"), "id"), F.lit(n)) == i)
+        part = count_grams(texts.join(F.broadcast(piece), "id", "left_semi").select("text"))
+        if n == 1:
+            return part
+        part = materialise(part, "grams")  # so that one piece is with the tasks at a time
+        parts = part if parts is None else parts.unionByName(part)
+    return parts.groupBy("g").agg(F.sum("n").alias("n"))
+
+
 def train(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Trained on all trusted documents outside the calibration fold, whole. ``trusted_ids`` has
     one column, ``id``. Without such documents every probability is 1/256."""
     prepare(docs.sparkSession)
-    # written, so that its size tells Spark whether the identifiers can be broadcast
     fit = materialise(trusted_ids.where(fold_column("id") > 0).distinct(), "trusted")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") > 0)
-    levels = kneser_ney(count_grams(texts.join(fit, "id", "left_semi").select("text")))
+    levels = kneser_ney(trusted_grams(texts, fit))
     size = sum(p.count() for p, _ in levels)
     return Model(levels, max(1, -(-size // PIECE)))
 

@@ -306,6 +306,32 @@ def test_the_model_is_trained_on_whole_trusted_documents(spark, monkeypatch, pie
         assert r["bits"] == pytest.approx(sum(want) / len(want), rel=1e-4) if want else r["bits"] is None
 
 
+def test_texts_stay_where_trusted_documents_are_counted(spark, monkeypatch):
+    """The same counts from one pass, several, and the shuffle that stands in for too many; in
+    passes, no text is shuffled, whatever Spark would broadcast by itself."""
+    rng = random.Random(31)
+    rows = [(i if i % 9 else None, prose(rng, 12), None) for i in range(60)] + [(5, "twice", None)]
+    table = docs(spark, rows).select(F.col("doc_id").alias("id"), "text")
+    fit = spark.createDataFrame([(i,) for i in range(0, 80, 5)], "id long")
+    want = Counter()
+    for i, text, _ in rows:
+        if i is not None and i % 5 == 0:
+            raw = b"\n" * (quality.ORDER - 1) + text.encode()
+            want.update(int.from_bytes(raw[j : j + quality.ORDER], "big") for j in range(len(text.encode())))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for piece, passes in ((1 << 20, 8), (3, 8), (3, 2)):
+            monkeypatch.setattr(quality, "TRUSTED", piece)
+            monkeypatch.setattr(quality, "PASSES", passes)
+            got = quality.trusted_grams(table, fit)
+            assert {r["g"]: r["n"] for r in got.collect()} == want
+            if piece > 3:
+                assert "SortMergeJoin" not in got._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
 def test_quality_verdicts(spark):
     rng = random.Random(12)
     clean = [(i, prose(rng, rng.randint(10, 80), lang), lang) for i, lang in enumerate(["en", "de"] * 150)]
