@@ -91,6 +91,8 @@ IS_PUNCTUATION = np.array([i < 128 and not chr(i).isalnum() for i in range(256)]
 _LOWER_WEIGHT = _BYTE_WEIGHT[LOWER]
 
 _powers: dict[str, np.ndarray] = {}
+#: Bytes whose terms of a prefix sum are made at once.
+_CHUNK = 1 << 14
 
 
 def _power_table(name: str, base: int, n: int) -> np.ndarray:
@@ -122,7 +124,13 @@ def prefix_hash(data: np.ndarray, lower: bool = False) -> np.ndarray:
     """Prefix sums of a polynomial over bytes: n + 1 values (see ``span_hash``)."""
     out = np.empty(len(data) + 1, np.uint64)
     out[0] = 0
-    np.cumsum((_LOWER_WEIGHT if lower else _BYTE_WEIGHT)[data] * _power_table("p", _BASE, len(data)), out=out[1:])
+    terms = out[1:]
+    weight, power = _LOWER_WEIGHT if lower else _BYTE_WEIGHT, _power_table("p", _BASE, len(data))
+    for lo in range(0, len(data), _CHUNK):  # pieces that stay in a core's cache
+        hi = min(len(data), lo + _CHUNK)
+        np.multiply(weight.take(data[lo:hi]), power[lo:hi], out=terms[lo:hi])
+        terms[lo : lo + 1] += out[lo : lo + 1]
+        np.cumsum(terms[lo:hi], out=terms[lo:hi])
     return out
 
 

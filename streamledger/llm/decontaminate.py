@@ -35,7 +35,7 @@ HALF = 16
 #: Tasks per core, at most, in a pass of the iteration; each returns FEATURES * (LATENT + EXTRA) numbers.
 TASKS_PER_CORE = 2
 #: Words that a pass of the iteration handles at once.
-PASS_WORDS = 1 << 16
+PASS_WORDS = 1 << 17
 BLOCK_ITEMS = 2048
 COSINE, STRONG, WEAK = 0.36, 0.7, 0.5
 #: Words at an item's end that stand for its answer when the benchmark has no answer column.
@@ -46,6 +46,8 @@ LEAST_WORDS = 5
 #: Words of a run that marks a copy, and the bits of the fixed-size filter of such runs.
 SEED = LEAST_WORDS
 FILTER_BITS = 26
+#: Leading bits of a run's hash by which a block of items tells most runs that it doesn't hold.
+SEEN_BITS = 20
 _FEATURE_ROWS = 1024
 
 
@@ -231,6 +233,16 @@ def _feature_blocks(column: pa.Array, limit: int) -> Iterator[tuple[np.ndarray,
         yield own, np.diff(at)
 
 
+def _distinct(row: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct cells, occurrences of each): a cell is row * FEATURES + feature. They are sorted
+    in 32 bits where they fit."""
+    narrow = not len(row) or int(row.max()) < (1 << 32) // FEATURES
+    cells = row.astype(np.uint32 if narrow else np.int64) * FEATURES + feature
+    cells.sort()
+    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])[: len(cells)])
+    return cells[first], np.diff(np.append(first, len(cells)))
+
+
 def document_frequency(rows: DataFrame) -> np.ndarray:
     """In how many documents each feature occurs (all documents of ``featurise``); FEATURES
     numbers, of which each task sends the non-zero ones. The last entry is the number of
@@ -240,7 +252,8 @@ def document_frequency(rows: DataFrame) -> np.ndarray:
         total = np.zeros(FEATURES + 1, np.int64)
         for batch in batches:
             for feature, per_doc in _feature_blocks(batch.column(0), 1 << 17):
-                seen = np.unique(np.repeat(np.arange(len(per_doc)), per_doc) * FEATURES + feature)
+                filled = per_doc[per_doc > 0]
+                seen = _distinct(np.repeat(np.arange(len(filled)), filled), feature)[0]
                 total[:FEATURES] += np.bincount(seen % FEATURES, minlength=FEATURES)
                 total[FEATURES] += len(per_doc)
         cells = np.flatnonzero(total)
@@ -257,7 +270,7 @@ def _squares(feature: np.ndarray, half: np.ndarray, doc: np.ndarray, weight: np.
     earlier = np.insert(doc[1:] == doc[:-1], 0, False)[half]
     # passage i: halves i and i + 1 (or i alone at a document's end)
     row = np.concatenate([half, half[earlier] - 1])
-    cells, tf = np.unique(row * FEATURES + np.concatenate([feature, feature[earlier]]), return_counts=True)
+    cells, tf = _distinct(row, np.concatenate([feature, feature[earlier]]))
     return np.bincount(cells // FEATURES, np.square(tf * weight[cells % FEATURES]), len(doc))
 
 
@@ -266,11 +279,10 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     rows of A of unit length)."""
     width = q.shape[1]
     sc = rows.sparkSession.sparkContext
-    sent = sc.broadcast((idf, q))
+    sent = sc.broadcast((idf, idf[:, None] * q))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, right = sent.value
-        weighted = weight[:, None] * right
+        weight, weighted = sent.value
         total = np.zeros((FEATURES, width), np.float32)
         for batch in batches:
             for feature, per_doc in _feature_blocks(batch.column(0), PASS_WORDS):
@@ -286,7 +298,8 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
                 # a half's words are in the passage it starts and in the one before
                 z[pair + 1] += z[pair]
                 _add_rows(total, feature, half, z)
-        parts = (total * weight[:, None]).reshape(-1, _FEATURE_ROWS, width)
+        total *= weight[:, None]
+        parts = total.reshape(-1, _FEATURE_ROWS, width)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(parts), dtype=np.int64)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "m"]
         )
@@ -307,13 +320,14 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
 def latent_space(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Word table of the fold-in: idf * V / sigma, FEATURES x LATENT."""
     q = np.linalg.qr(np.random.default_rng(5).standard_normal((FEATURES, LATENT + EXTRA)))[0]
-    for _ in range(PASSES):
+    for left in range(PASSES - 1, -1, -1):
         q = q.astype(np.float32)
         g = _gram_times(rows, idf, q)
-        values, vectors = np.linalg.eigh(q.T @ g)  # Rayleigh-Ritz on the subspace
-        top = np.argsort(values)[::-1][:LATENT]
-        v, sigma = q @ vectors[:, top], np.sqrt(np.maximum(values[top], 0))
-        q = np.linalg.qr(g)[0]
+        if left:
+            q = np.linalg.qr(g)[0]
+    values, vectors = np.linalg.eigh(q.T @ g)  # Rayleigh-Ritz on the subspace
+    top = np.argsort(values)[::-1][:LATENT]
+    v, sigma = q @ vectors[:, top], np.sqrt(np.maximum(values[top], 0))
     scale = np.divide(1, sigma, out=np.zeros(LATENT), where=sigma > 1e-6 * max(sigma.max(), 1e-30))
     return (idf[:, None] * v * scale).astype(np.float32)
 
@@ -330,6 +344,7 @@ class Items:
     vectors: np.ndarray
     seeds: tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted run hashes, item and place of each
     short: dict[int, dict[int, list[int]]]  # number of words (under SEED) -> run hash -> identifiers
+    seen: np.ndarray  # by the leading SEEN_BITS bits: whether a run hash starts so
 
 
 def _directions(x: np.ndarray) -> np.ndarray:
@@ -373,7 +388,9 @@ def load_items(rows: list[tuple[int, str, str | None]], table: np.ndarray) -> It
     of = np.repeat(np.arange(len(kept)), per_kept)[at]
     order = np.argsort(h, kind="stable")
     place = at - (np.cumsum(per_kept) - per_kept)[of]
-    return Items(ids, sizes, masks, answers, owner, _directions(x), (h[order], of[order], place[order]), short)
+    seen = np.zeros(1 << SEEN_BITS, bool)
+    seen[h >> np.uint64(64 - SEEN_BITS)] = True
+    return Items(ids, sizes, masks, answers, owner, _directions(x), (h[order], of[order], place[order]), short, seen)
 
 
 def common_subsequence(size: int, mask: dict[int, int], words: list[int]) -> int:
@@ -400,6 +417,8 @@ def copied_places(words: np.ndarray, per_doc: np.ndarray, block: Items) -> Itera
     shifted by half a size), so a copy with insertions isn't cut by a range's border both times."""
     hashes, owner, place = block.seeds
     h, at = _runs(words, per_doc, SEED)
+    likely = np.flatnonzero(block.seen[h >> np.uint64(64 - SEEN_BITS)])  # most runs are in no item
+    h, at = h[likely], at[likely]
     lo, hi = np.searchsorted(hashes, h), np.searchsorted(hashes, h, "right")
     hit = np.flatnonzero(hi > lo)
     if not len(hit):
@@ -444,10 +463,12 @@ def search(texts: DataFrame, items: Items, table: np.ndarray) -> DataFrame:
 
                 for d, k, a, b in copied_places(words, per_doc, block):
                     check(d, k, a, b)
-                for i in range(0, len(x), 8192):
-                    hits = np.argwhere(_directions(x[i : i + 8192]) @ block.vectors.T >= COSINE)
-                    tried = np.unique(np.stack([hits[:, 0] + i, block.owner[hits[:, 1]]], 1), axis=0) if len(hits) else hits
-                    for p, k in tried.tolist():
+                for i in range(0, len(x), 1024):
+                    alike = _directions(x[i : i + 1024]) @ block.vectors.T >= COSINE
+                    p, v = np.divmod(np.flatnonzero(alike), max(1, len(block.vectors)))
+                    n = max(1, len(block.ids))
+                    tried = np.unique((p + i) * n + block.owner[v])
+                    for p, k in zip((tried // n).tolist(), (tried % n).tolist(), strict=True):
                         d, size = int(doc[p]), block.sizes[k]
                         check(d, k, max(int(ends[d] - per_doc[d]), int(start[p]) - size), min(int(ends[d]), int(start[p]) + 2 * HALF + size))
                 found = [(d, block.ids[k], share) for (d, k), share in sorted(best.items())]

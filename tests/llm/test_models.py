@@ -12,7 +12,7 @@ import pytest
 import regex
 from cases import SF001, SYLLABLES, docs, empty, near_groups, prose, texts, words
 from pyspark.sql import functions as F
-from streamledger.llm import decontaminate, pitman_yor, quality, queries
+from streamledger.llm import common, decontaminate, pitman_yor, quality, queries
 
 # ---------------------------------------------------------------- decontamination
 
@@ -228,6 +228,35 @@ def test_seating_has_the_expected_number_of_tables():
         assert t.min() >= 1 and t.max() <= customers and abs(t.mean() / mean - 1) < 0.05
 
 
+def test_kernels_of_the_decontamination_against_plain_sums():
+    rng = np.random.default_rng(8)
+    row, feature = np.sort(rng.integers(0, 300, 5000)), rng.integers(0, 40, 5000).astype(np.uint16)
+    far = (1 << 32) // decontaminate.FEATURES - 150  # rows on either side of what 32 bits hold
+    for shift in (0, far - 150, far):
+        cells, n = decontaminate._distinct(row + shift, feature)
+        want = Counter(((row + shift) * decontaminate.FEATURES + feature).tolist())
+        assert cells.tolist() == sorted(want) and n.tolist() == [want[c] for c in sorted(want)]
+    assert [len(x) for x in decontaminate._distinct(row[:0], feature[:0])] == [0, 0]
+    data = rng.integers(0, 256, 2 * common._CHUNK + 7).astype(np.uint8)
+    for size in (0, 1, common._CHUNK, common._CHUNK + 1, len(data)):
+        terms = common._BYTE_WEIGHT[data[:size]] * common._power_table("p", common._BASE, size)
+        assert (common.prefix_hash(data[:size]) == np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])).all()
+
+
+def test_runs_of_items_are_seen_among_other_words():
+    """What tells that a run is in no item loses no copy."""
+    rng = random.Random(61)
+    items = [(i, prose(rng, 20), None) for i in range(6)]
+    block = decontaminate.load_items(items, np.ones((decontaminate.FEATURES, 4), np.float32))
+    assert 0 < block.seen.sum() <= len(block.seeds[0]) and block.seen[block.seeds[0] >> np.uint64(64 - decontaminate.SEEN_BITS)].all()
+    texts = [f"{prose(rng, 200)} {text} {prose(rng, 100)}" for _, text, _ in items] + [prose(rng, 400)]
+    words, per_doc = decontaminate._text_words(texts)
+    places = {(d, k) for d, k, _, _ in decontaminate.copied_places(words, per_doc, block)}
+    assert places == {(i, i) for i in range(6)}
+    none = decontaminate.load_items([], np.ones((decontaminate.FEATURES, 4), np.float32))
+    assert not list(decontaminate.copied_places(words, per_doc, none))
+
+
 # ---------------------------------------------------------------- quality
 
 
