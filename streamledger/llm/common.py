@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +40,34 @@ def doc_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+#: Spark deletes a query's shuffle files when the query ends, not when the driver collects garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files. For frames that are executed once: a second
+    run of the same frame would shuffle again."""
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_TIDY)
+        else:
+            spark.conf.set(_TIDY, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under ``spark.checkpoint.dir`` and read it back: cuts
-    the lineage, survives lost executors, and is removed when the application ends."""
+    the lineage, survives lost executors, and is removed when the application ends. What was
+    shuffled for it is deleted as soon as it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     fs, hpath = _fs_and_path(spark, path)
-    df.write.parquet(path)
+    with tidy(spark):
+        df.write.parquet(path)
     fs.deleteOnExit(hpath)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path

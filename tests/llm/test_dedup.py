@@ -1,12 +1,15 @@
 """Exact copies (op 4), near copies (op 2), repeated passages (op 3)."""
 
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import pytest
 from cases import SF001, docs, empty, near_groups, prose, shingles, texts
-from streamledger.llm import exact, graph, near, suffix
+from pyspark.sql import functions as F
+from streamledger.llm import common, exact, graph, near, suffix
 
 
 @pytest.mark.parametrize("keep,fan_in", [("min", 2), ("max", 8)])
@@ -167,3 +170,20 @@ def test_passage_null_identifier_comes_first(spark):
     t = prose(random.Random(5), 80)
     got = {r["doc_id"]: r["n_removed"] for r in suffix.remove_repeats(docs(spark, [(None, t, None), (-5, t, None)])).collect()}
     assert got == {None: 0, -5: len(t.encode())}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for folder in manager.localDirsString() for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept, before = spark.conf.get(key), shuffled()
+    table = common.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test-tidy")
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(key) == kept
+    assert sorted(map(tuple, table.collect())) == [(k, 143 if k < 6 else 142) for k in range(7)]
