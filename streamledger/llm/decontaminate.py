@@ -4,7 +4,8 @@
    without the words that stand in a copy of an item (a run of ``SEED`` words of it): however
    often an item leaked, its words weigh what they weigh in the rest of the text.
 2. A randomised SVD (subspace iteration on A^T A) of the TF-IDF matrix of passages: every
-   pass over the passages is a Spark job whose tasks return sums of fixed size. It is fitted
+   pass over the passages is a Spark job whose tasks return sums of fixed size (the last one
+   only the products of the projected passages that Rayleigh-Ritz needs). It is fitted
    on the passages of the benchmark and of all documents, again without copies of items.
 3. Every passage of every document is folded into the latent space (V / sigma) and compared by
    cosine with the benchmark's passages, a stated query set taken in blocks of
@@ -18,7 +19,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_PUNCTUATION, blocks, byte_column, discard, doc_columns, give_back, materialise, mix64, prefix_hash, prepare, span_hash, word_spans
+from .common import IS_PUNCTUATION, blocks, byte_column, discard, doc_columns, give_back, materialise, mix64, prefix_hash, prepare, span_hash, tidy, word_spans
 
 #: Hashed vocabulary, latent dimensions, extra dimensions while iterating, passes.
 FEATURES, LATENT, EXTRA, PASSES = 1 << 14, 128, 16, 2
@@ -49,6 +50,8 @@ FILTER_BITS = 26
 #: Leading bits of a run's hash by which a block of items tells most runs that it doesn't hold.
 SEEN_BITS = 20
 _FEATURE_ROWS = 1024
+#: Sums that are made at once: they and what is added stay in a core's cache.
+_SUMS = 512
 
 
 def _unspaced() -> np.ndarray:
@@ -142,11 +145,14 @@ def _half_sums(feature: np.ndarray, start: np.ndarray, ends: np.ndarray, table:
     """Sums of the table's rows over each half; ``ends`` is the end of the half's document."""
     half = np.zeros((len(start), table.shape[1]), np.float32)
     whole = start + HALF <= ends
-    at, rest = start[whole], np.flatnonzero(~whole)
-    sums = table.take(feature[at], axis=0)
-    for j in range(1, HALF):  # the j-th word of every half
-        sums += table.take(feature[at + j], axis=0)
-    half[whole] = sums
+    full, rest = np.flatnonzero(whole), np.flatnonzero(~whole)
+    buffer = np.empty((min(_SUMS, len(full)), table.shape[1]), np.float32)
+    for lo in range(0, len(full), _SUMS):
+        at = start[full[lo : lo + _SUMS]]
+        sums, more = table.take(feature[at], axis=0), buffer[: len(at)]
+        for j in range(1, HALF):  # the j-th word of every half
+            sums += table.take(feature[at + j], axis=0, out=more, mode="clip")
+        half[full[lo : lo + _SUMS]] = sums
     for j in range(HALF):
         rest = rest[start[rest] + j < ends[rest]]
         half[rest] += table[feature[start[rest] + j]]
@@ -161,22 +167,26 @@ def _add_rows(total: np.ndarray, feature: np.ndarray, half: np.ndarray, z: np.nd
     rank[often] = np.arange(len(often))
     rank = rank[feature]
     hit = rank >= 0
-    counts = np.bincount(rank[hit] * len(z) + half[hit], minlength=len(often) * len(z))
-    total[often] += counts.reshape(len(often), len(z)).astype(np.float32) @ z
+    counts = np.zeros(len(often) * len(z), np.float32)
+    np.add.at(counts, rank[hit] * len(z) + half[hit], np.float32(1))
+    total[often] += counts.reshape(len(often), len(z)) @ z
     feature, half = feature[~hit], half[~hit]
     if not len(feature):
         return
-    order = np.argsort(feature, kind="stable")
+    order = np.argsort(feature.astype(np.uint16), kind="stable")
     feature, half = feature[order], half[order]
     first = np.flatnonzero(np.append(True, feature[1:] != feature[:-1]))
     size = np.diff(np.append(first, len(feature)))
     order = np.argsort(-size, kind="stable")
     first, size = first[order], size[order]
-    sums = z.take(half[first], axis=0)
-    for j in range(1, int(size[0])):
-        m = int(np.searchsorted(-size, -j))  # so many features occur more than j times
-        sums[:m] += z.take(half[first[:m] + j], axis=0)
-    total[feature[first]] += sums
+    buffer = np.empty((min(_SUMS, len(first)), z.shape[1]), np.float32)
+    for lo in range(0, len(first), _SUMS):
+        at, fewer = first[lo : lo + _SUMS], -size[lo : lo + _SUMS]
+        sums = z.take(half[at], axis=0)
+        for j in range(1, -int(fewer[0])):
+            m = int(np.searchsorted(fewer, -j))  # so many features occur more than j times
+            sums[:m] += z.take(half[at[:m] + j], axis=0, out=buffer[:m], mode="clip")
+        total[feature[at]] += sums
 
 
 def _used(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,58 +284,88 @@ def _squares(feature: np.ndarray, half: np.ndarray, doc: np.ndarray, weight: np.
     return np.bincount(cells // FEATURES, np.square(tf * weight[cells % FEATURES]), len(doc))
 
 
-def _gram_times(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """A^T (A q) for the TF-IDF matrix A of the passages of ``rows`` (as ``featurise`` gives them;
-    rows of A of unit length)."""
-    width = q.shape[1]
-    sc = rows.sparkSession.sparkContext
-    sent = sc.broadcast((idf, idf[:, None] * q))
+def _projected(batches: Iterator[pa.RecordBatch], weight: np.ndarray, weighted: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(feature, half of each word, halves that the next one follows, sum of the rows of
+    ``weighted`` over the passage that starts at each half, 1 / its squared length or 0)."""
+    for batch in batches:
+        for feature, per_doc in _feature_blocks(batch.column(0), PASS_WORDS):
+            if not len(feature):
+                continue
+            start, doc = _halves(per_doc)
+            half = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(feature))))
+            square = _squares(feature, half, doc, weight)
+            pair, use = _used(doc)
+            z = _half_sums(feature, start, np.cumsum(per_doc)[doc], weighted)
+            z[pair] += z[pair + 1]
+            yield feature, half, pair, z, np.divide(1, square, out=np.zeros(len(doc)), where=use & (square > 0))
+
+
+def _task_sums(rows: DataFrame, of_task: Callable[[Iterator[pa.RecordBatch]], np.ndarray], part_rows: int, kind: type) -> np.ndarray:
+    """The sum over all tasks of the matrix ``of_task`` makes of a task's features, added in
+    parts of ``part_rows`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, weighted = sent.value
-        total = np.zeros((FEATURES, width), np.float32)
-        for batch in batches:
-            for feature, per_doc in _feature_blocks(batch.column(0), PASS_WORDS):
-                if not len(feature):
-                    continue
-                start, doc = _halves(per_doc)
-                half = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(feature))))
-                square = _squares(feature, half, doc, weight)
-                pair, use = _used(doc)
-                z = _half_sums(feature, start, np.cumsum(per_doc)[doc], weighted)
-                z[pair] += z[pair + 1]
-                z *= np.divide(1, square, out=np.zeros(len(doc)), where=use & (square > 0)).astype(np.float32)[:, None]
-                # a half's words are in the passage it starts and in the one before
-                z[pair + 1] += z[pair]
-                _add_rows(total, feature, half, z)
-        total *= weight[:, None]
-        parts = total.reshape(-1, _FEATURE_ROWS, width)
+        total = of_task(batches)
+        parts = total.reshape(-1, part_rows, total.shape[1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(parts), dtype=np.int64)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "m"]
         )
 
     def add(table: pa.Table) -> pa.Table:
-        m = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in table["m"])
-        return pa.table({"part": table["part"].slice(0, 1), "m": pa.array([m.astype(np.float32).tobytes()], pa.binary())})
+        m = sum(np.frombuffer(x.as_py(), kind).astype(np.float64) for x in table["m"])
+        return pa.table({"part": table["part"].slice(0, 1), "m": pa.array([m.astype(kind).tobytes()], pa.binary())})
+
+    dealt = rows.select("f").coalesce(max(1, TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism))
+    with tidy(rows.sparkSession):
+        parts = dealt.mapInArrow(run, "part long, m binary").groupBy("part").applyInArrow(add, "part long, m binary").collect()
+    return np.concatenate([np.frombuffer(r["m"], kind).astype(np.float64).reshape(part_rows, -1) for r in sorted(parts)])
+
 
-    dealt = rows.select("f").coalesce(max(1, TASKS_PER_CORE * sc.defaultParallelism))
-    parts = dealt.mapInArrow(run, "part long, m binary").groupBy("part").applyInArrow(add, "part long, m binary").collect()
+def _gram_times(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """A^T (A q) for the TF-IDF matrix A of the passages of ``rows`` (as ``featurise`` gives them;
+    rows of A of unit length)."""
+    sent = rows.sparkSession.sparkContext.broadcast((idf, idf[:, None] * q))
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        weight, weighted = sent.value
+        total = np.zeros(weighted.shape, np.float32)
+        for feature, half, pair, z, scale in _projected(batches, weight, weighted):
+            z *= scale.astype(np.float32)[:, None]
+            # a half's words are in the passage it starts and in the one before
+            z[pair + 1] += z[pair]
+            _add_rows(total, feature, half, z)
+        total *= weight[:, None]
+        return total
+
+    out = _task_sums(rows, of_task, _FEATURE_ROWS, np.float32)
+    sent.destroy()
+    return out
+
+
+def _gram_within(rows: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """q^T (A^T A) q for the matrix A of ``_gram_times``: the products of the columns of A q."""
+    sent = rows.sparkSession.sparkContext.broadcast((idf, idf[:, None] * q))
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        weight, weighted = sent.value
+        total = np.zeros((weighted.shape[1],) * 2)
+        for _, _, _, z, scale in _projected(batches, weight, weighted):
+            z *= np.sqrt(scale).astype(np.float32)[:, None]
+            total += z.T @ z
+        return total
+
+    out = _task_sums(rows, of_task, 1, np.float64)
     sent.destroy()
-    out = np.zeros((FEATURES // _FEATURE_ROWS, _FEATURE_ROWS, width))
-    for r in parts:
-        out[r["part"]] = np.frombuffer(r["m"], np.float32).reshape(_FEATURE_ROWS, width)
-    return out.reshape(FEATURES, width)
+    return out
 
 
 def latent_space(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Word table of the fold-in: idf * V / sigma, FEATURES x LATENT."""
-    q = np.linalg.qr(np.random.default_rng(5).standard_normal((FEATURES, LATENT + EXTRA)))[0]
-    for left in range(PASSES - 1, -1, -1):
-        q = q.astype(np.float32)
-        g = _gram_times(rows, idf, q)
-        if left:
-            q = np.linalg.qr(g)[0]
-    values, vectors = np.linalg.eigh(q.T @ g)  # Rayleigh-Ritz on the subspace
+    q = np.linalg.qr(np.random.default_rng(5).standard_normal((FEATURES, LATENT + EXTRA)))[0].astype(np.float32)
+    for _ in range(PASSES - 1):
+        q = np.linalg.qr(_gram_times(rows, idf, q))[0].astype(np.float32)
+    # the last pass: Rayleigh-Ritz on the subspace needs no more than A^T A within it
+    values, vectors = np.linalg.eigh(_gram_within(rows, idf, q))
     top = np.argsort(values)[::-1][:LATENT]
     v, sigma = q @ vectors[:, top], np.sqrt(np.maximum(values[top], 0))
     scale = np.divide(1, sigma, out=np.zeros(LATENT), where=sigma > 1e-6 * max(sigma.max(), 1e-30))

@@ -135,6 +135,23 @@ def test_the_latent_space_is_fitted_on_every_document(spark, monkeypatch):
     assert got == pytest.approx(want, rel=1e-3, abs=1e-3 * np.abs(want).max())
 
 
+def test_the_last_pass_of_the_svd_gives_products_only(spark, monkeypatch):
+    rng = random.Random(12)
+    common.prepare(spark)
+    rows = [(i, prose(rng, rng.choice([0, 1, 7, 16, 17, 40, 300, 9000]))) for i in range(60)]
+    table = common.materialise(decontaminate.featurise(spark.createDataFrame(rows, "__id long, __text string"), None), "passages")
+    rand = np.random.default_rng(3)
+    idf = rand.random(decontaminate.FEATURES).astype(np.float32) + 0.1
+    q = np.linalg.qr(rand.standard_normal((decontaminate.FEATURES, 24)))[0].astype(np.float32)
+    g = decontaminate._gram_times(table, idf, q)
+    np.testing.assert_allclose(decontaminate._gram_within(table, idf, q), q.T @ g, rtol=1e-3, atol=1e-4 * np.abs(g).max())
+    times = decontaminate._gram_times
+    calls = []
+    monkeypatch.setattr(decontaminate, "_gram_times", lambda *args: calls.append(1) or times(*args))
+    assert decontaminate.latent_space(table, idf).shape == (decontaminate.FEATURES, decontaminate.LATENT)
+    assert len(calls) == decontaminate.PASSES - 1
+
+
 def test_common_subsequence_against_the_table():
     rng = random.Random(6)
     for _ in range(60):
