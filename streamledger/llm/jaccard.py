@@ -9,15 +9,21 @@
    documents (hashed to COUNTERS counters, which may count rare shingles as frequent but only
    costs order, not links), so shingles that many documents share are rarely keys.
 3. The sets that share a key are cut into tiles by size: a set lies in its own band
-   [BAND^b, BAND^(b+1)) and, if its smaller partners can lie there, in the band below.
+   [BAND^b, BAND^(b+1)) and, if its smaller partners can lie there, in the band below. Two sets
+   have no more in common than either has from their first common key on, so a pair that meets
+   late in either order is no link, or meets by an earlier key too; such pairs are left out. A
+   tile needs a member that can be the smaller set of a link: its key comes early enough for
+   an equally large partner, and the band is its own.
 4. A tile's members are held against one of them, its lead. Of two bitmaps, every bit that only
    one has stands for a shingle that the other set lacks, so bit counts bound the overlap from
    above; pairs whose bound is too small are left out. The others are settled by intersecting
    the sorted arrays. A tile whose members are in one component is done.
-5. After at most TURNS rounds with other leads, the members of unsettled tiles are compared in full:
-   their bitmaps, in pieces of bounded size and in the order of set sizes, then the arrays of
-   the pairs that these leave; members with more than NAMED such partners in a piece meet the
-   arrays of all members instead. So the result is that of all links.
+5. After at most TURNS rounds with other leads, the members of unsettled tiles are compared in full.
+   In tiles of up to SMALL members all pairs meet, as above: as many as the tiles have rows, at
+   most SMALL / 2 times, whatever the corpus. Larger tiles are chained to clusters by their
+   members, which meet by bitmaps, in pieces of bounded size and in the order of set sizes. The
+   arrays of the pairs left are intersected; members with more than NAMED such partners meet
+   the arrays of all members of their cluster instead. So the result is that of all links.
 """
 
 from __future__ import annotations
@@ -41,6 +47,8 @@ COUNTERS, ROW_COUNTERS = 1 << 20, 1 << 12
 #: Rounds in which the members of a tile are held against one of them; with fewer unsettled
 #: members than FEW, the rest are compared in full at once.
 TURNS, FEW = 3, 1 << 17
+#: Members of a tile that are paired with each other; more are compared in pieces of a cluster.
+SMALL = 256
 #: Bits of the filter that picks documents by identifier where they are read.
 FILTER = 1 << 23
 #: Sets whose copies a task knows again.
@@ -117,7 +125,7 @@ def shingle_levels(docs: DataFrame, k: int) -> np.ndarray:
     lanes = counted.withColumn("lane", F.spark_partition_id() % 16).repartition("row", "lane").select("row", "counts")
     added = lanes.mapInArrow(add, "row long, counts array<long>").repartition("row").mapInArrow(add, "row long, counts array<long>")
     total = np.zeros((rows, ROW_COUNTERS), np.int64)
-    for r in added.toLocalIterator():
+    for r in added.repartition(1).toLocalIterator():
         total[r["row"]] += np.array(r["counts"])
     return np.minimum(255, np.log2(total.ravel() + 1) * 8).astype(np.uint8)
 
@@ -148,6 +156,18 @@ def bands(n: Column, percent: int) -> Column:
     return F.sequence(F.least(least, own).cast("int"), own.cast("int"))
 
 
+def early(n: Column, at: Column, percent: int) -> Column:
+    """Whether the first common key of a link can be key ``at`` (from 0) of its smaller set, of
+    ``n`` shingles."""
+    return at * (100 + percent) <= n * (100 - percent)
+
+
+def can_link(n: Column, left: Column, m: Column, other_left: Column, percent: int) -> Column:
+    """Whether sets of ``n`` and ``m`` shingles can be linked if they have none in common before
+    the last ``left`` and ``other_left`` ones."""
+    return F.least(left, other_left) * (100 + percent) >= (n + m) * percent
+
+
 def bitmap(hashes: np.ndarray) -> np.ndarray:
     """The bitmap of a set, as words: each shingle sets the bit that its hash names. Halves of a
     bitmap laid over each other are the bitmap of half the size."""
@@ -213,7 +233,7 @@ def wanted(ids: DataFrame) -> np.ndarray:
     place = F.pmod(F.xxhash64("id"), F.lit(FILTER))
     words = ids.groupBy(F.shiftright(place, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {FILTER}) % 64 as int))")).alias("b"))
     out = np.zeros(FILTER // 64, np.int64)
-    for r in words.toLocalIterator():
+    for r in words.repartition(1).toLocalIterator():  # one job, not one a partition
         out[r["w"]] = r["b"]
     return out.view(np.uint64)
 
@@ -412,16 +432,36 @@ def similarity_groups(
     # Classes of equal sets: the smallest identifier stands for the class
     ident = ["n", "s1", "s2"]
     classes = materialise(some.groupBy(*ident).agg(F.min("id").alias("rep")), "classes")
-    keyed = some.select("id", F.explode("keys").alias("key"))
-    several = keyed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-    met = materialise(keyed.join(several, "key"), "met")
+    keyed = some.select("id", "n", F.posexplode("keys").alias("at", "key"))
+    several = keyed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.max(early(F.col("n"), F.col("at"), percent)).alias("some")).where("x <> y AND some").select("key")
+    several = materialise(several, "shared-keys")  # of the two shuffles of all keys one is there at a time
+    met = materialise(keyed.select("id", "at", "key").join(several.hint("merge"), "key"), "met")
+    discard(several)
     named = some.select("id", *ident).join(met.select("id").distinct(), "id", "left_semi").join(classes, ident)
-    named = named.select("id", "rep", F.explode(bands(F.col("n"), percent)).alias("band")).distinct()
-    tiles = met.join(named, "id").select(F.xxhash64("key", "band").alias("key"), F.col("rep").alias("id"))
-    shared = tiles.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-    tiles = materialise(tiles.join(shared, "key"), "tiles")
+    named = named.select("id", "rep", "n", F.explode(bands(F.col("n"), percent)).alias("band"), F.element_at(bands(F.col("n"), percent), -1).alias("own")).distinct()
+    tiles = met.join(named, "id").select(
+        F.xxhash64("key", "band").alias("key"),
+        F.col("rep").alias("id"),
+        "n",
+        (F.col("n") - F.col("at")).alias("left"),
+        (early(F.col("n"), F.col("at"), percent) & (F.col("band") == F.col("own"))).alias("first"),
+    )
+    # rows of one identifier are one node
+    twice = some.groupBy("id").agg(F.count_distinct(*ident).alias("k")).where("k > 1").select("id")
+    links = materialise(some.join(twice, "id", "left_semi").join(classes, ident).select(F.col("id").alias("a"), F.col("rep").alias("b")), "links")
+    comps = None if links.isEmpty() else materialise(components(links), "components")
+
+    def opened(tiles: DataFrame, order: Column) -> DataFrame:
+        """The rows of tiles of several components, with the tile's size and its lead."""
+        labelled = _label(tiles.select("key", "id", "n", "left", "first"), "id", comps, "comp")
+        state = labelled.groupBy("key").agg(
+            F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("first").alias("some"), F.count(F.lit(1)).alias("size"), F.min_by(F.struct("id", "n", "left", "comp"), order).alias("lead")
+        )
+        return labelled.join(state.where("x <> y AND some").select("key", "size", "lead"), "key")
+
+    open_rows = materialise(opened(tiles, F.col("id")), "open")
     discard(met)
-    members = materialise(tiles.select("id").distinct(), "members")
+    members = materialise(open_rows.select("id").distinct(), "members")
     prints = materialise(sets_of(texts, words, members, marks=True).join(members, "id", "left_semi"), "prints")
 
     def bounded(pairs: DataFrame) -> DataFrame:
@@ -451,37 +491,44 @@ def similarity_groups(
         others = pairs.join(lanes, "a").select(F.col("a").alias("tile"), F.pmod(F.xxhash64("b"), "pieces").cast("int").alias("piece"), F.lit(1).alias("part"), F.col("b").alias("id"))
         return compared(_label(leads.union(others), "id", comps, "comp"), lambda batches: _tiles(batches, percent), "shingles")
 
-    # rows of one identifier are one node
-    twice = some.groupBy("id").agg(F.count_distinct(*ident).alias("k")).where("k > 1").select("id")
-    links = materialise(some.join(twice, "id", "left_semi").join(classes, ident).select(F.col("id").alias("a"), F.col("rep").alias("b")), "links")
-    comps = None if links.isEmpty() else materialise(components(links), "components")
-    open_rows = tiles.join(tiles.groupBy("key").agg(F.min("id").alias("lead")), "key")
     for turn in range(TURNS):
         # every member with its tile's lead; of its leads the likeliest
-        met = open_rows.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-        met = _label(_label(met, "a", comps, "ca"), "b", comps, "cb").where("ca <> cb").select("a", "b")
+        near = can_link(F.col("n"), F.col("left"), F.col("lead.n"), F.col("lead.left"), percent)
+        met = open_rows.where("comp <> lead.comp").where(near).select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
         best = bounded(met).groupBy("b").agg(F.max_by("a", F.struct("like", -F.col("a"))).alias("a"))
         best = materialise(best.select("a", "b"), "pairs")
         old = links, comps, best
         links = materialise(links.union(settled(best)), "links")
         comps = materialise(components(links), "components")
         discard(*old)
-        labelled = _label(open_rows.select("key", "id"), "id", comps, "comp")
-        state = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("lead"))
         before = open_rows
-        open_rows = materialise(open_rows.select("key", "id").join(state.where("x <> y").select("key", "lead"), "key"), "open")
+        open_rows = materialise(opened(open_rows, F.xxhash64("id", F.lit(turn))), "open")
         discard(before)
         unsettled = open_rows.agg(F.count_distinct("id")).first()[0]
         if unsettled < FEW:
             break
     if unsettled:
-        chained = materialise(_clusters(open_rows, comps, prints.select("id", "n")), "clusters")
-        possible = materialise(compared(_placed(chained, PIECE_MARKED), lambda batches: _marked(batches, percent, NAMED), "bits"), "pairs")
-        many = possible.where("b IS NULL").select(F.col("a").alias("id")).distinct().withColumn("lead", F.lit(True))
-        rest = chained.drop("lead").join(many, "id", "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
-        links = links.union(settled(possible.where("b IS NOT NULL").distinct()))
-        if not many.isEmpty():
-            links = links.union(compared(_placed(rest, PIECE_SHINGLES), lambda batches: _tiles(batches, percent), "shingles"))
+        one, two = (open_rows.where(F.col("size") <= SMALL).select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "left", "first", "comp"))) for side in "ab")
+        met = one.join(two, "key").where("id_a < id_b AND comp_a <> comp_b AND (first_a OR first_b)")
+        met = met.where(can_link(F.col("n_a"), F.col("left_a"), F.col("n_b"), F.col("left_b"), percent))
+        met = bounded(met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+        pairs = materialise(met.select("a", "b"), "pairs")
+        # members of many pairs, and all of large tiles, meet what these chain them to
+        many = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > NAMED).select("id")
+        a, b = (many.select(F.col("id").alias(x), F.lit(True).alias(f"many_{x}")) for x in "ab")
+        pairs = pairs.join(a, "a", "left").join(b, "b", "left").select("a", "b", F.coalesce("many_a", "many_b", F.lit(False)).alias("many"))
+        ties = pairs.where("many").select(F.xxhash64("a", "b").alias("key"), F.explode(F.array("a", "b")).alias("id"))
+        pairs = pairs.where("NOT many").select("a", "b")
+        chain = materialise(open_rows.where(F.col("size") > SMALL).select("key", "id").union(ties), "chain")
+        if not chain.isEmpty():
+            chained = materialise(_clusters(chain, comps, prints.select("id", "n")), "clusters")
+            possible = materialise(compared(_placed(chained, PIECE_MARKED), lambda batches: _marked(batches, percent, NAMED), "bits"), "pairs")
+            many = many.union(possible.where("b IS NULL").select(F.col("a").alias("id"))).distinct().withColumn("lead", F.lit(True))
+            rest = chained.drop("lead").join(many, "id", "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
+            if not many.isEmpty():
+                links = links.union(compared(_placed(rest, PIECE_SHINGLES), lambda batches: _tiles(batches, percent), "shingles"))
+            pairs = pairs.union(possible.where("b IS NOT NULL")).distinct()
+        links = links.union(settled(pairs))
         comps = materialise(components(materialise(links, "links")), "components")
     named = _label(rows.select("id", *ident).join(classes, ident, "left"), "rep", comps, "c")
     return named.select(

@@ -141,6 +141,49 @@ def test_groups_of_many_loose_copies(spark, monkeypatch, turns, piece, named):
     assert 1 < len(set(want.values())) < 130
 
 
+@pytest.mark.parametrize("piece,named", [(1000, 0), (1 << 21, 32)])
+def test_groups_of_loose_copies_in_large_tiles(spark, monkeypatch, piece, named):
+    for name, value in (("TURNS", 1), ("FEW", 1), ("SMALL", 6), ("PIECE_SHINGLES", piece), ("PIECE_MARKED", 2 * piece), ("NAMED", named)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = _near_copies(random.Random(12), 90)
+    want = near_groups(rows, 4, 85)
+    assert {r["doc_id"]: r["component_id"] for r in _groups(spark, rows)} == want
+    assert 1 < len(set(want.values())) < 90
+
+
+def test_a_chain_of_small_tiles_is_not_compared_with_itself(spark, monkeypatch):
+    """Each document shares half its text with the next: as many pairs as documents, but one
+    cluster, whose members once went to each of its pieces."""
+    rng = random.Random(3)
+    passages = [prose(rng, 60) for _ in range(61)]
+    rows = [(i, f"{a} {b}") for i, (a, b) in enumerate(zip(passages, passages[1:]))]
+    placed, written = [], []
+    place, write = jaccard._placed, jaccard.materialise
+    monkeypatch.setattr(jaccard, "_placed", lambda members, size: placed.append(place(members, size)) or placed[-1])
+    monkeypatch.setattr(jaccard, "materialise", lambda df, name: written.append((name, write(df, name))) or written[-1][1])
+    monkeypatch.setattr(jaccard, "discard", lambda *tables: None)
+    monkeypatch.setattr(jaccard, "TURNS", 1)
+    monkeypatch.setattr(jaccard, "PIECE_MARKED", 500)
+    assert {r["doc_id"]: r["component_id"] for r in _groups(spark, rows)} == {i: i for i in range(60)}
+    still = [t for name, t in written if name == "open"][-1].select("id").distinct().count()
+    assert still > 40 and sum(p.count() for p in placed) <= 2 * still
+
+
+@pytest.mark.parametrize("percent", [60, 85, 93])
+def test_first_common_keys_of_links_are_early(spark, percent):
+    """At the least overlap that a link allows, with all other shingles before the common ones."""
+    rows = []
+    for n in [*range(1, 80), 257, 1000, 4000]:
+        for m in {n, n + 1, n + n // 20, n * 100 // percent}:
+            shared = -(-percent * (n + m) // (100 + percent))
+            if shared <= n and m >= n:
+                rows.append((n, n - shared, m, m - shared))
+    table = spark.createDataFrame(rows, "n long, at int, m long, other int")
+    ok = jaccard.early(F.col("n"), F.col("at"), percent) & jaccard.can_link(F.col("n"), F.col("n") - F.col("at"), F.col("m"), F.col("m") - F.col("other"), percent)
+    later = jaccard.can_link(F.col("n"), F.col("n") - F.col("at") - 1, F.col("m"), F.col("m") - F.col("other"), percent)
+    assert len(rows) > 100 and table.where(~ok | later).count() == 0
+
+
 def test_groups_of_odd_rows(spark):
     rng = random.Random(2)
     one, two = prose(rng, 60), prose(rng, 60)
